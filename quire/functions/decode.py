@@ -10,14 +10,16 @@ so the response is parsed once to VARIANT (``try_parse_json``), which keeps
 JSON types, and each field branches on ``schema_of_variant``. Everything is
 a native expression.
 
-Each helper returns ``(value, error)`` columns; ``error`` is NULL when the
+Usage: ``field_columns`` adds, per field, the field's variant and its kind
+as columns (so each is computed once per row); the ``lax_*`` helpers then
+return ``(value, error)`` columns over them. ``error`` is NULL when the
 field is valid, else a stable code: ``missing:<f>``, ``type:<f>``,
 ``range:<f>``, ``enum:<f>``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INT_KINDS = "('BIGINT','INT','SMALLINT','TINYINT')"
@@ -32,72 +34,56 @@ def parse(c: str) -> Column:
     return F.expr(f"try_parse_json({c})")
 
 
-def _kind(v: str, f: str) -> str:
-    return f"schema_of_variant(try_variant_get({v}, '$.{f}', 'variant'))"
-
-
-def _get(v: str, f: str, t: str) -> str:
-    return f"try_variant_get({v}, '$.{f}', '{t}')"
-
-
-def lax_int(v: str, f: str, lo: int | None = None, hi: int | None = None):
-    k = _kind(v, f)
-    d = _get(v, f, "double")
-    s = _get(v, f, "string")
-    value = f"""CASE
-      WHEN {k} IN {_INT_KINDS} THEN {_get(v, f, 'bigint')}
-      WHEN {k} = 'BOOLEAN' THEN CASE WHEN {_get(v, f, 'boolean')} THEN 1 ELSE 0 END
-      WHEN ({k} LIKE 'DECIMAL%' OR {k} IN ('DOUBLE','FLOAT')) AND {d} = floor({d})
-        THEN try_cast({d} AS BIGINT)
-      WHEN {k} = 'STRING' AND {s} RLIKE '{_INT_TEXT}'
-        THEN try_cast(try_cast(trim({s}) AS DOUBLE) AS BIGINT)
-    END"""
-    err = f"""CASE
-      WHEN {k} IS NULL THEN 'missing:{f}'
-      WHEN ({value}) IS NULL THEN 'type:{f}'
-    END"""
-    value_c = F.expr(f"try_cast(({value}) AS INT)")
-    err_c = F.expr(err)
-    if lo is not None:
-        rng = (value_c < lo) | (value_c > hi)
-        err_c = F.coalesce(err_c, F.when(rng, F.lit(f"range:{f}")))
-        value_c = F.when(~rng, value_c)
-    return value_c, err_c
-
-
-def lax_str(v: str, f: str):
-    k = _kind(v, f)
-    value = F.expr(f"CASE WHEN {k} = 'STRING' THEN {_get(v, f, 'string')} END")
-    err = F.expr(f"CASE WHEN {k} IS NULL THEN 'missing:{f}' "
-                 f"WHEN {k} <> 'STRING' THEN 'type:{f}' END")
-    return value, err
-
-
-def lax_bool(v: str, f: str):
-    k = _kind(v, f)
-    d = _get(v, f, "double")
-    s = f"lower({_get(v, f, 'string')})"
-    t = ",".join(f"'{x}'" for x in _TRUE_STRINGS)
-    fl = ",".join(f"'{x}'" for x in _FALSE_STRINGS)
-    value = f"""CASE
-      WHEN {k} = 'BOOLEAN' THEN {_get(v, f, 'boolean')}
-      WHEN ({k} IN {_INT_KINDS} OR {k} LIKE 'DECIMAL%' OR {k} IN ('DOUBLE','FLOAT'))
-           AND {d} IN (0, 1) THEN {d} = 1
-      WHEN {k} = 'STRING' AND {s} IN ({t}) THEN true
-      WHEN {k} = 'STRING' AND {s} IN ({fl}) THEN false
-    END"""
-    err = f"""CASE
-      WHEN {k} IS NULL THEN 'missing:{f}'
-      WHEN ({value}) IS NULL THEN 'type:{f}'
-    END"""
-    return F.expr(value), F.expr(err)
-
-
-def lax_enum(v: str, f: str, allowed):
-    value, err = lax_str(v, f)
-    bad = ~value.isin(list(allowed))
-    return F.when(~bad, value), F.coalesce(err, F.when(bad, F.lit(f"enum:{f}")))
-
-
-def first_error(*errs: Column) -> Column:
-    return F.coalesce(*errs)
+def field_columns(df: DataFrame, v: str, fields, prefix: str) -> DataFrame:
+    """Add ``<prefix>_<f>_v`` (the field as VARIANT, NULL if absent) and
+    ``<prefix>_<f>_k`` (its JSON kind) for each field."""
+    df = df.withColumns({f"{prefix}_{f}_v": F.expr(f"try_variant_get({v}, '$.{f}', 'variant')")
+                         for f in fields})
+    return df.withColumns({f"{prefix}_{f}_k": F.expr(f"schema_of_variant({prefix}_{f}_v)")
+                           for f in fields})
+
+
+def _get(fv: str, t: str) -> str:
+    return f"try_variant_get({fv}, '$', '{t}')"
+
+
+def raw_value(kind: str, fv: str, fk: str) -> Column:
+    """The field converted under the lax rule for ``kind`` (str, int,
+    score, bool, tag); NULL when it cannot be converted."""
+    if kind in ("str", "tag"):
+        return F.when(F.col(fk) == "STRING", F.expr(_get(fv, "string")))
+    d = _get(fv, "double")
+    if kind in ("int", "score"):
+        s = _get(fv, "string")
+        return F.expr(f"""try_cast(CASE
+          WHEN {fk} IN {_INT_KINDS} THEN {_get(fv, 'bigint')}
+          WHEN {fk} = 'BOOLEAN' THEN CASE WHEN {_get(fv, 'boolean')} THEN 1 ELSE 0 END
+          WHEN ({fk} LIKE 'DECIMAL%' OR {fk} IN ('DOUBLE','FLOAT')) AND {d} = floor({d})
+            THEN try_cast({d} AS BIGINT)
+          WHEN {fk} = 'STRING' AND {s} RLIKE '{_INT_TEXT}'
+            THEN try_cast(try_cast(trim({s}) AS DOUBLE) AS BIGINT)
+        END AS INT)""")
+    if kind == "bool":
+        s = f"lower({_get(fv, 'string')})"
+        t = ",".join(f"'{x}'" for x in _TRUE_STRINGS)
+        fl = ",".join(f"'{x}'" for x in _FALSE_STRINGS)
+        return F.expr(f"""CASE
+          WHEN {fk} = 'BOOLEAN' THEN {_get(fv, 'boolean')}
+          WHEN ({fk} IN {_INT_KINDS} OR {fk} LIKE 'DECIMAL%' OR {fk} IN ('DOUBLE','FLOAT'))
+               AND {d} IN (0, 1) THEN {d} = 1
+          WHEN {fk} = 'STRING' AND {s} IN ({t}) THEN true
+          WHEN {fk} = 'STRING' AND {s} IN ({fl}) THEN false
+        END""")
+    raise ValueError(kind)
+
+
+def field_error(kind: str, fk: str, raw: str, f: str, allowed=(), lo: int = 0,
+                hi: int = 10) -> Column:
+    """The error code of one field given its kind column and raw value."""
+    k, r = F.col(fk), F.col(raw)
+    e = F.when(k.isNull(), F.lit(f"missing:{f}")).when(r.isNull(), F.lit(f"type:{f}"))
+    if kind == "score":
+        e = e.when((r < lo) | (r > hi), F.lit(f"range:{f}"))
+    if kind == "tag":
+        e = e.when(~r.isin(list(allowed)), F.lit(f"enum:{f}"))
+    return e

@@ -1,8 +1,9 @@
 """ISO-ish text -> epoch milliseconds for datetime cells.
 
 Accepted, in order: ``%Y-%m-%dT%H:%M:%S``, ``%Y-%m-%d %H:%M:%S``,
-``%Y-%m-%d`` (naive: session time zone), then ISO 8601 with ``Z`` read as
-UTC. Anything else is NULL. Text that Spark's cast would accept but the
+``%Y-%m-%d``, then ISO 8601 (``Z`` read as UTC, ``,`` as the decimal
+separator). Naive values are wall-clock time in ``tz`` (a parameter, not the
+session zone). Anything else is NULL. Text that Spark's cast accepts but the
 original parser rejects (a bare year, a year and month) is gated out first.
 """
 
@@ -13,23 +14,37 @@ from pyspark.sql import functions as F
 
 from .text import py_strip
 
-# The accepted leading date shapes.
+# The accepted leading date shapes and an explicit UTC offset.
 _DATE_HEAD = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 _COMPACT = r"^[0-9]{8}$"
+_OFFSET = r"[+-][0-9]{2}(:?[0-9]{2})?$"
+_NAIVE_FORMATS = ("y-M-d'T'H:m:s", "y-M-d H:m:s", "y-M-d")
 
 
-def to_epoch_ms(c) -> Column:
+def clean_datetime_text(c) -> Column:
+    """Stripped text with inner whitespace runs collapsed to one space."""
     s = py_strip(F.col(c) if isinstance(c, str) else c)
-    # inner runs of whitespace collapse (strptime lets one space match many)
-    sc = F.regexp_replace(s, r"\s+", " ")
-    # ISO: 'T' or one space between date and time, ',' as decimal separator
-    iso = F.regexp_replace(F.regexp_replace(sc, ",", "."), "Z", "+00:00")
-    ts = F.coalesce(
-        F.try_to_timestamp(sc, F.lit("y-M-d'T'H:m:s")),
-        F.try_to_timestamp(sc, F.lit("y-M-d H:m:s")),
-        F.try_to_timestamp(sc, F.lit("y-M-d")),
-        F.when(~sc.contains("T") | sc.rlike(r"T[0-9]"), iso.try_cast("timestamp")),
-    )
-    ts = F.when(sc.rlike(_COMPACT), F.try_to_timestamp(sc, F.lit("yyyyMMdd"))) \
-        .when(sc.rlike(_DATE_HEAD), ts)
-    return F.when(s != "", F.unix_millis(ts))
+    return F.regexp_replace(s, r"\s+", " ")
+
+
+def _naive(fmt: str, sc: Column) -> Column:
+    # parse, then back to wall-clock (NTZ): independent of the session zone
+    return F.try_to_timestamp(sc, F.lit(fmt)).cast("timestamp_ntz")
+
+
+def epoch_ms_from_clean(sc: Column, tz: str = "UTC") -> Column:
+    iso = F.regexp_replace(F.regexp_replace(sc, ",", "."), "Z$", "+00:00")
+    iso_ok = ~sc.contains("T") | sc.rlike(r"T[0-9]")
+    naive = F.coalesce(*[_naive(f, sc) for f in _NAIVE_FORMATS],
+                       F.when(iso_ok & ~iso.rlike(_OFFSET), iso.try_cast("timestamp_ntz")))
+    naive = F.when(sc.rlike(_COMPACT), _naive("yyyyMMdd", sc)).otherwise(naive)
+    utc_wall = F.convert_timezone(F.lit(tz), F.lit("UTC"), naive)
+    naive_ms = F.timestamp_diff("MILLISECOND",
+                                F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc_wall)
+    aware_ms = F.unix_millis(F.when(iso_ok & iso.rlike(_OFFSET), iso.try_cast("timestamp")))
+    ms = F.coalesce(naive_ms, aware_ms)
+    return F.when(sc.rlike(_DATE_HEAD) | sc.rlike(_COMPACT), ms)
+
+
+def to_epoch_ms(c, tz: str = "UTC") -> Column:
+    return epoch_ms_from_clean(clean_datetime_text(c), tz)

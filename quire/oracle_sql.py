@@ -10,6 +10,8 @@ from __future__ import annotations
 from .functions.html import HTML_STEPS
 from .functions.text import PY_WHITESPACE
 from .operators.discover import ASSET_URL
+from .operators.enrich import EXTRACT_PROMPT, REVIEW_PROMPT, SCORE_PROMPT, TAG_PROMPT
+from .schemas import MIRROR_FIELDS
 
 WS = "'" + PY_WHITESPACE + "'"
 
@@ -175,5 +177,586 @@ SQL["batch_unique"] = with_ctes(["fresh", "store"], NEW_UNIQUE) + \
     "SELECT doc_id, hash_code, kept FROM ranked"
 
 
+
+# enrichment ---------------------------------------------------------------------
+RUN_TS = "2026-01-01T00:00:00"
+RUN_ID = "20260101_000000"
+SYNC_TS = "2026-01-02T00:00:00"
+TAG_LIST = "['MARKET','MENTOR','REPORT','VISA','CITY']"
+EXTRACT_F = ("title_zh", "title_en", "excerpt_zh", "excerpt_en", "author", "country",
+             "published_at", "read_minutes", "notes")
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def render_sql(template: str, cols: dict[str, str]) -> str:
+    import re
+    out = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            out.append(f"CAST({cols[piece]} AS VARCHAR)")
+        elif piece:
+            out.append(_lit(piece))
+    return "(" + " || ".join(out) + ")"
+
+
+def _pad2(e: str) -> str:
+    return f"lpad(CAST({e} AS VARCHAR), 2, '0')"
+
+
+PUB = f"""CASE doc_id % 6
+  WHEN 0 THEN ds WHEN 1 THEN ds || 'T' || hm WHEN 2 THEN ds || ' ' || hm
+  WHEN 3 THEN ds || 'T' || hm || 'Z' WHEN 4 THEN '' ELSE 'unknown' END"""
+
+
+def _int_lit(v: str) -> str:
+    s = f"CAST({v} AS VARCHAR)"
+    return f"""CASE WHEN doc_id % 53 = 0 THEN {s} || '.5'
+  WHEN doc_id % 59 = 0 THEN '"' || {s} || '.50"'
+  WHEN doc_id % 61 = 0 THEN 'null'
+  WHEN doc_id % 8 = 1 THEN '"' || {s} || '"'
+  WHEN doc_id % 8 = 2 THEN '" ' || {s} || ' "'
+  WHEN doc_id % 8 = 3 THEN {s} || '.0'
+  WHEN doc_id % 8 = 4 THEN '"' || {s} || '.0"'
+  ELSE {s} END"""
+
+
+BOOL_LIT = """CASE WHEN doc_id % 47 = 0 THEN '2' WHEN doc_id % 43 = 0 THEN '"x"'
+  WHEN doc_id % 4 = 0 THEN CASE WHEN doc_id % 3 = 0 THEN 'true' ELSE 'false' END
+  WHEN doc_id % 4 = 1 THEN CASE WHEN doc_id % 3 = 0 THEN '"yes"' ELSE '"no"' END
+  WHEN doc_id % 4 = 2 THEN CASE WHEN doc_id % 3 = 0 THEN '1' ELSE '0' END
+  ELSE CASE WHEN doc_id % 3 = 0 THEN '"true"' ELSE '"0"' END END"""
+
+COMMON_JSON = """excerpt_zh := first_line, excerpt_en := text, author := source,
+  country := upper(lang), published_at := published_at, read_minutes := CAST(n_chars // 1000 AS BIGINT),
+  notes := ''"""
+
+CTE["responses"] = f"""resp_base AS (
+  SELECT *, {PUB} AS published_at FROM (
+    SELECT l.doc_id, l.quality, d.text, d.lang, d.source, d.n_chars,
+      regexp_extract(d.text, '^[^\\n]*', 0) AS first_line,
+      '2025-' || {_pad2('1 + l.doc_id % 12')} || '-' || {_pad2('1 + l.doc_id % 28')} AS ds,
+      {_pad2('l.doc_id % 24')} || ':' || {_pad2('l.doc_id % 60')} || ':05' AS hm
+    FROM labels l JOIN documents d USING (doc_id))),
+responses AS (
+  SELECT doc_id, 'extract' AS node,
+    CASE WHEN doc_id % 13 <> 0 THEN CAST(to_json(struct_pack(
+      title_zh := '[' || lang || '] ' || first_line, title_en := first_line, {COMMON_JSON})) AS VARCHAR)
+    END AS response,
+    CASE WHEN doc_id % 13 = 0 THEN 'model timeout' END AS error
+  FROM resp_base
+  UNION ALL
+  SELECT doc_id, 'score',
+    '{{' || CASE WHEN doc_id % 67 = 0 THEN '' ELSE '"relevance_score": ' || ({_int_lit('(doc_id * 7) % 12')}) || ', ' END
+    || '"quality_score": ' || CAST(quality * 5 + doc_id % 6 AS VARCHAR) || ', "reason": "r"}}', NULL
+  FROM resp_base
+  UNION ALL
+  SELECT doc_id, 'generate_tag',
+    '{{"tag": "' || ['MARKET','MENTOR','REPORT','VISA','CITY','OTHER'][doc_id % 6 + 1]
+    || '", "tag_reason": "because"}}', NULL
+  FROM resp_base
+  UNION ALL
+  SELECT doc_id, 'review',
+    CASE WHEN doc_id % 17 = 0 THEN '{{"title_zh": '
+         ELSE substring(rb, 1, length(rb) - 1) || ', "needs_revision": ' || ({BOOL_LIT}) || '}}' END, NULL
+  FROM (SELECT *, CAST(to_json(struct_pack(
+      title_zh := '[' || lang || '] ' || first_line,
+      title_en := CASE WHEN doc_id % 3 = 0 THEN first_line || ' (rev)' ELSE first_line END,
+      {COMMON_JSON},
+      review_notes := CASE WHEN doc_id % 3 = 0 THEN 'title fixed' ELSE '' END)) AS VARCHAR) AS rb
+    FROM resp_base))"""
+
+CTE["articles"] = f"""new_rows AS (
+  SELECT * FROM fresh WHERE hash_code NOT IN (SELECT hash_code FROM store)),
+ranked AS (
+  SELECT *, doc_id = min(doc_id) OVER (PARTITION BY hash_code) AS kept FROM new_rows),
+articles AS (
+  SELECT doc_id, hash_code, article_url, source_name, source_url, markdown AS raw_markdown,
+         '{RUN_TS}' AS scraped_at
+  FROM ranked WHERE kept)"""
+DEPS["articles"] = ["fresh", "store"]
+
+PREFIX = {"extract": "ex", "score": "sc", "generate_tag": "tg", "review": "rv"}
+NODE_FIELDS = {
+    "extract": [(f, "int" if f == "read_minutes" else "str") for f in EXTRACT_F],
+    "score": [("relevance_score", "score"), ("quality_score", "score"), ("reason", "str")],
+    "generate_tag": [("tag", "tag"), ("tag_reason", "str")],
+    "review": [(f, "int" if f == "read_minutes" else "str") for f in EXTRACT_F]
+    + [("needs_revision", "bool"), ("review_notes", "str")],
+}
+INT_TEXT = r"^\s*[+-]?[0-9]+(\.0+)?\s*$"
+
+
+def _raw(kind: str, f: str) -> str:
+    k = f"json_type(j, '$.{f}')"
+    s = f"json_extract_string(j, '$.{f}')"
+    d = f"TRY_CAST({s} AS DOUBLE)"
+    if kind in ("str", "tag"):
+        return f"CASE WHEN {k} = 'VARCHAR' THEN {s} END"
+    if kind in ("int", "score"):
+        return f"""TRY_CAST(CASE
+      WHEN {k} IN ('UBIGINT', 'BIGINT') THEN TRY_CAST({s} AS BIGINT)
+      WHEN {k} = 'BOOLEAN' THEN CASE WHEN {s} = 'true' THEN 1 ELSE 0 END
+      WHEN {k} = 'DOUBLE' AND {d} = floor({d}) THEN TRY_CAST({d} AS BIGINT)
+      WHEN {k} = 'VARCHAR' AND regexp_matches({s}, '{INT_TEXT}')
+        THEN TRY_CAST(TRY_CAST(trim({s}) AS DOUBLE) AS BIGINT) END AS INTEGER)"""
+    return f"""CASE
+      WHEN {k} = 'BOOLEAN' THEN {s} = 'true'
+      WHEN {k} IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND {d} IN (0, 1) THEN {d} = 1
+      WHEN {k} = 'VARCHAR' AND lower({s}) IN ('1','on','t','true','y','yes') THEN true
+      WHEN {k} = 'VARCHAR' AND lower({s}) IN ('0','off','f','false','n','no') THEN false END"""
+
+
+def _ferr(kind: str, f: str) -> str:
+    k = f"json_type(j, '$.{f}')"
+    e = f"CASE WHEN {k} IS NULL THEN 'missing:{f}' WHEN r_{f} IS NULL THEN 'type:{f}'"
+    if kind == "score":
+        e += f" WHEN r_{f} < 0 OR r_{f} > 10 THEN 'range:{f}'"
+    if kind == "tag":
+        e += f" WHEN r_{f} NOT IN ('MARKET','MENTOR','REPORT','VISA','CITY') THEN 'enum:{f}'"
+    return e + " END"
+
+
+def decode_cte(node: str) -> str:
+    p = PREFIX[node]
+    spec = NODE_FIELDS[node]
+    raws = ", ".join(f"{_raw(k, f)} AS r_{f}" for f, k in spec)
+    errs = ", ".join(_ferr(k, f) for f, k in spec)
+    outs = ", ".join(f"CASE WHEN err IS NULL THEN r_{f} END AS {p}_{f}" for f, _ in spec)
+    if node == "score":
+        outs += (", CASE WHEN err IS NULL THEN CAST(round_even((r_relevance_score + r_quality_score)"
+                 " / 2.0, 0) AS INTEGER) END AS sc_overall_score")
+    return f"""dec_{p} AS (
+  SELECT doc_id, {outs}, err AS {p}_err, true AS {p}_present FROM (
+    SELECT *, coalesce(error, CASE WHEN response IS NULL THEN 'missing_response'
+                                   WHEN j IS NULL THEN 'invalid_json' END, {errs}) AS err
+    FROM (SELECT *, {raws} FROM (
+      SELECT doc_id, response, error, CASE WHEN json_valid(response) THEN response END AS j
+      FROM responses WHERE node = '{node}'))))"""
+
+
+for _n in PREFIX:
+    CTE[f"dec_{PREFIX[_n]}"] = decode_cte(_n)
+    DEPS[f"dec_{PREFIX[_n]}"] = ["responses"]
+
+
+def _attached(nodes=("extract", "score", "generate_tag", "review")) -> str:
+    joins = " ".join(f"LEFT JOIN dec_{PREFIX[n]} USING (doc_id)" for n in nodes)
+    fix = ", ".join(f"CASE WHEN {PREFIX[n]}_present IS NULL THEN 'missing_response' "
+                    f"ELSE {PREFIX[n]}_err END AS {PREFIX[n]}_e" for n in nodes)
+    return f"SELECT a.*, dec_all.* EXCLUDE (doc_id) FROM articles a" if False else \
+        f"(SELECT *, {fix} FROM articles {joins})"
+
+
+def merged_cte(mode: str, name: str = "merged") -> str:
+    alive = "ex_e IS NULL" if mode == "collapse" else "true"
+    cols = []
+    for f in EXTRACT_F:
+        cols.append(f"CASE WHEN {alive} THEN CASE WHEN rv_e IS NULL THEN rv_{f} ELSE ex_{f} END END AS {f}")
+    for f in ("relevance_score", "quality_score", "overall_score", "reason"):
+        cols.append(f"CASE WHEN {alive} AND sc_e IS NULL THEN sc_{f} END AS {f}")
+    for f in ("tag", "tag_reason"):
+        cols.append(f"CASE WHEN {alive} AND ex_e IS NULL AND tg_e IS NULL THEN tg_{f} END AS {f}")
+    for f in ("needs_revision", "review_notes"):
+        cols.append(f"CASE WHEN {alive} AND rv_e IS NULL THEN rv_{f} END AS {f}")
+    errs = ("list_filter([{'node': 'extract', 'error': ex_e}, {'node': 'score', 'error': sc_e}, "
+            "{'node': 'generate_tag', 'error': CASE WHEN ex_e IS NOT NULL THEN 'missing:excerpt_en' "
+            "ELSE tg_e END}, {'node': 'review', 'error': rv_e}], lambda x: x.error IS NOT NULL)")
+    cols.append(f"CASE WHEN NOT ({alive}) THEN [{{'node': 'ainvoke', 'error': '''excerpt_en'''}}] "
+                f"ELSE {errs} END AS stage_errors_list")
+    return f"""{name} AS (
+  SELECT doc_id, hash_code, article_url, source_name, source_url, raw_markdown, scraped_at,
+    {", ".join(cols)}
+  FROM {_attached()})"""
+
+
+ENRICH_DEPS = ["articles", "dec_ex", "dec_sc", "dec_tg", "dec_rv"]
+ENRICHED_OUT = ("doc_id, hash_code, " + ", ".join(EXTRACT_F) + ", tag, tag_reason, relevance_score, "
+                "quality_score, overall_score, reason, needs_revision, review_notes, "
+                "CAST(to_json(stage_errors_list) AS VARCHAR) AS stage_errors, "
+                "array_to_string(list_transform(stage_errors_list, lambda x: coalesce(x.node, '?')), ',')"
+                " AS error_nodes")
+
+SQL["enrich_collapse"] = with_ctes(ENRICH_DEPS, merged_cte("collapse")) + \
+    f"SELECT {ENRICHED_OUT} FROM merged"
+SQL["enrich_accumulate"] = with_ctes(ENRICH_DEPS, merged_cte("accumulate")) + \
+    f"SELECT {ENRICHED_OUT} FROM merged"
+
+
+def _prompt(expr: str, src: str) -> str:
+    return (f"SELECT doc_id, sha256(p) AS prompt_sha, length(p) AS prompt_chars "
+            f"FROM (SELECT doc_id, {expr} AS p FROM {src})")
+
+
+SQL["requests_extract"] = with_ctes(["articles"]) + _prompt(render_sql(EXTRACT_PROMPT, {
+    "article_url": "article_url", "source_name": "coalesce(source_name, '')",
+    "scraped_at": "coalesce(scraped_at, '')", "raw_markdown": "raw_markdown"}), "articles")
+SQL["requests_score"] = with_ctes(["articles"]) + _prompt(render_sql(SCORE_PROMPT, {
+    "article_url": "article_url", "raw_markdown": "raw_markdown"}), "articles")
+_EX_OK = "(SELECT * FROM articles JOIN dec_ex USING (doc_id) WHERE ex_err IS NULL)"
+SQL["requests_tag"] = with_ctes(["articles", "dec_ex"]) + _prompt(
+    render_sql(TAG_PROMPT, {"excerpt_en": "ex_excerpt_en"}), _EX_OK)
+_rv_cols = {f: f"coalesce(CAST(ex_{f} AS VARCHAR), '{'0' if f == 'read_minutes' else ''}')"
+            for f in EXTRACT_F}
+_rv_cols.update(article_url="article_url", raw_markdown="raw_markdown")
+SQL["requests_review"] = with_ctes(["articles", "dec_ex"]) + _prompt(
+    render_sql(REVIEW_PROMPT, _rv_cols), _EX_OK)
+
+for _n in PREFIX:
+    _p = PREFIX[_n]
+    _names = [f for f, _ in NODE_FIELDS[_n]] + (["overall_score"] if _n == "score" else [])
+    _key = {"extract": "decode_extract", "score": "decode_score", "generate_tag": "decode_tag",
+            "review": "decode_review"}[_n]
+    SQL[_key] = with_ctes([f"dec_{_p}"]) + "SELECT doc_id, " + ", ".join(
+        f"{_p}_{f} AS {f}" for f in _names) + f", {_p}_err AS error FROM dec_{_p}"
+
+# store ----------------------------------------------------------------------------
+ARTICLE_COLS = ("unique_id", "hash_code", "status", "article_url", "source_name", "source_url",
+                "scraped_at", "raw_markdown", *EXTRACT_F, "tag", "tag_reason", "relevance_score",
+                "quality_score", "overall_score", "reason", "needs_revision", "review_notes",
+                "stage_errors", "created_at", "updated_at")
+
+STORE_ROWS = f"""store_rows_all AS (
+  SELECT substring(sha256(hash_code || '|' || '{RUN_ID}'), 1, 32) AS unique_id, hash_code,
+    'REVIEWING' AS status, article_url, source_name, source_url, scraped_at, raw_markdown,
+    {", ".join(EXTRACT_F)}, tag, tag_reason, relevance_score, quality_score, overall_score, reason,
+    CASE WHEN needs_revision IS NULL THEN NULL WHEN needs_revision THEN 1 ELSE 0 END AS needs_revision,
+    review_notes, CAST(to_json(stage_errors_list) AS VARCHAR) AS stage_errors,
+    '{RUN_TS}' AS created_at, '{RUN_TS}' AS updated_at, '{RUN_ID}' AS run_id, doc_id,
+    CASE WHEN hash_code IS NULL OR hash_code = '' THEN 'missing_hash'
+         WHEN article_url IS NULL THEN 'missing_url'
+         WHEN tag IS NOT NULL AND tag NOT IN ('MARKET','MENTOR','REPORT','VISA','CITY') THEN 'bad_tag'
+    END AS reject_reason
+  FROM merged),
+store_rows AS (SELECT * EXCLUDE (reject_reason) FROM store_rows_all WHERE reject_reason IS NULL)"""
+
+SQL["store_rows"] = with_ctes(ENRICH_DEPS, merged_cte("collapse") + ",\n" + STORE_ROWS) + \
+    "SELECT " + ", ".join(ARTICLE_COLS) + ", run_id, doc_id FROM store_rows"
+SQL["store_rejects"] = with_ctes(ENRICH_DEPS, merged_cte("collapse") + ",\n" + STORE_ROWS) + """
+SELECT doc_id, hash_code, reject_reason FROM store_rows_all WHERE reject_reason IS NOT NULL
+UNION ALL
+SELECT doc_id, hash_code, 'duplicate_hash' FROM ranked WHERE NOT kept"""
+
+
+# mirror ---------------------------------------------------------------------------
+def trunc(e: str, n: int = 1900) -> str:
+    return (f"CASE WHEN {e} IS NULL OR {e} = '' THEN '' WHEN length({e}) <= {n} THEN {e} "
+            f"ELSE rtrim(substring({e}, 1, {n - 3}), {WS}) || '...' END")
+
+
+def epoch_ms(e: str) -> str:
+    x = f"regexp_replace(trim({e}, {WS}), '\\s+', ' ', 'g')"
+    return f"""(SELECT CASE WHEN x IS NULL OR x = '' THEN NULL ELSE epoch_ms(coalesce(
+      try_strptime(x, '%Y-%m-%dT%H:%M:%S'), try_strptime(x, '%Y-%m-%d %H:%M:%S'),
+      try_strptime(x, '%Y-%m-%d'), TRY_CAST(replace(x, 'Z', '+00:00') AS TIMESTAMPTZ))) END
+      FROM (SELECT {x} AS x))"""
+
+
+MIRROR_TEXT = ("title_en", "excerpt_zh", "excerpt_en", "unique_id", "hash_code", "tag_reason",
+               "source_name", "author", "country", "reason", "review_notes", "notes")
+FLAT_NAMES = []
+for _name, _t in MIRROR_FIELDS:
+    FLAT_NAMES += [f"{_name}_link", f"{_name}_text"] if _t == 15 else [_name]
+
+
+def mirror_cells() -> str:
+    c = {"title_zh": trunc("coalesce(nullif(title_zh, ''), nullif(article_url, ''), 'Untitled')")}
+    for k in MIRROR_TEXT:
+        c[k] = f"CASE WHEN CAST({k} AS VARCHAR) <> '' THEN {trunc(f'CAST({k} AS VARCHAR)')} END"
+    c["status"] = "CASE WHEN status IN ('REVIEWING','READY','PUBLISHED','DISCARD') THEN status END"
+    c["tag"] = "CASE WHEN tag IN ('MARKET','MENTOR','REPORT','VISA','CITY') THEN tag END"
+    for k in ("article_url", "source_url"):
+        c[f"{k}_link"] = f"CASE WHEN {k} <> '' THEN {k} END"
+        c[f"{k}_text"] = f"CASE WHEN {k} <> '' THEN {k} END"
+    for k in ("published_at", "scraped_at", "created_at"):
+        c[k] = epoch_ms(k)
+    for k in ("read_minutes", "relevance_score", "quality_score", "overall_score"):
+        c[k] = f"TRY_CAST({k} AS DOUBLE)"
+    c["needs_revision"] = "coalesce(CAST(needs_revision AS BOOLEAN), false)"
+    c["stage_errors"] = trunc("coalesce(stage_errors, '[]')")
+    return ", ".join(f"{c[n]} AS {n}" for n in FLAT_NAMES)
+
+
+MIRROR_INC = f"inc AS (SELECT {mirror_cells()} FROM store_rows)"
+MIRROR_BASE = ENRICH_DEPS
+MIRROR_PRE = merged_cte("collapse") + ",\n" + STORE_ROWS + ",\n" + MIRROR_INC
+
+SQL["mirror_fields"] = with_ctes(MIRROR_BASE, MIRROR_PRE) + "SELECT * FROM inc"
+
+
+def _null_cells(present: dict[str, str]) -> str:
+    out = []
+    for n in FLAT_NAMES:
+        out.append(f"{present.get(n, 'NULL')} AS {n}")
+    return ", ".join(out)
+
+
+_STORE_STATUS = "['READY','PUBLISHED','DISCARD','REVIEWING','REVIEWING'][doc_id % 5 + 1]"
+_UID = f"substring(sha256(hash_code || '|' || '{RUN_ID}'), 1, 32)"
+SNAPSHOT = f"""snap_base AS (SELECT doc_id, {url_hash('article_url')} AS hash_code FROM scraped),
+snapshot AS (
+  SELECT 'rec-' || CAST(doc_id AS VARCHAR) AS record_id, doc_id AS record_pos, {_null_cells({
+    'unique_id': _UID, 'title_zh': "'old title'", 'author': "'prior author'",
+    'notes': "'prior notes'", 'status': "'READY'", 'tag': "'CITY'",
+    'relevance_score': 'CAST(1.0 AS DOUBLE)', 'needs_revision': 'true',
+    'published_at': 'CAST(0 AS BIGINT)'})}
+  FROM snap_base WHERE doc_id % 3 = 0
+  UNION ALL
+  SELECT 'rec-dup-' || CAST(doc_id AS VARCHAR), doc_id + 1000000, {_null_cells({
+    'unique_id': _UID, 'title_zh': "'dup title'", 'author': "'dup author'",
+    'needs_revision': 'false'})}
+  FROM snap_base WHERE doc_id % 9 = 0
+  UNION ALL
+  SELECT 'rec-st-' || CAST(doc_id AS VARCHAR), doc_id + 2000000, {_null_cells({
+    'unique_id': 'CAST(doc_id AS VARCHAR)', 'title_zh': "'stored ' || CAST(doc_id AS VARCHAR)",
+    'status': _STORE_STATUS, 'needs_revision': 'false'})}
+  FROM snap_base WHERE doc_id % 4 = 0)"""
+
+ALWAYS = {"title_zh", "needs_revision", "stage_errors"}
+
+
+def _upsert_cols() -> str:
+    out = []
+    for n in FLAT_NAMES:
+        base = n.rsplit("_", 1)[0] if n.endswith(("_link", "_text")) else n
+        if base in ALWAYS:
+            out.append(f"CASE WHEN i.unique_id IS NOT NULL THEN i.{n} ELSE s.{n} END AS {n}")
+        else:
+            out.append(f"CASE WHEN i.unique_id IS NOT NULL THEN coalesce(i.{n}, s.{n}) ELSE s.{n} END AS {n}")
+    return ", ".join(out)
+
+
+UPSERT = f"""firsts AS (
+  SELECT unique_id, min(record_pos) AS record_pos FROM snapshot
+  WHERE unique_id IS NOT NULL AND unique_id <> '' GROUP BY unique_id),
+snap AS (
+  SELECT s.*, f.unique_id IS NOT NULL AS is_first FROM snapshot s
+  LEFT JOIN firsts f ON s.unique_id = f.unique_id AND s.record_pos = f.record_pos),
+inc_ok AS (SELECT * FROM inc WHERE unique_id IS NOT NULL AND unique_id <> ''),
+upserted AS (
+  SELECT coalesce(s.record_id, 'new-' || i.unique_id) AS record_id, s.record_pos, {_upsert_cols()},
+    CASE WHEN s.record_id IS NOT NULL AND i.unique_id IS NOT NULL THEN 'updated'
+         WHEN i.unique_id IS NOT NULL THEN 'created' ELSE 'unchanged' END AS action
+  FROM snap s FULL OUTER JOIN inc_ok i ON s.unique_id = i.unique_id AND s.is_first)"""
+
+SQL["mirror_upsert"] = with_ctes(MIRROR_BASE, MIRROR_PRE + ",\n" + SNAPSHOT + ",\n" + UPSERT) + \
+    "SELECT * FROM upserted"
+SQL["mirror_actions"] = with_ctes(MIRROR_BASE, MIRROR_PRE + ",\n" + SNAPSHOT + ",\n" + UPSERT) + \
+    "SELECT record_id, unique_id, action FROM upserted WHERE action <> 'unchanged'"
+
+# sync-back ------------------------------------------------------------------------
+_MIRROR_STATUS = "['READY','PUBLISHED','DISCARD','REVIEWING','REVIEWING','REVIEWING','REVIEWING'][doc_id % 7 + 1]"
+CTE["pull"] = f"""pull_rows AS (
+  SELECT doc_id, doc_id AS pos,
+    CAST(CASE WHEN doc_id % 37 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR) AS uid,
+    CASE WHEN doc_id % 41 = 0 THEN 'ARCHIVED' WHEN doc_id % 43 = 0 THEN '' ELSE {_MIRROR_STATUS} END AS st
+  FROM documents WHERE doc_id % 4 = 0
+  UNION ALL
+  SELECT doc_id, doc_id + 1000000, CAST(doc_id AS VARCHAR),
+    CASE WHEN doc_id % 80 = 0 THEN 'DISCARD' ELSE 'READY' END
+  FROM documents WHERE doc_id % 40 = 0),
+pull AS (
+  SELECT pos // 100 AS page, true AS page_ok, pos,
+    CASE doc_id % 5 WHEN 0 THEN '"' || uid || '"'
+      WHEN 1 THEN '[{{"type":"text","text":"' || substring(uid, 1, 1) || '"}}, 7, {{"type":"mention"}}, {{"text":"'
+                  || substring(uid, 2, 100) || '"}}]'
+      WHEN 2 THEN '{{"text":"' || uid || '"}}' WHEN 3 THEN uid
+      ELSE '[{{"text":"' || uid || '"}}]' END AS unique_id_cell,
+    CASE doc_id % 3 WHEN 0 THEN '"' || st || '"' WHEN 1 THEN '" ' || st || ' "'
+      ELSE '{{"text":"' || st || '"}}' END AS status_cell
+  FROM pull_rows)"""
+
+
+def rich_text_sql(c: str) -> str:
+    return f"""CASE WHEN {c} IS NULL THEN '' WHEN NOT json_valid({c}) THEN {c}
+  WHEN json_type({c}) = 'NULL' THEN ''
+  WHEN json_type({c}) = 'VARCHAR' THEN json_extract_string({c}, '$')
+  WHEN json_type({c}) = 'ARRAY' THEN array_to_string(list_transform(list_filter(
+    json_extract({c}, '$[*]'), lambda x: json_type(x) = 'OBJECT'),
+    lambda x: coalesce(json_extract_string(x, '$.text'), '')), '')
+  WHEN json_type({c}) = 'OBJECT' THEN coalesce(json_extract_string({c}, '$.text'), '')
+  ELSE {c} END"""
+
+
+def status_text_sql(c: str) -> str:
+    scalar = f"""CASE WHEN {c} IS NULL THEN '' WHEN NOT json_valid({c}) THEN {c}
+  WHEN json_type({c}) = 'NULL' THEN ''
+  WHEN json_type({c}) = 'VARCHAR' THEN json_extract_string({c}, '$')
+  WHEN json_type({c}) = 'BOOLEAN' THEN CASE WHEN json_extract_string({c}, '$') = 'true' THEN 'True' ELSE '' END
+  WHEN TRY_CAST(json_extract_string({c}, '$') AS DOUBLE) = 0 THEN ''
+  ELSE {c} END"""
+    return f"""CASE WHEN json_valid({c}) AND json_type({c}) = 'OBJECT'
+  THEN coalesce(json_extract_string({c}, '$.text'), '') ELSE trim({scalar}, {WS}) END"""
+
+
+PULLED = f"""pulled AS (
+  SELECT pos, {rich_text_sql('unique_id_cell')} AS unique_id, {status_text_sql('status_cell')} AS status
+  FROM pull WHERE page < coalesce((SELECT min(page) FROM pull WHERE NOT page_ok), 9223372036854775807)),
+checked AS (
+  SELECT *, CASE WHEN unique_id = '' OR status = '' THEN 'blank'
+    WHEN status NOT IN ('REVIEWING','READY','PUBLISHED','DISCARD') THEN 'invalid_status' END AS reject_reason
+  FROM pulled),
+diff_rows AS (
+  SELECT c.pos, c.unique_id, s.status AS old_status, c.status AS new_status
+  FROM checked c JOIN store s USING (unique_id)
+  WHERE c.reject_reason IS NULL AND c.status <> s.status),
+diffs AS (
+  SELECT unique_id, old_status, arg_max(new_status, pos) AS new_status, max(pos) AS pos
+  FROM diff_rows GROUP BY unique_id, old_status)"""
+
+SQL["rich_text"] = with_ctes(["pull"]) + f"""SELECT pos, {rich_text_sql('unique_id_cell')} AS unique_id,
+  {status_text_sql('status_cell')} AS status FROM pull"""
+SQL["status_diff_rows"] = with_ctes(["pull", "store"], PULLED) + "SELECT * FROM diff_rows"
+SQL["status_diff"] = with_ctes(["pull", "store"], PULLED) + \
+    "SELECT unique_id, old_status, new_status FROM diffs"
+SQL["status_rejects"] = with_ctes(["pull", "store"], PULLED) + \
+    "SELECT pos, unique_id, status, reject_reason FROM checked WHERE reject_reason IS NOT NULL"
+SQL["status_apply"] = with_ctes(["pull", "store"], PULLED) + f"""
+SELECT s.unique_id, coalesce(d.new_status, s.status) AS status,
+  CASE WHEN d.new_status IS NOT NULL THEN '{SYNC_TS}' ELSE '{RUN_TS}' END AS updated_at,
+  d.new_status IS NOT NULL AS changed
+FROM store s LEFT JOIN diffs d USING (unique_id)"""
+
+SQL["tag_apply"] = f"""WITH store_tags AS (
+  SELECT CAST(doc_id AS VARCHAR) AS unique_id, {TAG_LIST}[doc_id % 5 + 1] AS tag,
+    '2026-01-01T00:00:00' AS updated_at
+  FROM documents WHERE doc_id % 4 = 0),
+changes AS (
+  SELECT CAST(CASE WHEN doc_id % 72 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR) AS unique_id,
+    doc_id AS seq,
+    CASE WHEN doc_id % 24 = 0 THEN NULL WHEN doc_id % 56 = 0 THEN 'GOSSIP'
+         ELSE {TAG_LIST}[(doc_id // 8) % 5 + 1] END AS tag,
+    doc_id % 24 = 0 AS is_clear, '2026-01-03T00:00:00' AS changed_at
+  FROM documents WHERE doc_id % 8 = 0
+  UNION ALL
+  SELECT CAST(CASE WHEN doc_id % 72 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR),
+    doc_id + 1000000, 'VISA', false, '2026-01-04T00:00:00'
+  FROM documents WHERE doc_id % 16 = 0),
+latest AS (
+  SELECT unique_id, arg_max({{'new_tag': tag, 'is_clear': is_clear, 'changed_at': changed_at}}, seq) AS l
+  FROM changes WHERE is_clear OR tag IN ('MARKET','MENTOR','REPORT','VISA','CITY')
+  GROUP BY unique_id)
+SELECT s.unique_id,
+  CASE WHEN l.is_clear IS NOT NULL THEN CASE WHEN NOT l.is_clear THEN l.new_tag END ELSE s.tag END AS tag,
+  CASE WHEN l.is_clear IS NOT NULL THEN l.changed_at ELSE s.updated_at END AS updated_at,
+  l.is_clear IS NOT NULL AS changed
+FROM store_tags s LEFT JOIN (SELECT unique_id, l.new_tag AS new_tag, l.is_clear AS is_clear,
+  l.changed_at AS changed_at FROM latest) l USING (unique_id)"""
+
+# schema check ---------------------------------------------------------------------
+_TYPE_LABEL = ("CASE {0} WHEN 1 THEN 'text' WHEN 2 THEN 'number' WHEN 3 THEN 'single_select' "
+               "WHEN 5 THEN 'datetime' WHEN 7 THEN 'checkbox' WHEN 15 THEN 'url' "
+               "ELSE 'type_' || CAST({0} AS VARCHAR) END")
+_legacy_types = {n: t for n, t in MIRROR_FIELDS if n != "tag_reason"}
+_legacy_types["published_at"] = 1
+_legacy_types["owner"] = 1
+_legacy_cell = {"author": "CASE WHEN doc_id % 2 = 1 THEN source END",
+                "country": "CASE WHEN doc_id % 3 = 0 THEN upper(lang) END",
+                "owner": "CASE WHEN doc_id % 5 = 0 THEN source END"}
+_obs = "\n  UNION ALL\n  ".join(
+    f"SELECT '{n}' AS name, {t} AS type_id, count({_legacy_cell.get(n, 'CAST(doc_id AS VARCHAR)')}) AS rows "
+    f"FROM documents" for n, t in _legacy_types.items())
+_exp = ", ".join(f"('{n}', {t})" for n, t in MIRROR_FIELDS)
+SQL["schema_diff"] = f"""WITH observed AS (
+  SELECT name, min(type_id) AS type_id, CAST(sum(rows) AS BIGINT) AS rows
+  FROM ({_obs}) WHERE rows > 0 GROUP BY name),
+expected AS (SELECT * FROM (VALUES {_exp}) t(name, type_id)),
+j AS (
+  SELECT coalesce(e.name, o.name) AS name, e.type_id AS exp, o.type_id AS act, o.rows
+  FROM expected e FULL OUTER JOIN observed o ON e.name = o.name)
+SELECT kind, name, CASE WHEN exp IS NOT NULL THEN {_TYPE_LABEL.format('exp')} END AS expected,
+  CASE WHEN act IS NOT NULL THEN {_TYPE_LABEL.format('act')} END AS actual,
+  coalesce(rows, 0) AS rows
+FROM (SELECT *, CASE WHEN act IS NULL THEN 'missing' WHEN exp IS NULL THEN 'extra'
+                     WHEN exp <> act THEN 'mismatch' END AS kind FROM j)
+WHERE kind IS NOT NULL"""
+
+# metrics --------------------------------------------------------------------------
+CTE["attempts"] = """attempts_base AS (
+  SELECT event_id, ts AS started_at, event_type AS stage, value AS duration_sec,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+attempts AS (
+  SELECT event_id, started_at, stage, duration_sec, CASE event_id % 4
+    WHEN 0 THEN '{"token_usage": {"prompt_tokens": ' || CAST(k AS VARCHAR) || ', "completion_tokens": '
+      || CAST(k // 2 AS VARCHAR) || ', "total_tokens": ' || CAST(k + k // 2 + 1 AS VARCHAR) || '}}'
+    WHEN 1 THEN '{"usage": {"input_tokens": ' || CAST(k AS VARCHAR) || ', "output_tokens": '
+      || CAST(k % 7 AS VARCHAR) || '}}'
+    WHEN 2 THEN '{"generations": [{"usage_metadata": {"input_tokens": ' || CAST(k AS VARCHAR)
+      || ', "output_tokens": 3}}, {"usage_metadata": {"input_tokens": 1, "output_tokens": 2, "total_tokens": 4}}]}'
+    ELSE '{"token_usage": {"prompt_tokens": 0, "completion_tokens": 0}}' END AS usage
+  FROM attempts_base)"""
+
+
+def _num(path: str) -> str:
+    return f"coalesce(nullif(TRY_CAST(TRY_CAST(json_extract_string(usage, '{path}') AS DOUBLE) AS BIGINT), 0), 0)"
+
+
+def _block(key: str):
+    i = f"coalesce(nullif({_num(f'$.{key}.prompt_tokens')}, 0), {_num(f'$.{key}.input_tokens')})"
+    o = f"coalesce(nullif({_num(f'$.{key}.completion_tokens')}, 0), {_num(f'$.{key}.output_tokens')})"
+    t = f"coalesce(nullif({_num(f'$.{key}.total_tokens')}, 0), ({i}) + ({o}))"
+    ok = f"(coalesce(json_type(usage, '$.{key}') = 'OBJECT', false) AND (({i}) <> 0 OR ({o}) <> 0 OR ({t}) <> 0))"
+    return ok, i, o, t
+
+
+def _gen(field: str) -> str:
+    return (f"coalesce(list_sum(list_transform(json_extract(usage, '$.generations[*]'), lambda g: "
+            f"coalesce(TRY_CAST(TRY_CAST(json_extract_string(g, '$.usage_metadata.{field}') AS DOUBLE) "
+            f"AS BIGINT), 0))), 0)")
+
+
+_ok1, _i1, _o1, _t1 = _block("token_usage")
+_ok2, _i2, _o2, _t2 = _block("usage")
+_gi, _go, _gt = _gen("input_tokens"), _gen("output_tokens"), _gen("total_tokens")
+CTE["usage"] = f"""usage_rows AS (
+  SELECT *,
+    CAST(CASE WHEN {_ok1} THEN {_i1} WHEN {_ok2} THEN {_i2} ELSE {_gi} END AS BIGINT) AS input_tokens,
+    CAST(CASE WHEN {_ok1} THEN {_o1} WHEN {_ok2} THEN {_o2} ELSE {_go} END AS BIGINT) AS output_tokens,
+    CAST(CASE WHEN {_ok1} THEN {_t1} WHEN {_ok2} THEN {_t2}
+         ELSE coalesce(nullif({_gt}, 0), ({_gi}) + ({_go})) END AS BIGINT) AS total_tokens
+  FROM attempts)"""
+DEPS["usage"] = ["attempts"]
+
+SQL["token_usage"] = with_ctes(["usage"]) + \
+    "SELECT event_id, stage, input_tokens, output_tokens, total_tokens FROM usage_rows"
+SQL["stage_metrics"] = with_ctes(["usage"]) + """
+SELECT stage, count(duration_sec) AS count, round(coalesce(sum(duration_sec), 0.0), 3) AS total_time_sec,
+  round(CASE WHEN count(duration_sec) > 0 THEN coalesce(sum(duration_sec), 0.0) / count(duration_sec)
+             ELSE 0.0 END, 3) AS avg_time_sec,
+  CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens
+FROM usage_rows GROUP BY stage"""
+SQL["run_totals"] = with_ctes(["usage"]) + """
+SELECT count(DISTINCT stage) AS stages, count(duration_sec) AS calls,
+  CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
+  round((max(epoch_us(started_at) + CAST(trunc(duration_sec * 1e6) AS BIGINT)) - min(epoch_us(started_at)))
+        / 1e6, 3) AS wall_clock_sec
+FROM usage_rows"""
+
+SQL["retry_plan"] = """WITH errs AS (
+  SELECT event_id, 'scrape ' || CAST(user_id AS VARCHAR) AS label, CAST(event_id % 5 AS INTEGER) AS attempt,
+    CASE WHEN event_id % 3 = 0 THEN 'Rate Limit Exceeded: please retry after ' || CAST(event_id % 50 AS VARCHAR)
+           || 's, resets later'
+         WHEN event_id % 3 = 1 THEN 'rate limit reached' ELSE 'timeout' END AS error
+  FROM events WHERE event_type = 'error'),
+flagged AS (
+  SELECT *, coalesce(regexp_matches(error, '(?i)rate limit'), false) AS rate_limited FROM errs)
+SELECT event_id, label, attempt, rate_limited,
+  CASE WHEN rate_limited AND attempt < 3 THEN 'retry' ELSE 'fail' END AS action,
+  CASE WHEN rate_limited AND attempt < 3 THEN coalesce(TRY_CAST(nullif(regexp_extract(error,
+    '(?i)retry after (\\d+)\\s*s', 1), '') AS DOUBLE), 60.0) + 2.0 END AS wait_sec
+FROM flagged"""
+
+# flagship -------------------------------------------------------------------------
+SQL["flagship"] = with_ctes(ENRICH_DEPS, merged_cte("collapse")) + """
+SELECT source_name, rank, doc_id, article_url, title_en, tag, overall_score, relevance_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_name
+    ORDER BY overall_score DESC, relevance_score DESC, doc_id) AS rank
+  FROM merged WHERE overall_score IS NOT NULL) WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -128,5 +128,258 @@ def batch_unique(spark, d):
             .unionByName(losers.select("doc_id", "hash_code", F.lit(False).alias("kept"))))
 
 
+
+
+# enrichment --------------------------------------------------------------------
+from .operators import enrich as en  # noqa: E402
+from .operators import metrics as mt  # noqa: E402
+from .operators import mirror as mi  # noqa: E402
+from .operators import schema_check as sc  # noqa: E402
+from .operators import store as st  # noqa: E402
+from .config import NODES  # noqa: E402
+from .schemas import EXTRACT_FIELDS  # noqa: E402
+
+CFG_ACC = CurationConfig(on_missing_excerpt="accumulate")
+ENRICHED_COLS = ("doc_id", "hash_code", *EXTRACT_FIELDS, "tag", "tag_reason", "relevance_score",
+                 "quality_score", "overall_score", "reason", "needs_revision", "review_notes")
+
+
+def _articles(spark, d, cfg=CFG):
+    winners, _ = _new_unique(spark, d)
+    return winners.select("doc_id", "hash_code", "article_url", "source_name", "source_url",
+                          F.col("markdown").alias("raw_markdown"),
+                          F.lit(cfg.run_ts).alias("scraped_at"))
+
+
+def _enriched(spark, d, cfg=CFG):
+    return en.enrich(_articles(spark, d, cfg), fx.responses(spark, d), cfg)
+
+
+def _enriched_out(df):
+    return df.select(*ENRICHED_COLS, st.stage_errors_json().alias("stage_errors"),
+                     en.error_nodes().alias("error_nodes"))
+
+
+@query
+def enrich_collapse(spark, d):
+    return _enriched_out(_enriched(spark, d, CFG))
+
+
+@query
+def enrich_accumulate(spark, d):
+    return _enriched_out(_enriched(spark, d, CFG_ACC))
+
+
+def _prompt_out(df, prompt):
+    return df.select("doc_id", F.sha2(prompt, 256).alias("prompt_sha"),
+                     F.length(prompt).alias("prompt_chars"))
+
+
+@query
+def requests_extract(spark, d):
+    a = _articles(spark, d)
+    return _prompt_out(a, en.extract_request(a))
+
+
+@query
+def requests_score(spark, d):
+    a = _articles(spark, d)
+    return _prompt_out(a, en.score_request(a))
+
+
+def _after_extract(spark, d):
+    a = _articles(spark, d)
+    x = en.attach_decoded(a, fx.responses(spark, d), nodes=("extract",))
+    return x.where(F.col("ex_err").isNull())
+
+
+@query
+def requests_tag(spark, d):
+    return _prompt_out(_after_extract(spark, d), en.tag_request())
+
+
+@query
+def requests_review(spark, d):
+    return _prompt_out(_after_extract(spark, d), en.review_request())
+
+
+def _decoded(spark, d, node):
+    x = en.decode_responses(fx.responses(spark, d), node)
+    p = en.PREFIX[node]
+    names = [f for f, _ in en.FIELDS[node]] + (["overall_score"] if node == "score" else [])
+    return x.select("doc_id", *[F.col(f"{p}_{f}").alias(f) for f in names],
+                    F.col(f"{p}_err").alias("error"))
+
+
+@query
+def decode_extract(spark, d):
+    return _decoded(spark, d, "extract")
+
+
+@query
+def decode_score(spark, d):
+    return _decoded(spark, d, "score")
+
+
+@query
+def decode_tag(spark, d):
+    return _decoded(spark, d, "generate_tag")
+
+
+@query
+def decode_review(spark, d):
+    return _decoded(spark, d, "review")
+
+
+# store -------------------------------------------------------------------------
+def _store_split(spark, d):
+    rows = st.to_store_rows(_enriched(spark, d), CFG)
+    return st.check_rows(rows)
+
+
+@query
+def store_rows(spark, d):
+    valid, _ = _store_split(spark, d)
+    return st.store_columns(valid, "doc_id")
+
+
+@query
+def store_rejects(spark, d):
+    _, bad = _store_split(spark, d)
+    _, losers = _new_unique(spark, d)
+    return (bad.select("doc_id", "hash_code", "reject_reason")
+            .unionByName(losers.select("doc_id", "hash_code", "reject_reason")))
+
+
+# mirror --------------------------------------------------------------------------
+def _flat(df):
+    """Mirror cells with the url pairs split into plain columns."""
+    out = []
+    for c in df.columns:
+        if c in ("article_url", "source_url"):
+            out += [F.col(f"{c}.link").alias(f"{c}_link"), F.col(f"{c}.text").alias(f"{c}_text")]
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
+def _increment(spark, d):
+    valid, _ = _store_split(spark, d)
+    return mi.mirror_fields(st.store_columns(valid), CFG.text_max)
+
+
+@query
+def mirror_fields(spark, d):
+    return _flat(_increment(spark, d))
+
+
+def _upserted(spark, d):
+    return mi.upsert(fx.mirror_snapshot(spark, d, CFG.run_id), _increment(spark, d))
+
+
+@query
+def mirror_upsert(spark, d):
+    return _flat(_upserted(spark, d))
+
+
+@query
+def mirror_actions(spark, d):
+    return _upserted(spark, d).where(F.col("action") != "unchanged") \
+        .select("record_id", "unique_id", "action")
+
+
+# sync-back -------------------------------------------------------------------------
+SYNC_TS = "2026-01-02T00:00:00"
+
+
+@query
+def rich_text(spark, d):
+    from .functions.richtext import rich_text as rt, status_text
+    p = fx.mirror_pull(spark, d)
+    return p.select("pos", rt("unique_id_cell").alias("unique_id"),
+                    status_text("status_cell").alias("status"))
+
+
+def _diff_rows(spark, d):
+    valid, _ = mi.pull_statuses(fx.mirror_pull(spark, d))
+    return mi.status_diff_rows(valid, fx.store(spark, d))
+
+
+@query
+def status_diff_rows(spark, d):
+    return _diff_rows(spark, d)
+
+
+@query
+def status_diff(spark, d):
+    return mi.status_updates(_diff_rows(spark, d)).drop("pos")
+
+
+@query
+def status_rejects(spark, d):
+    _, bad = mi.pull_statuses(fx.mirror_pull(spark, d))
+    return bad
+
+
+@query
+def status_apply(spark, d):
+    facts = fx.store(spark, d).select("unique_id", "status",
+                                      F.lit(CFG.run_ts).alias("updated_at"))
+    changes = mi.status_updates(_diff_rows(spark, d)).select(
+        "unique_id", "new_status", F.lit(SYNC_TS).alias("changed_at"), F.col("pos").alias("seq"))
+    return st.apply_status(facts, changes)
+
+
+@query
+def tag_apply(spark, d):
+    return st.apply_tag(fx.store_tags(spark, d), fx.tag_changes(spark, d))
+
+
+@query
+def schema_diff(spark, d):
+    rows, types = fx.legacy_mirror(spark, d)
+    return sc.schema_diff(sc.expected_fields(spark), sc.observed_fields(rows, types))
+
+
+# metrics ---------------------------------------------------------------------------
+@query
+def token_usage(spark, d):
+    a = mt.with_usage(fx.attempts(spark, d))
+    return a.select("event_id", "stage", "input_tokens", "output_tokens", "total_tokens")
+
+
+@query
+def stage_metrics(spark, d):
+    return mt.stage_metrics(fx.attempts(spark, d))
+
+
+@query
+def run_totals(spark, d):
+    return mt.run_totals(fx.attempts(spark, d))
+
+
+@query
+def retry_plan(spark, d):
+    return mt.retry_plan(fx.error_log(spark, d), CFG.max_retries, CFG.fallback_sleep_sec,
+                         CFG.extra_pad_sec)
+
+
+# flagship --------------------------------------------------------------------------
+TOP_K = 3
+
+
+@query
+def flagship(spark, d):
+    """New articles ranked for editors: the top 3 per source by overall
+    score (then relevance, then id), after dedupe and enrichment."""
+    from pyspark.sql import Window
+    e = _enriched(spark, d).where(F.col("overall_score").isNotNull())
+    w = Window.partitionBy("source_name").orderBy(F.desc("overall_score"),
+                                                  F.desc("relevance_score"), "doc_id")
+    return (e.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_K)
+            .select("source_name", "rank", "doc_id", "article_url", "title_en", "tag",
+                    "overall_score", "relevance_score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -196,11 +196,11 @@ def mirror_pull(spark: SparkSession, d: str) -> DataFrame:
     uid = F.when(i % 37 == 0, i + 100000).otherwise(i).cast("string")
     status = (F.when(i % 41 == 0, lit("ARCHIVED")).when(i % 43 == 0, lit(""))
               .otherwise(_pick(i % 7, MIRROR_STATUS_BY_MOD7)))
-    first = F.struct(i.alias("pos"), status.alias("status"))
-    second = F.struct((i + 1000000).alias("pos"),
+    first = F.struct(i.alias("pos"), uid.alias("uid"), status.alias("status"))
+    second = F.struct((i + 1000000).alias("pos"), i.cast("string").alias("uid"),
                       F.when(i % 80 == 0, lit("DISCARD")).otherwise(lit("READY")).alias("status"))
     rows = F.when(i % 40 == 0, F.array(first, second)).otherwise(F.array(first))
-    x = doc.select(i, uid.alias("uid"), F.inline(rows))
+    x = doc.select(i, F.inline(rows))
     return x.select((F.col("pos") / 100).cast("bigint").alias("page"), lit(True).alias("page_ok"),
                     "pos", _uid_cell(i, F.col("uid")).alias("unique_id_cell"),
                     _status_cell(i, F.col("status")).alias("status_cell"))
@@ -222,7 +222,7 @@ def attempts(spark: SparkSession, d: str) -> DataFrame:
                                     lit(', "output_tokens": 3}}, {"usage_metadata": {"input_tokens": 1, '
                                         '"output_tokens": 2, "total_tokens": 4}}]}')))
              .otherwise(lit('{"token_usage": {"prompt_tokens": 0, "completion_tokens": 0}}')))
-    return ev.select("event_id", F.col("ts").cast("timestamp").alias("started_at"),
+    return ev.select("event_id", F.col("ts").alias("started_at"),
                      F.col("event_type").alias("stage"), F.col("value").alias("duration_sec"),
                      usage.alias("usage"))
 
@@ -237,3 +237,94 @@ def error_log(spark: SparkSession, d: str) -> DataFrame:
            .when(e % 3 == 1, lit("rate limit reached")).otherwise(lit("timeout")))
     return ev.select(e, F.concat(lit("scrape "), F.col("user_id").cast("string")).alias("label"),
                      (e % 5).cast("int").alias("attempt"), err.alias("error"))
+
+
+# Mirror snapshot before an upsert ------------------------------------------
+def mirror_snapshot(spark: SparkSession, d: str, run_id: str) -> DataFrame:
+    """Review records of earlier runs: a record for every third scraped
+    document (keyed like this run's store rows), a duplicate record for every
+    ninth, and one record per stored article."""
+    s = scraped(spark, d).select("doc_id", url_hash("article_url").alias("hash_code"))
+    i = F.col("doc_id")
+    uid = F.substring(F.sha2(F.concat(F.col("hash_code"), lit("|"), lit(run_id)), 256), 1, 32)
+    null_s, null_l, null_d = lit(None).cast("string"), lit(None).cast("bigint"), lit(None).cast("double")
+    url_t = "struct<link:string,text:string>"
+
+    def rec(pos, rid, uid_c, title, author, notes, status, tag, rel, nr, pub):
+        return F.struct(pos.alias("record_pos"), rid.alias("record_id"), uid_c.alias("unique_id"),
+                        title.alias("title_zh"), author.alias("author"), notes.alias("notes"),
+                        status.alias("status"), tag.alias("tag"), rel.alias("relevance_score"),
+                        nr.alias("needs_revision"), pub.alias("published_at"))
+
+    prior = rec(i, F.concat(lit("rec-"), i.cast("string")), uid, lit("old title"),
+                lit("prior author"), lit("prior notes"), lit("READY"), lit("CITY"), lit(1.0),
+                lit(True), lit(0).cast("bigint"))
+    dup = rec(i + 1000000, F.concat(lit("rec-dup-"), i.cast("string")), uid, lit("dup title"),
+              lit("dup author"), null_s, null_s, null_s, null_d, lit(False), null_l)
+    stored = rec(i + 2000000, F.concat(lit("rec-st-"), i.cast("string")), i.cast("string"),
+                 F.concat(lit("stored "), i.cast("string")), null_s, null_s,
+                 _pick(i % 5, STORE_STATUS_BY_MOD5), null_s, null_d, lit(False), null_l)
+    recs = F.filter(F.array(F.when(i % 3 == 0, prior), F.when(i % 9 == 0, dup),
+                            F.when(i % 4 == 0, stored)), lambda x: x.isNotNull())
+    x = s.select(F.inline(recs))
+    cells = {}
+    from ..schemas import MIRROR_FIELDS
+    for n, t in MIRROR_FIELDS:
+        if n in x.columns:
+            continue
+        if t == 15:
+            cells[n] = lit(None).cast(url_t)
+        elif t in (2,):
+            cells[n] = null_d
+        elif t == 5:
+            cells[n] = null_l
+        elif t == 7:
+            cells[n] = lit(False)
+        else:
+            cells[n] = null_s
+    x = x.withColumns(cells)
+    return x.select("record_id", "record_pos", *[n for n, _ in MIRROR_FIELDS])
+
+
+# Tag changes ------------------------------------------------------------------
+STORE_TAG_BY_MOD5 = ("MARKET", "MENTOR", "REPORT", "VISA", "CITY")
+
+
+def store_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The stored articles' current tags."""
+    doc = load(spark, d, "documents", "doc_id").where(F.col("doc_id") % 4 == 0)
+    return doc.select(F.col("doc_id").cast("string").alias("unique_id"),
+                      _pick(F.col("doc_id") % 5, STORE_TAG_BY_MOD5).alias("tag"),
+                      lit("2026-01-01T00:00:00").alias("updated_at"))
+
+
+def tag_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Editor re-tags: clears, invalid values, unknown ids, later overrides."""
+    doc = load(spark, d, "documents", "doc_id").where(F.col("doc_id") % 8 == 0)
+    i = F.col("doc_id")
+    uid = F.when(i % 72 == 0, i + 100000).otherwise(i).cast("string")
+    value = (F.when(i % 24 == 0, lit(None).cast("string")).when(i % 56 == 0, lit("GOSSIP"))
+             .otherwise(_pick(F.floor(i / 8) % 5, STORE_TAG_BY_MOD5)))
+    first = F.struct(i.alias("seq"), value.alias("tag"), (i % 24 == 0).alias("is_clear"),
+                     lit("2026-01-03T00:00:00").alias("changed_at"))
+    later = F.struct((i + 1000000).alias("seq"), lit("VISA").alias("tag"), lit(False).alias("is_clear"),
+                     lit("2026-01-04T00:00:00").alias("changed_at"))
+    rows = F.when(i % 16 == 0, F.array(first, later)).otherwise(F.array(first))
+    return doc.select(uid.alias("unique_id"), F.inline(rows))
+
+
+# Legacy mirror layout (schema check) ------------------------------------------
+def legacy_mirror(spark: SparkSession, d: str):
+    """Mirror rows in an older layout: no tag_reason, published_at kept as
+    text, an extra owner field. Returns (rows, {field: type id})."""
+    from ..schemas import MIRROR_FIELDS
+    doc = load(spark, d, "documents", "doc_id", "source", "lang")
+    i = F.col("doc_id")
+    types = {n: t for n, t in MIRROR_FIELDS if n != "tag_reason"}
+    types["published_at"] = 1
+    types["owner"] = 1
+    cells = {n: i.cast("string") for n in types}
+    cells["author"] = F.when(i % 2 == 1, F.col("source"))
+    cells["country"] = F.when(i % 3 == 0, F.upper("lang"))
+    cells["owner"] = F.when(i % 5 == 0, F.col("source"))
+    return doc.select(*[c.alias(n) for n, c in cells.items()]), types
