@@ -6,12 +6,14 @@ Every query reads the given tables (through the fixture derivations in
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import CurationConfig
+from .session import tune
 from .operators import dedupe, discover, fetch
 from .sources import fixtures as fx
 from .sources.tables import load
@@ -21,8 +23,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = run
+    return run
 
 
 # discovery -------------------------------------------------------------------
@@ -188,9 +194,9 @@ def requests_score(spark, d):
 
 
 def _after_extract(spark, d):
-    a = _articles(spark, d)
-    x = en.attach_decoded(a, fx.responses(spark, d), nodes=("extract",))
-    return x.where(F.col("ex_err").isNull())
+    """Articles whose extract answer is valid, with the decoded fields."""
+    ok = en.decode_responses(fx.responses(spark, d), "extract").where(F.col("ex_err").isNull())
+    return _articles(spark, d).join(ok, "doc_id")
 
 
 @query
