@@ -5,43 +5,71 @@ prompt_tokens | input_tokens, output = completion_tokens | output_tokens,
 total = total_tokens | input+output, where a zero counts as absent; the
 first block with any non-zero count wins. Otherwise the counts are summed
 over ``generations[].usage_metadata`` (total = its sum, or input+output).
+
+The record is parsed once to VARIANT; the candidate counts are extracted in
+one projection and combined in the next, so each generated expression stays
+small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _num(v: str, path: str) -> str:
-    # falsy (absent, null, 0) -> 0; a JSON number or numeric text -> its value
-    return (f"coalesce(nullif(try_cast(try_variant_get({v}, '{path}', 'double') AS BIGINT), 0), 0)")
+BLOCKS = ("token_usage", "usage")
+# Key names per count, in precedence order.
+KEYS = {"in": ("prompt_tokens", "input_tokens"), "out": ("completion_tokens", "output_tokens"),
+        "tot": ("total_tokens",)}
 
 
-def _block(v: str, key: str):
-    inp = f"coalesce(nullif({_num(v, f'$.{key}.prompt_tokens')}, 0), {_num(v, f'$.{key}.input_tokens')})"
-    out = f"coalesce(nullif({_num(v, f'$.{key}.completion_tokens')}, 0), {_num(v, f'$.{key}.output_tokens')})"
-    tot = f"coalesce(nullif({_num(v, f'$.{key}.total_tokens')}, 0), ({inp}) + ({out}))"
-    is_obj = f"coalesce(schema_of_variant(try_variant_get({v}, '$.{key}', 'variant')) LIKE 'OBJECT%', false)"
-    ok = f"({is_obj} AND (({inp}) <> 0 OR ({out}) <> 0 OR ({tot}) <> 0))"
-    return ok, inp, out, tot
+def _num(v: str, path: str) -> Column:
+    # falsy (absent, null, 0, non-number) -> 0
+    return F.coalesce(F.expr(f"try_cast(try_variant_get({v}, '{path}', 'double') AS BIGINT)"),
+                      F.lit(0).cast("bigint"))
 
 
-def usage_struct(c: str) -> Column:
-    """struct<input_tokens bigint, output_tokens bigint, total_tokens bigint>."""
-    v = f"try_parse_json({c})"
-    ok1, i1, o1, t1 = _block(v, "token_usage")
-    ok2, i2, o2, t2 = _block(v, "usage")
+def _gen_sum(v: str, key: str) -> Column:
     gens = f"coalesce(try_variant_get({v}, '$.generations', 'array<variant>'), array())"
-    gi = (f"aggregate({gens}, 0L, (acc, g) -> acc + "
-          f"coalesce(try_cast(try_variant_get(g, '$.usage_metadata.input_tokens', 'double') AS BIGINT), 0))")
-    go = (f"aggregate({gens}, 0L, (acc, g) -> acc + "
-          f"coalesce(try_cast(try_variant_get(g, '$.usage_metadata.output_tokens', 'double') AS BIGINT), 0))")
-    gt = (f"aggregate({gens}, 0L, (acc, g) -> acc + "
-          f"coalesce(try_cast(try_variant_get(g, '$.usage_metadata.total_tokens', 'double') AS BIGINT), 0))")
-    return F.expr(f"""CASE
-      WHEN {ok1} THEN named_struct('input_tokens', {i1}, 'output_tokens', {o1}, 'total_tokens', {t1})
-      WHEN {ok2} THEN named_struct('input_tokens', {i2}, 'output_tokens', {o2}, 'total_tokens', {t2})
-      ELSE named_struct('input_tokens', {gi}, 'output_tokens', {go},
-                        'total_tokens', coalesce(nullif({gt}, 0), {gi} + {go}))
-    END""")
+    return F.expr(f"aggregate({gens}, 0L, (acc, g) -> acc + coalesce(try_cast("
+                  f"try_variant_get(g, '$.usage_metadata.{key}', 'double') AS BIGINT), 0L))")
+
+
+def _first_nonzero(*cols: Column) -> Column:
+    return F.coalesce(*[F.nullif(c, F.lit(0)) for c in cols], F.lit(0).cast("bigint"))
+
+
+def add_usage_columns(df: DataFrame, usage_col: str = "usage") -> DataFrame:
+    """Add input_tokens, output_tokens, total_tokens (bigint) from a JSON column."""
+    v = "_usage_v"
+    df = df.withColumn(v, F.expr(f"try_parse_json(`{usage_col}`)"))
+    raw = {}
+    for b in BLOCKS:
+        raw[f"_{b}_obj"] = F.coalesce(
+            F.expr(f"schema_of_variant(try_variant_get({v}, '$.{b}', 'variant'))").like("OBJECT%"),
+            F.lit(False))
+        for k, names in KEYS.items():
+            for n in names:
+                raw[f"_{b}_{n}"] = _num(v, f"$.{b}.{n}")
+    for n in ("input_tokens", "output_tokens", "total_tokens"):
+        raw[f"_gen_{n}"] = _gen_sum(v, n)
+    df = df.withColumns(raw)
+    mid = {}
+    for b in BLOCKS:
+        i = _first_nonzero(*[F.col(f"_{b}_{n}") for n in KEYS["in"]])
+        o = _first_nonzero(*[F.col(f"_{b}_{n}") for n in KEYS["out"]])
+        mid[f"_{b}_i"], mid[f"_{b}_o"] = i, o
+    df = df.withColumns(mid)
+    for b in BLOCKS:
+        t = F.coalesce(F.nullif(F.col(f"_{b}_total_tokens"), F.lit(0)),
+                       F.col(f"_{b}_i") + F.col(f"_{b}_o"))
+        df = df.withColumn(f"_{b}_t", t)
+    ok = {b: F.col(f"_{b}_obj") & ((F.col(f"_{b}_i") != 0) | (F.col(f"_{b}_o") != 0)
+                                    | (F.col(f"_{b}_t") != 0)) for b in BLOCKS}
+    gi, go, gt = F.col("_gen_input_tokens"), F.col("_gen_output_tokens"), F.col("_gen_total_tokens")
+    out = {}
+    for name, short, gen in (("input_tokens", "i", gi), ("output_tokens", "o", go),
+                             ("total_tokens", "t", F.coalesce(F.nullif(gt, F.lit(0)), gi + go))):
+        out[name] = (F.when(ok["token_usage"], F.col(f"_token_usage_{short}"))
+                     .when(ok["usage"], F.col(f"_usage_{short}")).otherwise(gen))
+    df = df.withColumns(out)
+    return df.drop(v, *raw.keys(), *mid.keys(), *[f"_{b}_t" for b in BLOCKS])

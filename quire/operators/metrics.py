@@ -12,15 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.retry import is_rate_limited, retry_action, retry_wait_sec
-from ..functions.usage import usage_struct
+from ..functions.usage import add_usage_columns
 
 
 def with_usage(attempts: DataFrame, usage_col: str = "usage") -> DataFrame:
-    u = usage_struct(usage_col)
-    return attempts.withColumn("_u", u).select(
-        "*", F.col("_u.input_tokens").alias("input_tokens"),
-        F.col("_u.output_tokens").alias("output_tokens"),
-        F.col("_u.total_tokens").alias("total_tokens")).drop("_u")
+    return add_usage_columns(attempts, usage_col)
 
 
 def stage_metrics(attempts: DataFrame) -> DataFrame:

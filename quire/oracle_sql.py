@@ -758,5 +758,13 @@ SELECT source_name, rank, doc_id, article_url, title_en, tag, overall_score, rel
   FROM merged WHERE overall_score IS NOT NULL) WHERE rank <= 3"""
 
 
+
+SQL["stream_ingest"] = with_ctes(ENRICH_DEPS, merged_cte("collapse") + ",\n" + STORE_ROWS) + \
+    "SELECT hash_code, status FROM store_rows"
+SQL["stream_syncback"] = with_ctes(["pull", "store"], PULLED) + """
+SELECT s.unique_id, coalesce(d.new_status, s.status) AS status
+FROM store s LEFT JOIN diffs d USING (unique_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -387,5 +387,50 @@ def flagship(spark, d):
                     "overall_score", "relevance_score"))
 
 
+
+
+# streaming -----------------------------------------------------------------------
+def _stream_dir(spark, name):
+    import uuid
+    from .session import shared_path
+    return shared_path(spark, "quire", "stream", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query
+def stream_ingest(spark, d):
+    """Scraped rows arrive as files in several micro-batches; the store they
+    build holds the same hashes as one batch run."""
+    from .streaming.incremental import ingest_stream
+    from .plans import layout
+    base = _stream_dir(spark, "ingest")
+    # the store already holds the previously processed articles
+    seed = fx.store(spark, d).select("hash_code", "unique_id", F.lit("seed").alias("run_id"))
+    layout.write_partition(seed, f"{base}/store/article_hashes")
+    fx.scraped(spark, d).repartition(4).write.parquet(f"{base}/in")
+    ingest_stream(spark, f"{base}/in", fx.responses(spark, d), f"{base}/store",
+                  f"{base}/ckpt", CFG, files_per_batch=1)
+    return spark.read.parquet(f"{base}/store/articles").select("hash_code", "status")
+
+
+@query
+def stream_syncback(spark, d):
+    """Mirror pulls arrive as files (a record's rows share a file); the store's
+    statuses after the stream equal one batch sync-back."""
+    from .plans import layout
+    from .streaming.incremental import syncback_stream
+    base = _stream_dir(spark, "sync")
+    facts = fx.store(spark, d).withColumns({
+        c: F.lit(None).cast("int" if c in ("read_minutes", "relevance_score", "quality_score",
+                                           "overall_score", "needs_revision") else "string")
+        for c in st.ARTICLE_COLUMNS if c not in ("unique_id", "hash_code", "status")})
+    facts = facts.withColumns({"updated_at": F.lit(CFG.run_ts), "created_at": F.lit(CFG.run_ts),
+                               "article_url": F.lit(""), "run_id": F.lit("seed")})
+    layout.write_partition(st.store_columns(facts), f"{base}/store/articles")
+    pull = fx.mirror_pull(spark, d)
+    pull.repartition(3, F.col("pos") % 1000000).write.parquet(f"{base}/in")
+    syncback_stream(spark, f"{base}/in", f"{base}/store", f"{base}/ckpt", SYNC_TS)
+    return layout.current_articles(spark, f"{base}/store").select("unique_id", "status")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
