@@ -222,7 +222,9 @@ def infer(requests: DataFrame, fn, partitions: int | None = None) -> DataFrame:
         for pdf in batches:
             yield fn(pdf)[["doc_id", "node", "response", "error"]]
 
-    return requests.select("doc_id", "node", "prompt").mapInPandas(run, RESPONSES)
+    from pyspark.sql import types as T
+    schema = T.StructType([requests.schema["doc_id"], *RESPONSES.fields[1:]])
+    return requests.select("doc_id", "node", "prompt").mapInPandas(run, schema)
 
 
 def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str) -> DataFrame:
