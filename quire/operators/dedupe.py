@@ -48,7 +48,10 @@ def batch_unique(rows: DataFrame, order_cols=("doc_id",)):
     a window, so a hash held by a third of the rows never lands whole in one
     task; the join back is many-to-one and skew-splittable.
     """
-    key = F.struct(*[F.col(c) for c in order_cols])
+    # a single order column stays a plain min (hash aggregate); several need
+    # a struct min (sort-based aggregate)
+    key = F.col(order_cols[0]) if len(order_cols) == 1 else \
+        F.struct(*[F.col(c) for c in order_cols])
     win = rows.groupBy("hash_code").agg(F.min(key).alias("_win"))
     j = rows.join(win, "hash_code").withColumn("_is_win", key == F.col("_win")).drop("_win")
     winners = j.where("_is_win").drop("_is_win")

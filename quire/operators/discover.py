@@ -76,20 +76,23 @@ def discover_with_fallback(links: DataFrame, sources: DataFrame, n: int,
     """Default-mode links, plus sitemap links for sources whose default
     discovery kept nothing. With ``status`` (source_id, mode, ok), links of a
     failed default call are dropped (the source is skipped) and a failed
-    sitemap call contributes nothing."""
+    sitemap call contributes nothing.
+
+    The choice is a window over the already-capped links (at most 2n rows
+    per source), so no source can bring a large group to one task and the
+    capped set is computed once.
+    """
     if status is not None:
         ok = status.where("ok").select("source_id", "mode")
         links = links.join(ok, ["source_id", "mode"], "left_semi")
-    kept = discover(links, sources, n, limit_stage, max_rows)
-    default = kept.where(F.col("mode") == "default")
-    sitemap = kept.where(F.col("mode") == "sitemap")
-    have = default.select("source_id").distinct()
-    fallback = sitemap.join(have, "source_id", "left_anti")
-    if status is not None:
         # the fallback only runs for sources whose default call succeeded
         ok_default = status.where("ok AND mode = 'default'").select("source_id")
-        fallback = fallback.join(ok_default, "source_id", "left_semi")
-    return default.unionByName(fallback)
+        links = links.join(ok_default, "source_id", "left_semi")
+    kept = discover(links, sources, n, limit_stage, max_rows)
+    is_default = F.col("mode") == "default"
+    has_default = F.max(is_default.cast("int")).over(Window.partitionBy("source_id"))
+    return (kept.withColumn("_has_default", has_default)
+            .where(is_default | (F.col("_has_default") == 0)).drop("_has_default"))
 
 
 def discover_counts(links: DataFrame, sources: DataFrame, n: int,
