@@ -155,6 +155,18 @@ def attach_decoded(articles: DataFrame, responses: DataFrame, key: str = "doc_id
     return out
 
 
+def valid_only(df: DataFrame, err_col: str) -> DataFrame:
+    """Rows whose stage answer is valid.
+
+    Kept through a generator rather than a filter: a filter on the error
+    column would be pushed below the decode projections, where the optimizer
+    substitutes the whole decode expression into the predicate and so parses
+    every answer twice. A generator's output is not pushed through.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.inline(F.filter(F.array(row), lambda _: F.col(err_col).isNull())))
+
+
 # merge ------------------------------------------------------------------------
 def _err(node: str, msg: Column) -> Column:
     return F.struct(F.lit(node).alias("node"), msg.alias("error"))
@@ -240,7 +252,7 @@ def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path:
     infer(first, fn, cfg.model_partitions).write.mode("overwrite").parquet(f"{write_path}/stage1")
     r1 = spark.read.parquet(f"{write_path}/stage1")
     ex = attach_decoded(base, r1, nodes=("extract",))
-    ok = ex.where(F.col("ex_err").isNull())
+    ok = valid_only(ex, "ex_err")
     tag_req = ok.select("doc_id", F.lit("generate_tag").alias("node"), tag_request().alias("prompt"))
     rv_src = ok if cfg.on_missing_excerpt == "collapse" else ex
     rv_req = rv_src.select("doc_id", F.lit("review").alias("node"), review_request().alias("prompt"))

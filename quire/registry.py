@@ -195,7 +195,7 @@ def requests_score(spark, d):
 
 def _after_extract(spark, d):
     """Articles whose extract answer is valid, with the decoded fields."""
-    ok = en.decode_responses(fx.responses(spark, d), "extract").where(F.col("ex_err").isNull())
+    ok = en.valid_only(en.decode_responses(fx.responses(spark, d), "extract"), "ex_err")
     return _articles(spark, d).join(ok, "doc_id")
 
 

@@ -65,7 +65,7 @@ def links(spark: SparkSession, d: str) -> DataFrame:
 
 # F3 -------------------------------------------------------------------------
 def scraped(spark: SparkSession, d: str) -> DataFrame:
-    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source")
+    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source", spread=True)
     i = F.col("doc_id")
     ident = F.when(i % 10 == 1, i - 1).otherwise(i).cast("string")
     article_url = F.concat(F.when(i % 7 == 0, lit("  ")).otherwise(lit("")),
@@ -128,7 +128,7 @@ def _bool_literal(i: Column, b: Column) -> Column:
 def responses(spark: SparkSession, d: str) -> DataFrame:
     """Stand-in model answers, one row per (doc_id, node)."""
     lab = load(spark, d, "labels", "doc_id", "quality")
-    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars", spread=True)
     x = lab.join(doc, "doc_id")
     i = F.col("doc_id")
     first_line = F.regexp_extract(F.col("text"), r"^[^\n]*", 0)
@@ -155,19 +155,22 @@ def responses(spark: SparkSession, d: str) -> DataFrame:
                      lit(', "reason": "r"}'))
     tag = F.concat(lit('{"tag": "'), _pick(i % 6, MODEL_TAGS), lit('", "tag_reason": "because"}'))
     null = lit(None).cast("string")
-    rows = F.array(
-        F.struct(lit("extract").alias("node"),
-                 F.when(i % 13 != 0, F.col("extract")).otherwise(null).alias("response"),
-                 F.when(i % 13 == 0, lit("model timeout")).otherwise(null).alias("error")),
-        F.struct(lit("score").alias("node"), score.alias("response"), null.alias("error")),
-        F.struct(lit("generate_tag").alias("node"), tag.alias("response"), null.alias("error")),
-        F.struct(lit("review").alias("node"),
-                 F.when(i % 17 == 0, lit('{"title_zh": ')).otherwise(F.col("review"))
-                 .alias("response"), null.alias("error")))
-    return (x.select(i, extract.alias("extract"), review_body.alias("review_body"),
-                     "quality", "text", "lang", "source", "n_chars")
-            .withColumn("review", review)
-            .select(i, F.inline(rows)))
+    base = x.select(i, extract.alias("extract"), review_body.alias("review_body"),
+                    "quality", "text", "lang", "source", "n_chars").withColumn("review", review)
+    # one projection per stage: a filter on ``node`` prunes the other branches
+    per_node = [
+        ("extract", F.when(i % 13 != 0, F.col("extract")).otherwise(null),
+         F.when(i % 13 == 0, lit("model timeout")).otherwise(null)),
+        ("score", score, null),
+        ("generate_tag", tag, null),
+        ("review", F.when(i % 17 == 0, lit('{"title_zh": ')).otherwise(F.col("review")), null),
+    ]
+    out = None
+    for node, response, error in per_node:
+        part = base.select(i, lit(node).alias("node"), response.alias("response"),
+                           error.alias("error"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # F6 -------------------------------------------------------------------------
@@ -208,7 +211,7 @@ def mirror_pull(spark: SparkSession, d: str) -> DataFrame:
 
 # F7 -------------------------------------------------------------------------
 def attempts(spark: SparkSession, d: str) -> DataFrame:
-    ev = load(spark, d, "events", "event_id", "ts", "event_type", "value", "props")
+    ev = load(spark, d, "events", "event_id", "ts", "event_type", "value", "props", spread=True)
     k = F.get_json_object("props", "$.k").cast("bigint").cast("string")
     kb = F.get_json_object("props", "$.k").cast("bigint")
     m = F.col("event_id") % 4

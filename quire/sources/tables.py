@@ -9,7 +9,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; selecting columns here lets the scan prune the rest."""
+def load(spark: SparkSession, sf_dir: str, name: str, *columns: str,
+         spread: bool = False) -> DataFrame:
+    """Read one table; selecting columns here lets the scan prune the rest.
+
+    ``spread``: for tables feeding per-row CPU work (regexes, JSON parsing,
+    hashing), make sure the scan has at least the session's default
+    parallelism. A large table already has that many splits and is left as
+    it is (no shuffle); a table stored as a few large row groups would
+    otherwise run all of that work in a few tasks.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
