@@ -36,13 +36,24 @@ class IngestInputs:
 
 
 def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir: str,
-               cfg: CurationConfig = CurationConfig(), key: str = "hash_code") -> dict:
+               cfg: CurationConfig = CurationConfig(), key: str = "hash_code",
+               dedupe_before_fetch: bool = False) -> dict:
+    """One run. ``dedupe_before_fetch`` drops already-stored URLs before the
+    join with the (wide) bodies table: the identity depends on the URL only,
+    so the new rows are the same; the dedupe counters then count links
+    rather than fetched bodies."""
     run = cfg.run_id
     srcs = discover.prepare_sources(inp.sources)
     kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage,
                                            inp.status, cfg.broadcast_max_rows)
-    scraped = dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies)))
     hashes = layout.store_hashes(spark, store_dir, exclude_run=run)
+    if dedupe_before_fetch:
+        kept = dedupe.hash_urls(kept, "url")
+        counted = kept.select("hash_code")
+        kept = dedupe.dedupe_new(kept, hashes).drop("hash_code")
+    scraped = dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies)))
+    if not dedupe_before_fetch:
+        counted = scraped.select("hash_code")
     new = dedupe.dedupe_new(scraped, hashes)
     winners, losers = dedupe.batch_unique(new, ("source_id", "pos"))
     articles = winners.select("hash_code", "article_url", "source_name", "source_url",
@@ -83,6 +94,6 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
         stage_rows = metrics.stage_metrics(inp.attempts)
         metrics.metrics_json(stage_rows, metrics.run_totals(inp.attempts)) \
             .write.mode("overwrite").text(f"{out_dir}/metrics")
-    counts = dedupe.dedupe_counts(scraped, hashes).first()   # one row
+    counts = dedupe.dedupe_counts(counted, hashes).first()   # one row
     result.update(total=counts["total"], skipped=counts["skipped"], new=counts["new"])
     return result

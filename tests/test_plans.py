@@ -86,3 +86,34 @@ def test_syncback_converges(spark, tmp_dir):
     s1b = run_syncback(spark, pull, store_dir, "2026-03-01T00:00:00", "sync1")
     assert s1b["applied"] == 0 or s1b["applied"] == len(ids)
     assert {r.unique_id: r.status for r in layout.current_articles(spark, store_dir).collect()} == after
+
+
+def test_dedupe_before_fetch_gives_same_store(spark, tmp_dir):
+    cfg = CurationConfig(run_ts="2026-04-01T00:00:00")
+    run_ingest(spark, _inputs(spark), f"{tmp_dir}/a", f"{tmp_dir}/oa", cfg)
+    run_ingest(spark, _inputs(spark), f"{tmp_dir}/b", f"{tmp_dir}/ob", cfg, dedupe_before_fetch=True)
+    a = spark.read.parquet(f"{tmp_dir}/a/articles").drop("run_id")
+    b = spark.read.parquet(f"{tmp_dir}/b/articles").drop("run_id")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_whitelist_reader(spark, tmp_dir):
+    from quire.operators.discover import prepare_sources
+    from quire.sources.whitelist import read_whitelist
+    path = f"{tmp_dir}/sources.json"
+    with open(path, "w") as f:
+        json.dump([{"name": "A", "type": "web", "url": "https://a.org/n", "url_pattern": "/n/[0-9]+"},
+                   {"type": "web", "url": "https://b.org/"},
+                   {"name": None, "url": "https://c.org/"},
+                   {"name": "no url"}, {"name": "blank", "url": ""}], f)
+    got = [tuple(r) for r in prepare_sources(read_whitelist(spark, path)).orderBy("source_id").collect()]
+    assert got == [(0, "A", "https://a.org/n", "/n/[0-9]+"), (1, "", "https://b.org/", None),
+                   (2, None, "https://c.org/", None)]
+    ypath = f"{tmp_dir}/sources.yaml"
+    with open(ypath, "w") as f:
+        f.write("- name: A\n  url: https://a.org/n\n- url: https://b.org/\n")
+    try:
+        import yaml  # noqa: F401
+    except ImportError:
+        return
+    assert read_whitelist(spark, ypath).count() == 2
