@@ -1,9 +1,11 @@
 """Dedupe against the article store and within a batch.
 
 Identity is the SHA-256 of the normalised URL. The store side is a narrow
-(hash_code) table; hashes are uniform, so the anti-join is balanced on the
-store side, and a hot hash on the batch side (one URL scraped many times) is
-reduced by partial aggregation before any shuffle or split by AQE's
+(hash_code) table. A batch whose keys fit the broadcast threshold probes
+the store through a broadcast semi-join (the store is scanned, not
+shuffled); otherwise both sides shuffle on the hash, which is uniform on the
+store side. A hot hash on the batch side (one URL scraped many times) is
+reduced by partial aggregation before any shuffle, or split by AQE's
 skew-join handling.
 """
 
@@ -19,21 +21,46 @@ def hash_urls(df: DataFrame, url_col: str = "article_url") -> DataFrame:
     return df.withColumn("hash_code", url_hash(url_col))
 
 
-def dedupe_new(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """Rows whose hash is not in the store, whatever the stored status."""
-    return rows.join(store.select("hash_code"), "hash_code", "left_anti")
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select("hash_code").where(F.col("hash_code").isNotNull()).distinct()
+
+
+def seen_hashes(rows: DataFrame, store: DataFrame) -> DataFrame:
+    """Distinct hashes of ``rows`` that the store already holds.
+
+    Written as ``store SEMI JOIN batch_keys``: the store grows with every run
+    while one run's batch stays comparatively small, so when the planner's
+    size estimate of the batch keys is under the broadcast threshold the
+    store's narrow hash column is only scanned and probed (never shuffled).
+    Beyond it both sides shuffle on the hash, which is uniform.
+    """
+    return store.select("hash_code").join(_keys(rows), "hash_code", "left_semi").distinct()
+
+
+def dedupe_new(rows: DataFrame, store: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Rows whose hash is not in the store, whatever the stored status.
+
+    ``seen`` (hashes already stored, from ``seen_hashes``) may be computed
+    from a cheaper table with the same hashes, e.g. the links before fetch,
+    so the batch itself is computed once.
+    """
+    if seen is None:
+        seen = seen_hashes(rows, store)
+    return rows.join(seen, "hash_code", "left_anti")
 
 
 def existing_hashes(rows: DataFrame, store: DataFrame) -> DataFrame:
     """Distinct non-blank hashes of ``rows`` that the store already has."""
     h = rows.select("hash_code").where((F.col("hash_code") != "") & F.col("hash_code").isNotNull())
-    return h.distinct().join(store.select("hash_code"), "hash_code", "left_semi")
+    return seen_hashes(h, store)
 
 
-def dedupe_counts(rows: DataFrame, store: DataFrame) -> DataFrame:
+def dedupe_counts(rows: DataFrame, store: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """total / skipped / new over the batch (one row)."""
     per_hash = rows.groupBy("hash_code").agg(F.count(F.lit(1)).alias("n"))
-    seen = store.select("hash_code").distinct().withColumn("seen", F.lit(True))
+    if seen is None:
+        seen = seen_hashes(rows, store)
+    seen = seen.withColumn("seen", F.lit(True))
     j = per_hash.join(seen, "hash_code", "left")
     return j.agg(F.sum("n").cast("bigint").alias("total"),
                  F.coalesce(F.sum(F.when(F.col("seen"), F.col("n"))), F.lit(0)).cast("bigint")

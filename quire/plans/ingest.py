@@ -47,14 +47,17 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage,
                                            inp.status, cfg.broadcast_max_rows)
     hashes = layout.store_hashes(spark, store_dir, exclude_run=run)
+    # stored hashes among this run's links: the store is probed with the
+    # (cheap) link hashes, which are the same as the fetched rows' hashes
+    kept_h = dedupe.hash_urls(kept, "url")
+    seen = dedupe.seen_hashes(kept_h, hashes)
     if dedupe_before_fetch:
-        kept = dedupe.hash_urls(kept, "url")
-        counted = kept.select("hash_code")
-        kept = dedupe.dedupe_new(kept, hashes).drop("hash_code")
+        counted = kept_h.select("hash_code")
+        kept = dedupe.dedupe_new(kept_h, hashes, seen).drop("hash_code")
     scraped = dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies)))
     if not dedupe_before_fetch:
         counted = scraped.select("hash_code")
-    new = dedupe.dedupe_new(scraped, hashes)
+    new = dedupe.dedupe_new(scraped, hashes, seen)
     winners, losers = dedupe.batch_unique(new, ("source_id", "pos"))
     articles = winners.select("hash_code", "article_url", "source_name", "source_url",
                               F.col("markdown").alias("raw_markdown"),
@@ -94,6 +97,6 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
         stage_rows = metrics.stage_metrics(inp.attempts)
         metrics.metrics_json(stage_rows, metrics.run_totals(inp.attempts)) \
             .write.mode("overwrite").text(f"{out_dir}/metrics")
-    counts = dedupe.dedupe_counts(counted, hashes).first()   # one row
+    counts = dedupe.dedupe_counts(counted, hashes, seen).first()   # one row
     result.update(total=counts["total"], skipped=counts["skipped"], new=counts["new"])
     return result

@@ -106,9 +106,17 @@ def hash_urls(spark, d):
                                                                "hash_code")
 
 
+def _seen(spark, d):
+    """Stored hashes among the scraped URLs (probe keys from the URLs alone:
+    a superset of the batch's hashes, so the anti-join is the same and the
+    bodies are not read twice)."""
+    urls = dedupe.hash_urls(fx.scraped(spark, d).select("article_url"))
+    return dedupe.seen_hashes(urls, fx.store(spark, d))
+
+
 @query
 def dedupe_new(spark, d):
-    return dedupe.dedupe_new(_fresh_rows(spark, d), fx.store(spark, d)).select(
+    return dedupe.dedupe_new(_fresh_rows(spark, d), None, _seen(spark, d)).select(
         "doc_id", "article_url", "hash_code")
 
 
@@ -119,11 +127,11 @@ def existing_hashes(spark, d):
 
 @query
 def dedupe_counts(spark, d):
-    return dedupe.dedupe_counts(_fresh_rows(spark, d), fx.store(spark, d))
+    return dedupe.dedupe_counts(_fresh_rows(spark, d), None, _seen(spark, d))
 
 
 def _new_unique(spark, d):
-    new = dedupe.dedupe_new(_fresh_rows(spark, d), fx.store(spark, d))
+    new = dedupe.dedupe_new(_fresh_rows(spark, d), None, _seen(spark, d))
     return dedupe.batch_unique(new, ("doc_id",))
 
 
