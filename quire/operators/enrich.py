@@ -163,8 +163,9 @@ def valid_only(df: DataFrame, err_col: str) -> DataFrame:
     substitutes the whole decode expression into the predicate and so parses
     every answer twice. A generator's output is not pushed through.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.select(F.inline(F.filter(F.array(row), lambda _: F.col(err_col).isNull())))
+    row = F.array(F.struct(*[F.col(c) for c in df.columns]))
+    empty = F.array().cast(df.select(row).schema[0].dataType)
+    return df.select(F.inline(F.when(F.col(err_col).isNull(), row).otherwise(empty)))
 
 
 # merge ------------------------------------------------------------------------
