@@ -127,12 +127,14 @@ SQL["discover_with_fallback"] = with_ctes(
 SQL["discover_counts"] = with_ctes(["sources", "links"], JOINED + ",\n" + LIMITED) + f"""
 , per AS (
   SELECT source_id,
-    count_if(mode = 'default') AS d_disc, count_if(mode = 'default' AND {KEEP}) AS d_kept,
-    count_if(mode = 'sitemap') AS s_disc, count_if(mode = 'sitemap' AND {KEEP}) AS s_kept
+    CAST(count_if(mode = 'default') AS BIGINT) AS d_disc,
+    CAST(count_if(mode = 'default' AND {KEEP}) AS BIGINT) AS d_kept,
+    CAST(count_if(mode = 'sitemap') AS BIGINT) AS s_disc,
+    CAST(count_if(mode = 'sitemap' AND {KEEP}) AS BIGINT) AS s_kept
   FROM limited GROUP BY source_id)
 SELECT s.source_id, s.name, coalesce(d_kept, 0) = 0 AS used_fallback,
-  CASE WHEN coalesce(d_kept, 0) = 0 THEN coalesce(s_disc, 0) ELSE coalesce(d_disc, 0) END AS discovered,
-  CASE WHEN coalesce(d_kept, 0) = 0 THEN coalesce(s_kept, 0) ELSE coalesce(d_kept, 0) END AS kept
+  CAST(CASE WHEN coalesce(d_kept, 0) = 0 THEN coalesce(s_disc, 0) ELSE coalesce(d_disc, 0) END AS BIGINT) AS discovered,
+  CAST(CASE WHEN coalesce(d_kept, 0) = 0 THEN coalesce(s_kept, 0) ELSE coalesce(d_kept, 0) END AS BIGINT) AS kept
 FROM sources s LEFT JOIN per USING (source_id)"""
 
 SQL["scrape_join"] = with_ctes(["sources", "links"], JOINED + ",\n" + LIMITED + ",\n" + DISCOVERED) + f"""
@@ -141,15 +143,15 @@ SQL["scrape_join"] = with_ctes(["sources", "links"], JOINED + ",\n" + LIMITED +
          {_html_sql('p.html')} AS markdown
   FROM fallback_links f LEFT JOIN pages p ON p.url = f.url)
 SELECT source_id, pos, source_name, source_url, article_url,
-       sha256(coalesce(markdown, '<null>')) AS markdown_sha, length(markdown) AS markdown_chars
+       sha256(coalesce(markdown, '<null>')) AS markdown_sha, CAST(length(markdown) AS INTEGER) AS markdown_chars
 FROM fetched"""
 
 SQL["drop_empty_body"] = with_ctes(["scraped"]) + """
-SELECT doc_id, source_name, source_url, article_url, length(markdown) AS markdown_chars
+SELECT doc_id, source_name, source_url, article_url, CAST(length(markdown) AS INTEGER) AS markdown_chars
 FROM scraped WHERE markdown IS NOT NULL AND length(markdown) > 0"""
 
 SQL["page_text"] = f"""
-SELECT page_id, sha256(t) AS text_sha, length(t) AS n_chars
+SELECT page_id, sha256(t) AS text_sha, CAST(length(t) AS INTEGER) AS n_chars
 FROM (SELECT page_id, {_html_sql('html')} AS t FROM pages)"""
 
 SQL["hash_urls"] = with_ctes(["links"]) + f"SELECT source_id, pos, url, {url_hash('url')} AS hash_code FROM links"
@@ -386,7 +388,7 @@ SQL["enrich_accumulate"] = with_ctes(ENRICH_DEPS, merged_cte("accumulate")) + \
 
 
 def _prompt(expr: str, src: str) -> str:
-    return (f"SELECT doc_id, sha256(p) AS prompt_sha, length(p) AS prompt_chars "
+    return (f"SELECT doc_id, sha256(p) AS prompt_sha, CAST(length(p) AS INTEGER) AS prompt_chars "
             f"FROM (SELECT doc_id, {expr} AS p FROM {src})")
 
 
@@ -752,7 +754,8 @@ FROM flagged"""
 
 # flagship -------------------------------------------------------------------------
 SQL["flagship"] = with_ctes(ENRICH_DEPS, merged_cte("collapse")) + """
-SELECT source_name, rank, doc_id, article_url, title_en, tag, overall_score, relevance_score FROM (
+SELECT source_name, CAST(rank AS INTEGER) AS rank, doc_id, article_url, title_en, tag, overall_score,
+  relevance_score FROM (
   SELECT *, row_number() OVER (PARTITION BY source_name
     ORDER BY overall_score DESC, relevance_score DESC, doc_id) AS rank
   FROM merged WHERE overall_score IS NOT NULL) WHERE rank <= 3"""
