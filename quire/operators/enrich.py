@@ -240,24 +240,40 @@ def infer(requests: DataFrame, fn, partitions: int | None = None) -> DataFrame:
     return requests.select("doc_id", "node", "prompt").mapInPandas(run, schema)
 
 
+def _done(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _answers(spark, requests: DataFrame, fn, partitions, path: str) -> DataFrame:
+    """Model answers for ``requests``, written once to ``path``. A completed
+    stage (``_SUCCESS`` present) is reused when a run is restarted, so the
+    model is not called again for it."""
+    if not _done(spark, path):
+        infer(requests, fn, partitions).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str) -> DataFrame:
     """Staged model calls with each stage's answers written once to
     ``write_path`` (a folder in the shared checkpoint dir), so a retried or
-    re-evaluated plan never calls the model again for the same rows."""
+    re-evaluated plan never calls the model again for the same rows.
+
+    Stage 1 asks extract and score (independent); stage 2 asks tag and
+    review, which need the decoded extract.
+    """
     spark = articles.sparkSession
     base = articles.select("doc_id", "article_url", "source_name", "scraped_at", "raw_markdown")
     first = (base.select("doc_id", F.lit("extract").alias("node"),
                          extract_request(base).alias("prompt"))
              .unionByName(base.select("doc_id", F.lit("score").alias("node"),
                                       score_request(base).alias("prompt"))))
-    infer(first, fn, cfg.model_partitions).write.mode("overwrite").parquet(f"{write_path}/stage1")
-    r1 = spark.read.parquet(f"{write_path}/stage1")
+    r1 = _answers(spark, first, fn, cfg.model_partitions, f"{write_path}/stage1")
     ex = attach_decoded(base, r1, nodes=("extract",))
     ok = valid_only(ex, "ex_err")
     tag_req = ok.select("doc_id", F.lit("generate_tag").alias("node"), tag_request().alias("prompt"))
     rv_src = ok if cfg.on_missing_excerpt == "collapse" else ex
     rv_req = rv_src.select("doc_id", F.lit("review").alias("node"), review_request().alias("prompt"))
-    infer(tag_req.unionByName(rv_req), fn, cfg.model_partitions) \
-        .write.mode("overwrite").parquet(f"{write_path}/stage2")
-    r2 = spark.read.parquet(f"{write_path}/stage2")
+    r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg.model_partitions,
+                  f"{write_path}/stage2")
     return enrich(articles, r1.unionByName(r2), cfg)

@@ -35,6 +35,17 @@ def stage_metrics(attempts: DataFrame) -> DataFrame:
                     "total_tokens")
 
 
+def stage_rollup(attempts: DataFrame) -> DataFrame:
+    """Per-stage rows and the all-stages total (stage NULL) in one pass."""
+    a = with_usage(attempts)
+    return a.rollup("stage").agg(
+        F.count("duration_sec").alias("count"),
+        F.round(F.coalesce(F.sum("duration_sec"), F.lit(0.0)), 3).alias("total_time_sec"),
+        F.sum("input_tokens").alias("input_tokens"),
+        F.sum("output_tokens").alias("output_tokens"),
+        F.sum("total_tokens").alias("total_tokens"))
+
+
 def run_totals(attempts: DataFrame) -> DataFrame:
     """One row: stages, calls, token totals and wall clock (first start to
     last end)."""

@@ -730,6 +730,11 @@ SELECT stage, count(duration_sec) AS count, round(coalesce(sum(duration_sec), 0.
   CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
   CAST(sum(total_tokens) AS BIGINT) AS total_tokens
 FROM usage_rows GROUP BY stage"""
+SQL["stage_rollup"] = with_ctes(["usage"]) + """
+SELECT stage, count(duration_sec) AS count, round(coalesce(sum(duration_sec), 0.0), 3) AS total_time_sec,
+  CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens
+FROM usage_rows GROUP BY ROLLUP (stage)"""
 SQL["run_totals"] = with_ctes(["usage"]) + """
 SELECT count(DISTINCT stage) AS stages, count(duration_sec) AS calls,
   CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,

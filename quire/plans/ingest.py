@@ -12,6 +12,7 @@ recomputes from the written table.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,9 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     if key != "hash_code":
         raise ValueError("the ingest run keys model answers by hash_code")
     articles = articles.withColumn("doc_id", F.col("hash_code"))
-    work = shared_path(spark, "quire", "runs", run)
+    # per (store, run): a restarted run finds its own finished model stages
+    store_key = hashlib.sha1(store_dir.encode()).hexdigest()[:12]
+    work = shared_path(spark, "quire", "runs", store_key, run)
     if inp.model_fn is not None:
         enriched = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model")
     else:

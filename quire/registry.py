@@ -367,6 +367,11 @@ def stage_metrics(spark, d):
     return mt.stage_metrics(fx.attempts(spark, d))
 
 
+@query
+def stage_rollup(spark, d):
+    return mt.stage_rollup(fx.attempts(spark, d))
+
+
 @query
 def run_totals(spark, d):
     return mt.run_totals(fx.attempts(spark, d))

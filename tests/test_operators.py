@@ -195,3 +195,26 @@ def test_store_rows_and_checks(spark):
     assert sorted(r.reject_reason for r in bad.collect()) == ["bad_tag", "missing_hash"]
     r = ok.first()
     assert r.needs_revision == 1 and r.stage_errors == "[]" and len(r.unique_id) == 32
+
+
+def test_hot_hash_third_of_rows(spark):
+    """One URL holds a third of the batch: still one winner, and the winner
+    is found by aggregation (no window over the hot hash)."""
+    n = 3000
+    rows = [(i, "https://x.org/hot/" if i % 3 == 0 else f"https://x.org/{i}") for i in range(n)]
+    df = dedupe.hash_urls(spark.createDataFrame(rows, "doc_id long, article_url string")
+                          .repartition(8))
+    win, lose = dedupe.batch_unique(df, ("doc_id",))
+    assert win.count() == n - n // 3 + 1 and lose.count() == n // 3 - 1
+    assert win.where("article_url = 'https://x.org/hot/'").first().doc_id == 0
+    plan = win._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "HashAggregate" in plan
+    st = dedupe.hash_urls(spark.createDataFrame([("https://x.org/hot",)], "article_url string"))
+    assert dedupe.dedupe_new(df, st).count() == n - n // 3
+
+
+def test_metrics_rollup_total_row(spark):
+    att = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None), ("b", 0.5, None)],
+                                "stage string, duration_sec double, usage string")
+    got = {r.stage: (r["count"], r.total_time_sec) for r in metrics.stage_rollup(att).collect()}
+    assert got == {"a": (2, 3.0), "b": (1, 0.5), None: (3, 3.5)}
