@@ -773,6 +773,19 @@ SQL["stream_syncback"] = with_ctes(["pull", "store"], PULLED) + """
 SELECT s.unique_id, coalesce(d.new_status, s.status) AS status
 FROM store s LEFT JOIN diffs d USING (unique_id)"""
 
+SQL["flagship_links"] = with_ctes(
+    ["sources", "links", "store", "dec_sc"], JOINED + ",\n" + LIMITED + ",\n" + DISCOVERED) + f"""
+SELECT source_id, CAST(rank AS INTEGER) AS rank, pos, url, hash_code, overall_score, relevance_score,
+  quality_score FROM (
+  SELECT f.source_id, f.pos, f.url, f.hash_code, s.sc_overall_score AS overall_score,
+    s.sc_relevance_score AS relevance_score, s.sc_quality_score AS quality_score,
+    row_number() OVER (PARTITION BY f.source_id ORDER BY s.sc_overall_score DESC,
+                       s.sc_relevance_score DESC, f.pos) AS rank
+  FROM (SELECT *, {url_hash('url')} AS hash_code FROM fallback_links) f
+  JOIN dec_sc s ON s.doc_id = f.pos
+  WHERE f.hash_code NOT IN (SELECT hash_code FROM store) AND s.sc_err IS NULL)
+WHERE rank <= 3"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -402,6 +402,24 @@ def flagship(spark, d):
 
 
 
+@query
+def flagship_links(spark, d):
+    """SURVEY §7.1 slice: discovered links (cap, URL filter, fallback) ->
+    URL hash -> not yet stored -> score answers (keyed by link position) ->
+    the top 3 new, on-pattern links per source by overall score."""
+    from pyspark.sql import Window
+    new = dedupe.dedupe_new(dedupe.hash_urls(_kept_links(spark, d), "url"), fx.store(spark, d))
+    scores = en.valid_only(en.decode_responses(fx.responses(spark, d), "score"), "sc_err")
+    j = new.join(scores.withColumnRenamed("doc_id", "pos"), "pos")
+    w = Window.partitionBy("source_id").orderBy(F.desc("sc_overall_score"),
+                                                F.desc("sc_relevance_score"), "pos")
+    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_K)
+            .select("source_id", "rank", "pos", "url", "hash_code",
+                    F.col("sc_overall_score").alias("overall_score"),
+                    F.col("sc_relevance_score").alias("relevance_score"),
+                    F.col("sc_quality_score").alias("quality_score")))
+
+
 # streaming -----------------------------------------------------------------------
 def _stream_dir(spark, name):
     import uuid
