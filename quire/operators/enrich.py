@@ -23,10 +23,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import NODES, TAGS, CurationConfig
 from ..functions import decode as dec
-from ..schemas import EXTRACT_FIELDS, RESPONSES, STAGE_ERROR
+from ..schemas import EXTRACT_FIELDS, RESPONSES
 
 # User-message layouts of the four model calls.
 EXTRACT_PROMPT = ("<SOURCE_URL>{article_url}</SOURCE_URL>\n"
@@ -193,12 +194,14 @@ def merge_state(df: DataFrame, mode: str = "collapse") -> DataFrame:
         out[f] = F.when(alive & tag_ok, F.col(f"tg_{f}"))
     for f in ("needs_revision", "review_notes"):
         out[f] = F.when(alive & rv_ok, F.col(f"rv_{f}"))
-    errs = F.filter(F.array(_err("extract", F.col("ex_err")), _err("score", F.col("sc_err")),
-                            _err("generate_tag", tag_err), _err("review", F.col("rv_err"))),
-                    lambda x: x["error"].isNotNull())
+    # node order; a stage without an error contributes nothing
+    errs = F.array_compact(F.array(*[
+        F.when(e.isNotNull(), _err(n, e)) for n, e in (
+            ("extract", F.col("ex_err")), ("score", F.col("sc_err")),
+            ("generate_tag", tag_err), ("review", F.col("rv_err")))]))
     collapse_errs = F.array(_err(COLLAPSE_NODE, F.lit(COLLAPSE_ERROR)))
     out["stage_errors"] = F.when(collapsed, collapse_errs).otherwise(errs) \
-        .cast(f"array<struct<node:string,error:string>>")
+        .cast("array<struct<node:string,error:string>>")
     return df.withColumns(out)
 
 
@@ -218,10 +221,11 @@ def enrich(articles: DataFrame, responses: DataFrame, cfg: CurationConfig = Cura
 
 
 # pluggable model ----------------------------------------------------------------
-ModelFn = Callable[["object"], "object"]  # pandas DataFrame -> pandas DataFrame
+# pandas DataFrame (doc_id, node, prompt) -> pandas DataFrame (doc_id, node, response, error)
+ModelFn = Callable[["object"], "object"]
 
 
-def infer(requests: DataFrame, fn, partitions: int | None = None) -> DataFrame:
+def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None) -> DataFrame:
     """Run a user model callable over (key, node, prompt) batches.
 
     ``fn`` gets a pandas DataFrame with columns doc_id, node, prompt and
@@ -235,7 +239,6 @@ def infer(requests: DataFrame, fn, partitions: int | None = None) -> DataFrame:
         for pdf in batches:
             yield fn(pdf)[["doc_id", "node", "response", "error"]]
 
-    from pyspark.sql import types as T
     schema = T.StructType([requests.schema["doc_id"], *RESPONSES.fields[1:]])
     return requests.select("doc_id", "node", "prompt").mapInPandas(run, schema)
 

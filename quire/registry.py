@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import CurationConfig
-from .session import tune
 from .operators import dedupe, discover, fetch
+from .operators import enrich as en
+from .operators import metrics as mt
+from .operators import mirror as mi
+from .operators import schema_check as sc
+from .operators import store as st
+from .schemas import EXTRACT_FIELDS
+from .session import tune
 from .sources import fixtures as fx
 from .sources.tables import load
 
@@ -145,13 +151,6 @@ def batch_unique(spark, d):
 
 
 # enrichment --------------------------------------------------------------------
-from .operators import enrich as en  # noqa: E402
-from .operators import metrics as mt  # noqa: E402
-from .operators import mirror as mi  # noqa: E402
-from .operators import schema_check as sc  # noqa: E402
-from .operators import store as st  # noqa: E402
-from .config import NODES  # noqa: E402
-from .schemas import EXTRACT_FIELDS  # noqa: E402
 
 CFG_ACC = CurationConfig(on_missing_excerpt="accumulate")
 ENRICHED_COLS = ("doc_id", "hash_code", *EXTRACT_FIELDS, "tag", "tag_reason", "relevance_score",

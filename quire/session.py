@@ -3,7 +3,6 @@ size-checked broadcast."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession

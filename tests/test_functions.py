@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
-from quire.functions.decode import parse  # noqa: F401
 from quire.functions.richtext import rich_text, status_text
 from quire.functions.timeparse import to_epoch_ms
 from quire.functions.retry import retry_action, retry_wait_sec

@@ -5,7 +5,6 @@ import json
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from quire.config import CurationConfig
