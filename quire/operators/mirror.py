@@ -85,6 +85,30 @@ def upsert(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
     return j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
 
 
+def upsert_feed(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
+    """Only the records an upsert touches (action updated / created), with
+    their new cells: what is pushed to the review table.
+
+    Unlike ``upsert`` this never rewrites the whole mirror. Mirror records are
+    first narrowed to the increment's ids (a semi-join, which the planner
+    runs as a broadcast of the increment keys when they are small), and the
+    first record per id is chosen within that subset.
+    """
+    inc = increment.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
+    keys = inc.select("unique_id").distinct()
+    touched = mark_first(snapshot.join(keys, "unique_id", "left_semi")).where("_first")
+    i = inc.select(*[F.col(n).alias(f"_i_{n}") for n in FIELD_NAMES])
+    j = i.join(touched, i["_i_unique_id"] == touched["unique_id"], "left")
+    has_snap = F.col("record_id").isNotNull()
+    out = []
+    for n in FIELD_NAMES:
+        s, v = F.col(n), F.col(f"_i_{n}")
+        out.append((v if n in ALWAYS_WRITTEN else F.coalesce(v, s)).alias(n))
+    action = F.when(has_snap, F.lit("updated")).otherwise(F.lit("created"))
+    rid = F.coalesce(F.col("record_id"), F.concat(F.lit("new-"), F.col("_i_unique_id")))
+    return j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
+
+
 def pull_statuses(pull: DataFrame):
     """Mirror rows -> (valid, quarantined) statuses.
 

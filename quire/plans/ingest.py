@@ -92,10 +92,11 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     snap.drop("raw_markdown").write.mode("overwrite").json(f"{out_dir}/articles")
     result = {"run_id": run, "store": store_dir, "out": out_dir}
     if inp.mirror_snapshot is not None:
+        # the records to push (updated / created); the mirror itself is not rewritten
         inc = mirror.mirror_fields(store.store_columns(valid), cfg.text_max)
-        up = mirror.upsert(inp.mirror_snapshot, inc)
-        up.write.mode("overwrite").parquet(f"{out_dir}/mirror/version={run}")
-        result["mirror"] = f"{out_dir}/mirror/version={run}"
+        feed = mirror.upsert_feed(inp.mirror_snapshot, inc)
+        feed.write.mode("overwrite").parquet(f"{out_dir}/mirror_changes")
+        result["mirror_changes"] = f"{out_dir}/mirror_changes"
     if inp.attempts is not None:
         stage_rows = metrics.stage_metrics(inp.attempts)
         metrics.metrics_json(stage_rows, metrics.run_totals(inp.attempts)) \

@@ -297,8 +297,9 @@ def mirror_upsert(spark, d):
 
 @query
 def mirror_actions(spark, d):
-    return _upserted(spark, d).where(F.col("action") != "unchanged") \
-        .select("record_id", "unique_id", "action")
+    """The pushed records only (no full mirror rewrite)."""
+    feed = mi.upsert_feed(fx.mirror_snapshot(spark, d, CFG.run_id), _increment(spark, d))
+    return feed.select("record_id", "unique_id", "action")
 
 
 # sync-back -------------------------------------------------------------------------

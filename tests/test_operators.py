@@ -218,3 +218,15 @@ def test_metrics_rollup_total_row(spark):
                                 "stage string, duration_sec double, usage string")
     got = {r.stage: (r["count"], r.total_time_sec) for r in metrics.stage_rollup(att).collect()}
     assert got == {"a": (2, 3.0), "b": (1, 0.5), None: (3, 3.5)}
+
+
+def test_upsert_feed_equals_changed_rows_of_full_upsert(spark):
+    snap = _snapshot(spark, [("r1", 1, {"unique_id": "u1", "author": "old", "notes": "keep"}),
+                             ("r2", 2, {"unique_id": "u1", "author": "dup"}),
+                             ("r3", 3, {"unique_id": "u9", "author": "other"})])
+    inc = _snapshot(spark, [("x", 0, {"unique_id": "u1", "title_zh": "new", "country": "UK"}),
+                            ("y", 0, {"unique_id": "u2", "title_zh": "fresh"})]).drop(
+        "record_id", "record_pos")
+    full = mirror.upsert(snap, inc).where("action <> 'unchanged'")
+    feed = mirror.upsert_feed(snap, inc)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, feed.select(*full.columns).collect()))

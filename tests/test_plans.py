@@ -47,7 +47,10 @@ def _inputs(spark):
 
 def test_ingest_twice_adds_nothing(spark, tmp_dir):
     store_dir, cfg = f"{tmp_dir}/store", CurationConfig(run_ts="2026-02-01T00:00:00")
-    r1 = run_ingest(spark, _inputs(spark), store_dir, f"{tmp_dir}/out1", cfg, key="hash_code")
+    inp = replace(_inputs(spark), mirror_snapshot=fx.mirror_snapshot(spark, SF001, cfg.run_id))
+    r1 = run_ingest(spark, inp, store_dir, f"{tmp_dir}/out1", cfg, key="hash_code")
+    pushed = spark.read.parquet(r1["mirror_changes"])
+    assert pushed.count() == spark.read.parquet(f"{store_dir}/articles").count()
     arts = spark.read.parquet(f"{store_dir}/articles")
     n1 = arts.count()
     assert n1 > 0 and r1["new"] >= n1
