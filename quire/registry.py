@@ -439,7 +439,7 @@ def stream_ingest(spark, d):
     layout.write_partition(seed, f"{base}/store/article_hashes")
     fx.scraped(spark, d).repartition(4).write.parquet(f"{base}/in")
     ingest_stream(spark, f"{base}/in", fx.responses(spark, d), f"{base}/store",
-                  f"{base}/ckpt", CFG, files_per_batch=1)
+                  f"{base}/ckpt", CFG, files_per_batch=2)
     return spark.read.parquet(f"{base}/store/articles").select("hash_code", "status")
 
 
