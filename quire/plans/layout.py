@@ -57,6 +57,27 @@ def store_hashes(spark: SparkSession, store: str, exclude_run: str | None = None
     return h.select("hash_code")
 
 
+def current_statuses(spark: SparkSession, store: str, ids: DataFrame | None = None,
+                     exclude_change_run: str | None = None) -> DataFrame:
+    """(unique_id, status) now, optionally only for ``ids``.
+
+    Facts and status changes are narrowed to ``ids`` (semi-joins, which the
+    planner broadcasts when the id set is small) before the latest change per
+    id is found, so a sync-back batch costs a scan of the narrow columns, not
+    a shuffle of the whole store.
+    """
+    facts = read_or_empty(spark, f"{store}/articles", ARTICLES_SCHEMA).select(
+        "unique_id", "status", "updated_at")
+    sc = read_or_empty(spark, f"{store}/status_changes", STATUS_SCHEMA)
+    if exclude_change_run is not None:
+        sc = sc.where(F.col("run_id") != exclude_change_run)
+    sc = sc.select("unique_id", "new_status", "changed_at", "seq")
+    if ids is not None:
+        facts = facts.join(ids, "unique_id", "left_semi")
+        sc = sc.join(ids, "unique_id", "left_semi")
+    return st.apply_status(facts, sc).select("unique_id", "status")
+
+
 def current_articles(spark: SparkSession, store: str,
                      exclude_change_run: str | None = None) -> DataFrame:
     """Facts with the latest status and tag changes applied (optionally

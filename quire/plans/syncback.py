@@ -16,9 +16,9 @@ from . import layout
 
 def run_syncback(spark: SparkSession, pull: DataFrame, store_dir: str, changed_at: str,
                  batch_id: str) -> dict:
-    cur = layout.current_articles(spark, store_dir, exclude_change_run=batch_id) \
-        .select("unique_id", "status")
     valid, rejected = mirror.pull_statuses(pull)
+    ids = valid.select("unique_id").distinct()
+    cur = layout.current_statuses(spark, store_dir, ids, exclude_change_run=batch_id)
     updates = mirror.status_updates(mirror.status_diff_rows(valid, cur))
     changes = updates.select("unique_id", "new_status", F.lit(changed_at).alias("changed_at"),
                              F.col("pos").alias("seq"), F.lit(batch_id).alias("run_id"))
