@@ -96,8 +96,13 @@ def discover_with_fallback(links: DataFrame, sources: DataFrame, n: int,
 
 
 def discover_counts(links: DataFrame, sources: DataFrame, n: int,
-                    limit_stage: str = "discover", max_rows: int = 200_000) -> DataFrame:
-    """Per source: links discovered and kept, from the fallback when used."""
+                    limit_stage: str = "discover", status: DataFrame | None = None,
+                    max_rows: int = 200_000) -> DataFrame:
+    """Per source: links discovered and kept, from the fallback when used.
+
+    With ``status`` (source_id, mode, ok): a source whose default call failed
+    has no entry; when the sitemap call failed the fallback is not used and
+    the default call's counts stand (zero kept)."""
     if limit_stage == "discover":
         flagged = flag_kept(limit_links(links, n), sources, max_rows)
     else:
@@ -108,9 +113,18 @@ def discover_counts(links: DataFrame, sources: DataFrame, n: int,
     per = flagged.groupBy("source_id").agg(
         F.count_if(d).alias("d_disc"), F.count_if(d & F.col("kept")).alias("d_kept"),
         F.count_if(s).alias("s_disc"), F.count_if(s & F.col("kept")).alias("s_kept"))
+    src = sources.select("source_id", "name")
+    sitemap_ok = F.lit(True)
+    if status is not None:
+        ok_default = status.where("ok AND mode = 'default'").select("source_id")
+        src = src.join(ok_default, "source_id", "left_semi")
+        failed_sitemap = status.where("NOT ok AND mode = 'sitemap'").select(
+            "source_id", F.lit(True).alias("_sitemap_failed"))
+        src = src.join(failed_sitemap, "source_id", "left")
+        sitemap_ok = F.col("_sitemap_failed").isNull()
     z = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
-    used = z("d_kept") == 0
-    return (sources.select("source_id", "name").join(per, "source_id", "left")
+    used = (z("d_kept") == 0) & sitemap_ok
+    return (src.join(per, "source_id", "left")
             .select("source_id", "name", used.alias("used_fallback"),
                     F.when(used, z("s_disc")).otherwise(z("d_disc")).alias("discovered"),
                     F.when(used, z("s_kept")).otherwise(z("d_kept")).alias("kept")))

@@ -786,6 +786,40 @@ SELECT source_id, CAST(rank AS INTEGER) AS rank, pos, url, hash_code, overall_sc
   WHERE f.hash_code NOT IN (SELECT hash_code FROM store) AND s.sc_err IS NULL)
 WHERE rank <= 3"""
 
+STATUS = """status AS (
+  SELECT source_id, 'default' AS mode, length(name) % 7 <> 0 AS ok FROM sources
+  UNION ALL
+  SELECT source_id, 'sitemap' AS mode, length(name) % 5 <> 0 AS ok FROM sources),
+links_ok AS (
+  SELECT l.* FROM links l
+  WHERE EXISTS (SELECT 1 FROM status s WHERE s.source_id = l.source_id AND s.mode = l.mode AND s.ok)
+    AND EXISTS (SELECT 1 FROM status s WHERE s.source_id = l.source_id AND s.mode = 'default' AND s.ok))"""
+
+SQL["discover_with_status"] = with_ctes(["sources", "links"], STATUS + ",\n" + JOINED.replace(
+    "FROM links l", "FROM links_ok l") + ",\n" + LIMITED + ",\n" + DISCOVERED) + \
+    f"SELECT {LINK_COLS} FROM fallback_links"
+
+SQL["discover_counts_status"] = with_ctes(["sources", "links"], STATUS + ",\n" + JOINED + ",\n"
+                                          + LIMITED) + f"""
+, per AS (
+  SELECT source_id,
+    CAST(count_if(mode = 'default') AS BIGINT) AS d_disc,
+    CAST(count_if(mode = 'default' AND {KEEP}) AS BIGINT) AS d_kept,
+    CAST(count_if(mode = 'sitemap') AS BIGINT) AS s_disc,
+    CAST(count_if(mode = 'sitemap' AND {KEEP}) AS BIGINT) AS s_kept
+  FROM limited GROUP BY source_id),
+src AS (
+  SELECT s.source_id, s.name, NOT EXISTS (SELECT 1 FROM status t WHERE t.source_id = s.source_id
+    AND t.mode = 'sitemap' AND NOT t.ok) AS sitemap_ok
+  FROM sources s WHERE EXISTS (SELECT 1 FROM status t WHERE t.source_id = s.source_id
+    AND t.mode = 'default' AND t.ok))
+SELECT s.source_id, s.name, coalesce(d_kept, 0) = 0 AND sitemap_ok AS used_fallback,
+  CAST(CASE WHEN coalesce(d_kept, 0) = 0 AND sitemap_ok THEN coalesce(s_disc, 0)
+       ELSE coalesce(d_disc, 0) END AS BIGINT) AS discovered,
+  CAST(CASE WHEN coalesce(d_kept, 0) = 0 AND sitemap_ok THEN coalesce(s_kept, 0)
+       ELSE coalesce(d_kept, 0) END AS BIGINT) AS kept
+FROM src s LEFT JOIN per USING (source_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

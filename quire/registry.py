@@ -74,6 +74,19 @@ def discover_counts(spark, d):
     return discover.discover_counts(fx.links(spark, d), fx.sources(spark, d), CFG.max_links)
 
 
+@query
+def discover_with_status(spark, d):
+    """Fallback discovery when some discovery calls failed."""
+    return discover.discover_with_fallback(fx.links(spark, d), fx.sources(spark, d), CFG.max_links,
+                                           status=fx.discovery_status(spark, d)).select(*LINK_COLS)
+
+
+@query
+def discover_counts_status(spark, d):
+    return discover.discover_counts(fx.links(spark, d), fx.sources(spark, d), CFG.max_links,
+                                    status=fx.discovery_status(spark, d))
+
+
 # fetch -----------------------------------------------------------------------
 def _kept_links(spark, d):
     return discover.discover_with_fallback(fx.links(spark, d), fx.sources(spark, d), CFG.max_links)

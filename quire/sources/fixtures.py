@@ -331,3 +331,14 @@ def legacy_mirror(spark: SparkSession, d: str):
     cells["country"] = F.when(i % 3 == 0, F.upper("lang"))
     cells["owner"] = F.when(i % 5 == 0, F.col("source"))
     return doc.select(*[c.alias(n) for n, c in cells.items()]), types
+
+
+# Discovery call outcomes --------------------------------------------------------
+def discovery_status(spark: SparkSession, d: str) -> DataFrame:
+    """Per source and mode, whether the discovery call succeeded: the default
+    call fails when length(name) % 7 = 0, the sitemap call when % 5 = 0."""
+    s = sources(spark, d)
+    n = F.length("name")
+    rows = F.array(F.struct(lit("default").alias("mode"), (n % 7 != 0).alias("ok")),
+                   F.struct(lit("sitemap").alias("mode"), (n % 5 != 0).alias("ok")))
+    return s.select("source_id", F.inline(rows))

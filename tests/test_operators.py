@@ -230,3 +230,24 @@ def test_upsert_feed_equals_changed_rows_of_full_upsert(spark):
     full = mirror.upsert(snap, inc).where("action <> 'unchanged'")
     feed = mirror.upsert_feed(snap, inc)
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, feed.select(*full.columns).collect()))
+
+
+def test_discover_counts_with_status(spark):
+    src = spark.createDataFrame([("s1", "one", "https://a.org/n", None),
+                                 ("s2", "two", "https://b.org/n", None),
+                                 ("s3", "three", "https://c.org/n", None)], SRC)
+    links = _links(spark, [
+        ("s1", "https://a.org/n", "default", 1, "https://a.org/n"),      # landing page only
+        ("s1", "https://a.org/n", "sitemap", 2, "https://a.org/n/2"),
+        ("s2", "https://b.org/n", "default", 1, "https://b.org/n"),
+        ("s2", "https://b.org/n", "sitemap", 2, "https://b.org/n/2"),
+        ("s3", "https://c.org/n", "default", 1, "https://c.org/n/1")])
+    status = spark.createDataFrame([("s1", "default", True), ("s1", "sitemap", True),
+                                    ("s2", "default", True), ("s2", "sitemap", False),
+                                    ("s3", "default", False)],
+                                   "source_id string, mode string, ok boolean")
+    got = {r.source_id: (r.used_fallback, r.discovered, r.kept)
+           for r in discover.discover_counts(links, src, 5, status=status).collect()}
+    assert got == {"s1": (True, 1, 1), "s2": (False, 1, 0)}
+    kept = discover.discover_with_fallback(links, src, 5, status=status)
+    assert sorted(r.url for r in kept.collect()) == ["https://a.org/n/2"]
