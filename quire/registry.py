@@ -109,7 +109,7 @@ def drop_empty_body(spark, d):
 
 @query
 def page_text(spark, d):
-    t = fetch.page_text(load(spark, d, "pages", "page_id", "html"))
+    t = fetch.page_text(load(spark, d, "pages", "page_id", "html", spread=True))
     return t.select("page_id", F.sha2("text", 256).alias("text_sha"), "n_chars")
 
 
