@@ -65,11 +65,19 @@ def upsert(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
 
     ``snapshot``: record_id, record_pos, 26 cells. ``increment``: 26 cells.
     Increment rows without unique_id are skipped.
+
+    Only the first record of each id can match, so only those go through
+    the full outer join (at most one row per id on each side); duplicate
+    records bypass it unchanged. A heavily duplicated id therefore never
+    gathers in one join task (AQE cannot split skew in a full outer join).
     """
     inc = increment.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
     inc = inc.select(*[F.col(n).alias(f"_i_{n}") for n in FIELD_NAMES])
     snap = mark_first(snapshot)
-    j = snap.join(inc, (snap["unique_id"] == inc["_i_unique_id"]) & snap["_first"], "full_outer")
+    rest = snap.where(~F.col("_first")).select(
+        "record_id", "record_pos", *FIELD_NAMES, F.lit("unchanged").alias("action"))
+    firsts = snap.where(F.col("_first"))
+    j = firsts.join(inc, firsts["unique_id"] == inc["_i_unique_id"], "full_outer")
     has_snap, has_inc = F.col("record_id").isNotNull(), F.col("_i_unique_id").isNotNull()
     out = []
     for n in FIELD_NAMES:
@@ -82,7 +90,8 @@ def upsert(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
     action = (F.when(has_snap & has_inc, F.lit("updated"))
               .when(has_inc, F.lit("created")).otherwise(F.lit("unchanged")))
     rid = F.coalesce(F.col("record_id"), F.concat(F.lit("new-"), F.col("_i_unique_id")))
-    return j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
+    merged = j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
+    return merged.unionByName(rest)
 
 
 def upsert_feed(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
