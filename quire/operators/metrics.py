@@ -64,7 +64,8 @@ def run_totals(attempts: DataFrame) -> DataFrame:
 
 def metrics_json(stage_rows: DataFrame, totals: DataFrame) -> DataFrame:
     """The nested metrics document ({wall_clock_sec, tokens, stages}) as one
-    JSON row, built by aggregation (stage rows are few)."""
+    JSON row. ``stage_rows`` has one row per stage name (a handful), so
+    gathering them into one map is bounded."""
     st = stage_rows.agg(F.map_from_entries(F.collect_list(F.struct(
         "stage", F.struct("count", "total_time_sec", "avg_time_sec", "input_tokens",
                           "output_tokens", "total_tokens")))).alias("stages"))
