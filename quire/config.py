@@ -34,6 +34,9 @@ class CurationConfig:
     # partitions used for the model-call stage (the original caps concurrent
     # model calls at 6); None leaves it to Spark
     model_partitions: int | None = None
+    # prompts per Arrow batch handed to the model callable (each prompt holds
+    # a whole article, so the default 10k-row batches could reach gigabytes)
+    model_batch_rows: int = 256
     # a side is broadcast only if it has at most this many rows (checked)
     broadcast_max_rows: int = 200_000
     statuses: tuple = field(default=STATUSES)

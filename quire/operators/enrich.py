@@ -248,12 +248,24 @@ def _done(spark, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _answers(spark, requests: DataFrame, fn, partitions, path: str) -> DataFrame:
+BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str) -> DataFrame:
     """Model answers for ``requests``, written once to ``path``. A completed
     stage (``_SUCCESS`` present) is reused when a run is restarted, so the
-    model is not called again for it."""
+    model is not called again for it. The Arrow batch size is bounded while
+    the stage runs (the setting is read when the job executes)."""
     if not _done(spark, path):
-        infer(requests, fn, partitions).write.mode("overwrite").parquet(path)
+        old = spark.conf.get(BATCH_ROWS_CONF, None)
+        spark.conf.set(BATCH_ROWS_CONF, str(cfg.model_batch_rows))
+        try:
+            infer(requests, fn, cfg.model_partitions).write.mode("overwrite").parquet(path)
+        finally:
+            if old is None:
+                spark.conf.unset(BATCH_ROWS_CONF)
+            else:
+                spark.conf.set(BATCH_ROWS_CONF, old)
     return spark.read.parquet(path)
 
 
@@ -271,12 +283,11 @@ def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path:
                          extract_request(base).alias("prompt"))
              .unionByName(base.select("doc_id", F.lit("score").alias("node"),
                                       score_request(base).alias("prompt"))))
-    r1 = _answers(spark, first, fn, cfg.model_partitions, f"{write_path}/stage1")
+    r1 = _answers(spark, first, fn, cfg, f"{write_path}/stage1")
     ex = attach_decoded(base, r1, nodes=("extract",))
     ok = valid_only(ex, "ex_err")
     tag_req = ok.select("doc_id", F.lit("generate_tag").alias("node"), tag_request().alias("prompt"))
     rv_src = ok if cfg.on_missing_excerpt == "collapse" else ex
     rv_req = rv_src.select("doc_id", F.lit("review").alias("node"), review_request().alias("prompt"))
-    r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg.model_partitions,
-                  f"{write_path}/stage2")
+    r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg, f"{write_path}/stage2")
     return enrich(articles, r1.unionByName(r2), cfg)
