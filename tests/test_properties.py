@@ -35,3 +35,54 @@ def test_truncate_property(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     for r in df.select("s", tx.truncate_text("s", n).alias("t")).collect():
         assert r.t == py(r.s)
+
+
+def py_lax_score(present, v):
+    """The lax integer rule (with the 0..10 range) in plain Python:
+    (value or None, error kind or None)."""
+    import re
+    if not present:
+        return None, "missing"
+    if isinstance(v, bool):
+        n = int(v)
+    elif isinstance(v, int):
+        n = v
+    elif isinstance(v, float):
+        if v != int(v):
+            return None, "type"
+        n = int(v)
+    elif isinstance(v, str) and re.fullmatch(r" *[+-]?[0-9]+(\.0+)? *", v):
+        n = int(float(v))
+    else:
+        return None, "type"
+    return (n, None) if 0 <= n <= 10 else (None, "range")
+
+
+json_values = st.one_of(
+    st.integers(-20, 20), st.floats(-20, 20, allow_nan=False).map(lambda x: round(x, 1)),
+    st.booleans(), st.none(), st.text(st.sampled_from(list("0123456789 .+-x")), max_size=6),
+    st.integers(-20, 20).map(lambda i: f" {i} "), st.integers(0, 12).map(lambda i: f"{i}.0"))
+cases = st.lists(st.tuples(st.booleans(), json_values), min_size=1, max_size=100)
+
+
+@settings(max_examples=5, deadline=None)
+@given(cases)
+def test_lax_int_property(spark, items):
+    import json
+    from quire.operators.enrich import decode_node
+    payloads = []
+    for present, v in items:
+        body = {"quality_score": 3, "reason": "r"}
+        if present:
+            body["relevance_score"] = v
+        payloads.append(json.dumps(body))
+    df = spark.createDataFrame([(i, p, None) for i, p in enumerate(payloads)],
+                               "doc_id long, response string, error string")
+    got = {r.doc_id: (r.sc_relevance_score, r.sc_err) for r in decode_node(df, "score").collect()}
+    for i, (present, v) in enumerate(items):
+        value, kind = py_lax_score(present, v)
+        g_value, g_err = got[i]
+        assert g_value == value, (v, got[i])
+        assert (g_err is None) == (kind is None), (v, got[i])
+        if kind is not None:
+            assert g_err == f"{kind}:relevance_score", (v, got[i])
