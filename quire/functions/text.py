@@ -79,8 +79,5 @@ def title_fallback(title, url) -> Column:
 
 
 def short_id(c) -> Column:
+    """The first 8 characters of an id, as shown in logs and reports."""
     return F.substring(_c(c), 1, 8)
-
-
-def _sql(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

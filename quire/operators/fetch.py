@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.html import html_to_text
 
 
-def bodies_from_pages(pages: DataFrame) -> DataFrame:
-    """(url, html) pages as fetch results; text is derived after the join."""
-    return pages.select("url", "html")
-
-
 def scrape_join(kept: DataFrame, bodies: DataFrame) -> DataFrame:
     """One row per kept link; a link without a fetched body has NULL markdown.
 
