@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 
 from .text import py_strip
 
-# The accepted leading date shapes and an explicit UTC offset.
+# The accepted leading date shapes, strict (zero-padded) ISO
+# 8601 text, and an explicit UTC offset.
 _DATE_HEAD = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 _COMPACT = r"^[0-9]{8}$"
+_STRICT_ISO = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+               r"(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?)?"
+               r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?$")
 _OFFSET = r"[+-][0-9]{2}(:?[0-9]{2})?$"
 _NAIVE_FORMATS = ("y-M-d'T'H:m:s", "y-M-d H:m:s", "y-M-d")
 
 
 def clean_datetime_text(c) -> Column:
-    """Stripped text with inner whitespace runs collapsed to one space."""
-    s = py_strip(F.col(c) if isinstance(c, str) else c)
-    return F.regexp_replace(s, r"\s+", " ")
+    """The text stripped of Python whitespace at both ends."""
+    return py_strip(F.col(c) if isinstance(c, str) else c)
 
 
 def _naive(fmt: str, sc: Column) -> Column:
@@ -32,18 +35,29 @@ def _naive(fmt: str, sc: Column) -> Column:
     return F.try_to_timestamp(sc, F.lit(fmt)).cast("timestamp_ntz")
 
 
-def epoch_ms_from_clean(sc: Column, tz: str = "UTC") -> Column:
-    iso = F.regexp_replace(F.regexp_replace(sc, ",", "."), "Z$", "+00:00")
-    iso_ok = ~sc.contains("T") | sc.rlike(r"T[0-9]")
-    naive = F.coalesce(*[_naive(f, sc) for f in _NAIVE_FORMATS],
-                       F.when(iso_ok & ~iso.rlike(_OFFSET), iso.try_cast("timestamp_ntz")))
-    naive = F.when(sc.rlike(_COMPACT), _naive("yyyyMMdd", sc)).otherwise(naive)
+def epoch_ms_from_clean(st: Column, tz: str = "UTC") -> Column:
+    """Epoch ms of stripped text (see ``clean_datetime_text``)."""
+    # the three strptime-style shapes: any run of spaces matches one space,
+    # fields need not be zero-padded
+    sc = F.regexp_replace(st, r"\s+", " ")
+    naive_fmt = F.coalesce(*[_naive(f, sc) for f in _NAIVE_FORMATS])
+    # ISO 8601: zero-padded fields, 'T' or one space, ',' or '.' before the
+    # fraction, 'Z' or an offset
+    iso_ok = st.rlike(_STRICT_ISO)
+    iso = F.regexp_replace(F.regexp_replace(st, ",", "."), "Z$", "+00:00")
+    # Spark's cast wants seconds when an offset follows: HH:MM -> HH:MM:00, HH -> HH:00:00
+    day_hour = "^([0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}"
+    iso = F.regexp_replace(iso, day_hour + ":[0-9]{2})(?![:0-9])", "$1:00")
+    iso = F.regexp_replace(iso, day_hour + ")(?![:0-9])", "$1:00:00")
+    naive_iso = F.when(iso_ok & ~iso.rlike(_OFFSET), iso.try_cast("timestamp_ntz"))
+    naive = F.coalesce(naive_fmt, naive_iso)
+    naive = F.when(st.rlike(_COMPACT), _naive("yyyyMMdd", st)).otherwise(naive)
     utc_wall = F.convert_timezone(F.lit(tz), F.lit("UTC"), naive)
     naive_ms = F.timestamp_diff("MILLISECOND",
                                 F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc_wall)
     aware_ms = F.unix_millis(F.when(iso_ok & iso.rlike(_OFFSET), iso.try_cast("timestamp")))
     ms = F.coalesce(naive_ms, aware_ms)
-    return F.when(sc.rlike(_DATE_HEAD) | sc.rlike(_COMPACT), ms)
+    return F.when(st.rlike(_DATE_HEAD) | st.rlike(_COMPACT), ms)
 
 
 def to_epoch_ms(c, tz: str = "UTC") -> Column:

@@ -2,11 +2,13 @@
 text (each hypothesis example is one batch of strings, so one Spark job)."""
 
 import hashlib
+from datetime import datetime, timezone
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quire.functions import text as tx
+from quire.functions.timeparse import to_epoch_ms
 
 WS = list(tx.PY_WHITESPACE)
 # text mixing ASCII, slashes, Python whitespace and astral characters
@@ -86,3 +88,56 @@ def test_lax_int_property(spark, items):
         assert (g_err is None) == (kind is None), (v, got[i])
         if kind is not None:
             assert g_err == f"{kind}:relevance_score", (v, got[i])
+
+
+# datetime text -> epoch ms, against the accepted formats in plain Python
+
+def py_epoch(v):
+    if not v:
+        return None
+    s = v.strip()
+    if not s:
+        return None
+    for fmt in ("%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d"):
+        try:
+            return int(datetime.strptime(s, fmt).replace(tzinfo=timezone.utc).timestamp() * 1000)
+        except ValueError:
+            pass
+    try:
+        d = datetime.fromisoformat(s.replace("Z", "+00:00"))
+    except ValueError:
+        return None
+    if d.tzinfo is None:
+        d = d.replace(tzinfo=timezone.utc)
+    return int(d.timestamp() * 1000)
+
+def pad(n, w, p):
+    return str(n).zfill(w) if p else str(n)
+
+@st.composite
+def dt_text(draw):
+    y = draw(st.integers(1971, 2099)); mo = draw(st.integers(1, 12)); d = draw(st.integers(1, 28))
+    h = draw(st.integers(0, 23)); mi = draw(st.integers(0, 59)); se = draw(st.integers(0, 59))
+    p = draw(st.booleans())
+    s = f"{y}-{pad(mo, 2, p)}-{pad(d, 2, p)}"
+    kind = draw(st.integers(0, 5))
+    if kind >= 1:
+        sep = draw(st.sampled_from(["T", " "]))
+        s += sep + f"{pad(h, 2, p or kind > 2)}:{pad(mi, 2, p or kind > 2)}"
+        if kind != 2:
+            s += ":" + pad(se, 2, p or kind > 2)
+        if kind >= 4:
+            s += "." + "".join(draw(st.lists(st.sampled_from("0123456789"), min_size=1, max_size=6)))
+        if kind == 5 or draw(st.booleans()):
+            s += draw(st.sampled_from(["Z", "+08:00", "-05:30", "+00:00"]))
+    return draw(st.sampled_from(["", " ", "  "])) + s + draw(st.sampled_from(["", " "]))
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(dt_text(), min_size=1, max_size=200))
+def test_epoch_property(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    bad = []
+    for r in df.select("s", to_epoch_ms("s").alias("ms")).collect():
+        if r.ms != py_epoch(r.s):
+            bad.append((r.s, r.ms, py_epoch(r.s)))
+    assert not bad, bad[:10]
