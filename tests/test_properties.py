@@ -141,3 +141,47 @@ def test_epoch_property(spark, values):
         if r.ms != py_epoch(r.s):
             bad.append((r.s, r.ms, py_epoch(r.s)))
     assert not bad, bad[:10]
+
+
+TRUE_S, FALSE_S = ("1", "on", "t", "true", "y", "yes"), ("0", "off", "f", "false", "n", "no")
+
+
+def py_lax_bool(present, v):
+    if not present:
+        return None, "missing"
+    if isinstance(v, bool):
+        return v, None
+    if isinstance(v, (int, float)):
+        return (v == 1, None) if v in (0, 1) else (None, "type")
+    if isinstance(v, str):
+        if v.lower() in TRUE_S:
+            return True, None
+        if v.lower() in FALSE_S:
+            return False, None
+    return None, "type"
+
+
+bool_values = st.one_of(st.booleans(), st.integers(-2, 3), st.sampled_from([0.0, 1.0, 0.5]),
+                        st.none(), st.sampled_from(list(TRUE_S + FALSE_S) + ["YES", "No", "x", "", "2"]))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), bool_values), min_size=1, max_size=100))
+def test_lax_bool_property(spark, items):
+    import json
+    from quire.operators.enrich import decode_node
+    base = {f: "" for f in ("title_zh", "title_en", "excerpt_zh", "excerpt_en", "author", "country",
+                            "published_at", "notes", "review_notes")}
+    payloads = []
+    for present, v in items:
+        body = dict(base, read_minutes=1)
+        if present:
+            body["needs_revision"] = v
+        payloads.append(json.dumps(body))
+    df = spark.createDataFrame([(i, p, None) for i, p in enumerate(payloads)],
+                               "doc_id long, response string, error string")
+    got = {r.doc_id: (r.rv_needs_revision, r.rv_err) for r in decode_node(df, "review").collect()}
+    for i, (present, v) in enumerate(items):
+        value, kind = py_lax_bool(present, v)
+        assert got[i][0] == value, (v, got[i])
+        assert got[i][1] == (None if kind is None else f"{kind}:needs_revision"), (v, got[i])
