@@ -38,11 +38,13 @@ class IngestInputs:
 
 def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir: str,
                cfg: CurationConfig = CurationConfig(), key: str = "hash_code",
-               dedupe_before_fetch: bool = False) -> dict:
+               dedupe_before_fetch: bool = False, mirror_snapshot_version: bool = False) -> dict:
     """One run. ``dedupe_before_fetch`` drops already-stored URLs before the
     join with the (wide) bodies table: the identity depends on the URL only,
     so the new rows are the same; the dedupe counters then count links
-    rather than fetched bodies."""
+    rather than fetched bodies. ``mirror_snapshot_version`` also writes the
+    whole upserted mirror as a new version (a full rewrite; the pushed
+    records alone are always written)."""
     run = cfg.run_id
     srcs = discover.prepare_sources(inp.sources)
     kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage,
@@ -97,6 +99,10 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
         feed = mirror.upsert_feed(inp.mirror_snapshot, inc)
         feed.write.mode("overwrite").parquet(f"{out_dir}/mirror_changes")
         result["mirror_changes"] = f"{out_dir}/mirror_changes"
+        if mirror_snapshot_version:
+            path = f"{out_dir}/mirror/version={run}"
+            mirror.upsert(inp.mirror_snapshot, inc).write.mode("overwrite").parquet(path)
+            result["mirror_snapshot"] = path
     if inp.attempts is not None:
         stage_rows = metrics.stage_metrics(inp.attempts)
         metrics.metrics_json(stage_rows, metrics.run_totals(inp.attempts)) \

@@ -48,9 +48,12 @@ def _inputs(spark):
 def test_ingest_twice_adds_nothing(spark, tmp_dir):
     store_dir, cfg = f"{tmp_dir}/store", CurationConfig(run_ts="2026-02-01T00:00:00")
     inp = replace(_inputs(spark), mirror_snapshot=fx.mirror_snapshot(spark, SF001, cfg.run_id))
-    r1 = run_ingest(spark, inp, store_dir, f"{tmp_dir}/out1", cfg, key="hash_code")
+    r1 = run_ingest(spark, inp, store_dir, f"{tmp_dir}/out1", cfg, key="hash_code",
+                    mirror_snapshot_version=True)
     pushed = spark.read.parquet(r1["mirror_changes"])
     assert pushed.count() == spark.read.parquet(f"{store_dir}/articles").count()
+    snap = spark.read.parquet(r1["mirror_snapshot"])
+    assert snap.where("action <> 'unchanged'").count() == pushed.count()
     arts = spark.read.parquet(f"{store_dir}/articles")
     n1 = arts.count()
     assert n1 > 0 and r1["new"] >= n1
