@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from ..config import NODES, TAGS, CurationConfig
 from ..functions import decode as dec
 from ..schemas import EXTRACT_FIELDS, RESPONSES
+from ..session import path_done
 
 # User-message layouts of the four model calls.
 EXTRACT_PROMPT = ("<SOURCE_URL>{article_url}</SOURCE_URL>\n"
@@ -243,11 +244,6 @@ def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None) -> Da
     return requests.select("doc_id", "node", "prompt").mapInPandas(run, schema)
 
 
-def _done(spark, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -256,7 +252,7 @@ def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str) ->
     stage (``_SUCCESS`` present) is reused when a run is restarted, so the
     model is not called again for it. The Arrow batch size is bounded while
     the stage runs (the setting is read when the job executes)."""
-    if not _done(spark, path):
+    if not path_done(spark, path):
         old = spark.conf.get(BATCH_ROWS_CONF, None)
         spark.conf.set(BATCH_ROWS_CONF, str(cfg.model_batch_rows))
         try:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import CurationConfig
 from ..operators import dedupe, discover, enrich, fetch, metrics, mirror, store
-from ..session import shared_path
+from ..session import path_done, shared_path
 from . import layout
 
 
@@ -57,7 +57,16 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     if dedupe_before_fetch:
         counted = kept_h.select("hash_code")
         kept = dedupe.dedupe_new(kept_h, hashes, seen).drop("hash_code")
-    scraped = dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies)))
+    # per (store, run): a restarted run finds its own finished stages
+    store_key = hashlib.sha1(store_dir.encode()).hexdigest()[:12]
+    work = shared_path(spark, "quire", "runs", store_key, run)
+    # barrier: the wide fetch join runs once; the enriched rows, rejects and
+    # counters all read the written rows (reused when a run is restarted)
+    fetched = f"{work}/fetched"
+    if not path_done(spark, fetched):
+        dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies))) \
+            .write.mode("overwrite").parquet(fetched)
+    scraped = spark.read.parquet(fetched)
     if not dedupe_before_fetch:
         counted = scraped.select("hash_code")
     new = dedupe.dedupe_new(scraped, hashes, seen)
@@ -68,9 +77,6 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     if key != "hash_code":
         raise ValueError("the ingest run keys model answers by hash_code")
     articles = articles.withColumn("doc_id", F.col("hash_code"))
-    # per (store, run): a restarted run finds its own finished model stages
-    store_key = hashlib.sha1(store_dir.encode()).hexdigest()[:12]
-    work = shared_path(spark, "quire", "runs", store_key, run)
     if inp.model_fn is not None:
         enriched = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model")
     else:

@@ -70,6 +70,12 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), *[p.strip("/") for p in parts]])
 
 
+def path_done(spark: SparkSession, path: str) -> bool:
+    """True if a completed Spark write (``_SUCCESS`` marker) is at ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def has_at_most(df: DataFrame, n: int) -> bool:
     """True if ``df`` has at most ``n`` rows (reads at most n+1 rows)."""
     return df.limit(n + 1).count() <= n
