@@ -115,7 +115,7 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
             .write.mode("overwrite").text(f"{out_dir}/metrics")
     counts = dedupe.dedupe_counts(counted, hashes, seen).first()   # one row
     result.update(total=counts["total"], skipped=counts["skipped"], new=counts["new"])
-    # shape of the scraped table after dropping empty bodies (rows, columns)
-    result["scraped_shape"] = (counts["total"], len(("source_name", "source_url", "article_url",
-                                                     "markdown")))
+    # shape of the scraped table after dropping empty bodies: rows, and its
+    # four columns (source_name, source_url, article_url, markdown)
+    result["scraped_shape"] = (counts["total"], 4)
     return result
