@@ -9,6 +9,7 @@ import pytest
 from conftest import ROOT, SF01
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
+os.environ.setdefault("STRICT", "1")   # exact float comparison
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
