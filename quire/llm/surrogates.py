@@ -24,7 +24,8 @@ IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 PHONE = (r"(?<![\w.+-])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
          r"|(?<![\w.+(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])")
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
-CARD = r"(?<![\w+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"
+CARD = (r"(?<![\w+-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
+        r"(?![\w-])")
 #: Titles that name a gender, by which person names are known. Fixed values.
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "госпожа"),
