@@ -21,7 +21,7 @@ s AS (SELECT sum(n) AS n, sum(k) / sum(n) AS p, count(*) AS hosts, sum(n * n) AS
 b AS (SELECT p, p * (1 - p) AS within, n - nn / n AS spare,
         (kk - n * p * p - (hosts - 1) * p * (1 - p)) / nullif(n - nn / n, 0) AS between_ FROM s),
 z AS (SELECT p, CASE WHEN spare > 0 AND within > 0 AND between_ > 0
-        THEN least(1000.0, greatest(0.0, within / between_ - 1)) ELSE 1000.0 END AS strength FROM b),
+        THEN least(1000.0, greatest(5.0, within / between_ - 1)) ELSE 1000.0 END AS strength FROM b),
 v AS (SELECT host, (k + strength * p) / (n + strength) AS rate FROM h, z)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND v.rate <= 0.6 AS kept, f.host, round(v.rate, 6) AS host_rate

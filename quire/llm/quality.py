@@ -23,8 +23,9 @@ WORD_WINDOW = 3
 SYMBOLS = "#*$%&|<>"
 #: A host whose shrunk rate of failed documents exceeds this is rejected.
 MAX_HOST_RATE = 0.6
-#: Documents that the prior weighs at most; hosts that are all alike would make it endless.
-MAX_PRIOR = 1000.0
+#: Documents that the prior weighs: at least so many, so that a few failures don't
+#: reject a small host; at most so many, as hosts that are all alike would make it endless.
+MIN_PRIOR, MAX_PRIOR = 5.0, 1000.0
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -81,7 +82,7 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
     The beta prior has the mean failure rate m over all documents, and the
     strength that explains the spread of the hosts' rates beyond what chance
     makes of their sizes; with no such spread (or one host) it has the most
-    strength allowed. ``host_rate`` = (n_failed + strength * m) / (n_docs + strength).
+    strength allowed, and never less than the least. ``host_rate`` = (n_failed + strength * m) / (n_docs + strength).
     A null host is a host of its own.
     """
     hosts = cut(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"),
@@ -98,7 +99,7 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
         # weighted moments: E[sum n_i (p_i - mean)^2] = (hosts - 1) within + between * spare, about
         between = (sums["kk"] - total * mean * mean - (hosts_n - 1) * within) / spare
         if between > 0:
-            strength = min(MAX_PRIOR, max(0.0, within / between - 1))
+            strength = min(MAX_PRIOR, max(MIN_PRIOR, within / between - 1))
     rate = (k + F.lit(strength * mean)) / (n + F.lit(strength))
     return hosts.select("host", "n_docs", "n_failed", F.round(rate, 6).alias("host_rate"),
                         (rate <= F.lit(max_rate)).alias("host_ok"))
