@@ -23,10 +23,11 @@ MEMO_WORDS = 200_000  #: words whose counts a task remembers at a time
 
 
 def piece_vocabulary(model_file: str) -> tuple[list[str], list[str]]:
-    """Word-start and word-inner pieces of a sentencepiece model.
+    """Pieces of a sentencepiece model that may open a word, and those that may go on with it.
 
-    Pieces with the word-start mark open a word, other ordinary pieces go on
-    with it; control, unknown and byte pieces are left out.
+    Pieces with the word-start mark open a word only; other ordinary pieces may
+    stand anywhere (the model writes its bare mark before one that opens a
+    word). Control, unknown and byte pieces are left out.
     """
     import sentencepiece
 
@@ -40,7 +41,7 @@ def piece_vocabulary(model_file: str) -> tuple[list[str], list[str]]:
         if not text or "▁" in text:
             continue
         (start if piece != text else inner).append(text)
-    return start, inner
+    return [*dict.fromkeys([*start, *inner])], inner
 
 
 def build_automaton(start: Iterable[str], inner: Iterable[str]) -> tuple[dict, list, list]:
