@@ -36,12 +36,12 @@ def fold_of(doc_id: Column) -> Column:
 
 def lm_words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def micro_log(count: Column) -> Column:
-    """ln of a count (at least 1) in millionths."""
-    return F.round(F.log(F.greatest(count, F.lit(1)).cast("double")) * MICRO).cast("long")
+    """ln of a count (at least 1) in millionths, rounded half up."""
+    return F.floor(F.log(F.greatest(count, F.lit(1)).cast("double")) * MICRO + 0.5).cast("long")
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,8 +55,9 @@ def _fold_counts() -> list[Column]:
     return [F.sum(F.when(F.col("fold") == f, 1).otherwise(0)).cast("long").alias(f"c{f}") for f in (0, 1)]
 
 
-def _other(prefix: str = "") -> Column:
-    return F.when(F.col("fold") == 0, F.col(f"{prefix}c1")).otherwise(F.col(f"{prefix}c0"))
+def _other(zero: str = "c0", one: str = "c1") -> Column:
+    """What the half that a row's document isn't in has."""
+    return F.when(F.col("fold") == 0, F.col(one)).otherwise(F.col(zero))
 
 
 def _least_count(sizes: list, bits: int) -> int:
@@ -106,65 +107,71 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     totals = counts.where(F.col("h") != start).agg(
         F.coalesce(F.sum("c0"), F.lit(0)), F.coalesce(F.sum("c1"), F.lit(0))).first()
     known = known_words(counts, known_bits, hot_bits)
-    unseen = F.lit(round(math.log(backoff) * MICRO)) - F.when(F.col("fold") == 0, _log_lit(totals[1])).otherwise(
-        _log_lit(totals[0]))
-
-    side = [known.select(F.col("h").alias(f"h{s}"), F.col("id").alias(f"id{s}"), F.col("hot").alias(f"hot{s}"))
-            for s in "vw"]
-    pairs = (hashed.select("doc_id", "fold", F.explode_outer(F.when(F.size("h") > 1, F.transform(
-        F.sequence(F.lit(1), F.size("h") - 1), lambda i: F.struct(
-            F.col("h")[i - 1].alias("hv"), F.col("h")[i].alias("hw"))))).alias("p"))
-        .select("doc_id", "fold", "p.hv", "p.hw")
-        .join(F.broadcast(side[0]), "hv", "left").join(F.broadcast(side[1]), "hw", "left"))
-    both = F.col("idv").isNotNull() & F.col("idw").isNotNull()
+    # of an unseen pair, by the fold of its document: ln 0.4 - ln N of the other half
+    unseen = [_log_lit(backoff) - _log_lit(max(totals[1 - f], 1)) for f in (0, 1)]
+
+    others = F.size("h") - 1
+    pairs = hashed.select("doc_id", "fold", F.inline(F.arrays_zip(
+        F.slice("h", F.lit(1), others).alias("hv"), F.slice("h", F.lit(2), others).alias("hw"))))
+
+    def with_words(words: DataFrame, how: str) -> DataFrame:
+        out = pairs
+        for s in "vw":
+            named = words.select(F.col("h").alias(f"h{s}"), F.col("id").alias(f"id{s}"), F.col("hot").alias(f"hot{s}"))
+            out = out.join(F.broadcast(named), f"h{s}", how)
+        return out
+
     number = F.shiftleft("idv", 32).bitwiseOR(F.col("idw"))
-    hot = F.coalesce(F.col("hotv") & F.col("hotw"), F.lit(False))
+    first, second = F.shiftright("k", 32), F.col("k").bitwiseAND(F.lit((1 << 32) - 1))
 
-    # pairs of hot words: at most 4 ** hot_bits rows of counts
-    hot_pairs = pairs.where(hot).select("doc_id", "fold", number.alias("k"))
+    # pairs of hot words: at most 4 ** hot_bits rows of counts, and of scores for either fold
+    hot = known.where("hot")
+    hot_pairs = with_words(hot, "inner").select("doc_id", "fold", number.alias("k"))
     hot_counts = cut(hot_pairs.groupBy("k").agg(*_fold_counts()))
-    hot_rows = (pairs.where(hot | F.col("hw").isNull()).select("doc_id", "fold", number.alias("k"))
-                .join(F.broadcast(hot_counts), "k", "left")
-                .withColumn("seen", _other()).drop("c0", "c1"))
+    sides = [hot.select(F.col("id").alias(s), F.col("c0").alias(f"{s}0"), F.col("c1").alias(f"{s}1")) for s in "vw"]
+    hot_scores = cut(hot_counts.withColumns({"v": first, "w": second}).join(F.broadcast(sides[0]), "v")
+                     .join(F.broadcast(sides[1]), "w").select("k", *(x for f in (0, 1) for x in (
+                         F.when(F.col(f"c{1 - f}") > 0, micro_log(F.col(f"c{1 - f}")) - micro_log(F.col(f"v{1 - f}")))
+                         .otherwise(F.lit(unseen[f]) + micro_log(F.col(f"w{1 - f}"))).alias(f"s{f}"),
+                         (F.col(f"c{1 - f}") > 0).cast("long").alias(f"seen{f}")))))
+    hot_part = hot_pairs.join(F.broadcast(hot_scores), "k").select(
+        "doc_id", _other("s1", "s0").alias("value"), F.lit(1).cast("long").alias("n"),
+        _other("seen1", "seen0").alias("n_seen"))
+
     # the others: by hash, counted where they meet; rare words keep their hashes
-    rest = pairs.where(~hot & F.col("hw").isNotNull()).select(
-        "doc_id", F.when(both, number).otherwise(F.col("hv")).alias("k"),
+    both = F.col("idv").isNotNull() & F.col("idw").isNotNull()
+    rest = with_words(known, "left").where(~F.coalesce(F.col("hotv") & F.col("hotw"), F.lit(False))).select(
+        "doc_id", "fold", F.when(both, number).otherwise(F.col("hv")).alias("k"),
         F.when(~both, F.col("hw")).alias("rare"))
     same = Window.partitionBy("k", "rare")
-    fold = fold_of(F.col("doc_id"))
-    rest = rest.withColumn("fold", fold).select(
-        "doc_id", "fold", "k", "rare", (F.count(F.lit(1)).over(same) - F.sum(F.col("fold")).over(same)).alias("c0"),
-        F.sum(F.col("fold")).over(same).alias("c1")).withColumn("seen", _other()).drop("c0", "c1")
-
-    def scored(rows: DataFrame) -> DataFrame:
-        """One known count per row decides: the first word's if the pair is seen, else the second's."""
-        is_seen = F.col("seen") > 0
-        at = F.when(is_seen, F.shiftright("k", 32)).otherwise(F.col("k").bitwiseAND(F.lit((1 << 32) - 1)))
-        rare = F.when(F.col("rare").isNotNull(), F.when(is_seen, F.col("k")).otherwise(F.col("rare")))
-        looked = (rows.withColumn("at", F.when(F.col("rare").isNull(), at)).withColumn("x", rare)
-                  .join(F.broadcast(known.select(F.col("id").alias("at"), "c0", "c1")), "at", "left"))
-        sign = F.when(is_seen, -1).otherwise(1)
-        value = F.when(is_seen, micro_log(F.col("seen"))).otherwise(unseen)
-        word = F.col("k").isNotNull()
-        return looked.select(
-            "doc_id", "fold", "x", F.when(word, value + F.when(F.col("x").isNull(), sign * micro_log(_other())).otherwise(0))
-            .otherwise(0).alias("value"), F.when(F.col("x").isNotNull(), sign).otherwise(0).alias("sign"),
-            word.cast("long").alias("n"), (word & is_seen).cast("long").alias("n_seen"))
-
-    def summed(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy("doc_id", *keys).agg(*(F.sum(c).alias(c) for c in ("value", "n", "n_seen")), *(
-            [F.sum("sign").alias("sign")] if keys else []))
-
-    hot_part = summed(scored(hot_rows.withColumn("rare", F.lit(None).cast("long"))))
-    parts = cut(summed(scored(rest), "fold", "x"))
-    rare = (parts.where("x is not null").join(counts, F.col("x") == F.col("h"))
-            .select("doc_id", (F.col("value") + F.col("sign") * micro_log(_other())).alias("value"), "n", "n_seen"))
-    all_parts = (hot_part.unionByName(parts.where("x is null").select("doc_id", "value", "n", "n_seen"))
-                 .unionByName(rare))
-    out = summed(all_parts)
+    rest = rest.select("doc_id", "fold", "k", "rare", F.count(F.lit(1)).over(same).alias("all"),
+                       F.sum("fold").over(same).alias("ones"))
+    seen = F.when(F.col("fold") == 0, F.col("ones")).otherwise(F.col("all") - F.col("ones"))
+    is_seen = F.col("seen") > 0
+    # one known count decides: the first word's if the pair is seen, else the second's
+    logs = known.select(F.col("id").alias("at"), micro_log(F.col("c0")).alias("l0"), micro_log(F.col("c1")).alias("l1"))
+    rest = rest.select(
+        "doc_id", "fold", seen.alias("seen"), "k", "rare").select(
+        "doc_id", "fold", "seen", F.when(F.col("rare").isNull(), F.when(is_seen, first).otherwise(second)).alias("at"),
+        F.when(F.col("rare").isNotNull(), F.when(is_seen, F.col("k")).otherwise(F.col("rare"))).alias("x"))
+    sign = F.when(is_seen, -1).otherwise(1)
+    value = F.when(is_seen, micro_log(F.col("seen"))).when(F.col("fold") == 0, F.lit(unseen[0])).otherwise(F.lit(unseen[1]))
+    rest = rest.join(F.broadcast(logs), "at", "left").select(
+        "doc_id", "fold", "x", (value + F.coalesce(sign * _other("l0", "l1"), F.lit(0))).alias("value"),
+        F.when(F.col("x").isNotNull(), sign).otherwise(0).alias("sign"), F.lit(1).cast("long").alias("n"),
+        is_seen.cast("long").alias("n_seen"))
+
+    sums = ("value", "n", "n_seen")
+    parts = cut(rest.groupBy("doc_id", "fold", "x").agg(*(F.sum(c).alias(c) for c in (*sums, "sign"))))
+    rare = parts.where("x is not null").join(counts, F.col("x") == F.col("h")).select(
+        "doc_id", (F.col("value") + F.col("sign") * micro_log(_other())).alias("value"), "n", "n_seen")
+    zero = F.lit(0).cast("long")
+    all_parts = (hot_part.unionByName(parts.where("x is null").select("doc_id", *sums)).unionByName(rare)
+                 .unionByName(hashed.select("doc_id", *(zero.alias(c) for c in sums))))
+    out = all_parts.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in sums))
     return out.select("doc_id", F.col("n").alias("n_words"), "n_seen", F.col("value").alias("score_micro"),
                       F.when(F.col("n") > 0, F.round(F.col("value") / MICRO / F.col("n"), 6)).alias("mean_logprob"))
 
 
-def _log_lit(total: int) -> Column:
-    return F.lit(round(math.log(max(total, 1)) * MICRO)).cast("long")
+def _log_lit(value: float) -> int:
+    return round(math.log(value) * MICRO)
