@@ -14,6 +14,9 @@ NODES = ("extract", "score", "generate_tag", "review")
 
 @dataclass(frozen=True)
 class CurationConfig:
+    # one timestamp per run (ISO text, second precision, naive local time);
+    # it names the run, so two runs never share one
+    run_ts: str
     # links asked from discovery per source and mode
     max_links: int = 5
     # "discover": the cap applies to discovered links, before the URL filter
@@ -23,8 +26,6 @@ class CurationConfig:
     # error handling, and the article falls back to its initial state;
     # "accumulate": every stage error is kept and later stages still run.
     on_missing_excerpt: str = "collapse"
-    # one timestamp per run (ISO text, second precision, naive local time)
-    run_ts: str = "2026-01-01T00:00:00"
     # text cells of the review mirror are cut to this many code points
     text_max: int = 1900
     # rate-limit retry policy for discovery/fetch calls
@@ -37,8 +38,8 @@ class CurationConfig:
     # prompts per Arrow batch handed to the model callable (each prompt holds
     # a whole article, so the default 10k-row batches could reach gigabytes)
     model_batch_rows: int = 256
-    # a side is broadcast only if it has at most this many rows (checked)
-    broadcast_max_rows: int = 200_000
+    # what the model is told before each node's message (see enrich.SYSTEM_PROMPTS)
+    system_prompts: dict | None = None
     statuses: tuple = field(default=STATUSES)
     tags: tuple = field(default=TAGS)
 

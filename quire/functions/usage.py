@@ -4,7 +4,8 @@ Precedence: ``token_usage`` then ``usage``; in each, input =
 prompt_tokens | input_tokens, output = completion_tokens | output_tokens,
 total = total_tokens | input+output, where a zero counts as absent; the
 first block with any non-zero count wins. Otherwise the counts are summed
-over ``generations[].usage_metadata`` (total = its sum, or input+output).
+over the generations (a list, or a list of lists) by ``usage_metadata`` or
+``message.usage_metadata`` (total = its sum, or input+output).
 
 The record is parsed once to VARIANT; the candidate counts are extracted in
 one projection and combined in the next, so each generated expression stays
@@ -29,9 +30,11 @@ def _num(v: str, path: str) -> Column:
 
 
 def _gen_sum(v: str, key: str) -> Column:
-    gens = f"coalesce(try_variant_get({v}, '$.generations', 'array<variant>'), array())"
-    return F.expr(f"aggregate({gens}, 0L, (acc, g) -> acc + coalesce(try_cast("
-                  f"try_variant_get(g, '$.usage_metadata.{key}', 'double') AS BIGINT), 0L))")
+    gens = (f"coalesce(flatten(try_variant_get({v}, '$.generations', 'array<array<variant>>')), "
+            f"try_variant_get({v}, '$.generations', 'array<variant>'), array())")
+    return F.expr(f"aggregate({gens}, 0L, (acc, g) -> acc + coalesce(try_cast(coalesce("
+                  f"try_variant_get(g, '$.usage_metadata.{key}', 'double'), "
+                  f"try_variant_get(g, '$.message.usage_metadata.{key}', 'double')) AS BIGINT), 0L))")
 
 
 def _first_nonzero(*cols: Column) -> Column:

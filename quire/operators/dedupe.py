@@ -4,9 +4,11 @@ Identity is the SHA-256 of the normalised URL. The store side is a narrow
 (hash_code) table. A batch whose keys fit the broadcast threshold probes
 the store through a broadcast semi-join (the store is scanned, not
 shuffled); otherwise both sides shuffle on the hash, which is uniform on the
-store side. A hot hash on the batch side (one URL scraped many times) is
-reduced by partial aggregation before any shuffle, or split by AQE's
-skew-join handling.
+store side.
+
+Winners are found on keys alone: one row per hash is summed up before the
+shuffle, what is stored already is taken off that narrow table, and the wide
+rows join it last. A hash that holds a third of the rows is one row there.
 """
 
 from __future__ import annotations
@@ -62,26 +64,42 @@ def dedupe_counts(rows: DataFrame, store: DataFrame, seen: DataFrame | None = No
         seen = seen_hashes(rows, store)
     seen = seen.withColumn("seen", F.lit(True))
     j = per_hash.join(seen, "hash_code", "left")
-    return j.agg(F.sum("n").cast("bigint").alias("total"),
+    return j.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
                  F.coalesce(F.sum(F.when(F.col("seen"), F.col("n"))), F.lit(0)).cast("bigint")
                  .alias("skipped")).withColumn("new", F.col("total") - F.col("skipped"))
 
 
-def batch_unique(rows: DataFrame, order_cols=("doc_id",)):
+def winner_keys(rows: DataFrame, order_cols=("doc_id",), seen: DataFrame | None = None) -> DataFrame:
+    """``hash_code, _win, _ties``: the smallest ``order_cols`` of each hash that
+    is not in ``seen``, and how many rows share it."""
+    key = F.struct(*order_cols)
+    keys = rows.groupBy("hash_code", key.alias("_win")).agg(F.count(F.lit(1)).alias("_ties"))
+    win = keys.groupBy("hash_code").agg(F.min(F.struct("_win", "_ties")).alias("_w"))
+    win = win.select("hash_code", "_w.*")
+    return win if seen is None else win.join(seen, "hash_code", "left_anti")
+
+
+def batch_unique(rows: DataFrame, order_cols=("doc_id",), seen: DataFrame | None = None):
     """Split a batch into (winners, losers): one winner per hash, the smallest
     ``order_cols``; losers carry ``reject_reason='duplicate_hash'``.
 
-    The winner per hash is found by aggregation (partial, map-side), not by
-    a window, so a hash held by a third of the rows never lands whole in one
-    task; the join back is many-to-one and skew-splittable.
+    With ``seen``, rows whose hash is stored already are in neither. Rows that
+    tie on ``order_cols`` are told apart by all their columns, so one wins even
+    among equal rows. Rows without a hash lose with ``missing_hash``.
     """
-    # a single order column stays a plain min (hash aggregate); several need
-    # a struct min (sort-based aggregate)
-    key = F.col(order_cols[0]) if len(order_cols) == 1 else \
-        F.struct(*[F.col(c) for c in order_cols])
-    win = rows.groupBy("hash_code").agg(F.min(key).alias("_win"))
-    j = rows.join(win, "hash_code").withColumn("_is_win", key == F.col("_win")).drop("_win")
-    winners = j.where("_is_win").drop("_is_win")
-    losers = j.where("NOT _is_win").drop("_is_win").withColumn("reject_reason",
-                                                               F.lit("duplicate_hash"))
+    cols = rows.columns
+    j = rows.join(winner_keys(rows, order_cols, seen), "hash_code")
+    j = j.withColumn("_first", F.struct(*order_cols).eqNullSafe(F.col("_win")))
+    whole = F.struct(*cols)
+    best = j.where("_first").groupBy("hash_code").agg(F.min(whole).alias("_best"))
+    winners = best.select("_best.*").select(cols)
+    tied = j.where("_first AND _ties > 1").groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    tied = tied.join(best, "hash_code").withColumn(
+        "_n", F.col("_n") - whole.eqNullSafe(F.col("_best")).cast("int")).where("_n > 0")
+    # equal rows are listed again in steps, so that no array grows with their number
+    tied = tied.withColumn("_from", F.explode(F.expr("sequence(0, _n - 1, 1000)")))
+    tied = tied.withColumn("_k", F.explode(F.expr("sequence(_from, least(_from + 999, _n - 1))")))
+    losers = j.where("NOT _first").select(cols).unionByName(tied.select(cols))
+    losers = losers.withColumn("reject_reason", F.lit("duplicate_hash")).unionByName(
+        rows.where(F.col("hash_code").isNull()).withColumn("reject_reason", F.lit("missing_hash")))
     return winners, losers

@@ -5,9 +5,8 @@ review. Each stage is request builder (native) -> model answers (a table of
 responses, or a user callable run with ``mapInPandas``) -> lax decode
 (native, see ``functions.decode``) -> merge into the article state.
 
-Answers are joined to articles on the row key with left joins; the article
-side is shuffled once on the key and each stage's answers once, and the
-later joins reuse that partitioning.
+The answers of all stages are gathered to one row per key and joined to the
+articles once.
 
 A failed stage contributes none of its fields and appends ``{node, error}``
 to ``stage_errors``. In ``collapse`` mode (what the original code does) a
@@ -46,6 +45,25 @@ REVIEW_PROMPT = ("<SOURCE_URL>{article_url}</SOURCE_URL>\n\n"
                  "published_at: {published_at}\nread_minutes: {read_minutes}\nnotes: {notes}"
                  "\n</EXTRACTED_FIELDS>")
 
+# What the model is told before each message. Own wording; a run may pass others.
+SCORE_RUBRIC = (
+    "Relevance, 0 to 10: 9-10 speaks directly to the readers' decisions, 6-8 is useful background, "
+    "3-5 touches the subject, 0-2 is off topic. Quality, 0 to 10: 9-10 is first-hand, sourced and clear, "
+    "6-8 is sound with gaps, 3-5 is thin or one-sided, 0-2 is promotional, broken or unreadable.")
+SYSTEM_PROMPTS = {
+    "extract": ("You read one web article in Markdown and return its facts as one JSON object with the keys "
+                "title_zh, title_en, excerpt_zh, excerpt_en, author, country, published_at, read_minutes and "
+                "notes. Translate titles and excerpts where one language is missing. Use only what the article "
+                "says; leave unknown text fields empty. published_at is an ISO date; read_minutes is a whole number."),
+    "score": ("You judge one web article for an editorial team. " + SCORE_RUBRIC + " Return one JSON object with "
+              "the whole numbers relevance_score and quality_score, and reason in one or two sentences."),
+    "generate_tag": ("You file an article under exactly one tag by its excerpt: " + ", ".join(TAGS) + ". Return one "
+                     "JSON object with tag and tag_reason."),
+    "review": ("You check extracted fields against the article they came from. Correct what is wrong, keep what is "
+               "right, and return one JSON object with all the fields, needs_revision (true if you changed any) and "
+               "review_notes."),
+}
+
 # The error text of the collapse path.
 COLLAPSE_NODE = "ainvoke"
 COLLAPSE_ERROR = "'excerpt_en'"
@@ -72,6 +90,15 @@ def render(template: str, cols: dict[str, Column]) -> Column:
 
 
 # requests ----------------------------------------------------------------------
+def system_message(node: Column, prompts: dict[str, str] | None = None) -> Column:
+    """What the model is told before a node's message."""
+    told = SYSTEM_PROMPTS | (prompts or {})
+    out = F.lit(None).cast("string")
+    for n in NODES:
+        out = F.when(node == n, F.lit(told[n])).otherwise(out)
+    return out
+
+
 def extract_request(df: DataFrame) -> Column:
     return render(EXTRACT_PROMPT, {
         "article_url": F.col("article_url"),
@@ -143,20 +170,33 @@ def decode_responses(responses: DataFrame, node: str, key: str = "doc_id") -> Da
                     F.lit(True).alias(f"{p}_present"))
 
 
-def attach_decoded(articles: DataFrame, responses: DataFrame, key: str = "doc_id",
-                   nodes=NODES) -> DataFrame:
-    """Left-join each stage's decoded answers to the articles; an article
-    without an answer gets ``missing_response``."""
-    out = articles
+def decode_answers(responses: DataFrame, key: str = "doc_id", nodes=NODES) -> DataFrame:
+    """All stages' answers of a key in one row: key, <p>_<fields>, <p>_err.
+
+    The answers are read and shuffled once. Of several answers for one key and
+    stage, one without an error wins, then the last in text order.
+    """
+    picked = [F.max(F.when(F.col("node") == n, F.struct(
+        F.col("error").isNull().alias("ok"), "response", "error"))).alias(f"_{PREFIX[n]}_answer") for n in nodes]
+    out = responses.where(F.col("node").isin(*nodes)).groupBy(key).agg(*picked)
     for n in nodes:
         p = PREFIX[n]
-        out = out.join(decode_responses(responses, n, key), key, "left")
-        out = out.withColumn(f"{p}_err", F.when(F.col(f"{p}_present").isNull(),
-                                                F.lit("missing_response"))
-                             .otherwise(F.col(f"{p}_err"))).drop(f"{p}_present")
+        out = out.withColumns({f"_{p}_response": F.col(f"_{p}_answer.response"),
+                               f"_{p}_error": F.col(f"_{p}_answer.error")}).drop(f"_{p}_answer")
+        out = decode_node(out, n, f"_{p}_response", f"_{p}_error").drop(f"_{p}_response", f"_{p}_error")
     return out
 
 
+def attach_decoded(articles: DataFrame, responses: DataFrame, key: str = "doc_id",
+                   nodes=NODES) -> DataFrame:
+    """Left-join the decoded answers to the articles; a stage without an answer
+    gets ``missing_response``."""
+    decoded = decode_answers(responses, key, nodes).withColumn("_answered", F.lit(True))
+    out = articles.join(decoded, key, "left")
+    return out.withColumns({f"{PREFIX[n]}_err": F.when(F.col("_answered").isNull(), F.lit("missing_response"))
+                            .otherwise(F.col(f"{PREFIX[n]}_err")) for n in nodes}).drop("_answered")
+
+
 def valid_only(df: DataFrame, err_col: str) -> DataFrame:
     """Rows whose stage answer is valid.
 
@@ -211,7 +251,7 @@ def error_nodes(c: str = "stage_errors") -> Column:
     return F.array_join(F.transform(F.col(c), lambda x: F.coalesce(x["node"], F.lit("?"))), ",")
 
 
-def enrich(articles: DataFrame, responses: DataFrame, cfg: CurationConfig = CurationConfig(),
+def enrich(articles: DataFrame, responses: DataFrame, cfg: CurationConfig,
            key: str = "doc_id") -> DataFrame:
     """Articles (with article_url, source_name, raw_markdown, scraped_at) ->
     articles with every model field and ``stage_errors``."""
@@ -222,26 +262,71 @@ def enrich(articles: DataFrame, responses: DataFrame, cfg: CurationConfig = Cura
 
 
 # pluggable model ----------------------------------------------------------------
-# pandas DataFrame (doc_id, node, prompt) -> pandas DataFrame (doc_id, node, response, error)
+# pandas DataFrame (doc_id, node, system, prompt) -> pandas DataFrame (doc_id, node, response, error
+# and, where the model tells it, usage: a JSON record of its tokens)
 ModelFn = Callable[["object"], "object"]
+ANSWER_COLUMNS = ("doc_id", "node", "response", "error", "usage", "duration_sec", "started_at")
 
 
-def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None) -> DataFrame:
-    """Run a user model callable over (key, node, prompt) batches.
+def call_model(fn: ModelFn, pdf):
+    """``fn``'s answers for a batch, timed; each row stands for itself.
 
-    ``fn`` gets a pandas DataFrame with columns doc_id, node, prompt and
-    returns doc_id, node, response, error. ``partitions`` caps how many
-    calls run at once (one task per partition).
+    If a batch raises, its rows are asked one by one, and a row that raises
+    again has no response and the error's name and text.
+    """
+    import time
+
+    import pandas as pd
+
+    def ask(part):
+        began = time.time()
+        out = fn(part).reset_index(drop=True)
+        out["usage"] = out["usage"] if "usage" in out else None
+        out["duration_sec"] = (time.time() - began) / max(1, len(part))
+        out["started_at"] = pd.Timestamp(began, unit="s").floor("us")
+        return out[list(ANSWER_COLUMNS)]
+
+    try:
+        return ask(pdf)
+    except Exception:  # noqa: BLE001 - one row must not end the run
+        parts = []
+        for i in range(len(pdf)):
+            row = pdf.iloc[i: i + 1]
+            try:
+                parts.append(ask(row))
+            except Exception as exc:  # noqa: BLE001
+                failed = row[["doc_id", "node"]].assign(response=None, error=f"{type(exc).__name__}: {exc}")
+                parts.append(failed.assign(usage=None, duration_sec=None, started_at=pd.NaT)[list(ANSWER_COLUMNS)])
+        return pd.concat(parts) if parts else pd.DataFrame(columns=list(ANSWER_COLUMNS))
+
+
+def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None,
+          system_prompts: dict[str, str] | None = None) -> DataFrame:
+    """Run a user model callable over (key, node, system, prompt) batches.
+
+    ``fn`` gets a pandas DataFrame with columns doc_id, node, system, prompt and
+    returns doc_id, node, response, error and optionally usage. The answers also
+    carry duration_sec (a batch's time over its rows) and started_at.
+    ``partitions`` caps how many calls run at once (one task per partition).
     """
     if partitions:
         requests = requests.repartition(partitions)
 
     def run(batches):
         for pdf in batches:
-            yield fn(pdf)[["doc_id", "node", "response", "error"]]
+            yield call_model(fn, pdf)
+
+    schema = T.StructType([requests.schema["doc_id"], *RESPONSES.fields[1:], T.StructField("usage", T.StringType()),
+                           T.StructField("duration_sec", T.DoubleType()),
+                           T.StructField("started_at", T.TimestampNTZType())])
+    asked = requests.withColumn("system", system_message(F.col("node"), system_prompts))
+    return asked.select("doc_id", "node", "system", "prompt").mapInPandas(run, schema)
+
 
-    schema = T.StructType([requests.schema["doc_id"], *RESPONSES.fields[1:]])
-    return requests.select("doc_id", "node", "prompt").mapInPandas(run, schema)
+def model_attempts(answers: DataFrame) -> DataFrame:
+    """``stage, duration_sec, usage, started_at`` of the model's answered calls."""
+    return answers.where("duration_sec is not null").select(
+        F.col("node").alias("stage"), "duration_sec", "usage", "started_at")
 
 
 BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -256,7 +341,7 @@ def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str) ->
         old = spark.conf.get(BATCH_ROWS_CONF, None)
         spark.conf.set(BATCH_ROWS_CONF, str(cfg.model_batch_rows))
         try:
-            infer(requests, fn, cfg.model_partitions).write.mode("overwrite").parquet(path)
+            infer(requests, fn, cfg.model_partitions, cfg.system_prompts).write.mode("overwrite").parquet(path)
         finally:
             if old is None:
                 spark.conf.unset(BATCH_ROWS_CONF)
@@ -265,8 +350,8 @@ def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str) ->
     return spark.read.parquet(path)
 
 
-def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str) -> DataFrame:
-    """Staged model calls with each stage's answers written once to
+def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str):
+    """(enriched articles, the answers). Staged model calls with each stage's answers written once to
     ``write_path`` (a folder in the shared checkpoint dir), so a retried or
     re-evaluated plan never calls the model again for the same rows.
 
@@ -286,4 +371,5 @@ def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path:
     rv_src = ok if cfg.on_missing_excerpt == "collapse" else ex
     rv_req = rv_src.select("doc_id", F.lit("review").alias("node"), review_request().alias("prompt"))
     r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg, f"{write_path}/stage2")
-    return enrich(articles, r1.unionByName(r2), cfg)
+    answers = r1.unionByName(r2)
+    return enrich(articles, answers, cfg), answers

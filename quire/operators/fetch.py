@@ -2,23 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import html_to_text
 
 
+def _body(bodies: DataFrame) -> Column:
+    """``markdown`` where a body has it, else ``html``; with the kind."""
+    has = set(bodies.columns)
+    none = F.lit(None).cast("string")
+    markdown = F.col("markdown") if "markdown" in has else none
+    html = F.col("html") if "html" in has else none
+    return F.struct(F.length(F.coalesce(markdown, html)).alias("n"), F.coalesce(markdown, html).alias("body"),
+                    markdown.isNull().alias("is_html"))
+
+
+def one_body(bodies: DataFrame, urls: DataFrame) -> DataFrame:
+    """``url, body, is_html``: one body for each of ``urls`` that has any.
+
+    A URL fetched several times keeps its longest body (of equally long ones
+    the last in text order). Only bodies that were asked for are compared.
+    """
+    asked = bodies.join(urls.select("url").distinct(), "url", "left_semi")
+    best = asked.groupBy("url").agg(F.max(_body(bodies)).alias("b"))
+    return best.select("url", "b.body", "b.is_html")
+
+
 def scrape_join(kept: DataFrame, bodies: DataFrame) -> DataFrame:
     """One row per kept link; a link without a fetched body has NULL markdown.
 
-    The narrow link side is joined on the URL first; the HTML-to-text regex
-    chain runs only on bodies that were asked for.
+    ``bodies``: url with ``html``, ``markdown`` or both. The narrow link side is
+    joined on the URL first; the HTML-to-text regex chain runs only on bodies
+    that were asked for.
     """
-    b = bodies.select(F.col("url").alias("article_url"), "html")
+    b = one_body(bodies, kept).withColumnRenamed("url", "article_url")
     j = kept.select("source_id", "pos", "source_name", "source_url",
                     F.col("url").alias("article_url")).join(b, "article_url", "left")
+    text = F.when(F.col("is_html"), html_to_text(F.col("body"))).otherwise(F.col("body"))
     return j.select("source_id", "pos", "source_name", "source_url", "article_url",
-                    html_to_text(F.col("html")).alias("markdown"))
+                    text.alias("markdown"))
+
+
+def fetch_bodies(kept: DataFrame, fn: Callable[[str], str | None], partitions: int | None = None) -> DataFrame:
+    """``url, markdown, error`` of each different kept URL, from a user callable.
+
+    A URL whose call raises has a null body and the error; the others go on.
+    ``partitions`` caps how many calls run at once.
+    """
+    urls = kept.select("url").where("url is not null").distinct()
+    urls = urls.repartition(partitions) if partitions else urls
+
+    def run(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            got = []
+            for url in pdf["url"]:
+                try:
+                    got.append((fn(url), None))
+                except Exception as exc:  # noqa: BLE001 - one page must not end the run
+                    got.append((None, f"{type(exc).__name__}: {exc}"))
+            yield pdf.assign(markdown=[g[0] for g in got], error=[g[1] for g in got])
+
+    return urls.mapInPandas(run, "url string, markdown string, error string")
 
 
 def drop_empty_body(scraped: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.richtext import rich_text, status_text
 from ..functions.timeparse import clean_datetime_text, epoch_ms_from_clean
 from ..schemas import (MIRROR_DATE_FIELDS, MIRROR_FIELDS, MIRROR_NUMBER_FIELDS,
                        MIRROR_TEXT_FIELDS)
+from ..session import shared_dir
 from .store import stage_errors_json
 
 FIELD_NAMES = tuple(n for n, _ in MIRROR_FIELDS)
@@ -51,91 +52,98 @@ def mirror_fields(records: DataFrame, text_max: int = 1900, tz: str = "UTC") ->
     return records.select(*[cols[n].alias(n) for n in FIELD_NAMES])
 
 
-def mark_first(snapshot: DataFrame) -> DataFrame:
-    """Flag the first record (lowest record_pos) of each unique_id."""
-    firsts = (snapshot.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
-              .groupBy("unique_id").agg(F.min("record_pos").alias("record_pos"))
-              .withColumn("_first", F.lit(True)))
-    return snapshot.join(firsts, ["unique_id", "record_pos"], "left") \
-        .withColumn("_first", F.coalesce(F.col("_first"), F.lit(False)))
+def _at_first(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
+    """Increment cells (``_i_<name>``) with ``_pos``: the position of the first
+    record of the same id, null if there is none. Rows without an id are left out.
 
-
-def upsert(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
-    """New snapshot with an ``action`` column: unchanged / updated / created.
-
-    ``snapshot``: record_id, record_pos, 26 cells. ``increment``: 26 cells.
-    Increment rows without unique_id are skipped.
-
-    Only the first record of each id can match, so only those go through
-    the full outer join (at most one row per id on each side); duplicate
-    records bypass it unchanged. A heavily duplicated id therefore never
-    gathers in one join task (AQE cannot split skew in a full outer join).
+    First positions are found on two narrow columns; the increment is used once.
     """
     inc = increment.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
     inc = inc.select(*[F.col(n).alias(f"_i_{n}") for n in FIELD_NAMES])
-    snap = mark_first(snapshot)
-    rest = snap.where(~F.col("_first")).select(
-        "record_id", "record_pos", *FIELD_NAMES, F.lit("unchanged").alias("action"))
-    firsts = snap.where(F.col("_first"))
-    j = firsts.join(inc, firsts["unique_id"] == inc["_i_unique_id"], "full_outer")
+    firsts = (snapshot.select(F.col("unique_id").alias("_i_unique_id"), "record_pos")
+              .where("_i_unique_id is not null")
+              .groupBy("_i_unique_id").agg(F.min("record_pos").alias("_pos")))
+    return inc.join(firsts, "_i_unique_id", "left")
+
+
+def _merged(j: DataFrame) -> DataFrame:
+    """Record columns and ``action`` of snapshot records joined to increment cells."""
     has_snap, has_inc = F.col("record_id").isNotNull(), F.col("_i_unique_id").isNotNull()
     out = []
     for n in FIELD_NAMES:
         s, i = F.col(n), F.col(f"_i_{n}")
-        if n in ALWAYS_WRITTEN:
-            v = F.when(has_inc, i).otherwise(s)
-        else:
-            v = F.when(has_inc, F.coalesce(i, s)).otherwise(s)
-        out.append(v.alias(n))
+        v = i if n in ALWAYS_WRITTEN else F.coalesce(i, s)
+        out.append(F.when(has_inc, v).otherwise(s).alias(n))
     action = (F.when(has_snap & has_inc, F.lit("updated"))
               .when(has_inc, F.lit("created")).otherwise(F.lit("unchanged")))
     rid = F.coalesce(F.col("record_id"), F.concat(F.lit("new-"), F.col("_i_unique_id")))
-    merged = j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
-    return merged.unionByName(rest)
+    return j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
+
+
+def upsert(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
+    """New snapshot with an ``action`` column: unchanged / updated / created.
+
+    ``snapshot``: record_id, record_pos, 26 cells. ``increment``: 26 cells, one
+    row per id. Increment rows without unique_id are skipped.
+
+    Only the first record of an id is updated, so records and increment join
+    once, on id and position: records that share an id spread by position, and
+    no task gathers them.
+    """
+    inc = _at_first(snapshot, increment)
+    j = snapshot.join(inc, (F.col("unique_id") == F.col("_i_unique_id"))
+                      & (F.col("record_pos") == F.col("_pos")), "full_outer")
+    return _merged(j)
 
 
 def upsert_feed(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
     """Only the records an upsert touches (action updated / created), with
     their new cells: what is pushed to the review table.
 
-    Unlike ``upsert`` this never rewrites the whole mirror. Mirror records are
-    first narrowed to the increment's ids (a semi-join, which the planner
-    runs as a broadcast of the increment keys when they are small), and the
-    first record per id is chosen within that subset.
+    The increment is computed once, into a checkpoint that also holds each id's
+    first position; the mirror is read for those positions and for the cells of
+    the records found, never rewritten.
     """
-    inc = increment.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
-    keys = inc.select("unique_id").distinct()
-    touched = mark_first(snapshot.join(keys, "unique_id", "left_semi")).where("_first")
-    i = inc.select(*[F.col(n).alias(f"_i_{n}") for n in FIELD_NAMES])
-    j = i.join(touched, i["_i_unique_id"] == touched["unique_id"], "left")
-    has_snap = F.col("record_id").isNotNull()
-    out = []
-    for n in FIELD_NAMES:
-        s, v = F.col(n), F.col(f"_i_{n}")
-        out.append((v if n in ALWAYS_WRITTEN else F.coalesce(v, s)).alias(n))
-    action = F.when(has_snap, F.lit("updated")).otherwise(F.lit("created"))
-    rid = F.coalesce(F.col("record_id"), F.concat(F.lit("new-"), F.col("_i_unique_id")))
-    return j.select(rid.alias("record_id"), F.col("record_pos"), *out, action.alias("action"))
+    shared_dir(snapshot.sparkSession)
+    inc = _at_first(snapshot, increment).checkpoint()
+    found = snapshot.join(inc, (F.col("unique_id") == F.col("_i_unique_id"))
+                          & (F.col("record_pos") == F.col("_pos")))
+    fresh = inc.where(F.col("_pos").isNull()).withColumns(
+        {c.name: F.lit(None).cast(c.dataType) for c in snapshot.schema.fields})
+    return _merged(found).unionByName(_merged(fresh))
+
 
+def first_failed_page(pull: DataFrame) -> DataFrame:
+    """One row, ``page``: the first failed page, null when every page is ok."""
+    return pull.where(~F.col("page_ok")).agg(F.min("page").alias("page"))
 
-def pull_statuses(pull: DataFrame):
-    """Mirror rows -> (valid, quarantined) statuses.
+
+def decode_pull(pull: DataFrame, stop_page: int | None = None) -> DataFrame:
+    """Mirror rows -> pos, unique_id, status, reject_reason (null for a valid status).
 
     Only pages before the first failed page are used (a failed page ends the
-    scan); blank ids or statuses are skipped; statuses outside the domain go
+    scan), and before ``stop_page``, where an earlier part of the same pull
+    ended; blank ids or statuses are skipped; statuses outside the domain go
     to quarantine.
     """
     rows = pull
     if "page_ok" in pull.columns:
         # scalar subquery: the first failed page (NULL when every page is ok)
-        fail = pull.where(~F.col("page_ok")).agg(F.min("page")).scalar()
+        fail = first_failed_page(pull).scalar()
         rows = pull.where(fail.isNull() | (F.col("page") < fail))
+    if stop_page is not None:
+        rows = rows.where(F.col("page") < stop_page)
     x = rows.select("pos", rich_text("unique_id_cell").alias("unique_id"),
                     status_text("status_cell").alias("status"))
     blank = (F.col("unique_id") == "") | (F.col("status") == "")
     bad = ~F.col("status").isin(*STATUSES)
     reason = F.when(blank, F.lit("blank")).when(bad, F.lit("invalid_status"))
-    x = x.withColumn("reject_reason", reason)
+    return x.withColumn("reject_reason", reason)
+
+
+def pull_statuses(pull: DataFrame, stop_page: int | None = None):
+    """Mirror rows -> (valid, quarantined) statuses."""
+    x = decode_pull(pull, stop_page)
     return (x.where(F.col("reject_reason").isNull()).drop("reject_reason"),
             x.where(F.col("reject_reason").isNotNull()))
 

@@ -26,7 +26,7 @@ def stage_errors_json(c: str = "stage_errors") -> Column:
     return F.to_json(F.coalesce(F.col(c), F.array().cast("array<struct<node:string,error:string>>")))
 
 
-def to_store_rows(records: DataFrame, cfg: CurationConfig = CurationConfig()) -> DataFrame:
+def to_store_rows(records: DataFrame, cfg: CurationConfig) -> DataFrame:
     """Processed records -> store rows (all 28 columns, plus run_id and any
     extra key columns the records carry)."""
     ts = F.lit(cfg.run_ts)
@@ -64,19 +64,34 @@ def store_columns(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*ARTICLE_COLUMNS, *extra)
 
 
-def latest_change(changes: DataFrame, value_cols, seq: str = "seq", key: str = "unique_id"):
-    """Last change per key by ``seq`` (struct of ``value_cols``)."""
-    last = F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(seq))
+def latest_change(changes: DataFrame, value_cols, key: str = "unique_id"):
+    """Last change per key (struct of ``value_cols``).
+
+    Changes are ordered by when they were made, then by the sync that brought
+    them (``run_id``, where there is one), then by position within it.
+    """
+    order = [c for c in ("changed_at", "run_id", "seq") if c in changes.columns]
+    last = F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.struct(*order))
     return changes.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
 
 
+def latest_status(changes: DataFrame) -> DataFrame:
+    """``unique_id, new_status, changed_at``; changes outside the domain are ignored."""
+    return latest_change(changes.where(F.col("new_status").isin(*STATUSES)), ("new_status", "changed_at"))
+
+
+def latest_tag(changes: DataFrame) -> DataFrame:
+    """``unique_id, new_tag, is_clear, changed_at``; tags outside the domain are ignored."""
+    ok = F.col("is_clear") | F.col("tag").isin(*TAGS)
+    return latest_change(changes.where(ok).withColumnRenamed("tag", "new_tag"),
+                         ("new_tag", "is_clear", "changed_at"))
+
+
 def apply_status(facts: DataFrame, changes: DataFrame) -> DataFrame:
     """facts (unique_id, status, updated_at) + changes (unique_id, new_status,
-    changed_at, seq) -> current (unique_id, status, updated_at, changed).
+    changed_at, run_id, seq) -> current (unique_id, status, updated_at, changed).
     Changes outside the status domain are ignored; unknown ids are no-ops."""
-    valid = changes.where(F.col("new_status").isin(*STATUSES))
-    last = latest_change(valid, ("new_status", "changed_at"))
-    j = facts.join(last, "unique_id", "left")
+    j = facts.join(latest_status(changes), "unique_id", "left")
     changed = F.col("new_status").isNotNull()
     return j.select("unique_id",
                     F.when(changed, F.col("new_status")).otherwise(F.col("status")).alias("status"),
@@ -87,12 +102,9 @@ def apply_status(facts: DataFrame, changes: DataFrame) -> DataFrame:
 
 def apply_tag(facts: DataFrame, changes: DataFrame) -> DataFrame:
     """facts (unique_id, tag, updated_at) + changes (unique_id, tag, is_clear,
-    changed_at, seq) -> current (unique_id, tag, updated_at, changed).
+    changed_at, run_id, seq) -> current (unique_id, tag, updated_at, changed).
     A clear sets NULL (it must not fall back to the old tag)."""
-    ok = F.col("is_clear") | F.col("tag").isin(*TAGS)
-    last = latest_change(changes.where(ok).withColumnRenamed("tag", "new_tag"),
-                         ("new_tag", "is_clear", "changed_at"))
-    j = facts.join(last, "unique_id", "left")
+    j = facts.join(latest_tag(changes), "unique_id", "left")
     changed = F.col("is_clear").isNotNull()
     return j.select("unique_id",
                     F.when(changed, F.when(~F.col("is_clear"), F.col("new_tag")))

@@ -1,17 +1,70 @@
 """DuckDB SQL for each registered query, over the same parquet tables.
 
 Used only to check the Spark results (the fixture derivations are rebuilt
-here as CTEs). Kept in plain SQL so the check does not share code with the
-Spark side.
+here as CTEs). Kept in plain SQL with constants of its own, so that a wrong one
+on the Spark side shows.
 """
 
 from __future__ import annotations
 
-from .functions.html import HTML_STEPS
-from .functions.text import PY_WHITESPACE
-from .operators.discover import ASSET_URL
-from .operators.enrich import EXTRACT_PROMPT, REVIEW_PROMPT, SCORE_PROMPT, TAG_PROMPT
-from .schemas import MIRROR_FIELDS
+# Fixed values, stated here once more -----------------------------------------
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                 "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+ASSET_URL = r"(?i)\.(pdf|jpe?g|png|gif|svg|webp|mp4|webm|mp3|zip)(?:\?.*)?$"
+HTML_STEPS = (
+    (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<head\b[^>]*>.*?</head\s*>", ""),
+    (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
+    (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
+    (r"(?is)<nav\b[^>]*>.*?</nav\s*>", ""),
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"(?i)</(p|div|h[1-6]|li|tr|article|section)\s*>", "\n"),
+    (r"<[^>]*>", ""),
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
+    (r"[ \t]+\n", "\n"),
+    (r"\n{3,}", "\n\n"),
+)
+EXTRACT_PROMPT = """<SOURCE_URL>{article_url}</SOURCE_URL>
+<SOURCE_NAME>{source_name}</SOURCE_NAME>
+<SCRAPED_AT>{scraped_at}</SCRAPED_AT>
+
+<ARTICLE_MARKDOWN>
+{raw_markdown}
+</ARTICLE_MARKDOWN>"""
+SCORE_PROMPT = """<SOURCE_URL>{article_url}</SOURCE_URL>
+
+<ARTICLE_MARKDOWN>
+{raw_markdown}
+</ARTICLE_MARKDOWN>"""
+TAG_PROMPT = "<EXCERPT_EN>{excerpt_en}</EXCERPT_EN>"
+REVIEW_PROMPT = SCORE_PROMPT + """
+
+<EXTRACTED_FIELDS>
+title_zh: {title_zh}
+title_en: {title_en}
+excerpt_zh: {excerpt_zh}
+excerpt_en: {excerpt_en}
+author: {author}
+country: {country}
+published_at: {published_at}
+read_minutes: {read_minutes}
+notes: {notes}
+</EXTRACTED_FIELDS>"""
+# SHA-256 of the system messages
+SYSTEM_SHA = {
+    "extract": "3d3aeb489e3208ff3f24bef9a03fe3a91d1bd2fab2ef4b6abd7a278a1683c7eb",
+    "score": "ac06705f2a7c8df9f620b29253f2dc9b09265557dc3c04465bd4dac3e5963576",
+    "generate_tag": "3b8127cab816928f1ad73a6c68bc52c8f434c7d5afe4ea52d83c72139eecaf63",
+    "review": "6837f628a6ae67c1c1426c6b15f49dbdbc250d326a6d99ad89c8eb7e0739058d",
+}
+MIRROR_FIELDS = (
+    ("title_zh", 1), ("title_en", 1), ("excerpt_zh", 1), ("excerpt_en", 1), ("unique_id", 1),
+    ("hash_code", 1), ("status", 3), ("tag", 3), ("tag_reason", 1), ("article_url", 15),
+    ("source_url", 15), ("source_name", 1), ("author", 1), ("country", 1), ("published_at", 5),
+    ("scraped_at", 5), ("created_at", 5), ("read_minutes", 2), ("relevance_score", 2),
+    ("quality_score", 2), ("overall_score", 2), ("reason", 1), ("needs_revision", 7),
+    ("review_notes", 1), ("notes", 1), ("stage_errors", 1),
+)
 
 WS = "'" + PY_WHITESPACE + "'"
 
@@ -51,12 +104,16 @@ CTE = {
   SELECT CAST(doc_id AS VARCHAR) AS unique_id, {url_hash('article_url')} AS hash_code,
          ['READY','PUBLISHED','DISCARD','REVIEWING','REVIEWING'][doc_id % 5 + 1] AS status
   FROM scraped WHERE doc_id % 4 = 0)""",
+    "review_store": f"""review_store AS (
+  SELECT CAST(doc_id AS VARCHAR) AS unique_id, {url_hash('article_url')} AS hash_code,
+         ['READY','PUBLISHED','DISCARD','REVIEWING','REVIEWING'][doc_id % 5 + 1] AS status
+  FROM scraped)""",
     "fresh": f"""fresh AS (
   SELECT *, {url_hash('article_url')} AS hash_code FROM scraped
   WHERE markdown IS NOT NULL AND length(markdown) > 0)""",
 }
 
-DEPS = {"store": ["scraped"], "fresh": ["scraped"]}
+DEPS = {"store": ["scraped"], "review_store": ["scraped"], "fresh": ["scraped"]}
 
 
 def with_ctes(names, extra: str = "") -> str:
@@ -111,6 +168,11 @@ SQL: dict[str, str] = {}
 SQL["source_prepare"] = with_ctes(["sources"]) + \
     "SELECT source_id, name, url, url_pattern FROM sources WHERE url IS NOT NULL AND url <> ''"
 
+SQL["sources_incomplete"] = with_ctes(["sources"]) + """
+SELECT source_id, CASE WHEN length(name) % 4 = 0 THEN NULL WHEN length(name) % 7 = 0 THEN '' ELSE name END AS name,
+  url, url_pattern
+FROM sources WHERE length(name) % 3 <> 0 AND length(name) % 5 <> 0"""
+
 SQL["url_filter"] = with_ctes(["sources", "links"], JOINED) + \
     f"SELECT {LINK_COLS} FROM joined WHERE {KEEP}"
 
@@ -387,24 +449,24 @@ SQL["enrich_accumulate"] = with_ctes(ENRICH_DEPS, merged_cte("accumulate")) + \
     f"SELECT {ENRICHED_OUT} FROM merged"
 
 
-def _prompt(expr: str, src: str) -> str:
-    return (f"SELECT doc_id, sha256(p) AS prompt_sha, CAST(length(p) AS INTEGER) AS prompt_chars "
-            f"FROM (SELECT doc_id, {expr} AS p FROM {src})")
+def _prompt(expr: str, src: str, node: str) -> str:
+    return (f"SELECT doc_id, sha256(p) AS prompt_sha, CAST(length(p) AS INTEGER) AS prompt_chars, "
+            f"'{SYSTEM_SHA[node]}' AS system_sha FROM (SELECT doc_id, {expr} AS p FROM {src})")
 
 
 SQL["requests_extract"] = with_ctes(["articles"]) + _prompt(render_sql(EXTRACT_PROMPT, {
     "article_url": "article_url", "source_name": "coalesce(source_name, '')",
-    "scraped_at": "coalesce(scraped_at, '')", "raw_markdown": "raw_markdown"}), "articles")
+    "scraped_at": "coalesce(scraped_at, '')", "raw_markdown": "raw_markdown"}), "articles", "extract")
 SQL["requests_score"] = with_ctes(["articles"]) + _prompt(render_sql(SCORE_PROMPT, {
-    "article_url": "article_url", "raw_markdown": "raw_markdown"}), "articles")
+    "article_url": "article_url", "raw_markdown": "raw_markdown"}), "articles", "score")
 _EX_OK = "(SELECT * FROM articles JOIN dec_ex USING (doc_id) WHERE ex_err IS NULL)"
 SQL["requests_tag"] = with_ctes(["articles", "dec_ex"]) + _prompt(
-    render_sql(TAG_PROMPT, {"excerpt_en": "ex_excerpt_en"}), _EX_OK)
+    render_sql(TAG_PROMPT, {"excerpt_en": "ex_excerpt_en"}), _EX_OK, "generate_tag")
 _rv_cols = {f: f"coalesce(CAST(ex_{f} AS VARCHAR), '{'0' if f == 'read_minutes' else ''}')"
             for f in EXTRACT_F}
 _rv_cols.update(article_url="article_url", raw_markdown="raw_markdown")
 SQL["requests_review"] = with_ctes(["articles", "dec_ex"]) + _prompt(
-    render_sql(REVIEW_PROMPT, _rv_cols), _EX_OK)
+    render_sql(REVIEW_PROMPT, _rv_cols), _EX_OK, "review")
 
 for _n in PREFIX:
     _p = PREFIX[_n]
@@ -442,6 +504,13 @@ UNION ALL
 SELECT doc_id, hash_code, 'duplicate_hash' FROM ranked WHERE NOT kept"""
 
 
+SQL["store_checks"] = with_ctes(["scraped"]) + """
+SELECT doc_id, CASE WHEN doc_id % 11 = 0 OR doc_id % 12 = 0 THEN 'missing_hash' WHEN doc_id % 13 = 0 THEN 'missing_url'
+  WHEN doc_id % 17 = 0 OR doc_id % 18 = 0 THEN 'bad_status' WHEN doc_id % 19 = 0 THEN 'bad_tag' END AS reject_reason
+FROM scraped"""
+SQL["short_ids"] = with_ctes(["store"]) + "SELECT unique_id, substring(hash_code, 1, 8) AS short_hash FROM store"
+
+
 # mirror ---------------------------------------------------------------------------
 def trunc(e: str, n: int = 1900) -> str:
     return (f"CASE WHEN {e} IS NULL OR {e} = '' THEN '' WHEN length({e}) <= {n} THEN {e} "
@@ -546,19 +615,19 @@ upserted AS (
 SQL["mirror_upsert"] = with_ctes(MIRROR_BASE, MIRROR_PRE + ",\n" + SNAPSHOT + ",\n" + UPSERT) + \
     "SELECT * FROM upserted"
 SQL["mirror_actions"] = with_ctes(MIRROR_BASE, MIRROR_PRE + ",\n" + SNAPSHOT + ",\n" + UPSERT) + \
-    "SELECT record_id, unique_id, action FROM upserted WHERE action <> 'unchanged'"
+    "SELECT * FROM upserted WHERE action <> 'unchanged'"
 
 # sync-back ------------------------------------------------------------------------
 _MIRROR_STATUS = "['READY','PUBLISHED','DISCARD','REVIEWING','REVIEWING','REVIEWING','REVIEWING'][doc_id % 7 + 1]"
 CTE["pull"] = f"""pull_rows AS (
-  SELECT doc_id, doc_id AS pos,
-    CAST(CASE WHEN doc_id % 37 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR) AS uid,
+  SELECT doc_id, doc_id * 2 AS pos,
+    CASE WHEN doc_id % 37 = 0 THEN 'x' ELSE '' END || CAST(doc_id AS VARCHAR) AS uid,
     CASE WHEN doc_id % 41 = 0 THEN 'ARCHIVED' WHEN doc_id % 43 = 0 THEN '' ELSE {_MIRROR_STATUS} END AS st
-  FROM documents WHERE doc_id % 4 = 0
+  FROM documents
   UNION ALL
-  SELECT doc_id, doc_id + 1000000, CAST(doc_id AS VARCHAR),
-    CASE WHEN doc_id % 80 = 0 THEN 'DISCARD' ELSE 'READY' END
-  FROM documents WHERE doc_id % 40 = 0),
+  SELECT doc_id, doc_id * 2 + 1, CAST(doc_id AS VARCHAR),
+    CASE WHEN doc_id % 20 = 0 THEN 'DISCARD' ELSE 'READY' END
+  FROM documents WHERE doc_id % 10 = 0),
 pull AS (
   SELECT pos // 100 AS page, true AS page_ok, pos,
     CASE doc_id % 5 WHEN 0 THEN '"' || uid || '"'
@@ -602,7 +671,7 @@ checked AS (
   FROM pulled),
 diff_rows AS (
   SELECT c.pos, c.unique_id, s.status AS old_status, c.status AS new_status
-  FROM checked c JOIN store s USING (unique_id)
+  FROM checked c JOIN review_store s USING (unique_id)
   WHERE c.reject_reason IS NULL AND c.status <> s.status),
 diffs AS (
   SELECT unique_id, old_status, arg_max(new_status, pos) AS new_status, max(pos) AS pos
@@ -610,34 +679,45 @@ diffs AS (
 
 SQL["rich_text"] = with_ctes(["pull"]) + f"""SELECT pos, {rich_text_sql('unique_id_cell')} AS unique_id,
   {status_text_sql('status_cell')} AS status FROM pull"""
-SQL["status_diff_rows"] = with_ctes(["pull", "store"], PULLED) + "SELECT * FROM diff_rows"
-SQL["status_diff"] = with_ctes(["pull", "store"], PULLED) + \
+SQL["status_diff_rows"] = with_ctes(["pull", "review_store"], PULLED) + "SELECT * FROM diff_rows"
+SQL["status_diff"] = with_ctes(["pull", "review_store"], PULLED) + \
     "SELECT unique_id, old_status, new_status FROM diffs"
-SQL["status_rejects"] = with_ctes(["pull", "store"], PULLED) + \
+SQL["status_rejects"] = with_ctes(["pull", "review_store"], PULLED) + \
     "SELECT pos, unique_id, status, reject_reason FROM checked WHERE reject_reason IS NOT NULL"
-SQL["status_apply"] = with_ctes(["pull", "store"], PULLED) + f"""
+SQL["status_apply"] = with_ctes(["pull", "review_store"], PULLED) + f"""
 SELECT s.unique_id, coalesce(d.new_status, s.status) AS status,
   CASE WHEN d.new_status IS NOT NULL THEN '{SYNC_TS}' ELSE '{RUN_TS}' END AS updated_at,
   d.new_status IS NOT NULL AS changed
-FROM store s LEFT JOIN diffs d USING (unique_id)"""
+FROM review_store s LEFT JOIN diffs d USING (unique_id)"""
+SQL["status_failed_page"] = with_ctes(["pull"]) + f"""SELECT pos, {status_text_sql('status_cell')} AS status
+FROM pull WHERE page < (SELECT floor(max(page) / 2.0) + 1 FROM pull)"""
+SQL["status_two_syncs"] = with_ctes(["review_store"]) + f"""
+SELECT unique_id, CASE WHEN CAST(unique_id AS BIGINT) % 3 <> 0 THEN 'PUBLISHED' ELSE 'READY' END AS status,
+  CASE WHEN CAST(unique_id AS BIGINT) % 3 <> 0 THEN '2026-01-03T00:00:00'
+       WHEN status <> 'READY' THEN '{SYNC_TS}' ELSE '{RUN_TS}' END AS updated_at
+FROM review_store"""
+SQL["stream_syncback_restart"] = with_ctes(["review_store"]) + f"""
+SELECT unique_id, CASE WHEN CAST(unique_id AS BIGINT) % 2 = 0 THEN 'DISCARD' ELSE 'READY' END AS status,
+  CASE WHEN CAST(unique_id AS BIGINT) % 2 = 0 THEN '2026-01-03T00:00:00'
+       WHEN status <> 'READY' THEN '{SYNC_TS}' ELSE '{RUN_TS}' END AS updated_at
+FROM review_store"""
 
 SQL["tag_apply"] = f"""WITH store_tags AS (
   SELECT CAST(doc_id AS VARCHAR) AS unique_id, {TAG_LIST}[doc_id % 5 + 1] AS tag,
     '2026-01-01T00:00:00' AS updated_at
-  FROM documents WHERE doc_id % 4 = 0),
+  FROM documents),
 changes AS (
-  SELECT CAST(CASE WHEN doc_id % 72 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR) AS unique_id,
-    doc_id AS seq,
-    CASE WHEN doc_id % 24 = 0 THEN NULL WHEN doc_id % 56 = 0 THEN 'GOSSIP'
+  SELECT CASE WHEN doc_id % 9 = 0 THEN 'x' ELSE '' END || CAST(doc_id AS VARCHAR) AS unique_id,
+    CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'GOSSIP'
          ELSE {TAG_LIST}[(doc_id // 8) % 5 + 1] END AS tag,
-    doc_id % 24 = 0 AS is_clear, '2026-01-03T00:00:00' AS changed_at
-  FROM documents WHERE doc_id % 8 = 0
+    doc_id % 3 = 0 AS is_clear, '2026-01-03T00:00:00' AS changed_at
+  FROM documents
   UNION ALL
-  SELECT CAST(CASE WHEN doc_id % 72 = 0 THEN doc_id + 100000 ELSE doc_id END AS VARCHAR),
-    doc_id + 1000000, 'VISA', false, '2026-01-04T00:00:00'
-  FROM documents WHERE doc_id % 16 = 0),
+  SELECT CASE WHEN doc_id % 9 = 0 THEN 'x' ELSE '' END || CAST(doc_id AS VARCHAR),
+    'VISA', false, '2026-01-04T00:00:00'
+  FROM documents WHERE doc_id % 2 = 0),
 latest AS (
-  SELECT unique_id, arg_max({{'new_tag': tag, 'is_clear': is_clear, 'changed_at': changed_at}}, seq) AS l
+  SELECT unique_id, arg_max({{'new_tag': tag, 'is_clear': is_clear, 'changed_at': changed_at}}, changed_at) AS l
   FROM changes WHERE is_clear OR tag IN ('MARKET','MENTOR','REPORT','VISA','CITY')
   GROUP BY unique_id)
 SELECT s.unique_id,
@@ -656,14 +736,14 @@ _legacy_types["published_at"] = 1
 _legacy_types["owner"] = 1
 _legacy_cell = {"author": "CASE WHEN doc_id % 2 = 1 THEN source END",
                 "country": "CASE WHEN doc_id % 3 = 0 THEN upper(lang) END",
-                "owner": "CASE WHEN doc_id % 5 = 0 THEN source END"}
+                "owner": "CASE WHEN doc_id % 5 = 0 THEN source END", "notes": "NULL"}
 _obs = "\n  UNION ALL\n  ".join(
     f"SELECT '{n}' AS name, {t} AS type_id, count({_legacy_cell.get(n, 'CAST(doc_id AS VARCHAR)')}) AS rows "
     f"FROM documents" for n, t in _legacy_types.items())
 _exp = ", ".join(f"('{n}', {t})" for n, t in MIRROR_FIELDS)
 SQL["schema_diff"] = f"""WITH observed AS (
   SELECT name, min(type_id) AS type_id, CAST(sum(rows) AS BIGINT) AS rows
-  FROM ({_obs}) WHERE rows > 0 GROUP BY name),
+  FROM ({_obs}) GROUP BY name),
 expected AS (SELECT * FROM (VALUES {_exp}) t(name, type_id)),
 j AS (
   SELECT coalesce(e.name, o.name) AS name, e.type_id AS exp, o.type_id AS act, o.rows
@@ -685,8 +765,11 @@ attempts AS (
       || CAST(k // 2 AS VARCHAR) || ', "total_tokens": ' || CAST(k + k // 2 + 1 AS VARCHAR) || '}}'
     WHEN 1 THEN '{"usage": {"input_tokens": ' || CAST(k AS VARCHAR) || ', "output_tokens": '
       || CAST(k % 7 AS VARCHAR) || '}}'
-    WHEN 2 THEN '{"generations": [{"usage_metadata": {"input_tokens": ' || CAST(k AS VARCHAR)
-      || ', "output_tokens": 3}}, {"usage_metadata": {"input_tokens": 1, "output_tokens": 2, "total_tokens": 4}}]}'
+    WHEN 2 THEN CASE WHEN event_id % 8 = 6
+      THEN '{"generations": [[{"message": {"usage_metadata": {"input_tokens": ' || CAST(k AS VARCHAR)
+        || ', "output_tokens": 5}}}], [{"usage_metadata": {"input_tokens": 2, "output_tokens": 1}}]]}'
+      ELSE '{"generations": [{"usage_metadata": {"input_tokens": ' || CAST(k AS VARCHAR)
+      || ', "output_tokens": 3}}, {"usage_metadata": {"input_tokens": 1, "output_tokens": 2, "total_tokens": 4}}]}' END
     ELSE '{"token_usage": {"prompt_tokens": 0, "completion_tokens": 0}}' END AS usage
   FROM attempts_base)"""
 
@@ -704,9 +787,10 @@ def _block(key: str):
 
 
 def _gen(field: str) -> str:
-    return (f"coalesce(list_sum(list_transform(json_extract(usage, '$.generations[*]'), lambda g: "
-            f"coalesce(TRY_CAST(TRY_CAST(json_extract_string(g, '$.usage_metadata.{field}') AS DOUBLE) "
-            f"AS BIGINT), 0))), 0)")
+    return (f"coalesce(list_sum(list_transform(list_concat(json_extract(usage, '$.generations[*]'), "
+            f"json_extract(usage, '$.generations[*][*]')), lambda g: coalesce(TRY_CAST(TRY_CAST(coalesce("
+            f"json_extract_string(g, '$.usage_metadata.{field}'), "
+            f"json_extract_string(g, '$.message.usage_metadata.{field}')) AS DOUBLE) AS BIGINT), 0))), 0)")
 
 
 _ok1, _i1, _o1, _t1 = _block("token_usage")
@@ -767,11 +851,44 @@ SELECT source_name, CAST(rank AS INTEGER) AS rank, doc_id, article_url, title_en
 
 
 
-SQL["stream_ingest"] = with_ctes(ENRICH_DEPS, merged_cte("collapse") + ",\n" + STORE_ROWS) + \
-    "SELECT hash_code, status FROM store_rows"
-SQL["stream_syncback"] = with_ctes(["pull", "store"], PULLED) + """
+SQL["stream_ingest"] = with_ctes(ENRICH_DEPS, merged_cte("collapse") + ",\n" + STORE_ROWS) + """
+SELECT hash_code, status, NULL AS reject_reason FROM store_rows
+UNION ALL
+SELECT hash_code, NULL, reject_reason FROM store_rows_all WHERE reject_reason IS NOT NULL
+UNION ALL
+SELECT hash_code, NULL, 'duplicate_hash' FROM ranked WHERE NOT kept"""
+SQL["stream_syncback"] = with_ctes(["pull", "review_store"], PULLED) + """
 SELECT s.unique_id, coalesce(d.new_status, s.status) AS status
-FROM store s LEFT JOIN diffs d USING (unique_id)"""
+FROM review_store s LEFT JOIN diffs d USING (unique_id)"""
+
+
+def _run_half(half: int) -> str:
+    """Hashes of the fetched links of one half (CTEs named with the half)."""
+    sql = (JOINED.replace("FROM links l JOIN sources s USING (source_id)",
+                          f"FROM links l JOIN sources s USING (source_id) WHERE pos % 2 = {half}")
+           + ",\n" + LIMITED + ",\n" + DISCOVERED)
+    for name in ("joined", "limited", "discovered", "fallback_links"):
+        sql = sql.replace(f"{name} AS (", f"{name}{half} AS (").replace(f"FROM {name}", f"FROM {name}{half}")
+    return sql + f""",
+fetched{half} AS (
+  SELECT DISTINCT {url_hash('f.url')} AS hash_code FROM fallback_links{half} f JOIN pages p ON p.url = f.url
+  WHERE length({_html_sql('p.html')}) > 0)"""
+
+
+SQL["ingest_two_runs"] = with_ctes(["sources", "links", "responses"], _run_half(0) + ",\n" + _run_half(1)
+                                   + ",\n" + """stored AS (
+  SELECT hash_code, '20260101_000000' AS run_id FROM fetched0
+  UNION ALL
+  SELECT hash_code, '20260102_000000' FROM fetched1 WHERE hash_code NOT IN (SELECT hash_code FROM fetched0))""") + """
+SELECT hash_code, run_id, CAST(NULL AS INTEGER) AS overall_score FROM stored"""
+
+SQL["ingest_duplicate_bodies"] = with_ctes(["sources", "links"], JOINED) + f"""
+, rows_ AS (
+  SELECT j.source_id, j.pos, j.url AS article_url, {url_hash('j.url')} AS hash_code, {_html_sql('p.html')} AS markdown
+  FROM joined j JOIN pages p ON p.url = j.url)
+SELECT hash_code, source_id, pos, article_url, sha256(markdown) AS markdown_sha FROM rows_
+WHERE length(markdown) > 0
+QUALIFY row_number() OVER (PARTITION BY hash_code ORDER BY source_id, pos, article_url) = 1"""
 
 SQL["flagship_links"] = with_ctes(
     ["sources", "links", "store", "dec_sc"], JOINED + ",\n" + LIMITED + ",\n" + DISCOVERED) + f"""
@@ -782,7 +899,7 @@ SELECT source_id, CAST(rank AS INTEGER) AS rank, pos, url, hash_code, overall_sc
     row_number() OVER (PARTITION BY f.source_id ORDER BY s.sc_overall_score DESC,
                        s.sc_relevance_score DESC, f.pos) AS rank
   FROM (SELECT *, {url_hash('url')} AS hash_code FROM fallback_links) f
-  JOIN dec_sc s ON s.doc_id = f.pos
+  JOIN links l2 ON {url_hash('l2.url')} = f.hash_code JOIN dec_sc s ON s.doc_id = l2.pos
   WHERE f.hash_code NOT IN (SELECT hash_code FROM store) AND s.sc_err IS NULL)
 WHERE rank <= 3"""
 

@@ -28,7 +28,7 @@ from . import layout
 class IngestInputs:
     sources: DataFrame            # source_id, name, url, url_pattern
     links: DataFrame              # source_id, source_url, mode, pos, url
-    bodies: DataFrame             # url, html
+    bodies: DataFrame             # url, html and/or markdown
     responses: DataFrame | None = None   # key, node, response, error
     model_fn: object = None       # or a callable for enrich.infer
     status: DataFrame | None = None      # source_id, mode, ok
@@ -36,21 +36,45 @@ class IngestInputs:
     mirror_snapshot: DataFrame | None = None
 
 
+def input_fingerprint(inp: IngestInputs, cfg: CurationConfig, **options) -> str:
+    """A digest of a run's settings and of what it is to fetch.
+
+    Sources, links and discovery outcomes are narrow tables and are summed whole;
+    of the bodies the URLs count, so that a restarted run keeps what its first
+    attempt fetched.
+    """
+    def content(df: DataFrame | None) -> str:
+        if df is None:
+            return "none"
+        row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
+        return f"{sorted(df.columns)} {row[0]} {row[1]}"
+
+    parts = [repr(cfg), repr(sorted(options.items())), repr(inp.model_fn is not None),
+             *map(content, (inp.sources, inp.links, inp.status, inp.bodies.select("url")))]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
+
+
 def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir: str,
-               cfg: CurationConfig = CurationConfig(), key: str = "hash_code",
+               cfg: CurationConfig, key: str = "hash_code",
                dedupe_before_fetch: bool = False, mirror_snapshot_version: bool = False) -> dict:
     """One run. ``dedupe_before_fetch`` drops already-stored URLs before the
     join with the (wide) bodies table: the identity depends on the URL only,
     so the new rows are the same; the dedupe counters then count links
     rather than fetched bodies. ``mirror_snapshot_version`` also writes the
     whole upserted mirror as a new version (a full rewrite; the pushed
-    records alone are always written)."""
+    records alone are always written).
+
+    ``cfg.run_ts`` names the run. The same run may be started again (its
+    finished stages are reused); a run id that the store knows with other
+    inputs or settings is refused.
+    """
     if key != "hash_code":
         raise ValueError("the ingest run keys model answers by hash_code")
     run = cfg.run_id
+    fingerprint = input_fingerprint(inp, cfg, dedupe_before_fetch=dedupe_before_fetch)
+    layout.claim_run(spark, store_dir, run, fingerprint)
     srcs = discover.prepare_sources(inp.sources)
-    kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage,
-                                           inp.status, cfg.broadcast_max_rows)
+    kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage, inp.status)
     hashes = layout.store_hashes(spark, store_dir, exclude_run=run)
     # stored hashes among this run's links: the store is probed with the
     # (cheap) link hashes, which are the same as the fetched rows' hashes
@@ -59,9 +83,9 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     if dedupe_before_fetch:
         counted = kept_h.select("hash_code")
         kept = dedupe.dedupe_new(kept_h, hashes, seen).drop("hash_code")
-    # per (store, run): a restarted run finds its own finished stages
+    # per (store, run, inputs): a restarted run finds its own finished stages
     store_key = hashlib.sha1(store_dir.encode()).hexdigest()[:12]
-    work = shared_path(spark, "quire", "runs", store_key, run)
+    work = shared_path(spark, "quire", "runs", store_key, run, fingerprint)
     # barrier: the wide fetch join runs once; the enriched rows, rejects and
     # counters all read the written rows (reused when a run is restarted)
     fetched = f"{work}/fetched"
@@ -71,14 +95,20 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     scraped = spark.read.parquet(fetched)
     if not dedupe_before_fetch:
         counted = scraped.select("hash_code")
-    new = dedupe.dedupe_new(scraped, hashes, seen)
-    winners, losers = dedupe.batch_unique(new, ("source_id", "pos"))
+    winners, losers = dedupe.batch_unique(scraped, ("source_id", "pos", "article_url"), seen)
     articles = winners.select("hash_code", "article_url", "source_name", "source_url",
                               F.col("markdown").alias("raw_markdown"),
                               F.lit(cfg.run_ts).alias("scraped_at"))
     articles = articles.withColumn("doc_id", F.col("hash_code"))
+    attempts = inp.attempts
     if inp.model_fn is not None:
-        enriched = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model")
+        # barrier: every model stage reads the winners
+        if not path_done(spark, f"{work}/winners"):
+            articles.write.mode("overwrite").parquet(f"{work}/winners")
+        articles = spark.read.parquet(f"{work}/winners")
+        enriched, answers = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model")
+        if attempts is None:
+            attempts = enrich.model_attempts(answers)
     else:
         resp = inp.responses.withColumn("doc_id", F.col(key))
         enriched = enrich.enrich(articles, resp, cfg)
@@ -94,10 +124,13 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     rejects = (bad.select("hash_code", "article_url", "reject_reason")
                .unionByName(losers.select("hash_code", "article_url", "reject_reason")))
     rejects.write.mode("overwrite").parquet(f"{out_dir}/rejects")
-    # run snapshot: every processed record, inserted or not
-    snap = (rows.join(bad.select("hash_code", "reject_reason"), "hash_code", "left")
+    # run snapshot: every record of the run, whole; those not inserted carry the reason
+    unprocessed = losers.withColumnRenamed("markdown", "raw_markdown").select(
+        "hash_code", "article_url", "source_name", "source_url", "raw_markdown", "reject_reason")
+    snap = (valid.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad)
+            .unionByName(unprocessed, allowMissingColumns=True)
             .withColumn("inserted", F.col("reject_reason").isNull()))
-    snap.drop("raw_markdown").write.mode("overwrite").json(f"{out_dir}/articles")
+    snap.write.mode("overwrite").json(f"{out_dir}/articles")
     result = {"run_id": run, "store": store_dir, "out": out_dir}
     if inp.mirror_snapshot is not None:
         # the records to push (updated / created); the mirror itself is not rewritten
@@ -109,13 +142,13 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
             path = f"{out_dir}/mirror/version={run}"
             mirror.upsert(inp.mirror_snapshot, inc).write.mode("overwrite").parquet(path)
             result["mirror_snapshot"] = path
-    if inp.attempts is not None:
-        stage_rows = metrics.stage_metrics(inp.attempts)
-        metrics.metrics_json(stage_rows, metrics.run_totals(inp.attempts)) \
+    if attempts is not None:
+        stage_rows = metrics.stage_metrics(attempts)
+        metrics.metrics_json(stage_rows, metrics.run_totals(attempts)) \
             .write.mode("overwrite").text(f"{out_dir}/metrics")
     counts = dedupe.dedupe_counts(counted, hashes, seen).first()   # one row
     result.update(total=counts["total"], skipped=counts["skipped"], new=counts["new"])
     # shape of the scraped table after dropping empty bodies: rows, and its
     # four columns (source_name, source_url, article_url, markdown)
-    result["scraped_shape"] = (counts["total"], 4)
+    result["scraped_shape"] = (scraped.count(), 4)
     return result

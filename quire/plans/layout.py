@@ -4,6 +4,9 @@
     <store>/article_hashes/run_id=<id>/  (hash_code, unique_id), narrow, for dedupe
     <store>/status_changes/run_id=<id>/  (unique_id, new_status, changed_at, seq)
     <store>/tag_changes/run_id=<id>/     (unique_id, tag, is_clear, changed_at, seq)
+    <store>/rejects/run_id=<id>/      rows that were not stored, with the reason
+    <store>/runs/run_id=<id>/         (fingerprint) of the runs' inputs and settings
+    <store>/pull_stops/run_id=<id>/   (page) where a mirror pull ended
     <mirror>/version=<id>/            review-mirror snapshots
 
 Every write replaces only its own ``run_id``/``version`` partition (dynamic
@@ -28,8 +31,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``; empty where it isn't there, or has no file yet."""
     if _exists(spark, path):
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
@@ -42,6 +46,9 @@ HASHES_SCHEMA = "hash_code string, unique_id string, run_id string"
 STATUS_SCHEMA = "unique_id string, new_status string, changed_at string, seq bigint, run_id string"
 TAG_SCHEMA = ("unique_id string, tag string, is_clear boolean, changed_at string, seq bigint, "
               "run_id string")
+REJECTS_SCHEMA = "hash_code string, article_url string, reject_reason string, run_id string"
+RUNS_SCHEMA = "fingerprint string, run_id string"
+STOPS_SCHEMA = "page bigint, run_id string"
 ARTICLES_SCHEMA = ", ".join(
     f"{c} {'int' if c in ('read_minutes', 'relevance_score', 'quality_score', 'overall_score', 'needs_revision') else 'string'}"
     for c in ARTICLE_COLUMNS) + ", run_id string"
@@ -71,7 +78,6 @@ def current_statuses(spark: SparkSession, store: str, ids: DataFrame | None = No
     sc = read_or_empty(spark, f"{store}/status_changes", STATUS_SCHEMA)
     if exclude_change_run is not None:
         sc = sc.where(F.col("run_id") != exclude_change_run)
-    sc = sc.select("unique_id", "new_status", "changed_at", "seq")
     if ids is not None:
         facts = facts.join(ids, "unique_id", "left_semi")
         sc = sc.join(ids, "unique_id", "left_semi")
@@ -81,17 +87,42 @@ def current_statuses(spark: SparkSession, store: str, ids: DataFrame | None = No
 def current_articles(spark: SparkSession, store: str,
                      exclude_change_run: str | None = None) -> DataFrame:
     """Facts with the latest status and tag changes applied (optionally
-    without the status changes of one run, for idempotent re-runs)."""
+    without the status changes of one run, for idempotent re-runs).
+
+    The facts are read once and joined to the latest change per id."""
     facts = read_or_empty(spark, f"{store}/articles", ARTICLES_SCHEMA)
     sc = read_or_empty(spark, f"{store}/status_changes", STATUS_SCHEMA)
     if exclude_change_run is not None:
         sc = sc.where(F.col("run_id") != exclude_change_run)
     tc = read_or_empty(spark, f"{store}/tag_changes", TAG_SCHEMA)
-    s = st.apply_status(facts.select("unique_id", "status", "updated_at"),
-                        sc.select("unique_id", "new_status", "changed_at", "seq"))
-    t = st.apply_tag(facts.select("unique_id", "tag", "updated_at"),
-                     tc.select("unique_id", "tag", "is_clear", "changed_at", "seq"))
-    cur = (facts.drop("status", "tag", "updated_at")
-           .join(s.select("unique_id", "status", F.col("updated_at").alias("_us")), "unique_id")
-           .join(t.select("unique_id", "tag", F.col("updated_at").alias("_ut")), "unique_id"))
-    return cur.withColumn("updated_at", F.greatest("_us", "_ut")).drop("_us", "_ut")
+    s = st.latest_status(sc).withColumnRenamed("changed_at", "_status_at")
+    t = st.latest_tag(tc).withColumnRenamed("changed_at", "_tag_at")
+    cur = facts.join(s, "unique_id", "left").join(t, "unique_id", "left")
+    tag = F.when(F.col("is_clear").isNull(), F.col("tag")).when(~F.col("is_clear"), F.col("new_tag"))
+    return cur.withColumns({
+        "status": F.coalesce("new_status", "status"), "tag": tag,
+        # greatest() skips nulls: a change not made doesn't count
+        "updated_at": F.greatest(F.when(F.col("_status_at").isNull() | F.col("_tag_at").isNull(),
+                                        F.col("updated_at")), "_status_at", "_tag_at"),
+    }).drop("new_status", "_status_at", "new_tag", "is_clear", "_tag_at")
+
+
+def write_tag_changes(changes: DataFrame, store: str, changed_at: str, batch_id: str) -> None:
+    """Append tag edits (unique_id, tag, is_clear, seq); an edit without a tag clears it.
+
+    Tags outside the domain are kept in the table and ignored when it is read."""
+    clear = F.coalesce(F.col("is_clear"), F.lit(False)) if "is_clear" in changes.columns else F.lit(False)
+    write_partition(changes.select(
+        "unique_id", "tag", (clear | F.col("tag").isNull()).alias("is_clear"),
+        F.lit(changed_at).alias("changed_at"), F.col("seq").cast("bigint").alias("seq"),
+        F.lit(batch_id).alias("run_id")), f"{store}/tag_changes")
+
+
+def claim_run(spark: SparkSession, store: str, run_id: str, fingerprint: str) -> None:
+    """Note a run's inputs and settings; refuse a run id that stands for others."""
+    runs = read_or_empty(spark, f"{store}/runs", RUNS_SCHEMA).where(F.col("run_id") == run_id)
+    known = {r.fingerprint for r in runs.limit(2).collect()}   # one row per run
+    if known - {fingerprint}:
+        raise ValueError(f"run {run_id} is in the store with other inputs or settings; use another run_ts")
+    if not known:
+        write_partition(spark.createDataFrame([(fingerprint, run_id)], RUNS_SCHEMA), f"{store}/runs")

@@ -7,23 +7,43 @@ Unknown ids are ignored; any status transition in the domain is allowed.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mirror
+from ..session import shared_path
 from . import layout
 
 
 def run_syncback(spark: SparkSession, pull: DataFrame, store_dir: str, changed_at: str,
-                 batch_id: str) -> dict:
-    valid, rejected = mirror.pull_statuses(pull)
+                 batch_id: str, pull_id: str | None = None) -> dict:
+    """Apply one pull, or one part of the pull ``pull_id``: once a part had a
+    failed page, later parts use no page from there on.
+
+    The decoded rows are written once; statuses, rejects and counts read them.
+    """
+    work = shared_path(spark, "quire", "syncback", hashlib.sha1(store_dir.encode()).hexdigest()[:12], batch_id)
+    stop = None
+    if pull_id is not None:
+        stops = layout.read_or_empty(spark, f"{store_dir}/pull_stops", layout.STOPS_SCHEMA)
+        mine = stops.where(F.col("run_id").startswith(pull_id + "_") & (F.col("run_id") != batch_id))
+        stop = mine.agg(F.min("page")).first()[0]
+        if "page_ok" in pull.columns:
+            failed = mirror.first_failed_page(pull).where("page is not null")
+            layout.write_partition(failed.withColumn("run_id", F.lit(batch_id)), f"{store_dir}/pull_stops")
+    mirror.decode_pull(pull, stop).write.mode("overwrite").parquet(f"{work}/decoded")
+    decoded = spark.read.parquet(f"{work}/decoded")
+    rejected = decoded.where(F.col("reject_reason").isNotNull())
+    valid = decoded.where(F.col("reject_reason").isNull())
     ids = valid.select("unique_id").distinct()
     cur = layout.current_statuses(spark, store_dir, ids, exclude_change_run=batch_id)
     updates = mirror.status_updates(mirror.status_diff_rows(valid, cur))
     changes = updates.select("unique_id", "new_status", F.lit(changed_at).alias("changed_at"),
                              F.col("pos").alias("seq"), F.lit(batch_id).alias("run_id"))
     layout.write_partition(changes, f"{store_dir}/status_changes")
-    n = spark.read.parquet(f"{store_dir}/status_changes").where(
+    n = layout.read_or_empty(spark, f"{store_dir}/status_changes", layout.STATUS_SCHEMA).where(
         F.col("run_id") == batch_id).count()
     # every update is applied (an update matching no row still counts)
     return {"applied": n, "total": n, "rejected": rejected.count()}

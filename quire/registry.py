@@ -24,7 +24,8 @@ from .session import tune
 from .sources import fixtures as fx
 from .sources.tables import load
 
-CFG = CurationConfig()
+RUN_TS = "2026-01-01T00:00:00"
+CFG = CurationConfig(run_ts=RUN_TS)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -46,6 +47,12 @@ def source_prepare(spark, d):
     return discover.prepare_sources(fx.sources(spark, d))
 
 
+@query
+def sources_incomplete(spark, d):
+    """Entries without a URL are dropped; those without a name stay."""
+    return discover.prepare_sources(fx.incomplete_sources(spark, d))
+
+
 @query
 def url_filter(spark, d):
     return discover.filter_article_urls(fx.links(spark, d), fx.sources(spark, d)).select(*LINK_COLS)
@@ -109,7 +116,7 @@ def drop_empty_body(spark, d):
 
 @query
 def page_text(spark, d):
-    t = fetch.page_text(load(spark, d, "pages", "page_id", "html", spread=True))
+    t = fetch.page_text(load(spark, d, "pages", "page_id", "html"))
     return t.select("page_id", F.sha2("text", 256).alias("text_sha"), "n_chars")
 
 
@@ -150,8 +157,7 @@ def dedupe_counts(spark, d):
 
 
 def _new_unique(spark, d):
-    new = dedupe.dedupe_new(_fresh_rows(spark, d), None, _seen(spark, d))
-    return dedupe.batch_unique(new, ("doc_id",))
+    return dedupe.batch_unique(_fresh_rows(spark, d), ("doc_id",), _seen(spark, d))
 
 
 @query
@@ -161,11 +167,24 @@ def batch_unique(spark, d):
             .unionByName(losers.select("doc_id", "hash_code", F.lit(False).alias("kept"))))
 
 
+@query
+def ingest_duplicate_bodies(spark, d):
+    """Every link twice, every page body three times (once cut short): one
+    article per hash, from the whole body."""
+    pages = load(spark, d, "pages", "url", "html")
+    short = pages.withColumn("html", F.expr("substring(html, 1, length(html) div 2)"))
+    rows = fetch.scrape_join(fx.links(spark, d).join(fx.sources(spark, d).select(
+        "source_id", F.col("name").alias("source_name")), "source_id"),
+        short.unionByName(pages).unionByName(pages))
+    rows = dedupe.hash_urls(fetch.drop_empty_body(rows))
+    winners, _ = dedupe.batch_unique(rows.unionByName(rows), ("source_id", "pos", "article_url"))
+    return winners.select("hash_code", "source_id", "pos", "article_url",
+                          F.sha2("markdown", 256).alias("markdown_sha"))
 
 
 # enrichment --------------------------------------------------------------------
 
-CFG_ACC = CurationConfig(on_missing_excerpt="accumulate")
+CFG_ACC = CurationConfig(run_ts=RUN_TS, on_missing_excerpt="accumulate")
 ENRICHED_COLS = ("doc_id", "hash_code", *EXTRACT_FIELDS, "tag", "tag_reason", "relevance_score",
                  "quality_score", "overall_score", "reason", "needs_revision", "review_notes")
 
@@ -178,7 +197,7 @@ def _articles(spark, d, cfg=CFG):
 
 
 def _enriched(spark, d, cfg=CFG):
-    return en.enrich(_articles(spark, d, cfg), fx.responses(spark, d), cfg)
+    return en.enrich(_articles(spark, d, cfg), fx.repeated_answers(spark, d), cfg)
 
 
 def _enriched_out(df):
@@ -196,37 +215,38 @@ def enrich_accumulate(spark, d):
     return _enriched_out(_enriched(spark, d, CFG_ACC))
 
 
-def _prompt_out(df, prompt):
+def _prompt_out(df, prompt, node):
     return df.select("doc_id", F.sha2(prompt, 256).alias("prompt_sha"),
-                     F.length(prompt).alias("prompt_chars"))
+                     F.length(prompt).alias("prompt_chars"),
+                     F.sha2(en.system_message(F.lit(node)), 256).alias("system_sha"))
 
 
 @query
 def requests_extract(spark, d):
     a = _articles(spark, d)
-    return _prompt_out(a, en.extract_request(a))
+    return _prompt_out(a, en.extract_request(a), "extract")
 
 
 @query
 def requests_score(spark, d):
     a = _articles(spark, d)
-    return _prompt_out(a, en.score_request(a))
+    return _prompt_out(a, en.score_request(a), "score")
 
 
 def _after_extract(spark, d):
     """Articles whose extract answer is valid, with the decoded fields."""
-    ok = en.valid_only(en.decode_responses(fx.responses(spark, d), "extract"), "ex_err")
+    ok = en.valid_only(en.decode_answers(fx.repeated_answers(spark, d), nodes=("extract",)), "ex_err")
     return _articles(spark, d).join(ok, "doc_id")
 
 
 @query
 def requests_tag(spark, d):
-    return _prompt_out(_after_extract(spark, d), en.tag_request())
+    return _prompt_out(_after_extract(spark, d), en.tag_request(), "generate_tag")
 
 
 @query
 def requests_review(spark, d):
-    return _prompt_out(_after_extract(spark, d), en.review_request())
+    return _prompt_out(_after_extract(spark, d), en.review_request(), "review")
 
 
 def _decoded(spark, d, node):
@@ -277,6 +297,20 @@ def store_rejects(spark, d):
             .unionByName(losers.select("doc_id", "hash_code", "reject_reason")))
 
 
+@query
+def store_checks(spark, d):
+    """Every check of a store row, failed by some documents."""
+    valid, bad = st.check_rows(fx.unchecked_rows(spark, d))
+    return (valid.select("doc_id", F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(bad.select("doc_id", "reject_reason")))
+
+
+@query
+def short_ids(spark, d):
+    from .functions.text import short_id
+    return fx.store(spark, d).select("unique_id", short_id("hash_code").alias("short_hash"))
+
+
 # mirror --------------------------------------------------------------------------
 def _flat(df):
     """Mirror cells with the url pairs split into plain columns."""
@@ -312,7 +346,7 @@ def mirror_upsert(spark, d):
 def mirror_actions(spark, d):
     """The pushed records only (no full mirror rewrite)."""
     feed = mi.upsert_feed(fx.mirror_snapshot(spark, d, CFG.run_id), _increment(spark, d))
-    return feed.select("record_id", "unique_id", "action")
+    return _flat(feed)
 
 
 # sync-back -------------------------------------------------------------------------
@@ -329,7 +363,7 @@ def rich_text(spark, d):
 
 def _diff_rows(spark, d):
     valid, _ = mi.pull_statuses(fx.mirror_pull(spark, d))
-    return mi.status_diff_rows(valid, fx.store(spark, d))
+    return mi.status_diff_rows(valid, fx.review_store(spark, d))
 
 
 @query
@@ -348,9 +382,16 @@ def status_rejects(spark, d):
     return bad
 
 
+@query
+def status_failed_page(spark, d):
+    """The scan ends at the first failed page."""
+    valid, bad = mi.pull_statuses(fx.failed_pull(spark, d))
+    return valid.select("pos", "status").unionByName(bad.select("pos", "status"))
+
+
 @query
 def status_apply(spark, d):
-    facts = fx.store(spark, d).select("unique_id", "status",
+    facts = fx.review_store(spark, d).select("unique_id", "status",
                                       F.lit(CFG.run_ts).alias("updated_at"))
     changes = mi.status_updates(_diff_rows(spark, d)).select(
         "unique_id", "new_status", F.lit(SYNC_TS).alias("changed_at"), F.col("pos").alias("seq"))
@@ -365,7 +406,7 @@ def tag_apply(spark, d):
 @query
 def schema_diff(spark, d):
     rows, types = fx.legacy_mirror(spark, d)
-    return sc.schema_diff(sc.expected_fields(spark), sc.observed_fields(rows, types))
+    return sc.schema_diff(sc.expected_fields(spark), sc.listed_fields(rows, types))
 
 
 # metrics ---------------------------------------------------------------------------
@@ -405,7 +446,9 @@ def flagship(spark, d):
     """New articles ranked for editors: the top 3 per source by overall
     score (then relevance, then id), after dedupe and enrichment."""
     from pyspark.sql import Window
-    e = _enriched(spark, d).where(F.col("overall_score").isNotNull())
+    # valid_only keeps the filter above the decode (see there)
+    e = _enriched(spark, d).withColumn("_unscored", F.when(F.col("overall_score").isNull(), F.lit("x")))
+    e = en.valid_only(e, "_unscored")
     w = Window.partitionBy("source_name").orderBy(F.desc("overall_score"),
                                                   F.desc("relevance_score"), "doc_id")
     return (e.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_K)
@@ -418,12 +461,12 @@ def flagship(spark, d):
 @query
 def flagship_links(spark, d):
     """SURVEY §7.1 slice: discovered links (cap, URL filter, fallback) ->
-    URL hash -> not yet stored -> score answers (keyed by link position) ->
+    URL hash -> not yet stored -> score answers (keyed by the hash) ->
     the top 3 new, on-pattern links per source by overall score."""
     from pyspark.sql import Window
     new = dedupe.dedupe_new(dedupe.hash_urls(_kept_links(spark, d), "url"), fx.store(spark, d))
-    scores = en.valid_only(en.decode_responses(fx.responses(spark, d), "score"), "sc_err")
-    j = new.join(scores.withColumnRenamed("doc_id", "pos"), "pos")
+    scores = en.valid_only(en.decode_answers(fx.link_answers(spark, d), "hash_code", ("score",)), "sc_err")
+    j = new.join(scores, "hash_code")
     w = Window.partitionBy("source_id").orderBy(F.desc("sc_overall_score"),
                                                 F.desc("sc_relevance_score"), "pos")
     return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_K)
@@ -433,27 +476,84 @@ def flagship_links(spark, d):
                     F.col("sc_quality_score").alias("quality_score")))
 
 
-# streaming -----------------------------------------------------------------------
-def _stream_dir(spark, name):
+# runs and syncs on a store folder ---------------------------------------------------
+def _work_dir(spark, name):
     import uuid
     from .session import shared_path
-    return shared_path(spark, "quire", "stream", f"{name}-{uuid.uuid4().hex[:12]}")
+    return shared_path(spark, "quire", "queries", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _seed_facts(spark, d, store_dir):
+    """All documents as stored articles."""
+    from .plans import layout
+    facts = fx.review_store(spark, d).withColumns({
+        c: F.lit(None).cast("int" if c in ("read_minutes", "relevance_score", "quality_score",
+                                           "overall_score", "needs_revision") else "string")
+        for c in st.ARTICLE_COLUMNS if c not in ("unique_id", "hash_code", "status")})
+    facts = facts.withColumns({"updated_at": F.lit(CFG.run_ts), "created_at": F.lit(CFG.run_ts),
+                               "article_url": F.lit(""), "run_id": F.lit("seed")})
+    layout.write_partition(st.store_columns(facts), f"{store_dir}/articles")
+
+
+@query
+def ingest_two_runs(spark, d):
+    """Two runs with different links into one store: both are stored, and the
+    second leaves out what the first stored."""
+    from .plans.ingest import IngestInputs, run_ingest
+    base = _work_dir(spark, "ingest2")
+    for half, ts in ((0, "2026-01-01T00:00:00"), (1, "2026-01-02T00:00:00")):
+        inp = IngestInputs(sources=fx.sources(spark, d), links=fx.links(spark, d).where(F.col("pos") % 2 == half),
+                           bodies=load(spark, d, "pages", "url", "html"), responses=fx.link_answers(spark, d))
+        run_ingest(spark, inp, f"{base}/store", f"{base}/out{half}", CurationConfig(run_ts=ts))
+    return spark.read.parquet(f"{base}/store/articles").select("hash_code", "run_id", "overall_score")
+
+
+SYNC_TS_2 = "2026-01-03T00:00:00"
+
+
+@query
+def status_two_syncs(spark, d):
+    """READY on one day, then PUBLISHED for two documents in three on the next,
+    at the same or a lower position: the later sync wins."""
+    from .plans import layout
+    from .plans.syncback import run_syncback
+    base = _work_dir(spark, "sync2")
+    _seed_facts(spark, d, f"{base}/store")
+    i = F.col("doc_id")
+    run_syncback(spark, fx.plain_pull(spark, d, i * 2, F.lit("READY")), f"{base}/store", SYNC_TS, "one")
+    second = F.when(i % 3 == 0, F.lit("READY")).otherwise(F.lit("PUBLISHED"))
+    run_syncback(spark, fx.plain_pull(spark, d, F.when(i % 2 == 0, i * 2).otherwise(i), second),
+                 f"{base}/store", SYNC_TS_2, "another")
+    return layout.current_articles(spark, f"{base}/store").select("unique_id", "status", "updated_at")
+
+
+# streaming -----------------------------------------------------------------------
+DOCS_PER_FILE = 500
+
+
+def _as_files(df, doc_id, path):
+    """Rows as files of bounded size; a document's rows share one."""
+    df.withColumn("part", F.floor(doc_id / DOCS_PER_FILE)).write.partitionBy("part").parquet(path)
 
 
 @query
 def stream_ingest(spark, d):
-    """Scraped rows arrive as files in several micro-batches; the store they
-    build holds the same hashes as one batch run."""
+    """Scraped rows arrive as files in micro-batches; the store they build holds
+    the same hashes as one batch run."""
     from .streaming.incremental import ingest_stream
     from .plans import layout
-    base = _stream_dir(spark, "ingest")
+    base = _work_dir(spark, "ingest")
     # the store already holds the previously processed articles
     seed = fx.store(spark, d).select("hash_code", "unique_id", F.lit("seed").alias("run_id"))
     layout.write_partition(seed, f"{base}/store/article_hashes")
-    fx.scraped(spark, d).repartition(4).write.parquet(f"{base}/in")
-    ingest_stream(spark, f"{base}/in", fx.responses(spark, d), f"{base}/store",
-                  f"{base}/ckpt", CFG, files_per_batch=2)
-    return spark.read.parquet(f"{base}/store/articles").select("hash_code", "status")
+    _as_files(fx.scraped(spark, d), F.col("doc_id"), f"{base}/in")
+    ingest_stream(spark, f"{base}/in/part=*", fx.responses(spark, d), f"{base}/store",
+                  f"{base}/ckpt", CFG, files_per_batch=4)
+    stored = spark.read.parquet(f"{base}/store/articles").select(
+        "hash_code", "status", F.lit(None).cast("string").alias("reject_reason"))
+    rejects = layout.read_or_empty(spark, f"{base}/store/rejects", layout.REJECTS_SCHEMA)
+    return stored.unionByName(rejects.select(
+        "hash_code", F.lit(None).cast("string").alias("status"), "reject_reason"))
 
 
 @query
@@ -462,19 +562,28 @@ def stream_syncback(spark, d):
     statuses after the stream equal one batch sync-back."""
     from .plans import layout
     from .streaming.incremental import syncback_stream
-    base = _stream_dir(spark, "sync")
-    facts = fx.store(spark, d).withColumns({
-        c: F.lit(None).cast("int" if c in ("read_minutes", "relevance_score", "quality_score",
-                                           "overall_score", "needs_revision") else "string")
-        for c in st.ARTICLE_COLUMNS if c not in ("unique_id", "hash_code", "status")})
-    facts = facts.withColumns({"updated_at": F.lit(CFG.run_ts), "created_at": F.lit(CFG.run_ts),
-                               "article_url": F.lit(""), "run_id": F.lit("seed")})
-    layout.write_partition(st.store_columns(facts), f"{base}/store/articles")
-    pull = fx.mirror_pull(spark, d)
-    pull.repartition(3, F.col("pos") % 1000000).write.parquet(f"{base}/in")
-    syncback_stream(spark, f"{base}/in", f"{base}/store", f"{base}/ckpt", SYNC_TS)
+    base = _work_dir(spark, "sync")
+    _seed_facts(spark, d, f"{base}/store")
+    _as_files(fx.mirror_pull(spark, d), F.floor(F.col("pos") / 2), f"{base}/in")
+    syncback_stream(spark, f"{base}/in/part=*", f"{base}/store", f"{base}/ckpt", SYNC_TS, files_per_batch=4)
     return layout.current_articles(spark, f"{base}/store").select("unique_id", "status")
 
 
+@query
+def stream_syncback_restart(spark, d):
+    """Two streams with checkpoints of their own, one after the other: the
+    second keeps what the first has changed."""
+    from .plans import layout
+    from .streaming.incremental import syncback_stream
+    base = _work_dir(spark, "resync")
+    _seed_facts(spark, d, f"{base}/store")
+    i = F.col("doc_id")
+    for n, (status, ts) in enumerate(((F.lit("READY"), SYNC_TS),
+                                      (F.when(i % 2 == 0, F.lit("DISCARD")), SYNC_TS_2))):
+        _as_files(fx.plain_pull(spark, d, i, status), F.col("pos"), f"{base}/in{n}")
+        syncback_stream(spark, f"{base}/in{n}/part=*", f"{base}/store", f"{base}/ckpt{n}", ts, files_per_batch=100)
+    return layout.current_articles(spark, f"{base}/store").select("unique_id", "status", "updated_at")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -1,12 +1,11 @@
-"""Session helpers: building a session, the shared checkpoint folder, and
-size-checked broadcast."""
+"""Session helpers: building a session and the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -52,18 +51,19 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system path).
-    Only when it is unset (local tests) do we create one under the temp dir.
+    A deployment sets it to a shared file system. Where it is unset, a local
+    session gets a temporary folder; on a cluster that would be each machine's
+    own disk, so there it is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="quire-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+    return (sc.getCheckpointDir() or path).rstrip("/")
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
@@ -74,20 +74,3 @@ def path_done(spark: SparkSession, path: str) -> bool:
     """True if a completed Spark write (``_SUCCESS`` marker) is at ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True if ``df`` has at most ``n`` rows (reads at most n+1 rows)."""
-    return df.limit(n + 1).count() <= n
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = 200_000) -> DataFrame:
-    """Join, broadcasting ``small`` only when its row count is proven small.
-
-    Beyond the bound the join is left to the planner (shuffle join, with AQE
-    free to switch to a broadcast at run time from real sizes).
-    """
-    if has_at_most(small, max_rows):
-        small = F.broadcast(small)
-    return big.join(small, on, how)

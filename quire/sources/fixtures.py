@@ -129,7 +129,7 @@ def _bool_literal(i: Column, b: Column) -> Column:
 def responses(spark: SparkSession, d: str) -> DataFrame:
     """Stand-in model answers, one row per (doc_id, node)."""
     lab = load(spark, d, "labels", "doc_id", "quality")
-    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars", spread=True)
+    doc = load(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars")
     x = lab.join(doc, "doc_id")
     i = F.col("doc_id")
     first_line = F.regexp_extract(F.col("text"), r"^[^\n]*", 0)
@@ -174,6 +174,41 @@ def responses(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def repeated_answers(spark: SparkSession, d: str) -> DataFrame:
+    """The stand-in answers, some of them twice: failed copies of all, and equal
+    copies of the answers of every fifth document."""
+    r = responses(spark, d)
+    failed = r.withColumns({"response": lit(None).cast("string"), "error": lit("asked again")})
+    return r.unionByName(failed.where("error is not null and node <> 'extract'")).unionByName(
+        r.where(F.col("doc_id") % 5 == 0))
+
+
+def link_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Score answers keyed by the hash of the link they are for."""
+    r = responses(spark, d).where("node = 'score'")
+    return links(spark, d).join(r, F.col("pos") == F.col("doc_id")).select(
+        url_hash("url").alias("hash_code"), "node", "response", "error")
+
+
+def unchecked_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Store rows of all documents, some of which fail each check."""
+    s = scraped(spark, d)
+    i = F.col("doc_id")
+    return s.select(
+        i, F.when(i % 11 == 0, lit(None)).when(i % 12 == 0, lit("")).otherwise(url_hash("article_url")).alias("hash_code"),
+        F.when(i % 13 != 0, F.col("article_url")).alias("article_url"),
+        F.when(i % 17 == 0, lit("ARCHIVED")).when(i % 18 == 0, lit(None)).otherwise(lit("REVIEWING")).alias("status"),
+        F.when(i % 19 == 0, lit("GOSSIP")).when(i % 2 == 0, lit("VISA")).alias("tag"))
+
+
+def incomplete_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Whitelist entries, some without a URL or a name."""
+    n = F.length("name")
+    s = sources(spark, d)
+    return s.withColumns({"url": F.when(n % 3 == 0, lit(None)).when(n % 5 == 0, lit("")).otherwise(F.col("url")),
+                          "name": F.when(n % 4 == 0, lit(None)).when(n % 7 == 0, lit("")).otherwise(F.col("name"))})
+
+
 # F6 -------------------------------------------------------------------------
 def _uid_cell(i: Column, u: Column) -> Column:
     k = i % 5
@@ -193,26 +228,51 @@ def _status_cell(i: Column, s: Column) -> Column:
             .otherwise(F.concat(lit('{"text":"'), s, lit('"}'))))
 
 
+def review_store(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a stored article under review."""
+    s = scraped(spark, d)
+    return s.select(F.col("doc_id").cast("string").alias("unique_id"),
+                    url_hash("article_url").alias("hash_code"),
+                    _pick(F.col("doc_id") % 5, STORE_STATUS_BY_MOD5).alias("status"))
+
+
 def mirror_pull(spark: SparkSession, d: str) -> DataFrame:
-    """Review-table rows as pulled: (page, pos, unique_id cell, status cell)."""
-    doc = load(spark, d, "documents", "doc_id").where(F.col("doc_id") % 4 == 0)
+    """Review-table rows as pulled: (page, pos, unique_id cell, status cell); one
+    for every document, a second one for every tenth."""
+    doc = load(spark, d, "documents", "doc_id")
     i = F.col("doc_id")
-    uid = F.when(i % 37 == 0, i + 100000).otherwise(i).cast("string")
+    uid = F.when(i % 37 == 0, F.concat(lit("x"), i.cast("string"))).otherwise(i.cast("string"))
     status = (F.when(i % 41 == 0, lit("ARCHIVED")).when(i % 43 == 0, lit(""))
               .otherwise(_pick(i % 7, MIRROR_STATUS_BY_MOD7)))
-    first = F.struct(i.alias("pos"), uid.alias("uid"), status.alias("status"))
-    second = F.struct((i + 1000000).alias("pos"), i.cast("string").alias("uid"),
-                      F.when(i % 80 == 0, lit("DISCARD")).otherwise(lit("READY")).alias("status"))
-    rows = F.when(i % 40 == 0, F.array(first, second)).otherwise(F.array(first))
+    first = F.struct((i * 2).alias("pos"), uid.alias("uid"), status.alias("status"))
+    second = F.struct((i * 2 + 1).alias("pos"), i.cast("string").alias("uid"),
+                      F.when(i % 20 == 0, lit("DISCARD")).otherwise(lit("READY")).alias("status"))
+    rows = F.when(i % 10 == 0, F.array(first, second)).otherwise(F.array(first))
     x = doc.select(i, F.inline(rows))
     return x.select((F.col("pos") / 100).cast("bigint").alias("page"), lit(True).alias("page_ok"),
                     "pos", _uid_cell(i, F.col("uid")).alias("unique_id_cell"),
                     _status_cell(i, F.col("status")).alias("status_cell"))
 
 
+def plain_pull(spark: SparkSession, d: str, pos: Column, status: Column) -> DataFrame:
+    """A pull with one plain row for every document whose ``status`` isn't null."""
+    doc = load(spark, d, "documents", "doc_id")
+    cell = lambda c: F.concat(lit('"'), c, lit('"'))
+    return doc.where(status.isNotNull()).select(
+        (pos / 100).cast("bigint").alias("page"), lit(True).alias("page_ok"), pos.alias("pos"),
+        cell(F.col("doc_id").cast("string")).alias("unique_id_cell"), cell(status).alias("status_cell"))
+
+
+def failed_pull(spark: SparkSession, d: str) -> DataFrame:
+    """The mirror pull with failed pages: the scan ends at the first of them."""
+    p = mirror_pull(spark, d)
+    last = p.agg(F.max("page")).scalar()
+    return p.withColumn("page_ok", F.col("page") <= last / 2)
+
+
 # F7 -------------------------------------------------------------------------
 def attempts(spark: SparkSession, d: str) -> DataFrame:
-    ev = load(spark, d, "events", "event_id", "ts", "event_type", "value", "props", spread=True)
+    ev = load(spark, d, "events", "event_id", "ts", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").cast("bigint").cast("string")
     kb = F.get_json_object("props", "$.k").cast("bigint")
     m = F.col("event_id") % 4
@@ -222,6 +282,9 @@ def attempts(spark: SparkSession, d: str) -> DataFrame:
                                      lit("}}")))
              .when(m == 1, F.concat(lit('{"usage": {"input_tokens": '), k, lit(', "output_tokens": '),
                                     (kb % 7).cast("string"), lit("}}")))
+             .when(F.col("event_id") % 8 == 6, F.concat(
+                 lit('{"generations": [[{"message": {"usage_metadata": {"input_tokens": '), k,
+                 lit(', "output_tokens": 5}}}], [{"usage_metadata": {"input_tokens": 2, "output_tokens": 1}}]]}')))
              .when(m == 2, F.concat(lit('{"generations": [{"usage_metadata": {"input_tokens": '), k,
                                     lit(', "output_tokens": 3}}, {"usage_metadata": {"input_tokens": 1, '
                                         '"output_tokens": 2, "total_tokens": 4}}]}')))
@@ -295,31 +358,32 @@ STORE_TAG_BY_MOD5 = ("MARKET", "MENTOR", "REPORT", "VISA", "CITY")
 
 def store_tags(spark: SparkSession, d: str) -> DataFrame:
     """The stored articles' current tags."""
-    doc = load(spark, d, "documents", "doc_id").where(F.col("doc_id") % 4 == 0)
+    doc = load(spark, d, "documents", "doc_id")
     return doc.select(F.col("doc_id").cast("string").alias("unique_id"),
                       _pick(F.col("doc_id") % 5, STORE_TAG_BY_MOD5).alias("tag"),
                       lit("2026-01-01T00:00:00").alias("updated_at"))
 
 
 def tag_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Editor re-tags: clears, invalid values, unknown ids, later overrides."""
-    doc = load(spark, d, "documents", "doc_id").where(F.col("doc_id") % 8 == 0)
+    """Editor re-tags of every document: clears, invalid values, unknown ids,
+    later overrides at lower positions."""
+    doc = load(spark, d, "documents", "doc_id")
     i = F.col("doc_id")
-    uid = F.when(i % 72 == 0, i + 100000).otherwise(i).cast("string")
-    value = (F.when(i % 24 == 0, lit(None).cast("string")).when(i % 56 == 0, lit("GOSSIP"))
+    uid = F.when(i % 9 == 0, F.concat(lit("x"), i.cast("string"))).otherwise(i.cast("string"))
+    value = (F.when(i % 3 == 0, lit(None).cast("string")).when(i % 7 == 0, lit("GOSSIP"))
              .otherwise(_pick(F.floor(i / 8) % 5, STORE_TAG_BY_MOD5)))
-    first = F.struct(i.alias("seq"), value.alias("tag"), (i % 24 == 0).alias("is_clear"),
-                     lit("2026-01-03T00:00:00").alias("changed_at"))
-    later = F.struct((i + 1000000).alias("seq"), lit("VISA").alias("tag"), lit(False).alias("is_clear"),
-                     lit("2026-01-04T00:00:00").alias("changed_at"))
-    rows = F.when(i % 16 == 0, F.array(first, later)).otherwise(F.array(first))
+    first = F.struct((i + 10).alias("seq"), value.alias("tag"), (i % 3 == 0).alias("is_clear"),
+                     lit("2026-01-03T00:00:00").alias("changed_at"), lit("a").alias("run_id"))
+    later = F.struct(i.alias("seq"), lit("VISA").alias("tag"), lit(False).alias("is_clear"),
+                     lit("2026-01-04T00:00:00").alias("changed_at"), lit("b").alias("run_id"))
+    rows = F.when(i % 2 == 0, F.array(first, later)).otherwise(F.array(first))
     return doc.select(uid.alias("unique_id"), F.inline(rows))
 
 
 # Legacy mirror layout (schema check) ------------------------------------------
 def legacy_mirror(spark: SparkSession, d: str):
     """Mirror rows in an older layout: no tag_reason, published_at kept as
-    text, an extra owner field. Returns (rows, {field: type id})."""
+    text, an extra owner field, notes never filled. Returns (rows, {field: type id})."""
     doc = load(spark, d, "documents", "doc_id", "source", "lang")
     i = F.col("doc_id")
     types = {n: t for n, t in MIRROR_FIELDS if n != "tag_reason"}
@@ -329,6 +393,7 @@ def legacy_mirror(spark: SparkSession, d: str):
     cells["author"] = F.when(i % 2 == 1, F.col("source"))
     cells["country"] = F.when(i % 3 == 0, F.upper("lang"))
     cells["owner"] = F.when(i % 5 == 0, F.col("source"))
+    cells["notes"] = lit(None).cast("string")
     return doc.select(*[c.alias(n) for n, c in cells.items()]), types
 
 

@@ -31,5 +31,5 @@ def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
     for i, e in enumerate(entries):
         e = e or {}
         # an absent name defaults to ''; an explicit null stays null
-        rows.append((i, e.get("name", ""), e.get("type"), e.get("url"), e.get("url_pattern")))
+        rows.append((str(i), e.get("name", ""), e.get("type"), e.get("url"), e.get("url_pattern")))
     return spark.createDataFrame(rows, SOURCES_RAW)

@@ -6,7 +6,8 @@ append to the store. Dedupe is against all history, so it is a join with
 the store rather than streaming ``dropDuplicates`` state (which would grow
 without bound). Each micro-batch writes only its own ``run_id`` partition,
 so a replayed batch (after a failure) overwrites itself: exactly-once output
-with the checkpointed source offsets.
+with the checkpointed source offsets. The partition's name holds the id of the
+stream, so a new stream never replaces another one's rows.
 
 T2 (sync-back): new mirror-pull files -> per micro-batch: decode, validate,
 diff against the store's current statuses, append status changes.
@@ -18,6 +19,8 @@ running.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,34 +31,45 @@ from ..plans.syncback import run_syncback
 from ..schemas import SCRAPED
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A short id of the stream that a checkpoint belongs to: the same after a
+    restart from it, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"].replace("-", "")[:12]
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, responses: DataFrame, store_dir: str,
-                 cfg: CurationConfig) -> None:
+                 cfg: CurationConfig, stream: str = "") -> None:
+    """One micro-batch: articles, their hashes, and the rows that were not
+    stored with the reason. The stored hashes are read back from the written
+    partition, so the batch is computed once for them."""
     spark = batch.sparkSession
-    run_id = f"{cfg.run_id}_b{batch_id:06d}"
-    bcfg = cfg
+    run_id = f"{cfg.run_id}_{stream}b{batch_id:06d}"
     rows = dedupe.hash_urls(fetch.drop_empty_body(batch))
-    new = dedupe.dedupe_new(rows, layout.store_hashes(spark, store_dir, exclude_run=run_id))
-    winners, _ = dedupe.batch_unique(new, ("doc_id",))
+    seen = dedupe.seen_hashes(rows, layout.store_hashes(spark, store_dir, exclude_run=run_id))
+    winners, losers = dedupe.batch_unique(rows, ("doc_id",), seen)
     articles = winners.select("doc_id", "hash_code", "article_url", "source_name", "source_url",
                               F.col("markdown").alias("raw_markdown"),
-                              F.lit(bcfg.run_ts).alias("scraped_at"))
-    out = store.to_store_rows(enrich.enrich(articles, responses, bcfg), bcfg) \
+                              F.lit(cfg.run_ts).alias("scraped_at"))
+    out = store.to_store_rows(enrich.enrich(articles, responses, cfg), cfg) \
         .withColumn("run_id", F.lit(run_id))
-    valid, _ = store.check_rows(out)
-    valid = valid.persist()
+    valid, bad = store.check_rows(out)
     layout.write_partition(store.store_columns(valid), f"{store_dir}/articles")
-    layout.write_partition(valid.select("hash_code", "unique_id", "run_id"),
+    stored = layout.read_or_empty(spark, f"{store_dir}/articles", layout.ARTICLES_SCHEMA) \
+        .where(F.col("run_id") == run_id)
+    layout.write_partition(stored.select("hash_code", "unique_id", "run_id"),
                            f"{store_dir}/article_hashes")
-    valid.unpersist()
+    reject = ("hash_code", "article_url", "reject_reason")
+    layout.write_partition(bad.select(*reject).unionByName(losers.select(*reject))
+                           .withColumn("run_id", F.lit(run_id)), f"{store_dir}/rejects")
 
 
 def ingest_stream(spark: SparkSession, scraped_dir: str, responses: DataFrame, store_dir: str,
-                  checkpoint: str, cfg: CurationConfig = CurationConfig(),
-                  files_per_batch: int = 1):
+                  checkpoint: str, cfg: CurationConfig, files_per_batch: int = 1):
     src = (spark.readStream.schema(SCRAPED).option("maxFilesPerTrigger", files_per_batch)
            .parquet(scraped_dir))
     q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: ingest_batch(df, bid, responses, store_dir, cfg))
+         .foreachBatch(lambda df, bid: ingest_batch(df, bid, responses, store_dir, cfg,
+                                                    stream_id(spark, checkpoint) + "_"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
@@ -66,11 +80,16 @@ PULL_SCHEMA = "page bigint, page_ok boolean, pos bigint, unique_id_cell string,
 
 def syncback_stream(spark: SparkSession, pull_dir: str, store_dir: str, checkpoint: str,
                     changed_at: str, files_per_batch: int = 1):
+    """``changed_at`` is when the editors' changes count as made. A new checkpoint
+    is a new pull, whose changes stand beside those of earlier ones."""
+    def sync(df: DataFrame, bid: int) -> None:
+        pull = f"sync_{stream_id(spark, checkpoint)}"
+        run_syncback(df.sparkSession, df, store_dir, changed_at, f"{pull}_b{bid:06d}", pull)
+
     src = (spark.readStream.schema(PULL_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(pull_dir))
     q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: run_syncback(df.sparkSession, df, store_dir, changed_at,
-                                                    f"sync_b{bid:06d}"))
+         .foreachBatch(sync)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -18,38 +18,46 @@ def rows(spark, values, schema="s string"):
     return spark.createDataFrame([(v,) for v in values], schema)
 
 
-def py_hash(url):
-    return hashlib.sha256((url or "").strip().rstrip("/").encode()).hexdigest()
-
-
 def test_whitespace_set_is_pythons():
     allws = sorted(chr(i) for i in range(0x110000) if chr(i).isspace())
     assert sorted(tx.PY_WHITESPACE) == allws and len(allws) == 29
 
 
-def test_url_hash_matches_python(spark):
-    urls = [None, "", "  ", "https://a.org/x/", "https://a.org/x///", " https://a.org/x ",
-            "https://a.org/ü/", "/", "https://a.org/x/ "]
-    urls += [c + "https://a.org/p/" + c for c in tx.PY_WHITESPACE]
-    got = rows(spark, urls).select("s", tx.url_hash("s").alias("h")).collect()
+# url -> the text whose SHA-256 identifies it
+HASHED = {
+    None: "", "": "", "  ": "", "/": "", "https://a.org/x": "https://a.org/x",
+    "https://a.org/x/": "https://a.org/x", "https://a.org/x///": "https://a.org/x",
+    " https://a.org/x ": "https://a.org/x", "https://a.org/x/ ": "https://a.org/x",
+    "https://a.org/x /": "https://a.org/x ", "https://a.org/\u00fc/": "https://a.org/\u00fc",
+}
+
+
+def test_url_hash_table(spark):
+    got = rows(spark, list(HASHED)).select("s", tx.url_hash("s").alias("h")).collect()
     for r in got:
-        assert r.h == py_hash(r.s), repr(r.s)
+        assert r.h == hashlib.sha256(HASHED[r.s].encode()).hexdigest(), repr(r.s)
 
 
-def py_truncate(s, n=1900):
-    if not s:
-        return ""
-    if len(s) <= n:
-        return s
-    return s[: n - 3].rstrip() + "..."
+def test_url_hash_drops_every_white_space_around(spark):
+    want = hashlib.sha256(b"https://a.org/p").hexdigest()
+    around = [c + "https://a.org/p/" + c for c in tx.PY_WHITESPACE]
+    assert {r.h for r in rows(spark, around).select(tx.url_hash("s").alias("h")).collect()} == {want}
 
 
-def test_truncate_matches_python(spark):
-    vals = [None, "", "a" * 1899, "a" * 1900, "a" * 1901, "b" * 1890 + " \t　  " + "c" * 20,
-            "😀" * 1901, "x" * 1896 + " " + "y" * 10]
-    got = rows(spark, vals).select("s", tx.truncate_text("s").alias("t")).collect()
-    for r in got:
-        assert r.t == py_truncate(r.s)
+# (text, cap) -> cut text
+CUT = [
+    (None, 10, ""), ("", 10, ""), ("abcdefghij", 10, "abcdefghij"), ("abcdefghijk", 10, "abcdefg..."),
+    ("abcdef ghijk", 10, "abcdef..."), ("abc \t\u00a0\u3000ghijk", 10, "abc..."), ("       xxxxx", 10, "..."),
+    ("\U0001f600" * 11, 10, "\U0001f600" * 7 + "..."),
+]
+
+
+def test_truncate_table(spark):
+    for text, cap, want in CUT:
+        got = rows(spark, [text]).select(tx.truncate_text("s", cap).alias("t")).first().t
+        assert got == want, (text, cap)
+    long = rows(spark, ["a" * 1900, "a" * 1901]).select(tx.truncate_text("s").alias("t")).collect()
+    assert [r.t for r in long] == ["a" * 1900, "a" * 1897 + "..."]
 
 
 def test_overall_score_is_half_to_even(spark):
@@ -135,31 +143,16 @@ def test_decode_errors(spark):
     assert got[0].tg_tag == "VISA" and got[1].tg_tag is None
 
 
-def py_extract_text(v):
-    import json
-    if v is None:
-        return ""
-    try:
-        x = json.loads(v)
-    except ValueError:
-        return v
-    if x is None:
-        return ""
-    if isinstance(x, str):
-        return x
-    if isinstance(x, list):
-        return "".join(seg.get("text", "") or "" for seg in x if isinstance(seg, dict))
-    if isinstance(x, dict):
-        return x.get("text", "") or ""
-    return json.dumps(x)
+# cell -> its text
+CELLS = {
+    '"plain"': "plain", '[{"type":"text","text":"a"}, 3, {"type":"m"}, {"text":"b"}]': "ab", '{"text":"d"}': "d",
+    "null": "", None: "", "5": "5", '{"x":1}': "", "not json": "not json", "[]": "", '[{"text":null}]': "", '""': "",
+}
 
 
 def test_rich_text_shapes(spark):
-    cells = ['"plain"', '[{"type":"text","text":"a"}, 3, {"type":"m"}, {"text":"b"}]',
-             '{"text":"d"}', "null", None, "5", '{"x":1}', "not json", '[]']
-    got = rows(spark, cells).select("s", rich_text("s").alias("t")).collect()
-    for r in got:
-        assert r.t == py_extract_text(r.s), r.s
+    got = rows(spark, list(CELLS)).select("s", rich_text("s").alias("t")).collect()
+    assert {r.s: r.t for r in got} == CELLS
 
 
 def test_status_text(spark):
@@ -184,38 +177,38 @@ def test_usage_precedence(spark):
             '{"token_usage": {"prompt_tokens": 0}, "usage": {"input_tokens": 4, "output_tokens": 1}}',
             '{"generations": [{"usage_metadata": {"input_tokens": 2, "output_tokens": 3}},'
             ' {"usage_metadata": {"input_tokens": 1, "output_tokens": 1, "total_tokens": 5}}]}',
-            '{}', None]
+            '{"generations": [[{"message": {"usage_metadata": {"input_tokens": 4, "output_tokens": 1}}}],'
+            ' [{"usage_metadata": {"input_tokens": 1, "output_tokens": 1}}]]}', '{}', None]
     df = add_usage_columns(rows(spark, recs, "usage string"), "usage")
     got = [(r.input_tokens, r.output_tokens, r.total_tokens) for r in df.collect()]
-    assert got == [(5, 2, 9), (5, 2, 7), (4, 1, 5), (3, 4, 5), (0, 0, 0), (0, 0, 0)]
+    assert got == [(5, 2, 9), (5, 2, 7), (4, 1, 5), (3, 4, 5), (5, 2, 7), (0, 0, 0), (0, 0, 0)]
 
 
-def py_keep(url, source_url, pattern):
-    import re
-    if not url:
-        return False
-    if url.rstrip("/") == source_url.rstrip("/"):
-        return False
-    if re.search(r"\.(pdf|jpe?g|png|gif|svg|webp|mp4|webm|mp3|zip)(?:\?.*)?$", url, re.I):
-        return False
-    if pattern and not re.search(pattern, url):
-        return False
-    return True
+# url -> (kept with the source's pattern, kept without one)
+KEPT = {
+    "https://a.org/news": (False, False), "https://a.org/news///": (False, False), "https://a.org/news/1": (True, True),
+    "https://a.org/news/1.PDF": (False, False), "https://a.org/news/1.pdf#p": (False, True),
+    "https://a.org/news/2.jpg?x=1": (False, False), "https://a.org/news/3.html": (True, True),
+    "https://a.org/news/3#top": (False, True), "": (False, False), None: (False, False),
+    "https://a.org/news/4/": (True, True), "https://b.org/news/5": (False, True), "https://a.org/a.mp4x": (False, True),
+}
 
 
 def test_url_filter_predicate(spark):
     src = "https://a.org/news"
     pat = r"^https?://a[.]org/news/[0-9]+(?:/|$|[.]html$)"
-    cases = ["https://a.org/news", "https://a.org/news///", "https://a.org/news/1",
-             "https://a.org/news/1.PDF", "https://a.org/news/1.pdf#p", "https://a.org/news/2.jpg?x=1",
-             "https://a.org/news/3.html", "https://a.org/news/3#top", "", None,
-             "https://a.org/news/4/", "https://b.org/news/5"]
-    df = spark.createDataFrame([(u, src, p) for u in cases for p in (pat, None, "")],
+    df = spark.createDataFrame([(u, src, p) for u in KEPT for p in (pat, None, "")],
                                "url string, src string, pat string")
     got = df.select("url", "pat", is_article_url(F.col("url"), F.col("src"), F.col("pat"))
                     .alias("k")).collect()
     for r in got:
-        assert bool(r.k) == py_keep(r.url, src, r.pat), (r.url, r.pat)
+        assert bool(r.k) == KEPT[r.url][0 if r.pat else 1], (r.url, r.pat)
+
+
+def test_url_filter_applied_twice_changes_nothing(spark):
+    df = spark.createDataFrame([(u, "https://a.org/news", "/news/") for u in KEPT], "url string, src string, pat string")
+    keep = is_article_url(F.col("url"), F.col("src"), F.col("pat"))
+    assert sorted(df.where(keep).collect()) == sorted(df.where(keep).where(keep).collect())
 
 
 def test_html_to_text(spark):

@@ -48,6 +48,8 @@ def test_limit_before_or_after_filter(spark):
     links = _links(spark, rows)
     assert discover.discover(links, src, 3, "discover").count() == 0
     assert discover.discover(links, src, 3, "kept").count() == 3
+    c = discover.discover_counts(links, src, 2, "kept").first()
+    assert (c.discovered, c.kept) == (6, 2)   # the cap on kept links hides none that were discovered
 
 
 def test_duplicates_and_discarded_rows_block(spark):
@@ -78,7 +80,7 @@ def _enrich(spark, responses, mode):
                                  "doc_id long, hash_code string, article_url string, source_name string,"
                                  " raw_markdown string, scraped_at string")
     resp = spark.createDataFrame(responses, "doc_id long, node string, response string, error string")
-    out = enrich.enrich(arts, resp, CurationConfig(on_missing_excerpt=mode))
+    out = enrich.enrich(arts, resp, CurationConfig(run_ts="2026-01-01T00:00:00", on_missing_excerpt=mode))
     return {r.doc_id: r for r in out.collect()}
 
 
@@ -167,12 +169,12 @@ def test_tag_clear_and_invalid(spark):
 
 def test_schema_diff(spark):
     rows = spark.createDataFrame([("x", None, "y")], "title_zh string, tag string, owner string")
-    obs = schema_check.observed_fields(rows, {"title_zh": 1, "tag": 3, "owner": 1})
+    obs = schema_check.listed_fields(rows, {"title_zh": 1, "tag": 3, "owner": 1})
     exp = spark.createDataFrame([("title_zh", 2), ("tag", 3), ("stage_errors", 1)],
                                 "name string, type_id int")
     got = sorted(tuple(r) for r in schema_check.schema_diff(exp, obs).collect())
     assert got == [("extra", "owner", None, "text", 1), ("mismatch", "title_zh", "number", "text", 1),
-                   ("missing", "stage_errors", "text", None, 0), ("missing", "tag", "single_select", None, 0)]
+                   ("missing", "stage_errors", "text", None, 0)]  # the blank tag is there
 
 
 def test_stage_metrics_counts_timed_calls_only(spark):
@@ -189,7 +191,7 @@ def test_store_rows_and_checks(spark):
                                  ("h3", "https://w", "GOSSIP", False)],
                                 "hash_code string, article_url string, tag string, needs_revision boolean")
     rec = rec.withColumn("stage_errors", F.array().cast("array<struct<node:string,error:string>>"))
-    rows = store.to_store_rows(rec, CurationConfig())
+    rows = store.to_store_rows(rec, CurationConfig(run_ts="2026-01-01T00:00:00"))
     ok, bad = store.check_rows(rows)
     assert [r.hash_code for r in ok.collect()] == ["h1"]
     assert sorted(r.reject_reason for r in bad.collect()) == ["bad_tag", "missing_hash"]
@@ -213,6 +215,75 @@ def test_hot_hash_third_of_rows(spark):
     assert dedupe.dedupe_new(df, st).count() == n - n // 3
 
 
+def test_one_winner_even_among_equal_rows(spark):
+    rows = [(1, "https://x.org/a", "m")] * 3 + [(1, "https://x.org/a/", "n"), (2, "https://x.org/a", "m"), (3, "https://x.org/b", "m")]
+    df = dedupe.hash_urls(spark.createDataFrame(rows, "doc_id long, article_url string, body string"))
+    df = df.unionByName(df.limit(1).withColumns({"hash_code": F.lit(None).cast("string"), "doc_id": F.lit(9).cast("long")}))
+    win, lose = dedupe.batch_unique(df, ("doc_id",))
+    assert sorted((r.doc_id, r.article_url) for r in win.collect()) == [(1, "https://x.org/a"), (3, "https://x.org/b")]
+    got = sorted((r.doc_id, r.article_url, r.reject_reason) for r in lose.collect())
+    assert got == [(1, "https://x.org/a", "duplicate_hash")] * 2 + [(1, "https://x.org/a/", "duplicate_hash"), (2, "https://x.org/a", "duplicate_hash"),
+                                                                    (9, "https://x.org/a", "missing_hash")]
+    seen = dedupe.hash_urls(spark.createDataFrame([("https://x.org/b",)], "article_url string")).select("hash_code")
+    win, lose = dedupe.batch_unique(df, ("doc_id",), seen)
+    assert win.count() == 1 and lose.where("doc_id = 3").count() == 0
+
+
+def test_one_body_per_url(spark):
+    from quire.operators import fetch
+    kept = spark.createDataFrame([("s", 1, "n", "u", "https://a/1"), ("s", 2, "n", "u", "https://a/2"), ("s", 3, "n", "u", "https://a/3")],
+                                 "source_id string, pos long, source_name string, source_url string, url string")
+    bodies = spark.createDataFrame([("https://a/1", "<p>cut", None), ("https://a/1", "<p>whole text</p>", None), ("https://a/1", None, None),
+                                    ("https://a/2", "<p>page</p>", "# markdown <b> as it is"), ("https://z", "<p>", None)],
+                                   "url string, html string, markdown string")
+    got = {r.article_url: r.markdown for r in fetch.scrape_join(kept, bodies.unionByName(bodies)).collect()}
+    assert got == {"https://a/1": "whole text", "https://a/2": "# markdown <b> as it is", "https://a/3": None}
+    assert fetch.scrape_join(kept, bodies.drop("markdown")).count() == 3
+
+    def fetcher(url):
+        if url.endswith("2"):
+            raise OSError("refused")
+        return f"body of {url}"
+
+    got = {r.url: (r.markdown, r.error) for r in fetch.fetch_bodies(kept, fetcher).collect()}
+    assert got["https://a/1"] == ("body of https://a/1", None) and got["https://a/2"] == (None, "OSError: refused")
+
+
+def test_model_failures_stay_with_their_rows(spark):
+    import pandas as pd
+
+    def model(pdf):
+        if (pdf["doc_id"] % 3 == 0).any():
+            raise RuntimeError("no answer")
+        assert pdf["system"].str.len().min() > 40
+        return pd.DataFrame({"doc_id": pdf["doc_id"], "node": pdf["node"], "response": SC, "error": None,
+                             "usage": '{"usage": {"input_tokens": 2, "output_tokens": 1}}'})
+
+    asked = spark.range(10).select(F.col("id").alias("doc_id"), F.lit("score").alias("node"), F.lit("p").alias("prompt"))
+    answers = enrich.infer(asked, model)
+    got = {r.doc_id: r for r in answers.collect()}
+    assert {i for i, r in got.items() if r.error} == {0, 3, 6, 9}
+    assert got[3].error == "RuntimeError: no answer" and got[3].response is None and got[4].response == SC
+    m = {r.stage: r for r in metrics.stage_metrics(enrich.model_attempts(answers)).collect()}
+    assert m["score"]["count"] == 6 and m["score"].total_tokens == 18
+
+
+def test_answers_given_twice_count_once(spark):
+    resp = [(1, "score", None, "late"), (1, "score", SC, None), (1, "score", SC, None), (1, "score", SC.replace("5", "4"), None)]
+    a = _enrich(spark, resp, "accumulate")
+    assert len(a) == 2 and a[1].relevance_score == 5
+
+
+def test_latest_change_is_by_time_then_sync_then_position(spark):
+    facts = spark.createDataFrame([(x, "REVIEWING", "t0") for x in "abcd"], "unique_id string, status string, updated_at string")
+    ch = spark.createDataFrame([("a", "READY", "t1", "s1", 50), ("a", "PUBLISHED", "t2", "s2", 10), ("b", "READY", "t1", "s1", 5),
+                                ("b", "PUBLISHED", "t2", "s2", 5), ("c", "READY", "t1", "s1", 9), ("c", "DISCARD", "t1", "s2", 1),
+                                ("d", "READY", "t1", "s1", 1), ("d", "DISCARD", "t1", "s1", 2)],
+                               "unique_id string, new_status string, changed_at string, run_id string, seq long")
+    got = {r.unique_id: r.status for r in store.apply_status(facts, ch).collect()}
+    assert got == {"a": "PUBLISHED", "b": "PUBLISHED", "c": "DISCARD", "d": "DISCARD"}
+
+
 def test_metrics_rollup_total_row(spark):
     att = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None), ("b", 0.5, None)],
                                 "stage string, duration_sec double, usage string")
