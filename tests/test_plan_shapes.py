@@ -46,7 +46,8 @@ def test_winners_are_found_on_keys(spark, no_broadcasts):
     and no exchange carries a body."""
     from pyspark.sql import functions as F
     from quire.operators import dedupe
-    rows = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("h").alias("hash_code"), F.lit("body").alias("markdown"))
+    rows = spark.range(100).select(F.col("id").alias("doc_id"), F.concat(F.lit("h"), F.col("id") % 7).alias("hash_code"),
+                                  F.concat(F.lit("body"), "id").alias("markdown"))
     keys = dedupe.winner_keys(rows, ("doc_id",), rows.select("hash_code").distinct())
     plan = keys._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
