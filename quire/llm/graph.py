@@ -3,8 +3,8 @@
 After Kiveris et al., "Connected Components in MapReduce and Beyond" (2014):
 each step links the neighbours of a node to the least of them, until every
 component is a star around its least node. A step is two aggregations and two
-joins; links are never gathered, and a node with very many links is summed
-before the shuffle and split by the skew handling of the join.
+joins; links are never gathered. A node with very many links is summed before
+the shuffle, and as the sums are checkpointed, the join can split it.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from .common import cut
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("low"))
-    least = least.select("a", F.least("a", "low").alias("low"))
+    least = cut(least.select("a", F.least("a", "low").alias("low")))
     return (both.join(least, "a").where(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("low").alias("b")))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("a").agg(F.min("b").alias("low"))
+    least = cut(links.groupBy("a").agg(F.min("b").alias("low")))
     moved = (links.join(least, "a").where(F.col("b") != F.col("low"))
              .select(F.col("b").alias("a"), F.col("low").alias("b")))
     return moved.union(least.select("a", F.col("low").alias("b"))).distinct()
@@ -47,7 +47,7 @@ def components(links: DataFrame) -> DataFrame:
     links = cut(links.where("x is not null and y is not null and x <> y").select("a", "b").distinct())
     state = _state(links)
     while state[0]:
-        links = cut(_small_star(_large_star(links)))
+        links = cut(_small_star(cut(_large_star(links))))
         before, state = state, _state(links)
         if before == state:
             break

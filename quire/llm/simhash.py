@@ -166,10 +166,11 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = cut(components(near_links(distinct.select("fp"), radius)))
     linked = roots.join(distinct, roots.node == distinct.fp).select("root", "fp", "low")
-    least = linked.groupBy("root").agg(F.min("low").alias("component_id"))
+    least = cut(linked.groupBy("root").agg(F.min("low").alias("component_id")))
     linked = linked.join(least, "root").select(F.col("fp").alias("linked_fp"), "component_id")
-    named = (distinct.join(linked, distinct.fp == linked.linked_fp, "left")
-             .select("fp", F.coalesce("component_id", "low").alias("component_id")))
+    # checkpointed, so that the join that follows can split a fingerprint of very many copies
+    named = cut(distinct.join(linked, distinct.fp == linked.linked_fp, "left")
+                .select("fp", F.coalesce("component_id", "low").alias("component_id")))
     return prints.join(named, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
