@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, whole_text, written
+from .common import SPACES, cut, let, whole_text, written
 
 WINDOW = 3  #: hashes in a run that counts as a repeat
 CHARS = 100  #: characters of a line that weigh as one hash
@@ -71,13 +71,15 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) ->
     prints = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(
         let(_hashes(text, chars), lambda h: _selected(h, window))).alias("p"))
     prints = written(prints.select("doc_id", "text_hash", "p.print", "p.runs"), "line-prints")
-    met = prints.groupBy("print").count().where("count > 1").select("print")
+    # the sums are checkpointed, so that the joins that follow can split a hot key
+    met = cut(prints.groupBy("print").count().where("count > 1").select("print"))
     spot = F.struct("doc_id", "text_hash", F.col("r.at").alias("at"))
     runs = (prints.join(met, "print", "left_semi").withColumn("r", F.explode("runs"))
             .select(F.col("r.run").alias("run"), spot.alias("spot"), F.col("r.first").alias("first"),
                     F.col("r.last").alias("last")))
-    earliest = runs.groupBy("run").agg(F.min("spot").alias("earliest"), F.count(F.lit(1)).alias("n"))
-    again = runs.join(earliest.where("n > 1").drop("n"), "run").where(~F.col("spot").eqNullSafe(F.col("earliest")))
+    earliest = cut(runs.groupBy("run").agg(F.min("spot").alias("earliest"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").drop("n"))
+    again = runs.join(earliest, "run").where(~F.col("spot").eqNullSafe(F.col("earliest")))
     return (again.groupBy("spot.doc_id", "spot.text_hash")
             .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
             .select("doc_id", "text_hash", F.array_distinct(F.flatten(F.transform(
