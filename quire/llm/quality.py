@@ -26,6 +26,9 @@ MAX_HOST_RATE = 0.6
 #: Documents that the prior weighs: at least so many, so that a few failures don't
 #: reject a small host; at most so many, as hosts that are all alike would make it endless.
 MIN_PRIOR, MAX_PRIOR = 5.0, 1000.0
+#: Rejected hosts that are broadcast; more are joined.
+MAX_SENT_HOSTS = 100_000
+SALTS = 64
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -127,10 +130,16 @@ def keep_good(docs: DataFrame, host_col: str = "source", max_rate: float = MAX_H
     """The rows of ``docs`` that ``judge`` keeps; all columns kept.
 
     A row's own failure is seen from its own text again, so texts aren't
-    shuffled; only the table of rejected hosts joins.
+    shuffled: rejected hosts go to the rows. Beyond ``MAX_SENT_HOSTS`` of them
+    the rows are dealt by host and a salt, so that no host lands in one task.
     """
     judged = judge(docs, host_col, max_rate=max_rate)
-    bad = judged.where(~F.col("kept") & ~F.col("base_failed")).select(F.col("host").alias("__host")).distinct()
+    bad = cut(judged.where(~F.col("kept") & ~F.col("base_failed")).select(F.col("host").alias("__host")).distinct())
     rows = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
     good = measure(rows, ["__row"], "__text").where(~base_failed())
-    return good.join(bad, F.col(f"__row.{host_col}").eqNullSafe(F.col("__host")), "left_anti").select("__row.*")
+    same = F.col(f"__row.{host_col}").eqNullSafe(F.col("__host"))
+    if bad.count() <= MAX_SENT_HOSTS:
+        return good.join(F.broadcast(bad), same, "left_anti").select("__row.*")
+    salt = F.pmod(F.xxhash64("__row.text"), F.lit(SALTS))
+    spread = bad.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return good.join(spread, same & (salt == F.col("__part")), "left_anti").select("__row.*")

@@ -41,7 +41,7 @@ def test_measures_match_brute_force(spark, odd_docs, make_docs, prose):
         assert tuple(r)[2:] == measures(r["text"]), (r["doc_id"], (r["text"] or "")[:40])
 
 
-def test_host_verdicts_shrink_small_hosts(spark, make_docs, prose):
+def test_host_verdicts_shrink_small_hosts(spark, make_docs, prose, monkeypatch):
     good, bad = prose(1, 80), "too short"
     rows = [(i, good, "big") for i in range(60)] + [(100 + i, bad, "farm") for i in range(40)]
     rows += [(200, bad, "tiny"), (201, good, "farm"), (202, good, None), (203, bad, None)]
@@ -57,8 +57,10 @@ def test_host_verdicts_shrink_small_hosts(spark, make_docs, prose):
     s = min(1000, max(5, p * (1 - p) / between - 1))
     assert out[200]["host_rate"] == pytest.approx((1 + s * p) / (1 + s), abs=1e-6)
     assert out[200]["host_rate"] < 1  # not judged by its one document alone
-    kept = quality.keep_good(make_docs(rows))
-    assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(i for i, r in out.items() if r["kept"])
+    for sent in (quality.MAX_SENT_HOSTS, 0):
+        monkeypatch.setattr(quality, "MAX_SENT_HOSTS", sent)
+        kept = quality.keep_good(make_docs(rows))
+        assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(i for i, r in out.items() if r["kept"])
 
 
 def test_quality_odd_rows(spark, odd_docs, clashing, make_docs, prose):
