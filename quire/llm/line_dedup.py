@@ -11,6 +11,11 @@ that occurred before, by document id and position, mark their lines.
 A line goes if it lies in a window's run of hashes that occurred before. An
 occurrence is held against the first one only, so a passage in very many
 documents costs a row per occurrence, never a pair.
+
+``dedup_passages`` adds to these whole-line runs the runs of units: a line is cut
+into clauses, and these at some words, where the characters on either side say
+so. A passage has the same cuts wherever it stands in a line, so that it is
+found there too, but for the units at its ends that are glued to other text.
 """
 
 from __future__ import annotations
@@ -22,6 +27,12 @@ from .common import SPACES, cut, let, whole_text, written
 
 WINDOW = 3  #: hashes in a run that counts as a repeat
 CHARS = 100  #: characters of a line that weigh as one hash
+UNIT_WINDOW = 6  #: hashes of units in a run that counts as a repeat
+UNIT_CHARS = 40  #: characters of a unit that weigh as one hash
+#: Between units: after the mark of a clause, or between two words by their letters.
+CUT = r"(?<=[.!?;:,…]\x20)|(?<=[。！？；：，、])|(?<=[adlnorаеть]\x20)(?=[bcdpstвнпс])"
+PLACES = 1 << 32  #: a place in a text is a line's number times this, plus its unit's
+RANGES = "array<struct<first:bigint,last:bigint>>"
 
 
 def _lines(text: Column) -> Column:
@@ -65,11 +76,9 @@ def _selected(hashes: Column, window: int) -> Column:
     return F.when(F.size(hashes) >= window, let(F.transform(starts, least), with_runs))
 
 
-def repeated_runs(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) -> DataFrame:
-    """``doc_id, text_hash, dead``: the lines (0-based) that repeat an earlier run."""
-    text = whole_text()
-    prints = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(
-        let(_hashes(text, chars), lambda h: _selected(h, window))).alias("p"))
+def _repeats(docs: DataFrame, selected: Column) -> DataFrame:
+    """``doc_id, text_hash, ranges``: first and last place of the runs that repeat an earlier one."""
+    prints = docs.select("doc_id", F.xxhash64(whole_text()).alias("text_hash"), F.explode(selected).alias("p"))
     prints = written(prints.select("doc_id", "text_hash", "p.print", "p.runs"), "line-prints")
     # the sums are checkpointed, so that the joins that follow can split a hot key
     met = cut(prints.groupBy("print").count().where("count > 1").select("print"))
@@ -81,9 +90,60 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) ->
                    .where("n > 1").drop("n"))
     again = runs.join(earliest, "run").where(~F.col("spot").eqNullSafe(F.col("earliest")))
     return (again.groupBy("spot.doc_id", "spot.text_hash")
-            .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-            .select("doc_id", "text_hash", F.array_distinct(F.flatten(F.transform(
-                "ranges", lambda r: F.sequence(r["first"], r["last"])))).alias("dead")))
+            .agg(F.collect_set(F.struct("first", "last")).alias("ranges")))
+
+
+def repeated_runs(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) -> DataFrame:
+    """``doc_id, text_hash, dead``: the lines (0-based) that repeat an earlier run."""
+    selected = let(_hashes(whole_text(), chars), lambda h: _selected(h, window))
+    return _repeats(docs, selected).select("doc_id", "text_hash", F.array_distinct(F.flatten(F.transform(
+        "ranges", lambda r: F.sequence(r["first"], r["last"])))).alias("dead"))
+
+
+def _unit_hashes(text: Column) -> Column:
+    """array<struct<hash, line>> of the units with words, in order; ``line`` is the unit's place."""
+
+    def of_unit(unit: Column, place: Column) -> Column:
+        weight = F.ceil(F.char_length(unit) / F.lit(UNIT_CHARS)).cast("int")
+        own = let(F.xxhash64(unit, F.lit("unit")), lambda h: F.transform(
+            F.sequence(F.lit(1), weight), lambda j: F.struct(F.xxhash64(h, j).alias("hash"), place.alias("line"))))
+        return F.when(unit != "", own).otherwise(F.array().cast("array<struct<hash:bigint,line:bigint>>"))
+
+    return F.flatten(F.flatten(F.transform(_lines(text), lambda line, at: F.transform(
+        F.split(line, CUT, -1), lambda unit, i: let(F.trim(unit, F.lit(SPACES)), lambda u: of_unit(u, at * F.lit(PLACES) + i))))))
+
+
+def _whole_lines(selected: Column) -> Column:
+    """Selected hashes with their lines as ranges of places."""
+    return F.transform(selected, lambda p: F.struct(p["print"].alias("print"), F.transform(p["runs"], lambda r: F.struct(
+        r["at"].alias("at"), r["run"].alias("run"), (r["first"] * F.lit(PLACES)).alias("first"),
+        (r["last"] * F.lit(PLACES) + F.lit(PLACES - 1)).alias("last"))).alias("runs")))
+
+
+def _merged(ranges: Column) -> Column:
+    """The ranges as few that don't overlap, in order."""
+    start = F.struct(F.array().cast(RANGES).alias("done"), F.lit(None).cast("bigint").alias("first"),
+                     F.lit(None).cast("bigint").alias("last"))
+
+    def last_too(acc: Column) -> Column:
+        return F.when(acc["first"].isNull(), acc["done"]).otherwise(
+            F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last"))))
+
+    def step(acc: Column, r: Column) -> Column:
+        return F.when(acc["last"] >= r["first"], F.struct(
+            acc["done"].alias("done"), acc["first"].alias("first"), F.greatest(acc["last"], r["last"]).alias("last"))
+        ).otherwise(F.struct(last_too(acc).alias("done"), r["first"].alias("first"), r["last"].alias("last")))
+
+    return F.aggregate(F.sort_array(ranges), start, step, last_too)
+
+
+def repeated_places(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, ranges``: the places that repeat an earlier run of lines or units."""
+    text, none = whole_text(), F.array()
+    kinds = (_whole_lines(let(_hashes(text, CHARS), lambda h: _selected(h, WINDOW))),
+             let(_unit_hashes(text), lambda h: _selected(h, UNIT_WINDOW)))
+    found = _repeats(docs, F.concat(*(F.coalesce(k, none) for k in kinds)))
+    return found.withColumn("ranges", _merged(F.col("ranges")))
 
 
 def _deduped(docs: DataFrame, window: int, chars: int) -> DataFrame:
@@ -114,7 +174,47 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) -> Da
     return out.drop("n_removed").withColumnRenamed("__removed", "n_removed")
 
 
-def drop_repeats(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) -> DataFrame:
-    """``dedup_lines`` in the columns of ``docs``, without the documents of which no word is left."""
+def _without_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with the new text, and ``__removed``: the number of lines deleted or cut."""
+    gone = repeated_places(docs).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("ranges").alias("__ranges"))
+    keyed = docs.withColumn("__key", F.xxhash64(whole_text()))
+    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")), "left")
+
+    def met(first: Column, last: Column) -> Column:
+        return F.filter("__ranges", lambda r: (r["first"] <= last) & (r["last"] >= first))
+
+    def of_line(line: Column, at: Column) -> Column:
+        def rest(near: Column) -> Column:
+            left = F.array_join(F.filter(F.split(line, CUT, -1), lambda unit, i: ~F.exists(
+                near, lambda r: (at * F.lit(PLACES) + i).between(r["first"], r["last"]))), "")
+            return F.when(F.size(near) == 0, F.struct(line.alias("line"), F.lit(0).alias("n"))).otherwise(
+                let(left, lambda x: F.struct(F.when(F.translate(x, SPACES, "") != "", x).alias("line"), F.lit(1).alias("n"))))
+
+        return let(met(at * F.lit(PLACES), at * F.lit(PLACES) + F.lit(PLACES - 1)), rest)
+
+    # a line of which no word is left is null here and goes
+    new = let(F.transform(_lines(F.col("text")), of_line), lambda lines: F.struct(
+        F.array_join(lines["line"], "\n").alias("text"),
+        F.aggregate(lines["n"], F.lit(0), lambda a, n: a + n).alias("n")))
+    out = joined.withColumn("__new", F.when(F.col("__ranges").isNotNull(), new))
+    text = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.coalesce(F.col("__new.text"), F.col("text")))
+    return out.select(*(text.alias(c) if c == "text" else c for c in docs.columns),
+                      F.coalesce("__new.n", F.lit(0)).alias("__removed"))
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with later repeats deleted wherever they stand in a line, and ``n_removed``.
+
+    Besides the runs of ``dedup_lines`` a run of ``UNIT_WINDOW`` hashes of units
+    counts, one for each started ``UNIT_CHARS`` characters of a unit. ``n_removed``
+    is the number of lines that went or lost a part. All else is as in
+    ``dedup_lines``.
+    """
+    return _without_passages(docs).drop("n_removed").withColumnRenamed("__removed", "n_removed")
+
+
+def drop_repeats(docs: DataFrame) -> DataFrame:
+    """``dedup_passages`` in the columns of ``docs``, without the documents of which no word is left."""
     emptied = (F.col("__removed") > 0) & (F.translate("text", SPACES, "") == "")
-    return _deduped(docs, window, chars).where(~emptied).select(docs.columns)
+    return _without_passages(docs).where(~emptied).select(docs.columns)

@@ -62,6 +62,10 @@ def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, d, "documents", "doc_id", "text"))
 
 
+def op9_passage_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.dedup_passages(table(spark, d, "documents", "doc_id", "text"))
+
+
 def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, d, "documents", "doc_id", "text"),
                                     table(spark, d, "benchmark", "item_id", "text"))
@@ -70,4 +74,4 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_lm_scoring, op3_url_filters, op4_packing, op5_secret_scans,
-        op6_pii_surrogates, op7_simhash, op8_token_counts, op9_line_dedup, op10_decontamination)}
+        op6_pii_surrogates, op7_simhash, op8_token_counts, op9_line_dedup, op9_passage_dedup, op10_decontamination)}

@@ -174,6 +174,24 @@ def test_winnowing_loses_no_run(spark, make_docs, window):
     assert {(r["doc_id"], r["text"]) for r in got} == {(i, v[0]) for (i, _), v in want.items()}
 
 
+def test_passages_are_found_inside_lines(spark, make_docs, odd_docs, prose, clashing):
+    clauses = [" ".join(prose(900 + i, 9).split()) + "," for i in range(9)]
+    marked, plain = " ".join(clauses), " ".join(prose(950, 120).split())  # with and without marks of clauses
+    one = lambda seed: " ".join(prose(seed, 30).split())
+    rows = [(1, f"{one(1)}. {marked} {one(2)}"), (2, f"{one(3)}. {marked} {one(4)}"), (3, f"x\n{marked}\n{one(5)}"),
+            (4, f"{one(6)} {plain} {one(7)}"), (5, f"{one(8)} {plain} {one(9)}"), (None, None), (6, f"{one(1)[:40]} {one(11)}")]
+    docs = clashing(make_docs(rows).union(odd_docs.where("doc_id >= 4").withColumn("doc_id", F.col("doc_id") + 100)))
+    got = {r["doc_id"]: r for r in line_dedup.dedup_passages(docs).collect()}
+    for i in (1, 4, 6):
+        assert got[i]["text"] == dict(rows)[i] and got[i]["n_removed"] == 0
+    assert got[2]["text"] == f"{one(3)}. {one(4)}" and got[3]["text"] == f"x\n{one(5)}" and got[3]["n_removed"] == 1
+    rest = got[5]["text"]  # but for the units at the ends
+    assert rest.startswith(one(8)) and rest.endswith(one(9)) and len(rest.split()) < 60 + 40
+    assert got[None]["text"] is None and line_dedup.dedup_passages(docs.limit(0)).count() == 0
+    lines = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert all(got[i]["n_removed"] >= n for i, n in lines.items())
+
+
 # decontamination --------------------------------------------------------------------
 def edit_search(item, text):
     row = [0] * (len(text) + 1)
