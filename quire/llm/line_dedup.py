@@ -12,10 +12,11 @@ A line goes if it lies in a window's run of hashes that occurred before. An
 occurrence is held against the first one only, so a passage in very many
 documents costs a row per occurrence, never a pair.
 
-``dedup_passages`` adds to these whole-line runs the runs of units: a line is cut
-into clauses, and these at some words, where the characters on either side say
-so. A passage has the same cuts wherever it stands in a line, so that it is
-found there too, but for the units at its ends that are glued to other text.
+``dedup_passages`` adds to these whole-line runs single lines of enough words, and
+the runs of units: a line is cut into clauses, and these between some words, where
+the characters on either side say so. A passage has the same cuts wherever it
+stands in a line, so that it is found there too, but for the units at its ends
+that are glued to other text.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, let, whole_text, written
+from .common import SPACES, cut, let, whole_text, words, written
 
 WINDOW = 3  #: hashes in a run that counts as a repeat
 CHARS = 100  #: characters of a line that weigh as one hash
+LINE_WORDS = 8  #: words of a line that is a run by itself
 UNIT_WINDOW = 6  #: hashes of units in a run that counts as a repeat
 UNIT_CHARS = 40  #: characters of a unit that weigh as one hash
 #: Between units: after the mark of a clause, or between two words by their letters.
@@ -58,7 +60,7 @@ def _selected(hashes: Column, window: int) -> Column:
     array<struct<print, runs: array<struct<at, run, first, last>>>>."""
 
     def least(start: Column) -> Column:
-        part = F.reverse(F.slice(hashes["hash"], start + 1, window))
+        part = F.reverse(F.slice(hashes, start + 1, window)["hash"])
         return (start + window - F.array_position(part, F.array_min(part))).cast("int")
 
     def with_runs(picks: Column) -> Column:
@@ -66,7 +68,7 @@ def _selected(hashes: Column, window: int) -> Column:
             near = F.sequence(F.greatest(F.lit(0), pick - window + 1),
                               F.least(pick, F.size(hashes) - window))
             return F.transform(F.filter(near, lambda s: picks[s] == pick), lambda s: F.struct(
-                s.alias("at"), F.xxhash64(F.slice(hashes["hash"], s + 1, window)).alias("run"),
+                s.alias("at"), F.xxhash64(F.slice(hashes, s + 1, window)["hash"]).alias("run"),
                 hashes[s]["line"].alias("first"), hashes[s + window - 1]["line"].alias("last")))
 
         return F.transform(F.array_distinct(picks), lambda pick: F.struct(
@@ -113,6 +115,14 @@ def _unit_hashes(text: Column) -> Column:
         F.split(line, CUT, -1), lambda unit, i: let(F.trim(unit, F.lit(SPACES)), lambda u: of_unit(u, at * F.lit(PLACES) + i))))))
 
 
+def _long_lines(text: Column) -> Column:
+    """array<struct<hash, line>> of the lines of ``LINE_WORDS`` words or more."""
+    return F.filter(F.transform(_lines(text), lambda line, at: F.when(
+        F.size(words(line)) >= LINE_WORDS,
+        F.struct(F.xxhash64(F.trim(line, F.lit(SPACES)), F.lit("line")).alias("hash"), at.alias("line")))),
+        lambda x: x.isNotNull())
+
+
 def _whole_lines(selected: Column) -> Column:
     """Selected hashes with their lines as ranges of places."""
     return F.transform(selected, lambda p: F.struct(p["print"].alias("print"), F.transform(p["runs"], lambda r: F.struct(
@@ -138,9 +148,10 @@ def _merged(ranges: Column) -> Column:
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, ranges``: the places that repeat an earlier run of lines or units."""
+    """``doc_id, text_hash, ranges``: the places that repeat an earlier run of lines or units, or a long line."""
     text, none = whole_text(), F.array()
     kinds = (_whole_lines(let(_hashes(text, CHARS), lambda h: _selected(h, WINDOW))),
+             _whole_lines(let(_long_lines(text), lambda h: _selected(h, 1))),
              let(_unit_hashes(text), lambda h: _selected(h, UNIT_WINDOW)))
     found = _repeats(docs, F.concat(*(F.coalesce(k, none) for k in kinds)))
     return found.withColumn("ranges", _merged(F.col("ranges")))
@@ -207,8 +218,8 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with later repeats deleted wherever they stand in a line, and ``n_removed``.
 
     Besides the runs of ``dedup_lines`` a run of ``UNIT_WINDOW`` hashes of units
-    counts, one for each started ``UNIT_CHARS`` characters of a unit. ``n_removed``
-    is the number of lines that went or lost a part. All else is as in
+    counts, one for each started ``UNIT_CHARS`` characters of a unit, and a single
+    line of ``LINE_WORDS`` words or more. ``n_removed`` is the number of lines that went or lost a part. All else is as in
     ``dedup_lines``.
     """
     return _without_passages(docs).drop("n_removed").withColumnRenamed("__removed", "n_removed")

@@ -192,6 +192,14 @@ def test_passages_are_found_inside_lines(spark, make_docs, odd_docs, prose, clas
     assert all(got[i]["n_removed"] >= n for i, n in lines.items())
 
 
+def test_single_long_lines_are_repeats(spark, make_docs, prose):
+    line, short = "This work is licensed under the GNU General Public License.", "Chapter one, page two"
+    rows = [(i, f"{prose(960 + i, 40)}\n{line}\n{short}\n{prose(970 + i, 40)}") for i in range(4)]
+    got = {r["doc_id"]: r for r in line_dedup.dedup_passages(make_docs(rows)).collect()}
+    assert got[0]["text"] == rows[0][1] and got[0]["n_removed"] == 0
+    assert all(got[i]["text"] == rows[i][1].replace(line + "\n", "") and got[i]["n_removed"] == 1 for i in (1, 2, 3))
+
+
 # decontamination --------------------------------------------------------------------
 def edit_search(item, text):
     row = [0] * (len(text) + 1)
