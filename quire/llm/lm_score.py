@@ -2,7 +2,9 @@
 
 Words and word pairs of all documents are counted in two halves, and a document
 is scored by the counts of the half it isn't in: a pair (v, w) seen there scores
-ln c(v w) - ln c(v), any other ln 0.4 + ln c(w) - ln N (Brants et al. 2007).
+ln c(v w) - ln c(v), any other ln 0.4 + ln c(w) - ln N (Brants et al. 2007). At
+order three a triple (u, v, w) seen there scores ln c(u v w) - ln c(u v), any
+other ln 0.4 more than its pair; only triples that both halves hold are looked up.
 
 Pairs of the commonest words are counted with map-side sums and looked up in a
 small table. All other pairs are dealt out by hash once; each task counts its
@@ -89,18 +91,49 @@ def known_words(counts: DataFrame, known_bits: int, hot_bits: int) -> DataFrame:
                            (F.col("c0") + F.col("c1") >= hot).alias("hot"), "c0", "c1"))
 
 
+def _triple_parts(hashed: DataFrame, counts: DataFrame, backoff: float) -> DataFrame:
+    """``doc_id, value, n, n_seen``: what order three adds to the scores of order two."""
+    def runs(length: int) -> Column:
+        size = F.greatest(F.size("h") - length + 1, F.lit(0))
+        return F.inline(F.arrays_zip(*(F.slice("h", F.lit(i + 1), size).alias(f"h{s}")
+                                       for i, s in enumerate("uvw"[-length:]))))
+
+    def shared(rows: DataFrame, *keys: str) -> DataFrame:
+        return cut(rows.groupBy(*keys).agg(*_fold_counts()).where("c0 > 0 and c1 > 0"))
+
+    triples = hashed.select("doc_id", "fold", runs(3))
+    # a triple that both halves hold has pairs and words that both hold
+    pairs = shared(hashed.select("fold", runs(2)), "hv", "hw")
+    named = {"x": (pairs, ("hu", "hv"), ("hv", "hw")), "y": (pairs, ("hv", "hw"), ("hv", "hw")), "z": (counts, ("hv",), ("h",))}
+    found = shared(triples, "hu", "hv", "hw")
+    for s, (table, to, own) in named.items():
+        found = found.join(table.select(*(F.col(a).alias(b) for a, b in zip(own, to)),
+                                        F.col("c0").alias(f"{s}0"), F.col("c1").alias(f"{s}1")), list(to))
+    scores = cut(found.select("hu", "hv", "hw", *(
+        (micro_log(F.col(f"c{1 - f}")) - micro_log(F.col(f"x{1 - f}")) - F.lit(_log_lit(backoff))
+         - micro_log(F.col(f"y{1 - f}")) + micro_log(F.col(f"z{1 - f}"))).alias(f"s{f}") for f in (0, 1))))
+    zero = F.lit(0).cast("long")
+    none = (zero.alias("n"), zero.alias("n_seen"))
+    seen = triples.join(scores, ["hu", "hv", "hw"]).select("doc_id", _other("s1", "s0").alias("value"), *none)
+    unseen = F.greatest(F.size("h") - 2, F.lit(0)).cast("long") * F.lit(_log_lit(backoff))
+    return seen.unionByName(hashed.select("doc_id", unseen.alias("value"), *none))
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backoff: float = BACKOFF,
-              known_bits: int = KNOWN_BITS, hot_bits: int = HOT_BITS) -> DataFrame:
+              known_bits: int = KNOWN_BITS, hot_bits: int = HOT_BITS, order: int = 2) -> DataFrame:
     """``doc_id, n_words, n_seen, score_micro, mean_logprob`` per ``doc_id``.
 
     Words are lower-cased runs of letters and digits of the whole text; the
-    first follows a start mark, which is counted once a document. ``n_seen``:
+    first follows a start mark, which is counted once a document. ``order``: two
+    or three words; the first word has the start mark alone before it. ``n_seen``:
     words whose pair the other half holds. A count of zero under a logarithm
     counts as one. ``known_bits`` and ``hot_bits`` bound the broadcast tables
     and change no result. Texts without words (null, empty) have a null mean.
     Rows that share an id (or have none) are one document; other columns are
     ignored; an empty table gives no rows.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is neither 2 nor 3")
     hashed = _hashed(docs, id_col, text_col)
     counts = word_counts(hashed)
     start = F.xxhash64(F.lit(START))
@@ -168,6 +201,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     zero = F.lit(0).cast("long")
     all_parts = (hot_part.unionByName(parts.where("x is null").select("doc_id", *sums)).unionByName(rare)
                  .unionByName(hashed.select("doc_id", *(zero.alias(c) for c in sums))))
+    if order == 3:
+        all_parts = all_parts.unionByName(_triple_parts(hashed, counts, backoff))
     out = all_parts.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in sums))
     return out.select("doc_id", F.col("n").alias("n_words"), "n_seen", F.col("value").alias("score_micro"),
                       F.when(F.col("n") > 0, F.round(F.col("value") / MICRO / F.col("n"), 6)).alias("mean_logprob"))

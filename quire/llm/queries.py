@@ -28,6 +28,10 @@ def op2_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, d, "documents", "doc_id", "text"))
 
 
+def op2_trigram_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, d, "documents", "doc_id", "text"), order=3)
+
+
 def op3_url_filters(spark: SparkSession, d: str) -> DataFrame:
     """A page is labelled by the label of its number: bad is low quality or toxic."""
     pages = table(spark, d, "pages", "page_id", "url")
@@ -73,5 +77,5 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_lm_scoring, op3_url_filters, op4_packing, op5_secret_scans,
+        op1_quality_rules, op2_lm_scoring, op2_trigram_scoring, op3_url_filters, op4_packing, op5_secret_scans,
         op6_pii_surrogates, op7_simhash, op8_token_counts, op9_line_dedup, op9_passage_dedup, op10_decontamination)}

@@ -234,3 +234,40 @@ def test_lm_scores_prefer_familiar_text(spark, make_docs, prose, clashing):
     out = {r["doc_id"]: r["mean_logprob"] for r in lm_score.lm_scores(docs).collect()}
     assert out[99] < min(out[i] for i in range(30)) and out[100] is None
     assert lm_score.lm_scores(docs.limit(0)).count() == 0
+
+
+def trigram_brute(docs):
+    """doc_id -> score at order three."""
+    log = lambda c: round(math.log(max(c, 1)) * 1_000_000)
+    fold = {i: 0 if i is None else int(hashlib.md5(str(i).encode()).hexdigest()[0], 16) % 2 for i, _ in docs}
+    seqs = [(i, ["<s>", *re.findall(r"[^\W_]+", (t or "").lower())]) for i, t in docs]
+    grams = [collections.Counter(), collections.Counter()]
+    for i, s in seqs:
+        for n in (1, 2, 3):
+            grams[fold[i]].update(tuple(s[k: k + n]) for k in range(len(s) - n + 1))
+    out = collections.Counter({i: 0 for i in fold})
+    for i, s in seqs:
+        c = grams[1 - fold[i]]
+        total = sum(n for g, n in c.items() if len(g) == 1) - c["<s>",]
+        for k in range(1, len(s)):
+            for n in range(min(3, k + 1), 0, -1):
+                gram = tuple(s[k - n + 1: k + 1])
+                if n == 1:
+                    out[i] += log(c[gram]) - log(total)
+                elif c[gram]:
+                    out[i] += log(c[gram]) - log(c[gram[:-1]])
+                    break
+                else:
+                    out[i] += round(math.log(0.4) * 1_000_000)
+    return dict(out)
+
+
+def test_lm_scores_of_order_three(spark, make_docs, odd_docs, prose):
+    mixed = {i: prose(i % 17, 120) for i in range(40)} | {50: " ".join(sorted(prose(3, 120).split())), 51: "one", 52: "ka lo"}
+    docs = make_docs(list(mixed.items())).union(odd_docs.where("doc_id is null or doc_id < 6"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = {r["doc_id"]: r["score_micro"] for r in lm_score.lm_scores(docs, order=3).collect()}
+    assert got == trigram_brute(rows)
+    assert got != {r["doc_id"]: r["score_micro"] for r in lm_score.lm_scores(docs).collect()}
+    with pytest.raises(ValueError):
+        lm_score.lm_scores(docs, order=4)
