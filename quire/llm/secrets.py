@@ -29,8 +29,11 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
 _KEY = "A-Za-z0-9+/=_-"
-#: From its first character, a run of key characters that holds a digit.
-CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/=_-]*+[0-9])[{_KEY}]{{{WINDOW},}}+"
+#: From its first character, a run of key characters that holds a digit or goes from small to capital letters.
+CANDIDATE = (rf"(?<![{_KEY}])(?=[{_KEY}]{{{WINDOW}}})(?=[A-Za-z+/=_-]*+[0-9]|[{_KEY}]*?[a-z][A-Z])"
+             rf"[{_KEY}]{{{WINDOW},}}+")
+#: Letters as words have them: of one case, capitalised, or such joined as in identifiers.
+_WORD = "([A-Z]+|[A-Za-z]?[a-z]+([A-Z][a-z]{2,})*)"
 FIRST_CODE, LAST_CODE = ord("+"), ord("z")
 MICRO = 1_000_000
 #: Character class -> pattern of the whole candidate, least entropy in bits a character.
@@ -38,12 +41,13 @@ CLASSES = {
     "hex": ("^([0-9a-f]+|[0-9A-F]+)$", 3.0),
     "mixed": ("^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])", 3.5),
     "cased": ("^(?=.*[A-Za-z])(?=.*[0-9])", 3.7),
+    "letters": ("^(?=.*[a-z])(?=.*[A-Z])", 3.5),
 }
 #: Candidates that look like these are no secrets.
 ALLOWED = (
     "^[0-9+/=_-]+$",  # numbers, dates, phone numbers
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
-    "^([A-Za-z]+|[0-9]{1,4})([-_/=+]+([A-Za-z]+|[0-9]{1,4}))*[-_/=+]*$",  # words, paths, numbered names
+    rf"^({_WORD}|[0-9]{{1,4}})([-_/=+]+({_WORD}|[0-9]{{1,4}}))*[-_/=+]*$",  # words, paths, numbered names
     "^(sha1|sha256|sha384|sha512|md5)[-=_]",  # named digests
 )
 

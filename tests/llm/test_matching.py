@@ -387,6 +387,15 @@ def test_secrets_over_the_table(spark):
         assert tuple(r)[1:] == secrets_brute(texts[r["doc_id"]])
 
 
+def test_keys_of_letters_are_secrets(spark, make_docs):
+    rng = random.Random(5)
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(50)]
+    words = ["Donaudampfschifffahrtsgesellschaft", "SparkSessionExtensionsProvider", "some-Long-Path/With/Words/Inside", "A" * 30]
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(make_docs([(i, f"a {w}, b") for i, w in enumerate(keys + words)])).collect()}
+    assert all(got[i]["spans"] == "entropy:2:42" for i in range(50))
+    assert all(got[50 + i]["n_entropy"] == 0 for i in range(len(words)))
+
+
 def test_running_sums_in_blocks(spark):
     values = list(range(1, 1000))
     got = spark.range(1).select(spans.running_sums(F.lit(values)).alias("s"), spans.running_sums(
