@@ -26,10 +26,11 @@ PHONE = (r"(?<![\w.+-])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 CARD = (r"(?<![\w+-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
         r"(?![\w-])")
-#: Titles that name a gender, by which person names are known. Fixed values.
+#: Titles by which person names are known, by gender (n: any). Fixed values.
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "госпожа"),
     "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин", "господин"),
+    "n": ("Dr", "Prof", "Professor", "Doctor", "Доктор", "доктор", "Профессор", "профессор"),
 }
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
 _NAME_PART = r"\p{Lu}\p{L}*\p{Ll}"
@@ -42,7 +43,8 @@ SYLLABLES = {
     "latin": ("ba", "del", "fi", "gor", "han", "jel", "ka", "lor", "mi", "nev", "or", "pel", "ra", "sil", "tam", "ver"),
     "cyrillic": ("ба", "дел", "фи", "гор", "хан", "зел", "ка", "лор", "ми", "нев", "ор", "пел", "ра", "сил", "там", "вер"),
 }
-ENDINGS = {"latin": {"f": "ina", "m": "ard", "s": "sen"}, "cyrillic": {"f": "ина", "m": "ард", "s": "енко"}}
+ENDINGS = {"latin": {"f": "ina", "m": "ard", "n": "is", "s": "sen"},
+           "cyrillic": {"f": "ина", "m": "ард", "n": "ис", "s": "енко"}}
 
 
 def _digits(text: Column) -> Column:
@@ -76,12 +78,12 @@ def entities(mention: Column) -> Column:
     code. A name is its parts: the last a surname, the others given names of the
     title's gender.
     """
-    female = mention.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? ")
+    female, male = (mention.rlike(rf"^(?:{'|'.join(TITLES[g])})\.? ") for g in "fm")
 
     def name(parts: Column) -> Column:
         return F.transform(parts, lambda p, i: F.struct(
             F.concat(F.lit("name-"), F.when(p.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin"), F.lit("-"),
-                     F.when(i == F.size(parts) - 1, "s").when(female, "f").otherwise("m")).alias("type"),
+                     F.when(i == F.size(parts) - 1, "s").when(female, "f").when(male, "m").otherwise("n")).alias("type"),
             F.lower(p).alias("value")))
 
     def plain(kind: Column) -> Column:
@@ -183,12 +185,28 @@ def _fill_digits(mention: Column, digits: Column) -> Column:
     return let(digits, of)
 
 
+def _capital(name: Column) -> Column:
+    return F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, F.lit(2), F.length(name)))
+
+
+def _bare(gap: Column, names: Column) -> Column:
+    """struct<text, n>: text between mentions, in which capitalised words that are parts
+    of the document's ``names`` (array<struct<value, surrogate>>) have their surrogates."""
+    def word(token: Column) -> Column:
+        at = F.when(token.rlike(r"^\p{Lu}"), F.array_position(names["value"], F.lower(token))).otherwise(0)
+        return let(at, lambda i: F.when(i > 0, F.struct(
+            _capital(F.get(names["surrogate"], (i - 1).cast("int"))).alias("text"), F.lit(1).alias("n"))).otherwise(
+            F.struct(token.alias("text"), F.lit(0).alias("n"))))
+
+    return let(F.transform(F.split(gap, r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})", -1), word), lambda words: F.struct(
+        F.array_join(words["text"], "").alias("text"), F.aggregate(words["n"], F.lit(0), lambda a, n: a + n).alias("n")))
+
+
 def render(mention: Column, surrogates: Column) -> Column:
     """A mention written with the surrogates of its entities (array<string>)."""
     whole = surrogates[0]
     title = F.regexp_extract(mention, rf"^(?:{_TITLE})\.? ", 0)
-    name = F.concat(title, F.array_join(F.transform(surrogates, lambda s: F.concat(
-        F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s)))), " "))
+    name = F.concat(title, F.array_join(F.transform(surrogates, _capital), " "))
     spaced = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(
         whole, F.length(_digits(F.substring(mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
     ssn = F.concat_ws("-", F.substring(whole, 1, 3), F.substring(whole, 4, 2), F.substring(whole, F.lit(6), F.length(whole)))
@@ -199,7 +217,9 @@ def render(mention: Column, surrogates: Column) -> Column:
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_entities``; all other columns stay.
 
-    ``key`` decides the surrogates; the same key and corpus give the same ones.
+    A name that a title marks in a text is replaced there without the title too,
+    where its parts are capitalised; ``n_entities`` counts such words with the
+    mentions. ``key`` decides the surrogates; the same key and corpus give the same ones.
     Null and empty texts, and those without a mention, stay as they are. A
     column named ``n_entities`` is replaced. Rows
     that repeat both id and text get the same text; null ids are allowed; an
@@ -215,7 +235,7 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     found = cut(found)
     chosen = found.join(assign_surrogates(found, key), ["type", "value"])
     written = (chosen.groupBy("__id", "__key")
-               .agg(F.sort_array(F.collect_set(F.struct("at", "part", "surrogate"))).alias("__drawn")))
+               .agg(F.sort_array(F.collect_set(F.struct("at", "part", "surrogate", "type", "value"))).alias("__drawn")))
     joined = texts.withColumnRenamed("__key", "__own").join(
         written, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
 
@@ -229,12 +249,20 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
                     F.slice(drawn, z[i]["end"] - z[i]["n"] + 1, z[i]["n"]), lambda d: d["surrogate"])))))
 
         gaps = F.split(F.col("text"), MENTION, -1)
-        return F.array_join(F.flatten(F.zip_with(gaps, by_place(F.col("__drawn")), lambda g, r: F.array(
-            g, F.coalesce(r, F.lit(""))))), "")
-
-    text = F.when(F.col("__drawn").isNull(), F.col("text")).otherwise(
-        let(F.regexp_extract_all("text", F.lit(MENTION), F.lit(0)), rebuilt))
+        # the first of equal parts counts, as a bare word doesn't tell its role
+        names = F.transform(F.filter("__drawn", lambda d: d["type"].startswith("name-")), lambda d: F.struct(
+            d["value"].alias("value"), d["surrogate"].alias("surrogate")))
+        own = let(names, lambda known: F.transform(gaps, lambda g: F.when(F.size(known) > 0, _bare(g, known)).otherwise(
+            F.struct(g.alias("text"), F.lit(0).alias("n")))))
+        return let(own, lambda rest: F.struct(
+            F.array_join(F.flatten(F.zip_with(rest["text"], by_place(F.col("__drawn")), lambda g, r: F.array(
+                g, F.coalesce(r, F.lit(""))))), "").alias("text"),
+            F.aggregate(rest["n"], F.lit(0), lambda a, n: a + n).alias("n")))
+
+    joined = joined.withColumn("__new", F.when(F.col("__drawn").isNotNull(), let(
+        F.regexp_extract_all("text", F.lit(MENTION), F.lit(0)), rebuilt)))
+    text = F.coalesce("__new.text", "text")
     changed = joined.select(*(text.alias(c) if c == "text" else c for c in docs.columns),
                             F.coalesce(F.size(F.array_distinct(F.transform(
-                                "__drawn", lambda d: d["at"]))), F.lit(0)).cast("long").alias("n_entities"))
+                                "__drawn", lambda d: d["at"]))) + F.col("__new.n"), F.lit(0)).cast("long").alias("n_entities"))
     return docs.where(~has).withColumn("n_entities", F.lit(0).cast("long")).unionByName(changed)

@@ -444,6 +444,17 @@ def test_surrogates_keep_type_format_and_coreference(spark, make_docs, clashing,
     assert surrogates.replace_pii(docs.limit(0), "k").count() == 0
 
 
+def test_bare_names_follow_their_titled_mention(spark, make_docs):
+    rows = [(1, "Mrs. Anna Kowalska came. Anna Kowalska said so; Kowalska's anna left."), (2, "Anna Kowalska has no title here."),
+            (3, "Dr. Lee and Prof. Jan Novak met. Lee spoke to Novak. Write to Lee@x.com")]
+    got = {r["doc_id"]: r for r in surrogates.replace_pii(make_docs(rows), "k").collect()}
+    m = re.fullmatch(r"Mrs\. (\w+ina) (\w+sen) came\. (\w+) (\w+) said so; (\w+)'s anna left\.", got[1]["text"])
+    assert m and m[1] == m[3] and m[2] == m[4] == m[5] and not {"Anna", "Kowalska"} & set(m.groups())
+    assert got[1]["n_entities"] == 4 and got[2]["text"] == rows[1][1] and got[2]["n_entities"] == 0
+    m = re.fullmatch(r"Dr\. (\w+sen) and Prof\. (\w+) (\w+sen) met\. (\w+) spoke to (\w+)\. Write to \S+\.example", got[3]["text"])
+    assert m and m[1] == m[4] and m[3] == m[5] and not {"Lee", "Jan", "Novak"} & set(m.groups())
+
+
 def test_surrogates_stay_distinct_when_the_space_is_small(spark):
     values = [f"{c}@a.com" for c in "abcdefghijklmnopqrstuvwxyz"] + ["mail@b.com"] * 3
     found = spark.createDataFrame([("email", v) for v in values] + [("ssn", "123456789")], "type string, value string")
