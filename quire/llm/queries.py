@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, packing, quality, secrets, simhash
-from . import surrogates, token_counts, url_rules
+from . import byte_bpe, decontaminate, line_dedup, lm_score, packing, periodic_runs, quality, secrets, simhash
+from . import surrogates, token_counts, url_rules, whitening
 from .common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -75,7 +75,38 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
                                     table(spark, d, "benchmark", "item_id", "text"))
 
 
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = periodic_runs.with_planted_period(table(spark, d, "documents", "doc_id", "text"))
+    found = periodic_runs.find_runs(docs)
+    best = periodic_runs.best_run(F.col("runs"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return (found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def op12_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, d, "embeddings", "vec_id", "embedding"))
+    return (rows.select("vec_id", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "explained",
+                        "identity_error", F.posexplode("whitened").alias("pos", "whitened"))
+            .select("vec_id", (F.col("pos") + 1).alias("component"), "n", "deviation", "whitened",
+                    F.get("explained", F.col("pos")).alias("explained"), "identity_error"))
+
+
+def op13_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, d, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(ids, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_lm_scoring, op2_trigram_scoring, op3_url_filters, op4_packing, op5_secret_scans,
-        op6_pii_surrogates, op7_simhash, op8_token_counts, op9_line_dedup, op9_passage_dedup, op10_decontamination)}
+        op6_pii_surrogates, op7_simhash, op8_token_counts, op9_line_dedup, op9_passage_dedup, op10_decontamination,
+        op11_periodic_runs, op12_embedding_whitening, op13_byte_bpe)}
