@@ -32,8 +32,10 @@ _KEY = "A-Za-z0-9+/=_-"
 #: From its first character, a run of key characters that holds a digit or goes from small to capital letters.
 CANDIDATE = (rf"(?<![{_KEY}])(?=[{_KEY}]{{{WINDOW}}})(?=[A-Za-z+/=_-]*+[0-9]|[{_KEY}]*?[a-z][A-Z])"
              rf"[{_KEY}]{{{WINDOW},}}+")
-#: Letters as words have them: of one case, capitalised, or such joined as in identifiers.
-_WORD = "([A-Z]+|[A-Za-z]?[a-z]+([A-Z][a-z]{2,})*)"
+#: Letters as words have them: of one case, capitalised, or such joined as in identifiers; or a
+#: short number. Repeated groups are possessive, so that Java matches them in a loop: a text of
+#: very many joined words needs no deep stack.
+_PART = "(?:[A-Z]++(?![a-z])|[A-Za-z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+|[0-9]{1,4}+)"
 FIRST_CODE, LAST_CODE = ord("+"), ord("z")
 MICRO = 1_000_000
 #: Character class -> pattern of the whole candidate, least entropy in bits a character.
@@ -47,7 +49,7 @@ CLASSES = {
 ALLOWED = (
     "^[0-9+/=_-]+$",  # numbers, dates, phone numbers
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
-    rf"^({_WORD}|[0-9]{{1,4}})([-_/=+]+({_WORD}|[0-9]{{1,4}}))*[-_/=+]*$",  # words, paths, numbered names
+    rf"^{_PART}(?:[-_/=+]++{_PART})*+[-_/=+]*$",  # words, paths, numbered names
     "^(sha1|sha256|sha384|sha512|md5)[-=_]",  # named digests
 )
 
