@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, let, whole_text
+from .spans import running_sums
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+#: A domain name has 127 labels at most; the bound keeps the match's stack small.
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,127}[A-Za-z]{2,}"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 PHONE = (r"(?<![\w.+-])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
          r"|(?<![\w.+(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])")
@@ -243,8 +245,8 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
         def by_place(drawn: Column) -> Column:
             # the drawn rows are in order of place: each place takes its own stretch
             counts = F.transform(mentions, lambda m: F.size(entities(m)))
-            ends = F.transform(counts, lambda n, i: F.aggregate(F.slice(counts, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))
-            return let(F.arrays_zip(counts.alias("n"), ends.alias("end")), lambda z: F.transform(
+            return let(let(counts, lambda n: F.arrays_zip(n.alias("n"), running_sums(n).cast("array<int>").alias("end"))),
+                       lambda z: F.transform(
                 mentions, lambda m, i: F.when(z[i]["n"] == 0, m).otherwise(render(m, F.transform(
                     F.slice(drawn, z[i]["end"] - z[i]["n"] + 1, z[i]["n"]), lambda d: d["surrogate"])))))
 
