@@ -174,16 +174,35 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     return prints.join(named, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of all columns; nulls count, wherever they stand."""
+    return F.xxhash64(*(x for c in sorted(df.columns) for x in (F.col(c), F.col(c).isNull())))
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` for each group: that of the least ``doc_id``; all columns kept.
+    """One row of ``docs`` for each group: that of the least ``doc_id`` (null last); all columns kept.
 
-    Rows that repeat an id count as one document. Rows without an id can't be
-    told apart by it and stay.
+    Of several rows with that id, whatever their texts, one is chosen by a hash
+    of its columns. Rows that agree in all columns count as one. The choice is
+    made on ids and hashes; texts are shuffled once, to meet it.
     """
-    groups = simhash_groups(docs, shingle, radius)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = (docs.join(stay, "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")))
-    kept = first.select("doc_id", "row.*").select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    keyed = docs.withColumn("__row", _row_hash(docs))
+    prints = fingerprints(keyed.withColumn("__id", F.struct("doc_id", "__row")), shingle, "__id")
+    # equal rows are summed first, and what joins is checkpointed, so that a hot fingerprint can be split
+    rows = cut(prints.select("doc_id.*", "fp").groupBy("doc_id", "__row", "fp").agg(F.count(F.lit(1)).alias("n")))
+    roots = cut(components(near_links(cut(rows.select("fp").distinct()), radius)))
+    named = rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "n")
+    chosen = cut(named.groupBy(F.coalesce("root", "fp").alias("group")).agg(F.min(order).alias("first"))
+                 .select(F.col("first.doc_id").alias("__id"), F.col("first.__row").alias("__chosen"), "first.n"))
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        some = some.drop("n")
+        met = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__chosen"))
+        return keyed.join(some, met, "left_semi")
+
+    single, repeated = chosen.where("n = 1"), chosen.where("n > 1")
+    kept = rows_of(single)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows_of(repeated).dropDuplicates(["doc_id", "__row"]))
+    return kept.select(docs.columns)
