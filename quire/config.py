@@ -32,6 +32,9 @@ class CurationConfig:
     max_retries: int = 3
     fallback_sleep_sec: float = 60.0
     extra_pad_sec: float = 2.0
+    # rounds in which rate-limited model calls are asked again (the original
+    # retries discovery and fetch calls only)
+    model_retries: int = 0
     # partitions used for the model-call stage (the original caps concurrent
     # model calls at 6); None leaves it to Spark
     model_partitions: int | None = None

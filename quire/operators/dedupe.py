@@ -17,16 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import url_hash
+from .prefixes import PREFIX, narrowed
 
 
 def hash_urls(df: DataFrame, url_col: str = "article_url") -> DataFrame:
     return df.withColumn("hash_code", url_hash(url_col))
 
 
-def _keys(rows: DataFrame) -> DataFrame:
-    return rows.select("hash_code").where(F.col("hash_code").isNotNull()).distinct()
-
-
 def seen_hashes(rows: DataFrame, store: DataFrame) -> DataFrame:
     """Distinct hashes of ``rows`` that the store already holds.
 
@@ -34,9 +31,11 @@ def seen_hashes(rows: DataFrame, store: DataFrame) -> DataFrame:
     while one run's batch stays comparatively small, so when the planner's
     size estimate of the batch keys is under the broadcast threshold the
     store's narrow hash column is only scanned and probed (never shuffled).
-    Beyond it both sides shuffle on the hash, which is uniform.
+    Beyond it both sides shuffle on the hash, which is uniform. A store with a
+    ``prefix`` column is read only in the partitions of the batch's hashes.
     """
-    return store.select("hash_code").join(_keys(rows), "hash_code", "left_semi").distinct()
+    narrow = store.select("hash_code", *(c for c in store.columns if c == PREFIX))
+    return narrowed(narrow, rows, "hash_code").select("hash_code").distinct()
 
 
 def dedupe_new(rows: DataFrame, store: DataFrame, seen: DataFrame | None = None) -> DataFrame:
@@ -51,6 +50,12 @@ def dedupe_new(rows: DataFrame, store: DataFrame, seen: DataFrame | None = None)
     return rows.join(seen, "hash_code", "left_anti")
 
 
+def flag_seen(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """``rows`` with ``seen``: whether the store holds their hash already. For narrow rows."""
+    held = seen.select("hash_code", F.lit(True).alias("seen"))
+    return rows.join(held, "hash_code", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+
+
 def existing_hashes(rows: DataFrame, store: DataFrame) -> DataFrame:
     """Distinct non-blank hashes of ``rows`` that the store already has."""
     h = rows.select("hash_code").where((F.col("hash_code") != "") & F.col("hash_code").isNotNull())

@@ -18,6 +18,7 @@ the article keeps only its initial state and one ``ainvoke`` error; in
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 from ..config import NODES, TAGS, CurationConfig
 from ..functions import decode as dec
 from ..schemas import EXTRACT_FIELDS, RESPONSES
-from ..session import path_done
+from .prefixes import narrowed
+from .rounds import ask_in_rounds
 
 # User-message layouts of the four model calls.
 EXTRACT_PROMPT = ("<SOURCE_URL>{article_url}</SOURCE_URL>\n"
@@ -188,10 +190,16 @@ def decode_answers(responses: DataFrame, key: str = "doc_id", nodes=NODES) -> Da
 
 
 def attach_decoded(articles: DataFrame, responses: DataFrame, key: str = "doc_id",
-                   nodes=NODES) -> DataFrame:
+                   nodes=NODES, keys: DataFrame | None = None) -> DataFrame:
     """Left-join the decoded answers to the articles; a stage without an answer
-    gets ``missing_response``."""
-    decoded = decode_answers(responses, key, nodes).withColumn("_answered", F.lit(True))
+    gets ``missing_response``.
+
+    Only answers of these articles are gathered and decoded: ``responses``, which
+    hold what was ever asked, are narrowed to ``keys`` first (rows with the
+    articles' key or more; the articles themselves by default).
+    """
+    mine = narrowed(responses, articles if keys is None else keys, key)
+    decoded = decode_answers(mine, key, nodes).withColumn("_answered", F.lit(True))
     out = articles.join(decoded, key, "left")
     return out.withColumns({f"{PREFIX[n]}_err": F.when(F.col("_answered").isNull(), F.lit("missing_response"))
                             .otherwise(F.col(f"{PREFIX[n]}_err")) for n in nodes}).drop("_answered")
@@ -252,18 +260,18 @@ def error_nodes(c: str = "stage_errors") -> Column:
 
 
 def enrich(articles: DataFrame, responses: DataFrame, cfg: CurationConfig,
-           key: str = "doc_id") -> DataFrame:
+           key: str = "doc_id", keys: DataFrame | None = None) -> DataFrame:
     """Articles (with article_url, source_name, raw_markdown, scraped_at) ->
-    articles with every model field and ``stage_errors``."""
-    df = attach_decoded(articles, responses, key)
+    articles with every model field and ``stage_errors``. ``keys``: as in ``attach_decoded``."""
+    df = attach_decoded(articles, responses, key, keys=keys)
     df = merge_state(df, cfg.on_missing_excerpt)
     helper = [c for c in df.columns if c[:3] in ("ex_", "sc_", "tg_", "rv_")]
     return df.drop(*helper)
 
 
 # pluggable model ----------------------------------------------------------------
-# pandas DataFrame (doc_id, node, system, prompt) -> pandas DataFrame (doc_id, node, response, error
-# and, where the model tells it, usage: a JSON record of its tokens)
+# pandas DataFrame (doc_id, node, system, prompt, attempt) -> pandas DataFrame (doc_id, node, response,
+# error and, where the model tells it, usage: a JSON record of its tokens), or a generator of such parts
 ModelFn = Callable[["object"], "object"]
 ANSWER_COLUMNS = ("doc_id", "node", "response", "error", "usage", "duration_sec", "started_at")
 
@@ -271,46 +279,57 @@ ANSWER_COLUMNS = ("doc_id", "node", "response", "error", "usage", "duration_sec"
 def call_model(fn: ModelFn, pdf):
     """``fn``'s answers for a batch, timed; each row stands for itself.
 
-    If a batch raises, its rows are asked one by one, and a row that raises
-    again has no response and the error's name and text.
+    ``fn`` may yield its answers in parts. If it raises, what it has yielded
+    stays, and the rows without an answer are asked one by one; a row that raises
+    by itself has no response and the error's name and text.
     """
-    import time
-
     import pandas as pd
 
+    def parts_of(part):
+        out = fn(part)
+        yield from [out] if isinstance(out, pd.DataFrame) else out
+
     def ask(part):
-        began = time.time()
-        out = fn(part).reset_index(drop=True)
+        """Answers, and what ended them early."""
+        answers, began, failure = [], time.time(), None
+        try:
+            for out in parts_of(part):
+                answers.append(out.reset_index(drop=True))
+        except Exception as exc:  # noqa: BLE001 - one row must not end the run
+            failure = f"{type(exc).__name__}: {exc}"
+        if failure is not None and len(part) == 1 and not sum(map(len, answers)):
+            failed = part[["doc_id", "node"]].assign(response=None, error=failure, usage=None, duration_sec=None,
+                                                     started_at=pd.NaT)
+            return failed[list(ANSWER_COLUMNS)], None
+        out = pd.concat(answers, ignore_index=True) if answers else pd.DataFrame(columns=["doc_id", "node", "response", "error"])
         out["usage"] = out["usage"] if "usage" in out else None
-        out["duration_sec"] = (time.time() - began) / max(1, len(part))
+        out["duration_sec"] = (time.time() - began) / max(1, len(out))
         out["started_at"] = pd.Timestamp(began, unit="s").floor("us")
-        return out[list(ANSWER_COLUMNS)]
+        return out[list(ANSWER_COLUMNS)], failure
 
-    try:
-        return ask(pdf)
-    except Exception:  # noqa: BLE001 - one row must not end the run
-        parts = []
-        for i in range(len(pdf)):
-            row = pdf.iloc[i: i + 1]
-            try:
-                parts.append(ask(row))
-            except Exception as exc:  # noqa: BLE001
-                failed = row[["doc_id", "node"]].assign(response=None, error=f"{type(exc).__name__}: {exc}")
-                parts.append(failed.assign(usage=None, duration_sec=None, started_at=pd.NaT)[list(ANSWER_COLUMNS)])
-        return pd.concat(parts) if parts else pd.DataFrame(columns=list(ANSWER_COLUMNS))
+    out, failure = ask(pdf)
+    if failure is None:
+        return out
+    answered = set(zip(out["doc_id"], out["node"]))
+    open_rows = [i for i, k in enumerate(zip(pdf["doc_id"], pdf["node"])) if k not in answered]
+    parts = [out, *(ask(pdf.iloc[i: i + 1])[0] for i in open_rows)]
+    return pd.concat([x for x in parts if len(x)], ignore_index=True)
 
 
 def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None,
           system_prompts: dict[str, str] | None = None) -> DataFrame:
-    """Run a user model callable over (key, node, system, prompt) batches.
+    """Run a user model callable over (key, node, system, prompt, attempt) batches.
 
     ``fn`` gets a pandas DataFrame with columns doc_id, node, system, prompt and
-    returns doc_id, node, response, error and optionally usage. The answers also
-    carry duration_sec (a batch's time over its rows) and started_at.
-    ``partitions`` caps how many calls run at once (one task per partition).
+    attempt (0 for the first call) and returns, or yields in parts, doc_id, node,
+    response, error and optionally usage. The answers also carry duration_sec (a
+    batch's time over its rows) and started_at. ``partitions`` caps how many
+    calls run at once (one task per partition).
     """
     if partitions:
         requests = requests.repartition(partitions)
+    if "attempt" not in requests.columns:
+        requests = requests.withColumn("attempt", F.lit(0))
 
     def run(batches):
         for pdf in batches:
@@ -320,43 +339,50 @@ def infer(requests: DataFrame, fn: ModelFn, partitions: int | None = None,
                            T.StructField("duration_sec", T.DoubleType()),
                            T.StructField("started_at", T.TimestampNTZType())])
     asked = requests.withColumn("system", system_message(F.col("node"), system_prompts))
-    return asked.select("doc_id", "node", "system", "prompt").mapInPandas(run, schema)
+    return asked.select("doc_id", "node", "system", "prompt", "attempt").mapInPandas(run, schema)
 
 
 def model_attempts(answers: DataFrame) -> DataFrame:
-    """``stage, duration_sec, usage, started_at`` of the model's answered calls."""
+    """``stage, duration_sec, usage, started_at`` of the model's answered calls.
+
+    A call that was retried is one row: its last answer with the time it waited."""
+    took = F.col("duration_sec")
+    if "waited_sec" in answers.columns:
+        took = took + F.col("waited_sec")
     return answers.where("duration_sec is not null").select(
-        F.col("node").alias("stage"), "duration_sec", "usage", "started_at")
+        F.col("node").alias("stage"), took.alias("duration_sec"), "usage", "started_at")
 
 
 BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str) -> DataFrame:
-    """Model answers for ``requests``, written once to ``path``. A completed
-    stage (``_SUCCESS`` present) is reused when a run is restarted, so the
+def _answers(spark, requests: DataFrame, fn, cfg: CurationConfig, path: str, pause) -> DataFrame:
+    """The last model answers for ``requests``, each round written once under ``path``. A completed
+    round (``_SUCCESS`` present) is reused when a run is restarted, so the
     model is not called again for it. The Arrow batch size is bounded while
-    the stage runs (the setting is read when the job executes)."""
-    if not path_done(spark, path):
-        old = spark.conf.get(BATCH_ROWS_CONF, None)
-        spark.conf.set(BATCH_ROWS_CONF, str(cfg.model_batch_rows))
-        try:
-            infer(requests, fn, cfg.model_partitions, cfg.system_prompts).write.mode("overwrite").parquet(path)
-        finally:
-            if old is None:
-                spark.conf.unset(BATCH_ROWS_CONF)
-            else:
-                spark.conf.set(BATCH_ROWS_CONF, old)
-    return spark.read.parquet(path)
+    the rounds run (the setting is read when the job executes)."""
+    old = spark.conf.get(BATCH_ROWS_CONF, None)
+    spark.conf.set(BATCH_ROWS_CONF, str(cfg.model_batch_rows))
+    try:
+        return ask_in_rounds(requests, lambda r: infer(r, fn, cfg.model_partitions, cfg.system_prompts),
+                             ("doc_id", "node"), path, cfg.model_retries, cfg.fallback_sleep_sec,
+                             cfg.extra_pad_sec, pause)
+    finally:
+        if old is None:
+            spark.conf.unset(BATCH_ROWS_CONF)
+        else:
+            spark.conf.set(BATCH_ROWS_CONF, old)
 
 
-def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str):
+def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path: str, pause=time.sleep):
     """(enriched articles, the answers). Staged model calls with each stage's answers written once to
     ``write_path`` (a folder in the shared checkpoint dir), so a retried or
     re-evaluated plan never calls the model again for the same rows.
 
     Stage 1 asks extract and score (independent); stage 2 asks tag and
-    review, which need the decoded extract.
+    review, which need the decoded extract. Rate-limited calls are asked again
+    in up to ``cfg.model_retries`` rounds; ``rounds.dead_letters`` of the answers
+    are those given up.
     """
     spark = articles.sparkSession
     base = articles.select("doc_id", "article_url", "source_name", "scraped_at", "raw_markdown")
@@ -364,12 +390,12 @@ def enrich_with_model(articles: DataFrame, fn, cfg: CurationConfig, write_path:
                          extract_request(base).alias("prompt"))
              .unionByName(base.select("doc_id", F.lit("score").alias("node"),
                                       score_request(base).alias("prompt"))))
-    r1 = _answers(spark, first, fn, cfg, f"{write_path}/stage1")
+    r1 = _answers(spark, first, fn, cfg, f"{write_path}/stage1", pause)
     ex = attach_decoded(base, r1, nodes=("extract",))
     ok = valid_only(ex, "ex_err")
     tag_req = ok.select("doc_id", F.lit("generate_tag").alias("node"), tag_request().alias("prompt"))
     rv_src = ok if cfg.on_missing_excerpt == "collapse" else ex
     rv_req = rv_src.select("doc_id", F.lit("review").alias("node"), review_request().alias("prompt"))
-    r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg, f"{write_path}/stage2")
+    r2 = _answers(spark, tag_req.unionByName(rv_req), fn, cfg, f"{write_path}/stage2", pause)
     answers = r1.unionByName(r2)
     return enrich(articles, answers, cfg), answers

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import CurationConfig
 from ..functions.html import html_to_text
+from .rounds import ask_in_rounds
 
 
 def _body(bodies: DataFrame) -> Column:
@@ -31,8 +34,9 @@ def one_body(bodies: DataFrame, urls: DataFrame) -> DataFrame:
     return best.select("url", "b.body", "b.is_html")
 
 
-def scrape_join(kept: DataFrame, bodies: DataFrame) -> DataFrame:
+def scrape_join(kept: DataFrame, bodies: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """One row per kept link; a link without a fetched body has NULL markdown.
+    ``also``: further columns of the links to keep.
 
     ``bodies``: url with ``html``, ``markdown`` or both. The narrow link side is
     joined on the URL first; the HTML-to-text regex chain runs only on bodies
@@ -40,10 +44,10 @@ def scrape_join(kept: DataFrame, bodies: DataFrame) -> DataFrame:
     """
     b = one_body(bodies, kept).withColumnRenamed("url", "article_url")
     j = kept.select("source_id", "pos", "source_name", "source_url",
-                    F.col("url").alias("article_url")).join(b, "article_url", "left")
+                    F.col("url").alias("article_url"), *also).join(b, "article_url", "left")
     text = F.when(F.col("is_html"), html_to_text(F.col("body"))).otherwise(F.col("body"))
     return j.select("source_id", "pos", "source_name", "source_url", "article_url",
-                    text.alias("markdown"))
+                    text.alias("markdown"), *also)
 
 
 def fetch_bodies(kept: DataFrame, fn: Callable[[str], str | None], partitions: int | None = None) -> DataFrame:
@@ -68,6 +72,15 @@ def fetch_bodies(kept: DataFrame, fn: Callable[[str], str | None], partitions: i
     return urls.mapInPandas(run, "url string, markdown string, error string")
 
 
+def fetch_in_rounds(kept: DataFrame, fn: Callable[[str], str | None], path: str, cfg: CurationConfig,
+                    pause=time.sleep) -> DataFrame:
+    """``fetch_bodies`` with rate-limited URLs asked again, as ``cfg`` has it: ``url, markdown,
+    error, attempts, waited_sec``. Each round is written under ``path``."""
+    urls = kept.select("url").where("url is not null").distinct()
+    return ask_in_rounds(urls, lambda r: fetch_bodies(r, fn, cfg.model_partitions), ("url",), path, cfg.max_retries,
+                         cfg.fallback_sleep_sec, cfg.extra_pad_sec, pause)
+
+
 def drop_empty_body(scraped: DataFrame) -> DataFrame:
     """Drop NULL and zero-length bodies; whitespace-only bodies are kept."""
     return scraped.where(F.col("markdown").isNotNull() & (F.length("markdown") > 0))

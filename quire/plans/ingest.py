@@ -13,13 +13,14 @@ recomputes from the written table.
 from __future__ import annotations
 
 import hashlib
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CurationConfig
-from ..operators import dedupe, discover, enrich, fetch, metrics, mirror, store
+from ..operators import dedupe, discover, enrich, fetch, metrics, mirror, rounds, store
 from ..session import path_done, shared_path
 from . import layout
 
@@ -34,6 +35,7 @@ class IngestInputs:
     status: DataFrame | None = None      # source_id, mode, ok
     attempts: DataFrame | None = None    # stage, duration_sec, usage, started_at
     mirror_snapshot: DataFrame | None = None
+    pause: object = time.sleep    # how the driver waits between rounds of model calls
 
 
 def input_fingerprint(inp: IngestInputs, cfg: CurationConfig, **options) -> str:
@@ -76,42 +78,44 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     srcs = discover.prepare_sources(inp.sources)
     kept = discover.discover_with_fallback(inp.links, srcs, cfg.max_links, cfg.limit_stage, inp.status)
     hashes = layout.store_hashes(spark, store_dir, exclude_run=run)
-    # stored hashes among this run's links: the store is probed with the
-    # (cheap) link hashes, which are the same as the fetched rows' hashes
-    kept_h = dedupe.hash_urls(kept, "url")
-    seen = dedupe.seen_hashes(kept_h, hashes)
-    if dedupe_before_fetch:
-        counted = kept_h.select("hash_code")
-        kept = dedupe.dedupe_new(kept_h, hashes, seen).drop("hash_code")
     # per (store, run, inputs): a restarted run finds its own finished stages
     store_key = hashlib.sha1(store_dir.encode()).hexdigest()[:12]
     work = shared_path(spark, "quire", "runs", store_key, run, fingerprint)
+    # barrier: the (narrow) links with whether the store holds them already; the
+    # link hashes are the same as the fetched rows' hashes
+    kept_h = dedupe.hash_urls(kept, "url")
+    flagged = dedupe.flag_seen(kept_h, dedupe.seen_hashes(kept_h, hashes))
+    links, n_links = _written_once(spark, flagged, f"{work}/links", _DEDUPE_COUNTS)
+    if dedupe_before_fetch:
+        links = links.where("NOT seen")
     # barrier: the wide fetch join runs once; the enriched rows, rejects and
     # counters all read the written rows (reused when a run is restarted)
-    fetched = f"{work}/fetched"
-    if not path_done(spark, fetched):
-        dedupe.hash_urls(fetch.drop_empty_body(fetch.scrape_join(kept, inp.bodies))) \
-            .write.mode("overwrite").parquet(fetched)
-    scraped = spark.read.parquet(fetched)
-    if not dedupe_before_fetch:
-        counted = scraped.select("hash_code")
-    winners, losers = dedupe.batch_unique(scraped, ("source_id", "pos", "article_url"), seen)
+    rows = fetch.drop_empty_body(fetch.scrape_join(links, inp.bodies, ("hash_code", "seen")))
+    scraped, n_rows = _written_once(spark, rows, f"{work}/fetched", _DEDUPE_COUNTS)
+    counted = n_links if dedupe_before_fetch else n_rows
+    winners, losers = dedupe.batch_unique(scraped.where("NOT seen").drop("seen"), ("source_id", "pos", "article_url"))
     articles = winners.select("hash_code", "article_url", "source_name", "source_url",
                               F.col("markdown").alias("raw_markdown"),
                               F.lit(cfg.run_ts).alias("scraped_at"))
     articles = articles.withColumn("doc_id", F.col("hash_code"))
     attempts = inp.attempts
+    result = {"run_id": run, "store": store_dir, "out": out_dir}
     if inp.model_fn is not None:
         # barrier: every model stage reads the winners
         if not path_done(spark, f"{work}/winners"):
             articles.write.mode("overwrite").parquet(f"{work}/winners")
         articles = spark.read.parquet(f"{work}/winners")
-        enriched, answers = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model")
+        enriched, answers = enrich.enrich_with_model(articles, inp.model_fn, cfg, f"{work}/model", inp.pause)
         if attempts is None:
             attempts = enrich.model_attempts(answers)
+        given_up = rounds.dead_letters(answers).select(F.col("doc_id").alias("hash_code"), "node", "error",
+                                                       "attempts", "waited_sec", "reason")
+        given_up.write.mode("overwrite").parquet(f"{out_dir}/dead_letters")
+        result["dead_letters"] = f"{out_dir}/dead_letters"
     else:
         resp = inp.responses.withColumn("doc_id", F.col(key))
-        enriched = enrich.enrich(articles, resp, cfg)
+        keys = scraped.select(F.col("hash_code").alias("doc_id"))
+        enriched = enrich.enrich(articles, resp, cfg, keys=keys)
     # barrier: the enriched rows are computed once
     enriched.drop("doc_id").write.mode("overwrite").parquet(f"{work}/enriched")
     enriched = spark.read.parquet(f"{work}/enriched")
@@ -119,8 +123,7 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
     rows = store.to_store_rows(enriched, cfg)
     valid, bad = store.check_rows(rows)
     layout.write_partition(store.store_columns(valid), f"{store_dir}/articles")
-    layout.write_partition(valid.select("hash_code", "unique_id", "run_id"),
-                           f"{store_dir}/article_hashes")
+    layout.write_hashes(valid.select("hash_code", "unique_id", "run_id"), store_dir)
     rejects = (bad.select("hash_code", "article_url", "reject_reason")
                .unionByName(losers.select("hash_code", "article_url", "reject_reason")))
     rejects.write.mode("overwrite").parquet(f"{out_dir}/rejects")
@@ -131,7 +134,6 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
             .unionByName(unprocessed, allowMissingColumns=True)
             .withColumn("inserted", F.col("reject_reason").isNull()))
     snap.write.mode("overwrite").json(f"{out_dir}/articles")
-    result = {"run_id": run, "store": store_dir, "out": out_dir}
     if inp.mirror_snapshot is not None:
         # the records to push (updated / created); the mirror itself is not rewritten
         inc = mirror.mirror_fields(store.store_columns(valid), cfg.text_max)
@@ -146,9 +148,26 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
         stage_rows = metrics.stage_metrics(attempts)
         metrics.metrics_json(stage_rows, metrics.run_totals(attempts)) \
             .write.mode("overwrite").text(f"{out_dir}/metrics")
-    counts = dedupe.dedupe_counts(counted, hashes, seen).first()   # one row
-    result.update(total=counts["total"], skipped=counts["skipped"], new=counts["new"])
+    total, skipped = counted["total"], counted["skipped"]
+    result.update(total=total, skipped=skipped, new=total - skipped)
     # shape of the scraped table after dropping empty bodies: rows, and its
     # four columns (source_name, source_url, article_url, markdown)
-    result["scraped_shape"] = (scraped.count(), 4)
+    result["scraped_shape"] = (n_rows["total"], 4)
     return result
+
+
+_DEDUPE_COUNTS = {"total": "count(1)", "skipped": "count_if(seen)"}
+
+
+def _written_once(spark: SparkSession, df: DataFrame, path: str, counters: dict) -> tuple[DataFrame, dict]:
+    """``df`` written to ``path`` and read again, with ``counters`` observed by that write.
+
+    A folder that a first attempt finished is reused and counted from its files.
+    """
+    named = [F.expr(c).alias(n) for n, c in counters.items()]
+    if path_done(spark, path):
+        done = spark.read.parquet(path)
+        return done, done.agg(*named).first().asDict()
+    seen = Observation()
+    df.observe(seen, *named).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), seen.get

@@ -1,7 +1,9 @@
 """Store layout on a shared file system (Parquet, append-only).
 
     <store>/articles/run_id=<id>/     facts, one partition per run
-    <store>/article_hashes/run_id=<id>/  (hash_code, unique_id), narrow, for dedupe
+    <store>/article_hashes/run_id=<id>/prefix=<xx>/  (hash_code, unique_id), narrow, for dedupe,
+                                      by the first digits of the hash
+    <store>/answers/run_id=<id>/prefix=<xx>/  (hash_code, node, response, error) model answers, likewise
     <store>/status_changes/run_id=<id>/  (unique_id, new_status, changed_at, seq)
     <store>/tag_changes/run_id=<id>/     (unique_id, tag, is_clear, changed_at, seq)
     <store>/rejects/run_id=<id>/      rows that were not stored, with the reason
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import store as st
+from ..operators.prefixes import PREFIX, prefix_of
 from ..schemas import ARTICLE_COLUMNS
 
 
@@ -42,7 +45,8 @@ def write_partition(df: DataFrame, path: str, part: str = "run_id") -> None:
      .partitionBy(part).parquet(path))
 
 
-HASHES_SCHEMA = "hash_code string, unique_id string, run_id string"
+HASHES_SCHEMA = "hash_code string, unique_id string, run_id string, prefix string"
+ANSWERS_SCHEMA = "hash_code string, node string, response string, error string, run_id string, prefix string"
 STATUS_SCHEMA = "unique_id string, new_status string, changed_at string, seq bigint, run_id string"
 TAG_SCHEMA = ("unique_id string, tag string, is_clear boolean, changed_at string, seq bigint, "
               "run_id string")
@@ -61,7 +65,30 @@ def store_hashes(spark: SparkSession, store: str, exclude_run: str | None = None
     h = read_or_empty(spark, f"{store}/article_hashes", HASHES_SCHEMA)
     if exclude_run is not None:
         h = h.where(F.col("run_id") != exclude_run)
-    return h.select("hash_code")
+    return h.select("hash_code", PREFIX)
+
+
+def write_by_prefix(df: DataFrame, path: str, key: str = "hash_code") -> None:
+    """``write_partition`` of a table that is read by prefixes of ``key``: one file a prefix."""
+    (df.withColumn(PREFIX, prefix_of(key)).repartition(PREFIX)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", PREFIX).parquet(path))
+
+
+def write_hashes(df: DataFrame, store: str) -> None:
+    """Stored hashes (hash_code, unique_id, run_id) of one run."""
+    write_by_prefix(df, f"{store}/article_hashes")
+
+
+def write_answers(answers: DataFrame, store: str, run_id: str) -> None:
+    """Model answers (hash_code, node, response, error) of one run."""
+    write_by_prefix(answers.select("hash_code", "node", "response", "error", F.lit(run_id).alias("run_id")),
+                    f"{store}/answers")
+
+
+def stored_answers(spark: SparkSession, store: str) -> DataFrame:
+    """All answers ever given; ``enrich.enrich`` reads the batch's prefixes of them."""
+    return read_or_empty(spark, f"{store}/answers", ANSWERS_SCHEMA)
 
 
 def current_statuses(spark: SparkSession, store: str, ids: DataFrame | None = None,

@@ -545,7 +545,7 @@ def stream_ingest(spark, d):
     base = _work_dir(spark, "ingest")
     # the store already holds the previously processed articles
     seed = fx.store(spark, d).select("hash_code", "unique_id", F.lit("seed").alias("run_id"))
-    layout.write_partition(seed, f"{base}/store/article_hashes")
+    layout.write_hashes(seed, f"{base}/store")
     _as_files(fx.scraped(spark, d), F.col("doc_id"), f"{base}/in")
     ingest_stream(spark, f"{base}/in/part=*", fx.responses(spark, d), f"{base}/store",
                   f"{base}/ckpt", CFG, files_per_batch=4)

@@ -50,14 +50,14 @@ def ingest_batch(batch: DataFrame, batch_id: int, responses: DataFrame, store_di
     articles = winners.select("doc_id", "hash_code", "article_url", "source_name", "source_url",
                               F.col("markdown").alias("raw_markdown"),
                               F.lit(cfg.run_ts).alias("scraped_at"))
-    out = store.to_store_rows(enrich.enrich(articles, responses, cfg), cfg) \
+    # answers of this batch only; its ids are read without the bodies
+    out = store.to_store_rows(enrich.enrich(articles, responses, cfg, keys=batch.select("doc_id")), cfg) \
         .withColumn("run_id", F.lit(run_id))
     valid, bad = store.check_rows(out)
     layout.write_partition(store.store_columns(valid), f"{store_dir}/articles")
     stored = layout.read_or_empty(spark, f"{store_dir}/articles", layout.ARTICLES_SCHEMA) \
         .where(F.col("run_id") == run_id)
-    layout.write_partition(stored.select("hash_code", "unique_id", "run_id"),
-                           f"{store_dir}/article_hashes")
+    layout.write_hashes(stored.select("hash_code", "unique_id", "run_id"), store_dir)
     reject = ("hash_code", "article_url", "reject_reason")
     layout.write_partition(bad.select(*reject).unionByName(losers.select(*reject))
                            .withColumn("run_id", F.lit(run_id)), f"{store_dir}/rejects")
