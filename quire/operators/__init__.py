@@ -1 +1,11 @@
-"""DataFrame -> DataFrame steps of the curation jobs."""
+"""Relational operators on DataFrames.
+
+Functions that run in Python workers are pickled by value, so executors need
+pandas, numpy and pyarrow, but not this package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -938,5 +938,47 @@ SELECT s.source_id, s.name, coalesce(d_kept, 0) = 0 AND sitemap_ok AS used_fallb
 FROM src s LEFT JOIN per USING (source_id)"""
 
 
+SQL["run_counters"] = with_ctes(["sources", "links", "pull", "review_store"], PULLED + ",\n" + _run_half(0) + ",\n"
+                                + _run_half(1)) + f"""
+, rows_ AS (
+  SELECT 0 AS half, {url_hash('f.url')} AS h FROM fallback_links0 f JOIN (SELECT url, length({_html_sql('arg_max(html, length(html))')}) AS n
+    FROM pages GROUP BY url) p ON p.url = f.url WHERE n > 0
+  UNION ALL
+  SELECT 1, {url_hash('f.url')} FROM fallback_links1 f JOIN (SELECT url, length({_html_sql('arg_max(html, length(html))')}) AS n
+    FROM pages GROUP BY url) p ON p.url = f.url WHERE n > 0),
+counts AS (
+  SELECT half, count(*) AS total, count_if(half = 1 AND h IN (SELECT hash_code FROM fetched0)) AS skipped
+  FROM (SELECT 0 AS half, NULL AS h WHERE false UNION ALL SELECT * FROM rows_) GROUP BY half),
+every AS (SELECT h.half, coalesce(c.total, 0) AS total, coalesce(c.skipped, 0) AS skipped
+          FROM (VALUES (0), (1)) h(half) LEFT JOIN counts c USING (half))
+SELECT 'run' || half AS step, u.counter, CAST(u.value AS BIGINT) AS value FROM every,
+  LATERAL (VALUES ('total', total), ('skipped', skipped), ('new', total - skipped), ('scraped_rows', total)) u(counter, value)
+UNION ALL SELECT 'sync', 'applied', count(*) FROM diffs
+UNION ALL SELECT 'sync', 'total', count(*) FROM diffs
+UNION ALL SELECT 'sync', 'rejected', count(*) FROM checked WHERE reject_reason IS NOT NULL"""
+
+SQL["model_rounds"] = """
+WITH d AS (SELECT doc_id, doc_id % 7 AS kind, doc_id % 11 + 2.0 AS hint FROM documents)
+SELECT doc_id, CASE WHEN kind NOT IN (4, 5) THEN 'answer ' || CASE WHEN kind IN (1, 2, 3) THEN kind ELSE 0 END END AS response,
+  CASE kind WHEN 4 THEN 'rate limit' WHEN 5 THEN 'bad request' END AS error,
+  CAST(CASE WHEN kind IN (1, 2, 3) THEN kind + 1 WHEN kind = 4 THEN 4 ELSE 1 END AS INTEGER) AS attempts,
+  CAST(CASE WHEN kind IN (1, 2, 3) THEN kind * hint WHEN kind = 4 THEN 3 * 62 ELSE 0 END AS DOUBLE) AS waited_sec,
+  CASE kind WHEN 4 THEN 'retries_used_up' WHEN 5 THEN 'not_retryable' END AS reason
+FROM d"""
+
+SQL["semantic_classes"] = """
+WITH RECURSIVE b AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (
+  SELECT vec_id, e FROM b
+  UNION ALL SELECT vec_id + 1000000, list_transform(e, lambda x, i: CASE WHEN (i - 1 + vec_id) % 12 < 1 THEN 0.0 ELSE x * 1.5 END)
+    FROM b WHERE vec_id % 5 = 0
+  UNION ALL SELECT vec_id + 2000000, list_transform(e, lambda x, i: CASE WHEN (i - 1 + vec_id) % 12 < 2 THEN 0.0 ELSE x * 1.5 END)
+    FROM b WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id + 3000000, e FROM b WHERE vec_id % 7 = 0),
+l AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND list_cosine_similarity(p.e, q.e) >= 0.9),
+r(id, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT id AS vec_id, min(seen) AS class_id FROM r GROUP BY id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -17,6 +17,7 @@ from .operators import dedupe, discover, fetch
 from .operators import enrich as en
 from .operators import metrics as mt
 from .operators import mirror as mi
+from .operators import rounds, semantic
 from .operators import schema_check as sc
 from .operators import store as st
 from .schemas import EXTRACT_FIELDS
@@ -437,6 +438,26 @@ def retry_plan(spark, d):
                          CFG.extra_pad_sec)
 
 
+@query
+def model_rounds(spark, d):
+    """One call for each document to a model that fails by schedule: rate-limited
+    calls are asked again until they are answered or given up."""
+    asked = load(spark, d, "documents", "doc_id").select(
+        "doc_id", F.lit("score").alias("node"), F.lit("p").alias("prompt"))
+    answers = rounds.ask_in_rounds(
+        asked, lambda r: en.infer(r, fx.failing_model), ("doc_id", "node"), _work_dir(spark, "rounds"),
+        CFG.max_retries, CFG.fallback_sleep_sec, CFG.extra_pad_sec, pause=lambda sec: None)
+    dead = rounds.dead_letters(answers).select("doc_id", "reason")
+    return answers.join(dead, "doc_id", "left").select(
+        "doc_id", "response", "error", "attempts", "waited_sec", "reason")
+
+
+# semantic dedupe ---------------------------------------------------------------
+@query
+def semantic_classes(spark, d):
+    return semantic.semantic_classes(fx.article_vectors(spark, d))
+
+
 # flagship --------------------------------------------------------------------------
 TOP_K = 3
 
@@ -508,6 +529,25 @@ def ingest_two_runs(spark, d):
     return spark.read.parquet(f"{base}/store/articles").select("hash_code", "run_id", "overall_score")
 
 
+@query
+def run_counters(spark, d):
+    """What two runs and a sync-back count, as their writes observed it."""
+    from .plans.ingest import IngestInputs, run_ingest
+    from .plans.syncback import run_syncback
+    base = _work_dir(spark, "counters")
+    rows = []
+    for half, ts in ((0, "2026-01-01T00:00:00"), (1, "2026-01-02T00:00:00")):
+        inp = IngestInputs(sources=fx.sources(spark, d), links=fx.links(spark, d).where(F.col("pos") % 2 == half),
+                           bodies=load(spark, d, "pages", "url", "html"), responses=fx.link_answers(spark, d))
+        got = run_ingest(spark, inp, f"{base}/store", f"{base}/out{half}", CurationConfig(run_ts=ts))
+        rows += [(f"run{half}", k, got[k]) for k in ("total", "skipped", "new")]
+        rows.append((f"run{half}", "scraped_rows", got["scraped_shape"][0]))
+    _seed_facts(spark, d, f"{base}/reviewed")
+    got = run_syncback(spark, fx.mirror_pull(spark, d), f"{base}/reviewed", SYNC_TS, "sync")
+    rows += [("sync", k, v) for k, v in got.items()]
+    return spark.createDataFrame(rows, "step string, counter string, value bigint")
+
+
 SYNC_TS_2 = "2026-01-03T00:00:00"
 
 

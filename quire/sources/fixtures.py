@@ -406,3 +406,41 @@ def discovery_status(spark: SparkSession, d: str) -> DataFrame:
     rows = F.array(F.struct(lit("default").alias("mode"), (n % 7 != 0).alias("ok")),
                    F.struct(lit("sitemap").alias("mode"), (n % 5 != 0).alias("ok")))
     return s.select("source_id", F.inline(rows))
+
+
+# Vectors with near copies (semantic dedupe) --------------------------------------
+def article_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """All embeddings; of every fifth a longer copy without the entries of one
+    residue, of every tenth one without those of two, of every seventh an equal one."""
+    base = load(spark, d, "embeddings", "vec_id", "embedding").withColumn(
+        "embedding", F.col("embedding").cast("array<double>"))
+    i = F.col("vec_id")
+
+    def without(residues: int) -> Column:
+        return F.transform("embedding", lambda x, at: F.when((at + i) % 12 < residues, F.lit(0.0)).otherwise(x * 1.5))
+
+    def copies(every: int, embedding: Column) -> DataFrame:
+        return base.where(i % every == 0).withColumn("embedding", embedding)
+
+    # the id is changed in a step of its own: within one, the lambda would see the new one
+    return (base.unionByName(copies(5, without(1)).withColumn("vec_id", i + 1_000_000))
+            .unionByName(copies(10, without(2)).withColumn("vec_id", i + 2_000_000))
+            .unionByName(base.where(i % 7 == 0).withColumn("vec_id", i + 3_000_000)))
+
+
+# A model that fails by schedule ----------------------------------------------------
+def failing_model(pdf):
+    """Answers each row unless its document's id says that this attempt fails."""
+    import pandas as pd
+
+    def error(doc_id, attempt):
+        kind = doc_id % 7
+        if kind in (1, 2, 3) and attempt < kind:
+            return f"Rate limit exceeded, retry after {doc_id % 11}s"
+        if kind == 4:
+            return "rate limit"
+        return "bad request" if kind == 5 else None
+
+    errors = [error(i, a) for i, a in zip(pdf["doc_id"], pdf["attempt"])]
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "node": pdf["node"], "error": errors,
+                         "response": [None if e else f"answer {n}" for e, n in zip(errors, pdf["attempt"])]})
