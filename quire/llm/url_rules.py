@@ -1,6 +1,8 @@
 """URL filters: hand-written rules first, then association rules mined from labels.
 
-FP-growth mines combinations of URL tokens from labelled URLs. Combinations that
+FP-growth mines combinations of URL tokens from labelled URLs. Tokens that stand
+in exactly the same URLs are one item there, so a template of many fixed parts is
+one item and not a combination for each of their subsets. Combinations that
 imply the bad label with enough confidence and support become rules; a rule with
 a part that does as well by itself is pruned. Rules are found by an inverted
 index: each is filed under its rarest token, joined to the tokens of the URLs,
@@ -11,6 +13,8 @@ Each different URL is matched once, however many rows carry it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +29,7 @@ BASE_RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-MIN_SUPPORT = 0.002  #: share of the labelled URLs that hold a rule's tokens and the label
-MIN_COUNT = 25  #: and at least so many of them
+MIN_COUNT = 25  #: labelled URLs that hold a rule's tokens and the label, at least, at every size
 MIN_CONFIDENCE = 0.8
 BAD = "label:bad"
 
@@ -74,37 +77,60 @@ def url_tokens(url: Column) -> Column:
         F.transform(names, lambda n: F.concat(F.lit("query:"), F.lower(n)))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
+def _items(baskets: DataFrame, min_count: int) -> DataFrame:
+    """``item, tokens``: frequent tokens, those that stand in exactly the same URLs as one item.
+
+    Equal counts and equal sums of URL hashes tell them; an item holds no more
+    tokens than a URL has.
+    """
+    spread = baskets.select(F.xxhash64("url").alias("h"), F.explode("tokens").alias("token"))
+    sums = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("sum"))
+    return written(sums.where(F.col("n") >= min_count).groupBy("n", "sum").agg(
+        F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("tokens")).select("item", "tokens"), "url-items")
+
+
+def mine_rules(labelled: DataFrame, min_support: float = 0.0, min_count: int = MIN_COUNT,
                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``tokens, anchor, confidence, support`` of the rules in ``url, bad`` rows.
 
-    Every labelled URL counts. The support bounds the rules, not the input: at
-    most 1 / support tokens of a URL's can be frequent. Rows with a null in
-    either column are left out; too few rows give no rules.
+    Every labelled URL counts; ``support`` is the number of bad ones that hold
+    the tokens. ``min_support`` asks for a share of the labelled URLs besides.
+    A rule names all tokens of its items. Rows with a null in either
+    column are left out; too few rows give no rules.
     """
     spark = labelled.sparkSession
+    none = spark.createDataFrame([], "tokens array<string>, anchor string, confidence double, support long")
     rows = labelled.where("url is not null and bad is not null")
-    baskets = written(rows.select(F.array_union(
-        url_tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(
-            F.array().cast("array<string>"))).alias("items")), "url-baskets")
-    n = baskets.count()
+    baskets = written(rows.select(F.monotonically_increasing_id().alias("row"), "url", "bad",
+                                  url_tokens(F.col("url")).alias("tokens")), "url-baskets")
+    total = baskets.count()
+    min_count = max(min_count, math.ceil(min_support * total))
+    items = _items(baskets, min_count)
+    label = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    spread = baskets.select("row", "bad", F.explode("tokens").alias("item")).join(items.select("item"), "item", "left_semi")
+    found = written(spread.groupBy("row", "bad").agg(F.collect_list("item").alias("items"))
+                    .select(F.concat("items", label).alias("items")), "url-itemsets")
+    n = found.count()
     if n < min_count:
-        return spark.createDataFrame([], "tokens array<string>, anchor string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence,
-                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
+        return none
+    model = FPGrowth(itemsCol="items", minSupport=min_count / n, minConfidence=min_confidence,
+                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(found)
     rules = written(
         model.associationRules.where(F.col("consequent")[0] == BAD)
-        .select(F.sort_array("antecedent").alias("tokens"), "confidence", "support"), "url-rules")
-    # a rule goes if one with one token less does as well; by steps that covers all its parts
-    shorter = F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t)))
-    part = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"))
-    weak = (rules.select("tokens", "confidence", shorter.alias("part")).join(part, "part")
-            .where("part_confidence >= confidence").select("tokens").distinct())
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    anchors = (rules.select("tokens", F.explode("tokens").alias("token")).join(single, "token")
-               .groupBy("tokens").agg(F.min(F.struct("freq", "token"))["token"].alias("anchor")))
-    return written(rules.join(weak, "tokens", "left_anti").join(anchors, "tokens")
-                   .select("tokens", "anchor", "confidence", "support"), "url-index")
+        .select(F.sort_array("antecedent").alias("items"), "confidence",
+                F.round(F.col("support") * n).cast("long").alias("support")), "url-rules")
+    # a rule goes if one with one item less does as well; by steps that covers all its parts
+    shorter = F.explode(F.transform("items", lambda t: F.array_remove("items", t)))
+    part = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
+    weak = (rules.select("items", "confidence", shorter.alias("part")).join(part, "part")
+            .where("part_confidence >= confidence").select("items").distinct())
+    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    whole = (rules.join(weak, "items", "left_anti").select("*", F.explode("items").alias("item"))
+             .join(single, "item").join(items, "item")
+             .groupBy("items", "confidence", "support").agg(
+                 F.min(F.struct("freq", "item"))["item"].alias("anchor"),
+                 F.sort_array(F.flatten(F.collect_list("tokens"))).alias("tokens")))
+    return written(whole.select("tokens", "anchor", "confidence", "support"), "url-index")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
