@@ -1,2 +1,2 @@
 """Column expressions. Everything here is a built-in Spark expression
-(codegen-friendly); no Python runs per row."""
+(codegen-friendly) but ``markdown``, which reads one page at a time in Python."""

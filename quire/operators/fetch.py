@@ -5,11 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CurationConfig
 from ..functions.html import html_to_text
+from ..functions.markdown import to_markdown
 from .rounds import ask_in_rounds
 
 
@@ -86,6 +88,25 @@ def drop_empty_body(scraped: DataFrame) -> DataFrame:
     return scraped.where(F.col("markdown").isNotNull() & (F.length("markdown") > 0))
 
 
+def bodies_as_markdown(bodies: DataFrame, html_col: str = "html") -> DataFrame:
+    """``bodies`` with ``markdown`` made of their HTML, in place of ``html_col``; a null page has none.
+
+    Fetched pages in this form join the links like any other bodies (``scrape_join``).
+    A task holds one page's blocks at a time.
+    """
+    rest = bodies.drop("markdown")
+    at = rest.columns.index(html_col)
+    fields = ", ".join(f"`{'markdown' if f.name == html_col else f.name}` {f.dataType.simpleString()}" for f in rest.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([to_markdown(x.as_py()) for x in batch.column(at)], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)],
+                                             ["markdown" if i == at else n for i, n in enumerate(batch.schema.names)])
+
+    return rest.mapInArrow(run, fields)
+
+
 def page_text(pages: DataFrame) -> DataFrame:
     t = html_to_text(F.col("html"))
     return pages.select("page_id", t.alias("text")).withColumn("n_chars", F.length("text"))

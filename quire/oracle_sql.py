@@ -980,5 +980,31 @@ r(id, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM r JOIN
 SELECT id AS vec_id, min(seen) AS class_id FROM r GROUP BY id"""
 
 
+SQL["source_dashboard"] = """
+WITH c AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'S0' ELSE 'S' || (1 + user_id % 6) END AS source_id,
+    event_id % 3 + event_id % 2 AS run, event_type, value FROM events)
+SELECT source_id, count(DISTINCT run) AS runs, count(*) AS calls, count_if(event_type = 'error') AS failures,
+  max(value) AS slowest_sec, true AS urls_near, true AS p50_near, true AS p95_near
+FROM c GROUP BY source_id"""
+
+SQL["ready_feed"] = with_ctes(["review_store"], "x AS (SELECT 1)") + f"""
+, s AS (SELECT unique_id, status AS s0, CASE WHEN CAST(unique_id AS BIGINT) % 2 = 0 THEN 'READY' ELSE 'DISCARD' END AS s1,
+    CASE WHEN CAST(unique_id AS BIGINT) % 3 = 0 THEN 'READY' ELSE 'DISCARD' END AS s2 FROM review_store),
+one AS (SELECT unique_id, '{SYNC_TS}' AS changed_at, s0 AS previous_status FROM s WHERE s1 = 'READY' AND s0 <> 'READY'),
+two AS (SELECT unique_id, '2026-01-03T00:00:00' AS changed_at, s1 AS previous_status FROM s WHERE s2 = 'READY' AND s1 <> 'READY')
+SELECT 'site' AS consumer, '1' AS reading, * FROM one
+UNION ALL SELECT 'site', '2', * FROM two
+UNION ALL SELECT 'site', '1', * FROM one
+UNION ALL SELECT 'mail', '1', * FROM one
+UNION ALL SELECT 'mail', '1', * FROM two"""
+
+SQL["archive_move"] = with_ctes(["pull", "review_store"], PULLED) + """
+, now AS (SELECT s.unique_id, coalesce(d.new_status, s.status) AS status
+  FROM review_store s LEFT JOIN diffs d USING (unique_id))
+SELECT phase, status, count(*) AS n, count(DISTINCT unique_id) AS n_ids
+FROM now, (VALUES ('before'), ('copied'), ('committed'), ('cleaned')) p(phase) GROUP BY phase, status
+UNION ALL SELECT 'live', NULL, count_if(status NOT IN ('PUBLISHED', 'DISCARD')), count_if(status NOT IN ('PUBLISHED', 'DISCARD')) FROM now"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

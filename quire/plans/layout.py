@@ -9,6 +9,10 @@
     <store>/rejects/run_id=<id>/      rows that were not stored, with the reason
     <store>/runs/run_id=<id>/         (fingerprint) of the runs' inputs and settings
     <store>/pull_stops/run_id=<id>/   (page) where a mirror pull ended
+    <store>/archive/move_id=<id>/     facts that were moved out of articles
+    <store>/moves/move_id=<id>/       (unique_id, run_id) of committed moves
+    <store>/feed_readings/consumer=<c>/reading=<n>/  (sync) which syncs a consumer's reading holds
+    <store>/source_sketches/run_id=<id>/  a run's counts and sketches by source
     <mirror>/version=<id>/            review-mirror snapshots
 
 Every write replaces only its own ``run_id``/``version`` partition (dynamic
@@ -56,6 +60,27 @@ STOPS_SCHEMA = "page bigint, run_id string"
 ARTICLES_SCHEMA = ", ".join(
     f"{c} {'int' if c in ('read_minutes', 'relevance_score', 'quality_score', 'overall_score', 'needs_revision') else 'string'}"
     for c in ARTICLE_COLUMNS) + ", run_id string"
+MOVES_SCHEMA = "unique_id string, run_id string, move_id string"
+ARCHIVE_SCHEMA = ARTICLES_SCHEMA + ", move_id string"
+
+
+def live_facts(spark: SparkSession, store: str) -> DataFrame:
+    """Facts that no committed move names."""
+    live = read_or_empty(spark, f"{store}/articles", ARTICLES_SCHEMA)
+    if not _exists(spark, f"{store}/moves"):
+        return live
+    moved = spark.read.schema(MOVES_SCHEMA).parquet(f"{store}/moves").select("unique_id", "run_id")
+    return live.join(moved, ["unique_id", "run_id"], "left_anti").select(live.columns)
+
+
+def facts(spark: SparkSession, store: str) -> DataFrame:
+    """All facts, each once: live ones and those of committed moves."""
+    live = live_facts(spark, store)
+    if not _exists(spark, f"{store}/moves"):
+        return live
+    moves = spark.read.schema(MOVES_SCHEMA).parquet(f"{store}/moves").select("move_id").distinct()
+    archived = read_or_empty(spark, f"{store}/archive", ARCHIVE_SCHEMA).join(moves, "move_id", "left_semi")
+    return live.unionByName(archived.select(live.columns))
 
 
 def store_hashes(spark: SparkSession, store: str, exclude_run: str | None = None) -> DataFrame:
@@ -100,15 +125,14 @@ def current_statuses(spark: SparkSession, store: str, ids: DataFrame | None = No
     id is found, so a sync-back batch costs a scan of the narrow columns, not
     a shuffle of the whole store.
     """
-    facts = read_or_empty(spark, f"{store}/articles", ARTICLES_SCHEMA).select(
-        "unique_id", "status", "updated_at")
+    held = facts(spark, store).select("unique_id", "status", "updated_at")
     sc = read_or_empty(spark, f"{store}/status_changes", STATUS_SCHEMA)
     if exclude_change_run is not None:
         sc = sc.where(F.col("run_id") != exclude_change_run)
     if ids is not None:
-        facts = facts.join(ids, "unique_id", "left_semi")
+        held = held.join(ids, "unique_id", "left_semi")
         sc = sc.join(ids, "unique_id", "left_semi")
-    return st.apply_status(facts, sc).select("unique_id", "status")
+    return st.apply_status(held, sc).select("unique_id", "status")
 
 
 def current_articles(spark: SparkSession, store: str,
@@ -117,14 +141,14 @@ def current_articles(spark: SparkSession, store: str,
     without the status changes of one run, for idempotent re-runs).
 
     The facts are read once and joined to the latest change per id."""
-    facts = read_or_empty(spark, f"{store}/articles", ARTICLES_SCHEMA)
+    held = facts(spark, store)
     sc = read_or_empty(spark, f"{store}/status_changes", STATUS_SCHEMA)
     if exclude_change_run is not None:
         sc = sc.where(F.col("run_id") != exclude_change_run)
     tc = read_or_empty(spark, f"{store}/tag_changes", TAG_SCHEMA)
     s = st.latest_status(sc).withColumnRenamed("changed_at", "_status_at")
     t = st.latest_tag(tc).withColumnRenamed("changed_at", "_tag_at")
-    cur = facts.join(s, "unique_id", "left").join(t, "unique_id", "left")
+    cur = held.join(s, "unique_id", "left").join(t, "unique_id", "left")
     tag = F.when(F.col("is_clear").isNull(), F.col("tag")).when(~F.col("is_clear"), F.col("new_tag"))
     return cur.withColumns({
         "status": F.coalesce("new_status", "status"), "tag": tag,
@@ -145,6 +169,18 @@ def write_tag_changes(changes: DataFrame, store: str, changed_at: str, batch_id:
         F.lit(batch_id).alias("run_id")), f"{store}/tag_changes")
 
 
+TABLES = {"articles": lambda: ARTICLES_SCHEMA, "article_hashes": lambda: HASHES_SCHEMA, "answers": lambda: ANSWERS_SCHEMA,
+          "status_changes": lambda: STATUS_SCHEMA, "tag_changes": lambda: TAG_SCHEMA, "rejects": lambda: REJECTS_SCHEMA,
+          "runs": lambda: RUNS_SCHEMA, "pull_stops": lambda: STOPS_SCHEMA}
+
+
+def init_store(spark: SparkSession, store: str) -> None:
+    """Writes an empty typed dataset for each table that isn't there, so that any reader finds its schema."""
+    for name, schema in TABLES.items():
+        if not _exists(spark, f"{store}/{name}"):
+            spark.createDataFrame([], schema()).write.mode("ignore").parquet(f"{store}/{name}")
+
+
 def claim_run(spark: SparkSession, store: str, run_id: str, fingerprint: str) -> None:
     """Note a run's inputs and settings; refuse a run id that stands for others."""
     runs = read_or_empty(spark, f"{store}/runs", RUNS_SCHEMA).where(F.col("run_id") == run_id)

@@ -17,7 +17,7 @@ from .operators import dedupe, discover, fetch
 from .operators import enrich as en
 from .operators import metrics as mt
 from .operators import mirror as mi
-from .operators import rounds, semantic
+from .operators import dashboard, rounds, semantic
 from .operators import schema_check as sc
 from .operators import store as st
 from .schemas import EXTRACT_FIELDS
@@ -121,6 +121,15 @@ def page_text(spark, d):
     return t.select("page_id", F.sha2("text", 256).alias("text_sha"), "n_chars")
 
 
+@query
+def page_markdown(spark, d):
+    """Each page's Markdown: its digest, and how many headings and links it has."""
+    t = fetch.bodies_as_markdown(load(spark, d, "pages", "page_id", "html"))
+    return t.select("page_id", F.sha2("markdown", 256).alias("markdown_sha"), F.length("markdown").alias("n_chars"),
+                    F.regexp_count("markdown", F.lit("(?m)^#{1,6} ")).alias("n_headings"),
+                    F.regexp_count("markdown", F.lit(r"\]\([^)]*\)")).alias("n_links"))
+
+
 # dedupe ----------------------------------------------------------------------
 def _fresh_rows(spark, d):
     """Scraped rows with a body, hashed."""
@@ -452,6 +461,23 @@ def model_rounds(spark, d):
         "doc_id", "response", "error", "attempts", "waited_sec", "reason")
 
 
+@query
+def source_dashboard(spark, d):
+    """Dashboards from kept sketches, and whether their estimates are as near to
+    the calls as the sketches promise: 5 % of a distinct count, 2 % of ranks."""
+    from .plans import layout
+    calls, base = fx.fetch_calls(spark, d), _work_dir(spark, "dashboard")
+    layout.write_partition(dashboard.source_sketches(calls), f"{base}/source_sketches")
+    kept = dashboard.source_dashboard(spark.read.parquet(f"{base}/source_sketches"))
+    exact = calls.join(kept, "source_id").groupBy("source_id").agg(
+        F.count_distinct("url").alias("n"), F.avg((F.col("duration_sec") <= F.col("p50_sec")).cast("double")).alias("r50"),
+        F.avg((F.col("duration_sec") <= F.col("p95_sec")).cast("double")).alias("r95"))
+    return kept.join(exact, "source_id").select(
+        "source_id", "runs", "calls", "failures", "slowest_sec",
+        (F.abs(F.col("distinct_urls") / F.col("n") - 1) <= 0.05).alias("urls_near"),
+        F.col("r50").between(0.48, 0.52).alias("p50_near"), F.col("r95").between(0.93, 0.97).alias("p95_near"))
+
+
 # semantic dedupe ---------------------------------------------------------------
 @query
 def semantic_classes(spark, d):
@@ -567,6 +593,61 @@ def status_two_syncs(spark, d):
     return layout.current_articles(spark, f"{base}/store").select("unique_id", "status", "updated_at")
 
 
+@query
+def ready_feed(spark, d):
+    """Two consumers read what became READY, one after each of two syncs and
+    once more, the other after both: each transition once a consumer."""
+    from .plans import feed
+    from .plans.syncback import run_syncback
+    store = f"{_work_dir(spark, 'feed')}/store"
+    _seed_facts(spark, d, store)
+    i, out = F.col("doc_id"), []
+
+    def read(consumer, reading):
+        out.append(feed.read_feed(spark, store, consumer, reading).select(
+            F.lit(consumer).alias("consumer"), F.lit(reading).alias("reading"), "unique_id", "changed_at", "previous_status"))
+
+    run_syncback(spark, fx.plain_pull(spark, d, i, F.when(i % 2 == 0, F.lit("READY")).otherwise(F.lit("DISCARD"))), store, SYNC_TS, "one")
+    read("site", "1")
+    run_syncback(spark, fx.plain_pull(spark, d, i, F.when(i % 3 == 0, F.lit("READY")).otherwise(F.lit("DISCARD"))), store, SYNC_TS_2, "two")
+    read("site", "2")
+    read("site", "1")  # asked for again: the same rows
+    read("site", "3")
+    read("mail", "1")
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
+@query
+def archive_move(spark, d):
+    """What readers see of a store before, during and after published and
+    discarded articles move to the archive: every article once."""
+    from .plans import archive, layout
+    from .plans.syncback import run_syncback
+    store = f"{_work_dir(spark, 'archive')}/store"
+    _seed_facts(spark, d, store)
+    run_syncback(spark, fx.mirror_pull(spark, d), store, SYNC_TS, "one")
+    seen = []
+
+    def look(phase):
+        now = layout.current_articles(spark, store).groupBy("status").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("unique_id").alias("n_ids"))
+        seen.extend((phase, r.status, r.n, r.n_ids) for r in now.collect())  # a row a status
+
+    look("before")
+    archive.copy(spark, store, "2026Q1", F.col("status").isin("PUBLISHED", "DISCARD"))
+    look("copied")
+    archive.commit(spark, store, "2026Q1")
+    look("committed")
+    archive.clean(spark, store, "2026Q1")
+    look("cleaned")
+    left = spark.read.parquet(f"{store}/articles").count()
+    seen.append(("live", None, left, left))
+    return spark.createDataFrame(seen, "phase string, status string, n bigint, n_ids bigint")
+
+
 # streaming -----------------------------------------------------------------------
 DOCS_PER_FILE = 500
 

@@ -294,6 +294,16 @@ def attempts(spark: SparkSession, d: str) -> DataFrame:
                      usage.alias("usage"))
 
 
+def fetch_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Every event as a fetch of one of three runs; a third of them from one source."""
+    ev = load(spark, d, "events", "event_id", "user_id", "event_type", "value")
+    e, u = F.col("event_id"), F.col("user_id")
+    source = F.when(e % 3 == 0, lit("S0")).otherwise(F.concat(lit("S"), (1 + u % 6).cast("string")))
+    return ev.select((e % 3 + e % 2).cast("string").alias("run_id"), source.alias("source_id"),
+                     F.concat(lit("https://x.org/"), u.cast("string"), lit("/"), (e % 40).cast("string")).alias("url"),
+                     (F.col("event_type") != "error").alias("ok"), F.col("value").alias("duration_sec"))
+
+
 # F9 -------------------------------------------------------------------------
 def error_log(spark: SparkSession, d: str) -> DataFrame:
     ev = load(spark, d, "events", "event_id", "user_id", "event_type").where(
