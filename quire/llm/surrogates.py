@@ -34,8 +34,11 @@ TITLES = {
     "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин", "господин"),
     "n": ("Dr", "Prof", "Professor", "Doctor", "Доктор", "доктор", "Профессор", "профессор"),
 }
-_TITLE = "|".join(t for names in TITLES.values() for t in names)
-_NAME_PART = r"\p{Lu}\p{L}*\p{Ll}"
+#: Titles are also written in capitals.
+TITLES = {g: tuple(dict.fromkeys((*names, *(n.upper() for n in names)))) for g, names in TITLES.items()}
+_TITLE = "|".join(sorted((t for names in TITLES.values() for t in names), key=len, reverse=True))
+#: Capitalised or all in capitals, and either after an initial with an apostrophe (O'Brien).
+_NAME_PART = r"(?:\p{Lu}['’])?\p{Lu}(?:\p{L}*\p{Ll}|\p{Lu}+)"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_NAME_PART}(?:[ -]{_NAME_PART}){{0,2}}(?!\p{{L}})"
 MENTION = "|".join((EMAIL, IP, SSN, PHONE, CARD, NAME))
 TYPES = ("email", "ip", "ssn", "phone", "card", "name")
@@ -82,11 +85,12 @@ def entities(mention: Column) -> Column:
     """
     female, male = (mention.rlike(rf"^(?:{'|'.join(TITLES[g])})\.? ") for g in "fm")
 
-    def name(parts: Column) -> Column:
-        return F.transform(parts, lambda p, i: F.struct(
+    def name(words: Column) -> Column:
+        # all parts of the last word are surnames, joined by hyphens or not
+        return F.flatten(F.transform(words, lambda w, i: F.transform(F.split(w, "-"), lambda p: F.struct(
             F.concat(F.lit("name-"), F.when(p.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin"), F.lit("-"),
-                     F.when(i == F.size(parts) - 1, "s").when(female, "f").when(male, "m").otherwise("n")).alias("type"),
-            F.lower(p).alias("value")))
+                     F.when(i == F.size(words) - 1, "s").when(female, "f").when(male, "m").otherwise("n")).alias("type"),
+            F.lower(p).alias("value")))))
 
     def plain(kind: Column) -> Column:
         digits = _digits(mention)
@@ -96,7 +100,7 @@ def entities(mention: Column) -> Column:
 
     none = F.array().cast("array<struct<type:string,value:string>>")
     return let(mention_type(mention), lambda kind: F.when(kind.isNull(), none).when(
-        kind == "name", let(F.split(_name_body(mention), "[ -]"), name)).otherwise(plain(kind)))
+        kind == "name", let(F.split(_name_body(mention), " "), name)).otherwise(plain(kind)))
 
 
 def _stream(key: str, *parts: Column) -> Column:
@@ -132,8 +136,10 @@ def candidate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
                          F.lit(".example"))
         ip = F.concat_ws(".", *((_draw(s, i, 254) + 1).cast("string") for i in range(4)))
         ssn = F.concat(F.lit("9"), _reshape(F.substring(value, 2, 8), s), F.repeat(F.lit("0"), extra))
-        phone = F.concat((_draw(s, 63, 8) + 2).cast("string"),
-                         _reshape(F.substring(value, 2, 9), s), F.repeat(F.lit("0"), extra))
+        # neither an area nor an exchange begins with 0 or 1
+        phone = F.concat((_draw(s, 63, 8) + 2).cast("string"), _reshape(F.substring(value, 2, 2), s),
+                         (_draw(s, 62, 8) + 2).cast("string"), F.substring(_reshape(F.substring(value, 2, 9), s), 4, 6),
+                         F.repeat(F.lit("0"), extra))
         body = F.concat(F.substring(value, 1, 1), _reshape(F.substring(value, F.lit(2), F.length(value) - 2), s))
         card = let(body, lambda b: F.concat(b, ((F.lit(10) - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
         name = F.lit(None).cast("string")
@@ -191,16 +197,22 @@ def _capital(name: Column) -> Column:
     return F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, F.lit(2), F.length(name)))
 
 
+def _cased(name: Column, like: Column) -> Column:
+    """The surrogate in the case of what it replaces: all capitals, or capitalised."""
+    return F.when((F.length(like) > 1) & (like == F.upper(like)), F.upper(name)).otherwise(_capital(name))
+
+
 def _bare(gap: Column, names: Column) -> Column:
     """struct<text, n>: text between mentions, in which capitalised words that are parts
     of the document's ``names`` (array<struct<value, surrogate>>) have their surrogates."""
     def word(token: Column) -> Column:
         at = F.when(token.rlike(r"^\p{Lu}"), F.array_position(names["value"], F.lower(token))).otherwise(0)
         return let(at, lambda i: F.when(i > 0, F.struct(
-            _capital(F.get(names["surrogate"], (i - 1).cast("int"))).alias("text"), F.lit(1).alias("n"))).otherwise(
+            _cased(F.get(names["surrogate"], (i - 1).cast("int")), token).alias("text"), F.lit(1).alias("n"))).otherwise(
             F.struct(token.alias("text"), F.lit(0).alias("n"))))
 
-    return let(F.transform(F.split(gap, r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})", -1), word), lambda words: F.struct(
+    # between letters and others; an apostrophe after an initial stays with its name
+    return let(F.transform(F.split(gap, r"(?<=\p{L})(?=\P{L})(?!(?<=\b\p{Lu})['’]\p{Lu})|(?<=\P{L})(?=\p{L})(?<!\b\p{Lu}['’])", -1), word), lambda words: F.struct(
         F.array_join(words["text"], "").alias("text"), F.aggregate(words["n"], F.lit(0), lambda a, n: a + n).alias("n")))
 
 
@@ -208,7 +220,10 @@ def render(mention: Column, surrogates: Column) -> Column:
     """A mention written with the surrogates of its entities (array<string>)."""
     whole = surrogates[0]
     title = F.regexp_extract(mention, rf"^(?:{_TITLE})\.? ", 0)
-    name = F.concat(title, F.array_join(F.transform(surrogates, _capital), " "))
+    parts = F.regexp_extract_all(_name_body(mention), F.lit("[^ -]+"), F.lit(0))
+    marks = F.regexp_extract_all(_name_body(mention), F.lit("[ -]"), F.lit(0))
+    name = F.concat(title, F.array_join(F.transform(surrogates, lambda x, i: F.concat(
+        _cased(x, F.get(parts, i)), F.coalesce(F.get(marks, i), F.lit("")))), ""))
     spaced = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(
         whole, F.length(_digits(F.substring(mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
     ssn = F.concat_ws("-", F.substring(whole, 1, 3), F.substring(whole, 4, 2), F.substring(whole, F.lit(6), F.length(whole)))
