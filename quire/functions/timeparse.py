@@ -2,7 +2,7 @@
 
 Accepted, in order: ``%Y-%m-%dT%H:%M:%S``, ``%Y-%m-%d %H:%M:%S``,
 ``%Y-%m-%d``, then ISO 8601 (``Z`` read as UTC, ``,`` as the decimal
-separator). Naive values are wall-clock time in ``tz`` (a parameter, not the
+separator, week dates). Naive values are wall-clock time in ``tz`` (a parameter, not the
 session zone). Anything else is NULL. Text that Spark's cast accepts but the
 original parser rejects (a bare year, a year and month) is gated out first.
 """
@@ -25,9 +25,29 @@ _OFFSET = r"[+-][0-9]{2}(:?[0-9]{2})?$"
 _NAIVE_FORMATS = ("y-M-d'T'H:m:s", "y-M-d H:m:s", "y-M-d")
 
 
+# Week dates of ISO 8601, with marks or without, and the strict time that may follow.
+_TIME_TAIL = r"((?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?)?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)$"
+_WEEK_DATE = r"^([0-9]{4})(?:-W([0-9]{2})(?:-([1-7]))?|W([0-9]{2})([1-7])?)" + _TIME_TAIL
+
+
+def _week_date(text: Column) -> Column:
+    """The text with its ISO week date written as a calendar date; null if there is no such week."""
+    def group(n: int) -> Column:
+        return F.nullif(F.regexp_extract(text, _WEEK_DATE, n), F.lit("")).try_cast("int")
+
+    week, day = F.coalesce(group(2), group(4)), F.coalesce(group(3), group(5), F.lit(1))
+    # week 1 holds the 4th of January; weeks start on Monday
+    first = F.date_trunc("week", F.try_make_timestamp(years=group(1), months=F.lit(1), days=F.lit(4), hours=F.lit(0),
+                                                      mins=F.lit(0), secs=F.lit(0))).cast("date")
+    date = F.date_add(first, (week - 1) * 7 + day - 1)
+    return F.when((week > 0) & (F.weekofyear(date) == week),
+                  F.concat(F.date_format(date, "yyyy-MM-dd"), F.regexp_extract(text, _WEEK_DATE, 6)))
+
+
 def clean_datetime_text(c) -> Column:
-    """The text stripped of Python whitespace at both ends."""
-    return py_strip(F.col(c) if isinstance(c, str) else c)
+    """The text stripped of Python whitespace at both ends, week dates as calendar dates."""
+    text = py_strip(F.col(c) if isinstance(c, str) else c)
+    return F.when(text.rlike(_WEEK_DATE), _week_date(text)).otherwise(text)
 
 
 def _naive(fmt: str, sc: Column) -> Column:

@@ -52,13 +52,19 @@ def mirror_fields(records: DataFrame, text_max: int = 1900, tz: str = "UTC") ->
     return records.select(*[cols[n].alias(n) for n in FIELD_NAMES])
 
 
+def push_checks(increment: DataFrame):
+    """Records to push -> (with an id, those without one and ``reject_reason``)."""
+    has_id = F.coalesce(F.col("unique_id") != "", F.lit(False))
+    return increment.where(has_id), increment.where(~has_id).withColumn("reject_reason", F.lit("missing_unique_id"))
+
+
 def _at_first(snapshot: DataFrame, increment: DataFrame) -> DataFrame:
     """Increment cells (``_i_<name>``) with ``_pos``: the position of the first
-    record of the same id, null if there is none. Rows without an id are left out.
+    record of the same id, null if there is none. Rows without an id are left out (see ``push_checks``).
 
     First positions are found on two narrow columns; the increment is used once.
     """
-    inc = increment.where(F.col("unique_id").isNotNull() & (F.col("unique_id") != ""))
+    inc = push_checks(increment)[0]
     inc = inc.select(*[F.col(n).alias(f"_i_{n}") for n in FIELD_NAMES])
     firsts = (snapshot.select(F.col("unique_id").alias("_i_unique_id"), "record_pos")
               .where("_i_unique_id is not null")

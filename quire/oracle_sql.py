@@ -691,6 +691,7 @@ SELECT s.unique_id, coalesce(d.new_status, s.status) AS status,
 FROM review_store s LEFT JOIN diffs d USING (unique_id)"""
 SQL["status_failed_page"] = with_ctes(["pull"]) + f"""SELECT pos, {status_text_sql('status_cell')} AS status
 FROM pull WHERE page < (SELECT floor(max(page) / 2.0) + 1 FROM pull)"""
+SQL["status_paged_reader"] = SQL["status_failed_page"]
 SQL["status_two_syncs"] = with_ctes(["review_store"]) + f"""
 SELECT unique_id, CASE WHEN CAST(unique_id AS BIGINT) % 3 <> 0 THEN 'PUBLISHED' ELSE 'READY' END AS status,
   CASE WHEN CAST(unique_id AS BIGINT) % 3 <> 0 THEN '2026-01-03T00:00:00'
@@ -980,6 +981,9 @@ r(id, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM r JOIN
 SELECT id AS vec_id, min(seen) AS class_id FROM r GROUP BY id"""
 
 
+SQL["push_rejects"] = with_ctes(MIRROR_BASE, MIRROR_PRE) + """
+SELECT hash_code, CASE WHEN substring(hash_code, 1, 1) IN ('0', '1') THEN 'missing_unique_id' END AS reject_reason FROM inc"""
+
 SQL["source_dashboard"] = """
 WITH c AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'S0' ELSE 'S' || (1 + user_id % 6) END AS source_id,
     event_id % 3 + event_id % 2 AS run, event_type, value FROM events)

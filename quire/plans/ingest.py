@@ -140,9 +140,11 @@ def run_ingest(spark: SparkSession, inp: IngestInputs, store_dir: str, out_dir:
         feed = mirror.upsert_feed(inp.mirror_snapshot, inc)
         feed.write.mode("overwrite").parquet(f"{out_dir}/mirror_changes")
         result["mirror_changes"] = f"{out_dir}/mirror_changes"
+        mirror.push_checks(inc)[1].write.mode("overwrite").parquet(f"{out_dir}/mirror_rejects")
         if mirror_snapshot_version:
             path = f"{out_dir}/mirror/version={run}"
             mirror.upsert(inp.mirror_snapshot, inc).write.mode("overwrite").parquet(path)
+            layout.publish(spark, f"{out_dir}/mirror", run, cfg.run_ts)
             result["mirror_snapshot"] = path
     if attempts is not None:
         stage_rows = metrics.stage_metrics(attempts)

@@ -14,6 +14,7 @@
     <store>/feed_readings/consumer=<c>/reading=<n>/  (sync) which syncs a consumer's reading holds
     <store>/source_sketches/run_id=<id>/  a run's counts and sketches by source
     <mirror>/version=<id>/            review-mirror snapshots
+    <mirror>_current/version=<id>/    (published_at) versions that readers may use
 
 Every write replaces only its own ``run_id``/``version`` partition (dynamic
 partition overwrite), so a retried run is idempotent and never rewrites a
@@ -169,6 +170,21 @@ def write_tag_changes(changes: DataFrame, store: str, changed_at: str, batch_id:
         F.lit(batch_id).alias("run_id")), f"{store}/tag_changes")
 
 
+PUBLISHED_SCHEMA = "published_at string, version string"
+
+
+def publish(spark: SparkSession, mirror: str, version: str, published_at: str) -> None:
+    """Marks a written snapshot version as the one to read; a version that was never finished isn't seen."""
+    write_partition(spark.createDataFrame([(published_at, version)], PUBLISHED_SCHEMA), f"{mirror}_current", "version")
+
+
+def current_snapshot(spark: SparkSession, mirror: str) -> DataFrame | None:
+    """The snapshot that was published last (by time, then name); None before the first."""
+    last = read_or_empty(spark, f"{mirror}_current", PUBLISHED_SCHEMA).agg(
+        F.max(F.struct("published_at", "version"))["version"]).first()[0]
+    return None if last is None else spark.read.parquet(f"{mirror}/version={last}")
+
+
 TABLES = {"articles": lambda: ARTICLES_SCHEMA, "article_hashes": lambda: HASHES_SCHEMA, "answers": lambda: ANSWERS_SCHEMA,
           "status_changes": lambda: STATUS_SCHEMA, "tag_changes": lambda: TAG_SCHEMA, "rejects": lambda: REJECTS_SCHEMA,
           "runs": lambda: RUNS_SCHEMA, "pull_stops": lambda: STOPS_SCHEMA}

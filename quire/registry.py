@@ -363,6 +363,17 @@ def mirror_actions(spark, d):
 SYNC_TS = "2026-01-02T00:00:00"
 
 
+@query
+def push_rejects(spark, d):
+    """Records whose id is blank or missing are not pushed, and are kept with the reason."""
+    first = F.substring("hash_code", 1, 1)
+    inc = _increment(spark, d).withColumn(
+        "unique_id", F.when(first == "0", F.lit("")).when(first != "1", F.col("unique_id")))
+    pushed, rejected = mi.push_checks(inc)
+    return (rejected.select("hash_code", "reject_reason")
+            .unionByName(pushed.select("hash_code", F.lit(None).cast("string").alias("reject_reason"))))
+
+
 @query
 def rich_text(spark, d):
     from .functions.richtext import rich_text as rt, status_text
@@ -399,6 +410,16 @@ def status_failed_page(spark, d):
     return valid.select("pos", "status").unionByName(bad.select("pos", "status"))
 
 
+@query
+def status_paged_reader(spark, d):
+    """The same pull read from page files: the first page that can't be read ends it."""
+    from .sources.pages import read_mirror_pages, write_mirror_pages
+    path = _work_dir(spark, "pages")
+    write_mirror_pages(fx.failed_pull(spark, d), path)
+    valid, bad = mi.pull_statuses(read_mirror_pages(spark, path))
+    return valid.select("pos", "status").unionByName(bad.select("pos", "status"))
+
+
 @query
 def status_apply(spark, d):
     facts = fx.review_store(spark, d).select("unique_id", "status",

@@ -139,3 +139,45 @@ def test_dashboards_of_some_runs_and_empty_calls(spark):
     assert (b.calls, b.failures, b.distinct_urls, b.p50_sec, b.slowest_sec) == (1, 0, 0, None, None)
     assert dashboard.source_dashboard(kept.where("run_id = 'r1'")).first().distinct_urls == 1
     assert dashboard.source_dashboard(dashboard.source_sketches(calls.limit(0))).count() == 0
+
+
+def test_readers_use_the_snapshot_published_last(spark, tmp_dir):
+    mirror = f"{tmp_dir}/mirror"
+    assert layout.current_snapshot(spark, mirror) is None
+    for version, ts in (("b", "2026-01-01T00:00:00"), ("a", "2026-01-02T00:00:00"), ("c", None)):
+        spark.createDataFrame([(version,)], "v string").write.parquet(f"{mirror}/version={version}")
+        if ts:
+            layout.publish(spark, mirror, version, ts)
+    assert layout.current_snapshot(spark, mirror).first().v == "a"  # c was never published
+    layout.publish(spark, mirror, "b", "2026-01-03T00:00:00")
+    assert layout.current_snapshot(spark, mirror).first().v == "b"
+
+
+def test_records_without_an_id_are_kept_apart(spark):
+    from quire.operators import mirror
+    inc = spark.createDataFrame([("u1", "h1"), ("", "h2"), (None, "h3")], "unique_id string, hash_code string")
+    pushed, rejected = mirror.push_checks(inc)
+    assert [r.hash_code for r in pushed.collect()] == ["h1"]
+    assert {(r.hash_code, r.reject_reason) for r in rejected.collect()} == {("h2", "missing_unique_id"), ("h3", "missing_unique_id")}
+
+
+def test_pages_that_cannot_be_read_end_the_pull(spark, tmp_dir):
+    import json
+    import os
+
+    from quire.operators import mirror
+    from quire.sources.pages import read_mirror_pages
+    item = lambda u, s, **more: {"fields": {"unique_id": u, "status": s}, **more}
+    bodies = {0: json.dumps({"code": 0, "items": [item([{"text": "a"}], "READY"), item("b", {"text": "DISCARD"}), {"fields": {}}]}),
+              1: json.dumps({"items": []}), 2: json.dumps({"items": [item(7, "READY", pos=5)]}, indent=1)}
+    for broken in ('{"items":[{"fie', json.dumps({"code": 1254, "items": [item("x", "READY")]}), json.dumps({"msg": "none"}), ""):
+        path = f"{tmp_dir}/{abs(hash(broken))}"
+        for page, body in {**bodies, 3: broken, 4: json.dumps({"items": [item("late", "READY")]})}.items():
+            os.makedirs(f"{path}/page={page}")
+            with open(f"{path}/page={page}/body.json", "w") as f:
+                f.write(body)
+        pull = read_mirror_pages(spark, path)
+        assert {r.page for r in pull.where("NOT page_ok").collect()} == {3}
+        valid, bad = mirror.pull_statuses(pull)
+        assert sorted((r.pos, r.unique_id, r.status) for r in valid.collect()) == [(0, "a", "READY"), (1, "b", "DISCARD"), (5, "7", "READY")]
+        assert [r.reject_reason for r in bad.collect()] == ["blank"]
