@@ -18,9 +18,10 @@ def read_mirror_pages(spark: SparkSession, path: str) -> DataFrame:
 
     Cells are JSON text, null where a record lacks them. A record's position is
     its own ``pos``, else its place in the pull. A page that can't be used is one
-    row without cells, an empty one no row.
+    row without cells, a page without items no row. Empty files aren't listed, so
+    a number that is missing between others is a page that can't be used.
     """
-    raw = spark.read.schema("value string, page bigint").option("wholetext", "true").text(path)
+    raw = spark.read.schema("value string, page bigint").text(path, wholetext=True)
     body = raw.select("page", F.try_parse_json("value").alias("v")).select(
         "page", F.try_variant_get("v", "$.items", "array<variant>").alias("items"),
         F.coalesce(F.try_variant_get("v", "$.code", "int"), F.lit(0)).alias("code"))
@@ -31,8 +32,13 @@ def read_mirror_pages(spark: SparkSession, path: str) -> DataFrame:
         return F.to_json(F.try_variant_get("x", f"$.fields.{name}", "variant"))
 
     pos = F.coalesce(F.try_variant_get("x", "$.pos", "bigint"), F.col("page") * PAGE_ROWS + F.coalesce("at", F.lit(0)))
-    return rows.where(~F.col("page_ok") | F.col("at").isNotNull()).select(
+    pull = rows.where(~F.col("page_ok") | F.col("at").isNotNull()).select(
         "page", "page_ok", pos.alias("pos"), cell("unique_id").alias("unique_id_cell"), cell("status").alias("status_cell"))
+    numbers = raw.select("page").distinct()
+    last, none = numbers.agg(F.max("page")).scalar(), F.lit(None).cast("string")
+    gaps = numbers.select((F.col("page") + 1).alias("page")).join(numbers, "page", "left_anti").where(F.col("page") < last)
+    return pull.unionByName(gaps.select("page", F.lit(False).alias("page_ok"), (F.col("page") * PAGE_ROWS).alias("pos"),
+                                        none.alias("unique_id_cell"), none.alias("status_cell")))
 
 
 def write_mirror_pages(pull: DataFrame, path: str) -> None:
