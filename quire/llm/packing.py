@@ -1,29 +1,39 @@
 """Harmonic packing of tokenized documents into fixed-length sequences.
 
-A document's ids are cut into pieces whose lengths are reciprocals of the
-capacity: as many whole sequences as it fills, then halves, quarters and so on
-down to one id. Class k holds the pieces of length capacity / 2^k, and each of
-its sequences takes exactly 2^k of them, so a closed sequence has no padding.
+Class k holds the documents longer than capacity / (k + 1) and no longer than
+capacity / k ids: k of them fit a sequence, whichever they are. Each sequence of
+class k takes k whole documents; what room is left is filled by pieces of
+documents that don't fit a sequence and must be cut anyway. Where there are too
+few of those, some that fit are cut instead.
 
 Every task fills the bins of all classes by itself, from the documents it
-reads; nothing is shuffled. What its open bins hold at the end is at most one
-capacity per class; it is packed by falling length into full sequences and a
-few whose lengths are powers of two, which need no padding either.
+reads; nothing is shuffled. What its open bins hold at the end is packed by
+falling length, and the last sequence is cut at powers of two, which need no
+padding.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
+from collections import deque
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CAPACITY = 2048
 EOS_ID = 1  #: closes each document
+MOST_CLASSES = 64  #: documents no longer than capacity / 64 are one class, of 64 in a bin
+LEAST_PIECE = 16  #: a gap under this stays as padding
+HELD_SEQUENCES = 16  #: ids that wait to fill gaps, and gaps that wait for ids, in sequences at most
 MEMO_WORDS = 500_000  #: words whose ids a task remembers at a time
+WORDS_AT_ONCE = 1000  #: new words tokenized as one text
+BYTES_AT_ONCE = 1 << 22  #: text whose words are learned at once, about
 ROWS_PER_BATCH = 20_000
 TASK_BITS = 40  #: a task numbers its sequences from partition << 40
 
@@ -40,35 +50,58 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of a space-free word, as little-endian 32-bit bytes, kept per word.
 
     The tokenizer drops white space and treats each word by itself, so a text's
-    ids are its words' ids in order. Words of Latin letters (and a final stop or
-    comma, which is a token run of its own) skip the text normaliser: they are
-    already normal, and the merges see them alone.
+    ids are its words' ids in order. New words of Latin letters are tokenized
+    many at a time: the ids that end a word tell them apart. A final stop or
+    comma is a token run of its own.
     """
 
     def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, byte_letters()
-
-    def encode(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        text = word.decode()
-        if len(text) > 1 and text[-1] in ".," and self.plain(text[:-1]):
-            ids = self[word[:-1]] + self[word[-1:]]
-        elif self.plain(text):
-            run = text if len(word) == len(text) else "".join(map(self.letters.get, word))
-            ids = array("I", [t.id for t in self.model.tokenize(run)]).tobytes()
-        else:
-            ids = self.encode(text)
-        self[word] = ids
-        return ids
+        self.tokenizer = tokenizer
+        self.known: dict[bytes, bytes] = {}
+        suffix = tokenizer.model.end_of_word_suffix or ""
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Ids of all new ones of ``words``."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > MEMO_WORDS:
+            self.known, new = {}, words
+        plain: set[bytes] = set()
+        stopped, other = [], []
+        for word in new:
+            if word.isalpha():  # bytes: A-Z and a-z only, and those are lower-cased
+                plain.add(word)
+                continue
+            text = word.decode()
+            if self.plain(text):
+                plain.add(word)
+            elif text[-1] in ".," and self.plain(text[:-1]):
+                plain.update((word[:-1],) if word[:-1] not in self.known else ())
+                stopped.append(word)
+            else:
+                other.append(word)
+        latin = list(plain)
+        for at in range(0, len(latin), WORDS_AT_ONCE):
+            part = latin[at: at + WORDS_AT_ONCE]
+            ids = self.encode([b" ".join(part).decode()])[0]
+            last = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 4).tolist()
+            if len(last) == len(part) and last[-1] == len(ids):
+                self.known.update((w, ids[a:b]) for w, a, b in zip(part, [0, *last], last))
+            else:
+                self.known.update(zip(part, self.encode([w.decode() for w in part])))
+        for at in range(0, len(other), WORDS_AT_ONCE):
+            part = other[at: at + WORDS_AT_ONCE]
+            self.known.update(zip(part, self.encode([w.decode() for w in part])))
+        marks = {m: self.encode([m.decode()])[0] for m in (b".", b",")} if stopped else {}
+        self.known.update((word, self.known[word[:-1]] + marks[word[-1:]]) for word in stopped)
 
     @staticmethod
     def plain(text: str) -> bool:
@@ -76,37 +109,103 @@ class WordIds(dict):
         return text.isalpha() and text.islower() and text == text.lower() and max(text) < "İ"
 
 
-def document_ids(text: str | None, words: WordIds) -> bytes:
-    """Ids of a text (null: none) as bytes, without the closing one."""
-    if not text:
-        return b""
-    if "<|" in text:  # may hold special tokens, which are matched before anything else
-        return words.encode(text)
-    return b"".join(map(words.__getitem__, text.encode().lower().split()))
+def document_ids(texts: list[bytes | None], words: WordIds) -> Iterator[bytes]:
+    """Ids of each UTF-8 text (null: none) as bytes, without the closing one."""
+    # a text with "<|" may hold special tokens, which are matched before anything else
+    split = [None if b"<|" in (t or b"") else (t or b"").lower().split() for t in texts]
+    words.learn(set().union(*(s for s in split if s)))
+    for text, parts in zip(texts, split):
+        yield words.encode([text.decode()])[0] if parts is None else b"".join(map(words.known.__getitem__, parts))
 
 
-def piece_lengths(total: int, capacity: int) -> list[int]:
-    """Whole capacities, then each set bit of the rest, largest first."""
-    out = [capacity] * (total // capacity)
-    rest = total % capacity
-    while rest:
-        out.append(1 << rest.bit_length() - 1)
-        rest -= out[-1]
-    return out
+def harmonic_class(length: int, capacity: int) -> int:
+    """How many documents of this length, or up to the next class's, fill a bin."""
+    return min(capacity // length, MOST_CLASSES)
 
 
 class Bins:
-    """Open bins of every class; ``add`` and ``close`` yield finished rows."""
+    """Open bins of every class. ``add`` and ``close`` yield finished sequences as lists of rows."""
 
     def __init__(self, capacity: int, first_id: int):
         self.capacity, self.next_id = capacity, first_id
-        self.open: dict[int, list[tuple]] = {}
+        self.open: dict[int, list[tuple]] = {}  # class -> (doc_id, ids) of whole documents
+        self.gaps: deque[tuple[int, list[tuple]]] = deque()  # counts of ids that full bins wait for
+        self.room = 0
+        self.spare: deque[list] = deque()  # [doc_id, start, ids] of documents to cut
+        self.held = 0
+
+    def add(self, doc_id, ids: bytes) -> Iterator[list[tuple]]:
+        total, most = len(ids) // 4, HELD_SEQUENCES * self.capacity
+        if total > self.capacity or self.room > most:
+            self.keep(doc_id, ids)
+            yield from self.fill_gaps()
+            while self.held > most:
+                yield self.emit(self.cut(self.capacity))
+            return
+        k = harmonic_class(total, self.capacity)
+        docs = self.open.setdefault(k, [])
+        docs.append((doc_id, ids))
+        if len(docs) == k:
+            gap = self.gap(self.open.pop(k))
+            if gap < LEAST_PIECE:
+                yield self.emit(self.whole(docs))
+            else:
+                self.gaps.append((gap, docs))
+                self.room += gap
+                yield from self.fill_gaps()
 
-    def add(self, piece: tuple) -> list[tuple]:
-        size = piece[2]
-        held = self.open.setdefault(size, [])
-        held.append(piece)
-        return self.emit(self.open.pop(size)) if len(held) * size == self.capacity else []
+    def close(self) -> Iterator[list[tuple]]:
+        """What is open: by falling length, each document where it fits best, and the emptiest
+        sequences cut into the gaps of the others."""
+        sequences = [[gap, docs] for gap, docs in self.gaps]
+        for doc in sorted((d for docs in self.open.values() for d in docs), key=lambda d: -len(d[1])):
+            fits = [s for s in sequences if s[0] >= len(doc[1]) // 4]
+            if not fits:
+                fits = [[self.capacity, []]]
+                sequences += fits
+            best = min(fits, key=lambda s: s[0])
+            best[0] -= len(doc[1]) // 4
+            best[1].append(doc)
+        sequences.sort(key=lambda s: s[0])
+        while sequences and sum(s[0] for s in sequences) > self.held:
+            for doc in sequences.pop()[1]:
+                self.keep(*doc)
+        for gap, docs in sequences:
+            yield self.emit(self.whole(docs) + self.cut(gap if gap >= LEAST_PIECE else 0))
+        while self.held:
+            yield self.emit(self.cut(min(self.capacity, 1 << self.held.bit_length() - 1)))
+
+    def keep(self, doc_id, ids: bytes) -> None:
+        self.spare.append([doc_id, 0, ids])
+        self.held += len(ids) // 4
+
+    def gap(self, docs: list[tuple]) -> int:
+        return self.capacity - sum(len(ids) // 4 for _, ids in docs)
+
+    def fill_gaps(self) -> Iterator[list[tuple]]:
+        while self.gaps and self.held >= self.gaps[0][0]:
+            gap, docs = self.gaps.popleft()
+            self.room -= gap
+            yield self.emit(self.whole(docs) + self.cut(gap))
+
+    def whole(self, docs: list[tuple]) -> list[tuple]:
+        return [(doc_id, 0, len(ids) // 4, zlib.crc32(ids), len(ids) // 4) for doc_id, ids in docs]
+
+    def cut(self, size: int) -> list[tuple]:
+        """Pieces of the kept documents, ``size`` ids in all."""
+        out = []
+        while size:
+            head = self.spare[0]
+            doc_id, start, ids = head
+            total = len(ids) // 4
+            length = min(size, total - start)
+            out.append((doc_id, start, length, zlib.crc32(ids[4 * start: 4 * (start + length)]), total))
+            head[1] += length
+            if head[1] == total:
+                self.spare.popleft()
+            size -= length
+            self.held -= length
+        return out
 
     def emit(self, pieces: list[tuple]) -> list[tuple]:
         out, offset = [], 0
@@ -116,44 +215,39 @@ class Bins:
         self.next_id += 1
         return out
 
-    def close(self) -> Iterator[list[tuple]]:
-        rest = sorted((p for held in self.open.values() for p in held), key=lambda p: -p[2])
-        left = sum(p[2] for p in rest)
-        group, size, target = [], 0, 0
-        for piece in rest:  # falling powers of two always meet the target exactly
-            target = target or min(self.capacity, 1 << left.bit_length() - 1)
-            group.append(piece)
-            size += piece[2]
-            if size == target:
-                yield self.emit(group)
-                left -= size
-                group, size, target = [], 0, 0
-        self.open = {}
-
 
 def pack_documents(rows: Iterable[tuple], words: WordIds, capacity: int, eos_id: int,
                    first_id: int) -> Iterator[list[tuple]]:
-    """Lists of finished pieces of ``(doc_id, text)`` rows, in ``COLUMNS`` order."""
+    """Sequences of ``(doc_id, UTF-8 text)`` rows, as lists of pieces in ``COLUMNS`` order."""
     bins, eos = Bins(capacity, first_id), array("I", [eos_id]).tobytes()
-    for doc_id, text in rows:
-        ids = document_ids(text, words) + eos
-        total, start = len(ids) // 4, 0
-        for length in piece_lengths(total, capacity):
-            end = start + length
-            done = bins.add((doc_id, start, length, zlib.crc32(ids[4 * start: 4 * end]), total))
-            start = end
-            if done:
-                yield done
+    for group in _groups(rows):
+        doc_ids, texts = zip(*group)
+        for doc_id, ids in zip(doc_ids, document_ids(texts, words)):
+            yield from bins.add(doc_id, ids + eos)
     yield from bins.close()
 
 
+def _groups(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1] or b"")
+        if size > BYTES_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, eos_id: int = EOS_ID,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A document is the ids of its whole text (null or empty: none) and the
-    closing id. Each id lies in one piece; a sequence's pieces fill it without
-    gaps. Repeated rows and null ids are packed like any others; an empty table
+    closing id. Each id lies in one piece; a sequence's pieces follow each other
+    without gaps, and fill it but for ``LEAST_PIECE`` ids, or have a power of two
+    in length. Documents that fit a sequence are whole, but for those that are
+    needed to fill gaps. Repeated rows and null ids are packed like any others; an empty table
     gives no rows; other columns are ignored. ``capacity`` is a power of two.
     ``tokenizer_file`` is read by every task.
     """
@@ -161,6 +255,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, eos_id:
         raise ValueError("capacity must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         words = WordIds(Tokenizer.from_file(tokenizer_file))
@@ -185,5 +280,5 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, eos_id:
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(kind)
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(
         run, f"doc_id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in COLUMNS[1:]))
