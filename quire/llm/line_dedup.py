@@ -12,29 +12,39 @@ A line goes if it lies in a window's run of hashes that occurred before. An
 occurrence is held against the first one only, so a passage in very many
 documents costs a row per occurrence, never a pair.
 
-``dedup_passages`` adds to these whole-line runs single lines of enough words, and
-the runs of units: a line is cut into clauses, and these between some words, where
-the characters on either side say so. A passage has the same cuts wherever it
-stands in a line, so that it is found there too, but for the units at its ends
-that are glued to other text.
+``dedup_passages`` finds repeats wherever they stand in a line, in any script.
+A line is cut into units between two words whose hash says so, and after so many
+words, so a passage has the same units in every text but for those at its ends
+that are glued to other words. Windows of units are runs, and so are single lines
+of enough words, and windows of lines with a short one among them. Fingerprints
+are counted bare; only segments of texts that hold one met twice are extended to
+their windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, let, whole_text, words, written
+from .common import SPACE_RUN, SPACES, cut, let, whole_text, written
+from .spans import running_sums
 
 WINDOW = 3  #: hashes in a run that counts as a repeat
 CHARS = 100  #: characters of a line that weigh as one hash
 LINE_WORDS = 8  #: words of a line that is a run by itself
-UNIT_WINDOW = 6  #: hashes of units in a run that counts as a repeat
-UNIT_CHARS = 40  #: characters of a unit that weigh as one hash
-#: Between units: after the mark of a clause, or between two words by their letters.
-CUT = r"(?<=[.!?;:,…]\x20)|(?<=[。！？；：，、])|(?<=[adlnorаеть]\x20)(?=[bcdpstвнпс])"
-PLACES = 1 << 32  #: a place in a text is a line's number times this, plus its unit's
-RANGES = "array<struct<first:bigint,last:bigint>>"
+LINE_CHARS = 200  #: or its characters, beyond these
+LINE_WINDOW = 3  #: lines in a run if some of them are shorter
+UNIT_WINDOW = 5  #: units in a run that counts as a repeat
+UNIT_WORDS = 6  #: words of a unit, at most
+CUT_ONE_IN = 5  #: between two words a line is cut with this chance, by their hash
+SEGMENT = 128  #: windows of a text looked at in one row
+#: Characters of scripts without blanks between words, each of which counts as one: Thai, Lao, Myanmar,
+#: Khmer, Japanese and Han. Fixed values, as ranges, which a pattern tests faster than scripts.
+_SOLID = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
+          r"\x{20000}-\x{2FA1F}")
+_BLANK = r"\x20\x09-\x0D"
+TOKEN = rf"[{_SOLID}]|[^{_BLANK}{_SOLID}]+"
+TOKEN_AND_BLANKS = rf"(?:{TOKEN})[{_BLANK}]*+"
 
 
 def _lines(text: Column) -> Column:
@@ -102,59 +112,181 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) ->
         "ranges", lambda r: F.sequence(r["first"], r["last"])))).alias("dead"))
 
 
+def _unit_starts(tokens: Column) -> Column:
+    """Where the units of a line start: at cuts between words, and every ``UNIT_WORDS`` after one."""
+
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda j: F.pmod(
+            F.xxhash64(words[j - 1], words[j]), F.lit(CUT_ONE_IN)) == 0)
+        starts = let(cuts, lambda c: F.flatten(F.zip_with(
+            F.concat(F.array(F.lit(0)), c), F.concat(c, F.array(n)),
+            lambda a, b: F.sequence(a, b - 1, F.lit(UNIT_WORDS)))))
+        return F.when(n > 1, starts).when(n == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+
+    return let(tokens, of)
+
+
+def _units(tokens: Column, body, blanks: bool = False) -> Column:
+    """``body(slice of tokens)`` for each unit of a line. ``blanks``: tokens have those that follow
+    them, which don't move the cuts."""
+    def bare(t: Column) -> Column:
+        return F.transform(t, lambda w: F.rtrim(w, F.lit(SPACES))) if blanks else t
+
+    return let(tokens, lambda t: let(_unit_starts(bare(t)), lambda starts: F.transform(
+        starts, lambda a, i: body(F.slice(t, a + 1, F.coalesce(F.get(starts, i + 1), F.size(t)) - a)))))
+
+
 def _unit_hashes(text: Column) -> Column:
-    """array<struct<hash, line>> of the units with words, in order; ``line`` is the unit's place."""
+    """Hashes of the units of a text, in order."""
+    return F.flatten(F.transform(_lines(text), lambda line: _units(
+        F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0)), lambda unit: F.xxhash64(unit))))
+
+
+def _has_words(line: Column) -> Column:
+    return F.translate(line, SPACES, "") != ""
+
+
+def _line_hashes(text: Column) -> Column:
+    """Hashes of the lines with words, in order; the last bit says whether a line is a run by itself."""
 
-    def of_unit(unit: Column, place: Column) -> Column:
-        weight = F.ceil(F.char_length(unit) / F.lit(UNIT_CHARS)).cast("int")
-        own = let(F.xxhash64(unit, F.lit("unit")), lambda h: F.transform(
-            F.sequence(F.lit(1), weight), lambda j: F.struct(F.xxhash64(h, j).alias("hash"), place.alias("line"))))
-        return F.when(unit != "", own).otherwise(F.array().cast("array<struct<hash:bigint,line:bigint>>"))
+    def of_line(line: Column) -> Column:
+        long = (F.char_length(line) > LINE_CHARS) | (F.size(F.split(line, SPACE_RUN)) >= LINE_WORDS)
+        return F.xxhash64(line, F.lit("line")).bitwiseAND(F.lit(-2)).bitwiseOR(long.cast("long"))
 
-    return F.flatten(F.flatten(F.transform(_lines(text), lambda line, at: F.transform(
-        F.split(line, CUT, -1), lambda unit, i: let(F.trim(unit, F.lit(SPACES)), lambda u: of_unit(u, at * F.lit(PLACES) + i))))))
+    return F.transform(F.filter(_lines(text), _has_words), lambda line: of_line(F.trim(line, F.lit(SPACES))))
 
 
-def _long_lines(text: Column) -> Column:
-    """array<struct<hash, line>> of the lines of ``LINE_WORDS`` words or more."""
-    return F.filter(F.transform(_lines(text), lambda line, at: F.when(
-        F.size(words(line)) >= LINE_WORDS,
-        F.struct(F.xxhash64(F.trim(line, F.lit(SPACES)), F.lit("line")).alias("hash"), at.alias("line")))),
-        lambda x: x.isNotNull())
+def _least(hashes: Column, start: Column, window: int) -> Column:
+    return F.least(*(F.get(hashes, start + k) for k in range(window)))
 
 
-def _whole_lines(selected: Column) -> Column:
-    """Selected hashes with their lines as ranges of places."""
-    return F.transform(selected, lambda p: F.struct(p["print"].alias("print"), F.transform(p["runs"], lambda r: F.struct(
-        r["at"].alias("at"), r["run"].alias("run"), (r["first"] * F.lit(PLACES)).alias("first"),
-        (r["last"] * F.lit(PLACES) + F.lit(PLACES - 1)).alias("last"))).alias("runs")))
+def _starts(hashes: Column, window: int) -> Column:
+    return F.when(F.size(hashes) >= window, F.sequence(F.lit(0), F.size(hashes) - window)).otherwise(
+        F.array().cast("array<int>"))
 
 
-def _merged(ranges: Column) -> Column:
-    """The ranges as few that don't overlap, in order."""
-    start = F.struct(F.array().cast(RANGES).alias("done"), F.lit(None).cast("bigint").alias("first"),
-                     F.lit(None).cast("bigint").alias("last"))
+def _run(hashes: Column, start: Column, window: int, salt: int) -> Column:
+    return F.xxhash64(F.lit(salt), *(F.get(hashes, start + k) for k in range(window)))
 
-    def last_too(acc: Column) -> Column:
-        return F.when(acc["first"].isNull(), acc["done"]).otherwise(
-            F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last"))))
 
-    def step(acc: Column, r: Column) -> Column:
-        return F.when(acc["last"] >= r["first"], F.struct(
-            acc["done"].alias("done"), acc["first"].alias("first"), F.greatest(acc["last"], r["last"]).alias("last"))
-        ).otherwise(F.struct(last_too(acc).alias("done"), r["first"].alias("first"), r["last"].alias("last")))
+def _is_long(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(1)) == 1
 
-    return F.aggregate(F.sort_array(ranges), start, step, last_too)
+
+def _some_short(hashes: Column, start: Column) -> Column:
+    every = _is_long(F.get(hashes, start))
+    for k in range(1, LINE_WINDOW):
+        every = every & _is_long(F.get(hashes, start + k))
+    return ~every
+
+
+UNITS, LINES = 0, 1  #: kinds of sequences
+
+
+def _segments(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, kind, offset, hashes``: a text's hashes in overlapping segments."""
+
+    def cut_up(hashes: Column, kind: int, window: int) -> Column:
+        return let(hashes, lambda h: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(h) - window, F.lit(0)), F.lit(SEGMENT)),
+            lambda a: F.struct(F.lit(kind).alias("kind"), a.alias("offset"),
+                               F.slice(h, a + 1, SEGMENT + window - 1).alias("hashes"))))
+
+    text = whole_text()
+    both = F.concat(cut_up(_unit_hashes(text), UNITS, UNIT_WINDOW), cut_up(_line_hashes(text), LINES, LINE_WINDOW))
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(both).alias("s")).select(
+        "doc_id", "text_hash", "s.*").where(F.size("hashes") > 0)
+
+
+def _prints(kind: Column, hashes: Column) -> Column:
+    """Fingerprints of a segment: of each window of units or lines the least hash, and each long line's.
+
+    One that stands in the segment twice is listed twice.
+    """
+    units = F.transform(_starts(hashes, UNIT_WINDOW), lambda s: _least(hashes, s, UNIT_WINDOW))
+    lines = F.concat(F.filter(hashes, _is_long), F.transform(
+        F.filter(_starts(hashes, LINE_WINDOW), lambda s: _some_short(hashes, s)),
+        lambda s: _least(hashes, s, LINE_WINDOW)))
+    repeated = let(F.sort_array(hashes), lambda h: F.filter(h, lambda x, i: x == F.get(h, i - 1)))
+    return let(F.array_distinct(F.when(kind == UNITS, units).otherwise(lines)),
+               lambda p: F.concat(p, F.array_intersect(p, repeated)))
+
+
+def _met_runs(kind: Column, hashes: Column, met: Column) -> Column:
+    """array<struct<run, first, last>>: the windows, within the segment, whose fingerprint was met twice."""
+
+    def runs(starts: Column, window: int, salt: int) -> Column:
+        return F.transform(F.filter(starts, lambda s: F.array_contains(met, _least(hashes, s, window))), lambda s: F.struct(
+            _run(hashes, s, window, salt).alias("run"), s.alias("first"), (s + window - 1).alias("last")))
+
+    single = F.filter(F.transform(hashes, lambda h, i: F.struct(h.alias("run"), i.alias("first"), i.alias("last"))),
+                      lambda r: _is_long(r["run"]) & F.array_contains(met, r["run"]))
+    lines = F.filter(_starts(hashes, LINE_WINDOW), lambda s: _some_short(hashes, s))
+    return F.when(kind == UNITS, runs(_starts(hashes, UNIT_WINDOW), UNIT_WINDOW, UNITS)).otherwise(
+        F.concat(single, runs(lines, LINE_WINDOW, LINES)))
+
+
+def _covered(kind: Column, hashes: Column) -> Column:
+    """array<struct<first, last>>: what the runs within a segment cover, if all of them are repeats.
+
+    Of three lines or more each is in a run: a long one by itself, a short one in its windows.
+    """
+    n = F.size(hashes)
+    whole = F.array(F.struct(F.lit(0).alias("first"), (n - 1).alias("last")))
+    single = F.filter(F.transform(hashes, lambda h, i: F.when(_is_long(h), F.struct(i.alias("first"), i.alias("last")))),
+                      lambda r: r.isNotNull())
+    return F.when(n >= F.when(kind == UNITS, UNIT_WINDOW).otherwise(LINE_WINDOW), whole).when(
+        kind == LINES, single).otherwise(F.array().cast("array<struct<first:int,last:int>>"))
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, ranges``: the places that repeat an earlier run of lines or units, or a long line."""
-    text, none = whole_text(), F.array()
-    kinds = (_whole_lines(let(_hashes(text, CHARS), lambda h: _selected(h, WINDOW))),
-             _whole_lines(let(_long_lines(text), lambda h: _selected(h, 1))),
-             let(_unit_hashes(text), lambda h: _selected(h, UNIT_WINDOW)))
-    found = _repeats(docs, F.concat(*(F.coalesce(k, none) for k in kinds)))
-    return found.withColumn("ranges", _merged(F.col("ranges")))
+    """``doc_id, text_hash, units, lines``: numbers of units and of lines with words that repeat an earlier run,
+    as arrays of ``first, last``, in order and apart from each other."""
+    place = F.struct("doc_id", "text_hash", "offset")
+    segments = written(_segments(docs).withColumns({
+        "h1": F.xxhash64("kind", "hashes"), "h2": F.xxhash64(F.lit(1), "kind", "hashes"),
+        "covered": _covered(F.col("kind"), F.col("hashes"))}), "line-hashes")
+    # a segment that occurred before is a repeat as a whole; its runs are found where it stands first
+    first = written(segments.groupBy("h1", "h2").agg(
+        F.min(place).alias("place"), F.count(F.lit(1)).alias("n"), F.first("kind").alias("kind"),
+        F.first("hashes").alias("hashes")), "line-segments")
+    # the sums are checkpointed, so that the joins that follow can split a hot key
+    often = cut(first.where("n > 1").select("h1", "h2", "place"))
+    copies = (segments.select("doc_id", "text_hash", "kind", "offset", "covered", "h1", "h2").join(often, ["h1", "h2"])
+              .where(~place.eqNullSafe(F.col("place"))).withColumn("r", F.explode("covered")))
+    prints = first.select("h1", F.explode(_prints(F.col("kind"), F.col("hashes"))).alias("print"))
+    met = cut(prints.groupBy("print").count().where("count > 1").select("print"))
+    hits = cut(prints.join(met, "print", "left_semi").groupBy("h1").agg(F.collect_set("print").alias("met")))
+    spot = F.struct("place.doc_id", "place.text_hash", (F.col("place.offset") + F.col("r.first")).alias("first"))
+    runs = (first.drop("n", "h2").join(hits, "h1")
+            .withColumn("r", F.explode(_met_runs(F.col("kind"), F.col("hashes"), F.col("met"))))
+            .select("kind", F.col("r.run").alias("run"), spot.alias("spot"),
+                    (F.col("r.last") - F.col("r.first")).alias("more")))
+    runs = written(runs, "line-runs")
+    earliest = cut(runs.groupBy("run").agg(F.min("spot").alias("earliest"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("run", "earliest"))
+    again = (runs.join(earliest, "run").where(~F.col("spot").eqNullSafe(F.col("earliest")))
+             .select("spot.doc_id", "spot.text_hash", "kind", "spot.first", (F.col("spot.first") + F.col("more")).alias("last")))
+    whole = copies.select("doc_id", "text_hash", "kind", (F.col("offset") + F.col("r.first")).alias("first"),
+                          (F.col("offset") + F.col("r.last")).alias("last"))
+    return _as_lists(_merged(again.unionByName(whole)))
+
+
+def _merged(ranges: DataFrame) -> DataFrame:
+    """Ranges of each text and kind as few that don't overlap."""
+    order = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("first", "last")
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return (ranges.withColumn("opens", F.when(F.col("first") <= before, 0).otherwise(1))
+            .withColumn("island", F.sum("opens").over(order))
+            .groupBy("doc_id", "text_hash", "kind", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")))
+
+
+def _as_lists(ranges: DataFrame) -> DataFrame:
+    def of(kind: int) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("first", "last"))))
+
+    return ranges.groupBy("doc_id", "text_hash").agg(of(UNITS).alias("units"), of(LINES).alias("lines"))
 
 
 def _deduped(docs: DataFrame, window: int, chars: int) -> DataFrame:
@@ -188,28 +320,44 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chars: int = CHARS) -> Da
 def _without_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with the new text, and ``__removed``: the number of lines deleted or cut."""
     gone = repeated_places(docs).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("ranges").alias("__ranges"))
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("units").alias("__units"),
+        F.col("lines").alias("__lines"))
     keyed = docs.withColumn("__key", F.xxhash64(whole_text()))
     joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")), "left")
 
-    def met(first: Column, last: Column) -> Column:
-        return F.filter("__ranges", lambda r: (r["first"] <= last) & (r["last"] >= first))
-
-    def of_line(line: Column, at: Column) -> Column:
-        def rest(near: Column) -> Column:
-            left = F.array_join(F.filter(F.split(line, CUT, -1), lambda unit, i: ~F.exists(
-                near, lambda r: (at * F.lit(PLACES) + i).between(r["first"], r["last"]))), "")
-            return F.when(F.size(near) == 0, F.struct(line.alias("line"), F.lit(0).alias("n"))).otherwise(
-                let(left, lambda x: F.struct(F.when(F.translate(x, SPACES, "") != "", x).alias("line"), F.lit(1).alias("n"))))
-
-        return let(met(at * F.lit(PLACES), at * F.lit(PLACES) + F.lit(PLACES - 1)), rest)
+    def flags(ranges: Column) -> Column:
+        """True from first to last of each range, false before and between; ends with the last range."""
+        return F.flatten(F.transform(ranges, lambda r, i: F.concat(
+            F.array_repeat(F.lit(False), r["first"] - F.coalesce(F.get(ranges, i - 1)["last"], F.lit(-1)) - 1),
+            F.array_repeat(F.lit(True), r["last"] - r["first"] + 1))))
+
+    def of_line(line: Column, units: Column, gone: Column, dead: Column) -> Column:
+        """The line and 0, or what is left of it (null if no word) and 1."""
+        left = F.array_join(F.filter(units, lambda unit, i: ~F.coalesce(F.get(dead, i), F.lit(False))), "")
+        head = F.regexp_extract(line, rf"^[{_BLANK}]*+", 0)
+        return F.when(F.coalesce(gone, F.lit(False)), F.struct(F.lit(None).cast("string").alias("line"), F.lit(1).alias("n"))).when(
+            F.exists(dead, lambda d: d), F.struct(F.when(_has_words(left), F.concat(head, F.rtrim(left))).alias("line"), F.lit(1).alias("n"))
+        ).otherwise(F.struct(line.alias("line"), F.lit(0).alias("n")))
+
+    def of_text(lines: Column) -> Column:
+        units = F.transform(lines, lambda line: F.struct(line.alias("line"), _units(
+            F.regexp_extract_all(line, F.lit(TOKEN_AND_BLANKS), F.lit(0)), lambda unit: F.array_join(unit, ""), blanks=True).alias("units")))
+        return let(units, lambda u: let(F.struct(
+            running_sums(F.transform(u, lambda x: F.size(x["units"]).cast("long"))).alias("units"),
+            running_sums(F.transform(u, lambda x: (F.size(x["units"]) > 0).cast("long"))).alias("lines"),
+            flags(F.col("__units")).alias("dead"), flags(F.col("__lines")).alias("gone")),
+            lambda k: F.transform(u, lambda x, i: of_line(
+                x["line"], x["units"],
+                F.when(F.size(x["units"]) > 0, F.get(k["gone"], (F.get(k["lines"], i) - 1).cast("int"))),
+                F.slice(k["dead"], (F.get(k["units"], i) - F.size(x["units"]) + 1).cast("int"), F.size(x["units"]))))))
 
     # a line of which no word is left is null here and goes
-    new = let(F.transform(_lines(F.col("text")), of_line), lambda lines: F.struct(
+    new = let(let(_lines(F.col("text")), of_text), lambda lines: F.struct(
         F.array_join(lines["line"], "\n").alias("text"),
         F.aggregate(lines["n"], F.lit(0), lambda a, n: a + n).alias("n")))
-    out = joined.withColumn("__new", F.when(F.col("__ranges").isNotNull(), new))
-    text = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.coalesce(F.col("__new.text"), F.col("text")))
+    # a generator, as a filter on the new text would be pushed below and make it twice
+    out = joined.select("*", F.explode(F.array(F.when(F.col("__units").isNotNull(), new))).alias("__new"))
+    text = F.when(F.col("__units").isNull(), F.col("text")).otherwise(F.coalesce(F.col("__new.text"), F.col("text")))
     return out.select(*(text.alias(c) if c == "text" else c for c in docs.columns),
                       F.coalesce("__new.n", F.lit(0)).alias("__removed"))
 
@@ -217,10 +365,12 @@ def _without_passages(docs: DataFrame) -> DataFrame:
 def dedup_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with later repeats deleted wherever they stand in a line, and ``n_removed``.
 
-    Besides the runs of ``dedup_lines`` a run of ``UNIT_WINDOW`` hashes of units
-    counts, one for each started ``UNIT_CHARS`` characters of a unit, and a single
-    line of ``LINE_WORDS`` words or more. ``n_removed`` is the number of lines that went or lost a part. All else is as in
-    ``dedup_lines``.
+    A run is ``UNIT_WINDOW`` units or more (about 18 words), a single line of
+    ``LINE_WORDS`` words or over ``LINE_CHARS`` characters, or ``LINE_WINDOW``
+    lines with words. The first of equal runs stays, as in ``dedup_lines``.
+    Words deleted within a line take the blanks after them along; a line of
+    which no word is left goes. ``n_removed`` is the number of lines that went
+    or lost a part. All else is as in ``dedup_lines``.
     """
     return _without_passages(docs).drop("n_removed").withColumnRenamed("__removed", "n_removed")
 
