@@ -3,6 +3,7 @@ pipeline against brute force."""
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -111,10 +112,25 @@ def test_keep_one(spark, make_docs, prose, odd_docs, clashing):
     ids = sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect())
     groups = {r["component_id"] for r in simhash.simhash_groups(docs).collect()} - {None}
     assert ids == sorted(groups) and {3, 4, 5, 9} & set(ids) == {3, 9}
-    assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 3
+    # rows without an id: one of the empty texts' group has id 100, the others' texts are their own
+    assert kept.columns == docs.columns
+    assert [r["text"] for r in kept.where("doc_id is null").collect()] == ["no id at all"]
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_takes_one_row_of_each_group_whatever_the_ids(spark, make_docs, prose):
+    a, b, c = prose(1, 100), prose(2, 100), prose(3, 100)
+
+    def kept(*rows):
+        return sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in simhash.keep_one(make_docs(rows)).collect())
+
+    assert kept((5, a), (5, b)) == sorted([(False, 5, a), (False, 5, b)])
+    assert kept((3, a), (5, a), (5, b)) == sorted([(False, 3, a), (False, 5, b)])
+    assert kept((None, a), (None, a.upper()), (None, b)) in (
+        sorted([(True, None, a), (True, None, b)]), sorted([(True, None, a.upper()), (True, None, b)]))
+    assert kept((7, c), (7, c), (7, c), (None, c)) == [(False, 7, c)]
+
+
 # line dedup ----------------------------------------------------------------------
 def line_brute(docs, window=3, chars=100):
     """doc_id, text rows -> {(doc_id, text): new text}."""
@@ -174,22 +190,124 @@ def test_winnowing_loses_no_run(spark, make_docs, window):
     assert {(r["doc_id"], r["text"]) for r in got} == {(i, v[0]) for (i, _), v in want.items()}
 
 
-def test_passages_are_found_inside_lines(spark, make_docs, odd_docs, prose, clashing):
-    clauses = [" ".join(prose(900 + i, 9).split()) + "," for i in range(9)]
-    marked, plain = " ".join(clauses), " ".join(prose(950, 120).split())  # with and without marks of clauses
-    one = lambda seed: " ".join(prose(seed, 30).split())
-    rows = [(1, f"{one(1)}. {marked} {one(2)}"), (2, f"{one(3)}. {marked} {one(4)}"), (3, f"x\n{marked}\n{one(5)}"),
-            (4, f"{one(6)} {plain} {one(7)}"), (5, f"{one(8)} {plain} {one(9)}"), (None, None), (6, f"{one(1)[:40]} {one(11)}")]
-    docs = clashing(make_docs(rows).union(odd_docs.where("doc_id >= 4").withColumn("doc_id", F.col("doc_id") + 100)))
-    got = {r["doc_id"]: r for r in line_dedup.dedup_passages(docs).collect()}
-    for i in (1, 4, 6):
-        assert got[i]["text"] == dict(rows)[i] and got[i]["n_removed"] == 0
-    assert got[2]["text"] == f"{one(3)}. {one(4)}" and got[3]["text"] == f"x\n{one(5)}" and got[3]["n_removed"] == 1
-    rest = got[5]["text"]  # but for the units at the ends
-    assert rest.startswith(one(8)) and rest.endswith(one(9)) and len(rest.split()) < 60 + 40
-    assert got[None]["text"] is None and line_dedup.dedup_passages(docs.limit(0)).count() == 0
-    lines = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()}
-    assert all(got[i]["n_removed"] >= n for i, n in lines.items())
+SOLID = re.compile(r"[\u4e00-\u9fff\u3041-\u309f\u30a1-\u30ff\u0e01-\u0e5b]|[^\x20\x09-\x0D\u4e00-\u9fff\u3041-\u309f\u30a1-\u30ff\u0e01-\u0e5b]+")
+
+
+def passages_brute(rows, cut_after):
+    """doc_id -> (new text, lines changed) of ``(doc_id, text)`` rows with different ids.
+
+    ``cut_after``: the pairs of words that a line is cut between.
+    """
+    def units_of(line):
+        tokens, out = [m[0] for m in SOLID.finditer(line)], []
+        for i, w in enumerate(tokens):
+            if not out or (tokens[i - 1], w) in cut_after or len(out[-1]) == line_dedup.UNIT_WORDS:
+                out.append([])
+            out[-1].append(w)
+        return [tuple(u) for u in out]
+
+    seen, result = {}, {}
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = (text or "").split("\n")
+        units = [(n, k, u) for n, line in enumerate(lines) for k, u in enumerate(units_of(line))]
+        solid = [(n, line.strip(" \t\n\x0b\x0c\r")) for n, line in enumerate(lines) if units_of(line)]
+        long = [len(re.split(r"[\x20\x09-\x0D]+", x)) >= line_dedup.LINE_WORDS or len(x) > line_dedup.LINE_CHARS for _, x in solid]
+        dead_units, dead_lines = set(), set()
+        def again(run, at):
+            return seen.setdefault(run, (doc_id, at)) != (doc_id, at)
+        w = line_dedup.UNIT_WINDOW
+        for s in range(len(units) - w + 1):
+            if again(("units", *(u for _, _, u in units[s: s + w])), s):
+                dead_units |= {x[:2] for x in units[s: s + w]}
+        for s, (n, line) in enumerate(solid):
+            if long[s] and again(("line", line), s):
+                dead_lines.add(n)
+        w = line_dedup.LINE_WINDOW
+        for s in range(len(solid) - w + 1):
+            if not all(long[s: s + w]) and again(("lines", *(x for _, x in solid[s: s + w])), s):
+                dead_lines |= {n for n, _ in solid[s: s + w]}
+        new, changed = [], 0
+        for n, line in enumerate(lines):
+            parts = units_of(line)
+            gone = [(n, k) in dead_units for k in range(len(parts))]
+            if n not in dead_lines and not any(gone):
+                new.append(line)
+                continue
+            changed += 1
+            if n not in dead_lines and not all(gone):
+                with_blanks, at = [m[0] for m in re.finditer(rf"(?:{SOLID.pattern})[\x20\x09-\x0D]*", line)], 0
+                left = ""
+                for part, g in zip(parts, gone):
+                    left += "" if g else "".join(with_blanks[at: at + len(part)])
+                    at += len(part)
+                new.append(re.match(r"[\x20\x09-\x0D]*", line)[0] + left.rstrip(" "))
+        result[doc_id] = ("\n".join(new) if changed else text, changed)
+    return result
+
+
+def cut_pairs(spark, texts):
+    """The pairs of neighbouring words that the operator's hash cuts."""
+    pairs = {(a, b) for t in texts for line in (t or "").split("\n")
+             for ws in [[m[0] for m in SOLID.finditer(line)]] for a, b in zip(ws, ws[1:])}
+    rows = spark.createDataFrame(sorted(pairs) or [("a", "b")], "a string, b string")
+    cuts = rows.where(F.pmod(F.xxhash64("a", "b"), F.lit(line_dedup.CUT_ONE_IN)) == 0).collect()
+    return {(r["a"], r["b"]) for r in cuts}
+
+
+def test_passages_match_brute_force(spark, make_docs, odd_docs, prose, clashing):
+    rng = random.Random(4)
+    passages = [" ".join(prose(800 + i, rng.randint(10, 70)).split()) for i in range(8)]
+    rows = []
+    for i in range(60):
+        lines = prose(i, rng.randint(1, 120), per_line=rng.choice([3, 8, 30])).split("\n")
+        for p in rng.sample(passages, rng.randint(0, 3)):
+            n = rng.randrange(len(lines) + 1)
+            if n < len(lines) and rng.random() < 0.6:
+                words = lines[n].split(" ")
+                words.insert(rng.randrange(len(words) + 1), p)
+                lines[n] = "  ".join(words)
+            else:
+                lines.insert(n, p)
+        lines[1:1] = rng.sample(["a", "b c", "footer", "\tindented  line ", "", "  "], rng.randint(0, 5))
+        if i % 6 == 0:
+            lines += ["one", "", "two words", "and three of them"]
+        rows.append((i, "\n".join(lines)))
+    rows += [(70, "日本語の文章" * 30), (71, "前置き" + "日本語の文章" * 30 + "後書き"), (72, "x y " * 400)]
+    docs = make_docs(rows).union(odd_docs.where("doc_id <> 5 and doc_id <> 7").withColumn("doc_id", F.col("doc_id") + 100))
+    plain = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = passages_brute(plain, cut_pairs(spark, [t for _, t in plain]))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup_passages(clashing(docs)).collect()}
+    assert got.keys() == want.keys()
+    for i in got:
+        assert got[i] == want[i], i
+    assert sum(n > 0 for _, n in got.values()) > 20
+    assert line_dedup.dedup_passages(docs.limit(0)).count() == 0
+
+
+SCRIPTS = {"latin": "abdeiklmnorstu", "cyrillic": "абвгдеиклмнорсту", "greek": "αβγδεικλμνορστυ", "arabic": "ابتثجحدرزسشعكلمن",
+           "hindi": "कखगघचजटडतदनपबमयरलस", "hebrew": "אבגדהוזחטיכלמנס", "armenian": "աբգդեզէըթժիլխծկ"}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_passages_inside_lines_go_in_any_script(spark, make_docs, script):
+    rng = random.Random(script)
+
+    def some(n):
+        return " ".join("".join(rng.choices(SCRIPTS[script], k=rng.randint(2, 8))) for _ in range(n))
+
+    passage = some(60)
+    ends = [some(30) for _ in range(8)]
+    rows = [(i, f"{ends[2 * i]} {passage} {ends[2 * i + 1]}") for i in range(4)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_passages(make_docs(rows)).collect()}
+    assert got[0] == rows[0][1]
+    for i in (1, 2, 3):  # what stays of the passage is glued to other words
+        assert len(got[i].split()) < 60 + 24 and got[i].startswith(ends[2 * i]) and got[i].endswith(ends[2 * i + 1])
+
+
+def test_passages_of_very_long_texts(spark, make_docs, prose):
+    text = " ".join(prose(5, 30_000).split())  # one line
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_passages(make_docs([(1, text), (2, "new start " + text), (3, text)])).collect()}
+    assert got[1] == text and got[3] == "" and len(got[2].split()) < 20
 
 
 def test_single_long_lines_are_repeats(spark, make_docs, prose):
@@ -322,6 +440,45 @@ def test_mined_rules_match_brute_force(spark):
     assert url_rules.mine_rules(df.limit(3)).count() == 0
 
 
+def test_every_bad_combination_is_covered_by_a_rule(spark):
+    rng = random.Random(12)
+    parts = [["blog", "m", "shop"], ["spam", "fine", "news"], ["win", "read", "get"], ["a", "b"]]
+    urls = ["https://{}.{}.org/{}/{}".format(*(rng.choice(p) for p in parts)) for _ in range(500)]
+    labelled = [(u, ("spam" in u and "win" in u) or ("shop" in u and "/b" in u and rng.random() < 0.93)) for u in urls]
+    df = spark.createDataFrame(labelled, "url string, bad boolean")
+    held = {r["url"]: frozenset(r["t"]) for r in df.select("url", url_rules.url_tokens(F.col("url")).alias("t")).distinct().collect()}
+    rules = [(frozenset(r["tokens"]), r["confidence"]) for r in url_rules.mine_rules(df, min_count=6).collect()]
+    tokens = sorted(set().union(*held.values()))
+    covered = 0
+    for size in range(1, 5):
+        for combination in itertools.combinations(tokens, size):
+            have = [b for u, b in labelled if held[u] >= set(combination)]
+            if sum(have) >= 6 and sum(have) / len(have) >= 0.8:
+                closure = frozenset.intersection(*(held[u] for u, _ in labelled if held[u] >= set(combination)))
+                assert any(t <= closure and c >= sum(have) / len(have) - 1e-12 for t, c in rules), combination
+                covered += 1
+    assert covered > 20 and rules
+
+
+def test_a_template_of_many_fixed_parts_is_one_item(spark):
+    template = "https://x.bad.org/" + "/".join(f"part{chr(97 + i)}" for i in range(25)) + "/page-{}?q=1"
+    rows = [(template.format(i), True) for i in range(60)] + [(f"https://site{i % 9}.org/read/{i}", False) for i in range(600)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = url_rules.mine_rules(df).collect()
+    assert len(rules) == 1 and len(rules[0]["tokens"]) == 29 and rules[0]["support"] == 60
+    pages = spark.createDataFrame([(1, template.format(999)), (2, "https://x.bad.org/parta"), (3, "https://site1.org/read/5")], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages, df, rules=()).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_support_is_a_count_at_every_size(spark):
+    few = [(f"https://bad{i}.x.org/casino/{i}", True) for i in range(30)]
+    for total in (40, 20_000):
+        df = spark.createDataFrame(few, "url string, bad boolean").unionByName(spark.range(total).select(
+            F.concat(F.lit("https://ok.org/read/"), "id").alias("url"), F.lit(False).alias("bad")))
+        assert any("path:casino" in r["tokens"] and r["support"] == 30 for r in url_rules.mine_rules(df).collect()), total
+
+
 # secrets ---------------------------------------------------------------------------------
 KEY = r"[A-Za-z0-9+/=_-]"
 
@@ -396,6 +553,12 @@ def test_keys_of_letters_are_secrets(spark, make_docs):
     assert all(got[50 + i]["n_entropy"] == 0 for i in range(len(words)))
 
 
+def test_very_many_joined_words_are_no_secret(spark, make_docs):
+    texts = ["-".join(["ab"] * 200_000) + "-12", "Abc" * 200_000 + "1", "aB1" * 70_000, "_".join(["A", "b", "Cd", "9"] * 50_000) + "_0"]
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(make_docs(list(enumerate(texts)))).collect()}
+    assert [got[i]["n_entropy"] for i in range(4)] == [0, 0, 0, 0]
+
+
 def test_running_sums_in_blocks(spark):
     values = list(range(1, 1000))
     got = spark.range(1).select(spans.running_sums(F.lit(values)).alias("s"), spans.running_sums(
@@ -444,6 +607,16 @@ def test_surrogates_keep_type_format_and_coreference(spark, make_docs, clashing,
     assert surrogates.replace_pii(docs.limit(0), "k").count() == 0
 
 
+def test_surrogates_in_texts_of_very_many_labels_or_mentions(spark, make_docs):
+    labels = "x@" + "a." * 200_000 + "com"
+    many = " ".join(f"u{i}@mail{i % 7}.org" for i in range(50_000))
+    got = {r["doc_id"]: r for r in surrogates.replace_pii(make_docs([(1, labels), (2, many), (3, "ab@c.d.com. x@a.com.1")]), "key").collect()}
+    assert got[1]["text"] == labels and got[1]["n_entities"] == 0
+    assert got[2]["n_entities"] == 50_000 and "@mail" not in got[2]["text"]
+    assert len(set(got[2]["text"].split())) == 50_000
+    assert got[3]["n_entities"] == 2
+
+
 def test_bare_names_follow_their_titled_mention(spark, make_docs):
     rows = [(1, "Mrs. Anna Kowalska came. Anna Kowalska said so; Kowalska's anna left."), (2, "Anna Kowalska has no title here."),
             (3, "Dr. Lee and Prof. Jan Novak met. Lee spoke to Novak. Write to Lee@x.com")]
@@ -455,6 +628,22 @@ def test_bare_names_follow_their_titled_mention(spark, make_docs):
     assert m and m[1] == m[4] and m[3] == m[5] and not {"Lee", "Jan", "Novak"} & set(m.groups())
 
 
+def test_names_in_capitals_with_apostrophes_and_hyphens(spark, make_docs):
+    rows = [(1, "MR. JOHN SMITH and Mrs Smith-Jones met. Mrs. O'Brien left; O'Brien's dog and JOHN stayed, Smith too.")]
+    got = surrogates.replace_pii(make_docs(rows), "k").first()["text"]
+    m = re.fullmatch(r"MR\. ([A-Z]+ARD) ([A-Z]+SEN) and Mrs ([A-Z][a-z]+sen)-([A-Z][a-z]+sen) met\. Mrs\. ([A-Z][a-z]+sen) left; "
+                     r"(\w+)'s dog and ([A-Z]+) stayed, (\w+) too\.", got)
+    assert m, got
+    assert m[2].lower() == m[3].lower() == m[8].lower() and m[5] == m[6] and m[1] == m[7]
+    assert not {"JOHN", "SMITH", "Smith", "Jones", "Brien"} & set(re.findall(r"\w+", got))
+
+
+def test_phone_surrogates_are_phones(spark):
+    found = spark.createDataFrame([("phone", f"{2000000000 + 7919 * i}") for i in range(300)], "type string, value string")
+    drawn = [r["surrogate"] for r in surrogates.assign_surrogates(found, "key").collect()]
+    assert all(re.fullmatch(r"[2-9]\d\d[2-9]\d{6}", d) for d in drawn) and len(set(drawn)) == 300
+
+
 def test_surrogates_stay_distinct_when_the_space_is_small(spark):
     values = [f"{c}@a.com" for c in "abcdefghijklmnopqrstuvwxyz"] + ["mail@b.com"] * 3
     found = spark.createDataFrame([("email", v) for v in values] + [("ssn", "123456789")], "type string, value string")
