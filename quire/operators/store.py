@@ -44,17 +44,22 @@ def to_store_rows(records: DataFrame, cfg: CurationConfig) -> DataFrame:
     return records.withColumns(cols)
 
 
-def check_rows(rows: DataFrame):
-    """Split store rows into (valid, rejected); rejected rows carry
-    ``reject_reason`` (the first failed check). One bad row never stops the
-    batch."""
+def flag_rows(rows: DataFrame) -> DataFrame:
+    """Store rows with ``reject_reason``: the first failed check, null for valid rows."""
     h, s, t, u = F.col("hash_code"), F.col("status"), F.col("tag"), F.col("article_url")
     reason = F.coalesce(
         F.when(h.isNull() | (h == ""), F.lit("missing_hash")),
         F.when(u.isNull(), F.lit("missing_url")),
         F.when(s.isNull() | ~s.isin(*STATUSES), F.lit("bad_status")),
         F.when(t.isNotNull() & ~t.isin(*TAGS), F.lit("bad_tag")))
-    flagged = rows.withColumn("reject_reason", reason)
+    return rows.withColumn("reject_reason", reason)
+
+
+def check_rows(rows: DataFrame):
+    """Split store rows into (valid, rejected); rejected rows carry
+    ``reject_reason`` (the first failed check). One bad row never stops the
+    batch."""
+    flagged = flag_rows(rows)
     return (flagged.where(F.col("reject_reason").isNull()).drop("reject_reason"),
             flagged.where(F.col("reject_reason").isNotNull()))
 

@@ -2,7 +2,7 @@
 
     <store>/articles/run_id=<id>/     facts, one partition per run
     <store>/article_hashes/run_id=<id>/prefix=<xx>/  (hash_code, unique_id), narrow, for dedupe,
-                                      by the first digits of the hash
+                                      by the first digits of the hash; those of a micro-batch have none
     <store>/answers/run_id=<id>/prefix=<xx>/  (hash_code, node, response, error) model answers, likewise
     <store>/status_changes/run_id=<id>/  (unique_id, new_status, changed_at, seq)
     <store>/tag_changes/run_id=<id>/     (unique_id, tag, is_clear, changed_at, seq)
@@ -45,9 +45,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def write_partition(df: DataFrame, path: str, part: str = "run_id") -> None:
+def write_partition(df: DataFrame, path: str, *parts: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(path))
+     .partitionBy(*(parts or ("run_id",))).parquet(path))
 
 
 HASHES_SCHEMA = "hash_code string, unique_id string, run_id string, prefix string"
@@ -106,6 +106,14 @@ def write_hashes(df: DataFrame, store: str) -> None:
     write_by_prefix(df, f"{store}/article_hashes")
 
 
+def write_batch_hashes(df: DataFrame, store: str) -> None:
+    """Stored hashes of a micro-batch: its files are dealt by no prefix and read always.
+
+    A batch of some thousand hashes meets every prefix anyway, and a folder for
+    each of them would be listed again by all later batches."""
+    write_partition(df.withColumn(PREFIX, F.lit(None).cast("string")), f"{store}/article_hashes", "run_id", PREFIX)
+
+
 def write_answers(answers: DataFrame, store: str, run_id: str) -> None:
     """Model answers (hash_code, node, response, error) of one run."""
     write_by_prefix(answers.select("hash_code", "node", "response", "error", F.lit(run_id).alias("run_id")),

@@ -689,8 +689,11 @@ def stream_ingest(spark, d):
     seed = fx.store(spark, d).select("hash_code", "unique_id", F.lit("seed").alias("run_id"))
     layout.write_hashes(seed, f"{base}/store")
     _as_files(fx.scraped(spark, d), F.col("doc_id"), f"{base}/in")
-    ingest_stream(spark, f"{base}/in/part=*", fx.responses(spark, d), f"{base}/store",
-                  f"{base}/ckpt", CFG, files_per_batch=4)
+    # the answers are a table, as a model's are: not made again for each batch
+    answers = fx.responses(spark, d)
+    answers.write.parquet(f"{base}/answers")
+    answers = spark.read.schema(answers.schema).parquet(f"{base}/answers")
+    ingest_stream(spark, f"{base}/in/part=*", answers, f"{base}/store", f"{base}/ckpt", CFG, files_per_batch=4)
     stored = spark.read.parquet(f"{base}/store/articles").select(
         "hash_code", "status", F.lit(None).cast("string").alias("reject_reason"))
     rejects = layout.read_or_empty(spark, f"{base}/store/rejects", layout.REJECTS_SCHEMA)
