@@ -5,11 +5,17 @@ which near vectors meet. How many bits and bands follows from the number of
 vectors, the threshold and the recall that is asked for. Every link is checked
 by its exact cosine.
 
-A bucket is never gathered or paired whole. Equal vectors count once. Each
-member is first held against the bucket's first vector; those that are near it
-are linked to it, which keeps the class, and only the rest is compared with all
-members, block by block. Blocks give a spanning forest of their links, never all
-pairs, and components of the links are the classes.
+Vectors meet as 16-bit numbers, dealt once for each band and not stored. Their
+products tell nearly all pairs for sure, as rounding moves a cosine by a known
+bound at most; the few within that bound of the threshold are checked on the
+vectors themselves.
+
+Equal vectors count once. A bucket of up to ``BLOCK`` members is compared where
+it lies. A larger one is never gathered or paired whole: each member is first
+held against the bucket's first vector; those that are near it are linked to it,
+which keeps the class, and only the rest is compared with all members, block by
+block. Comparing gives a spanning forest of the links, never all pairs, and
+components of the links are the classes.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ THRESHOLD = 0.9
 RECALL = 0.999  #: of a pair at the threshold; nearer pairs are found more surely
 BLOCK = 512  #: vectors compared at once
 SEED = 20260101
+SHORT = 32767  #: what 1 is as a 16-bit number
 
 
 def band_plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
@@ -68,9 +75,24 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str, size: int) ->
             .mapInArrow(run, f"id {kind}, unit array<double>"))
 
 
-def _banded(distinct: DataFrame, size: int, bits: int, bands: int) -> DataFrame:
-    """``band, code, id, unit``: a row for each band of each vector."""
+def _shorts(column: pa.Array, size: int) -> np.ndarray:
+    """The rounded unit vectors of a binary column; products of their rows are cosines."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    raw = np.frombuffer(column.buffers()[2], np.int16, (ends[-1] - ends[0]) // 2, ends[0])
+    return raw.reshape(len(column), size).astype(np.float32) / SHORT
+
+
+def rounding(size: int) -> float:
+    """How far a product of rounded unit vectors is from their cosine, at most: either moves by half a
+    step an entry, and sums of 32-bit numbers by their own rounding."""
+    moved = 0.5 / SHORT * math.sqrt(size)
+    return moved * (2 + moved) + (size + 2) * 2.0 ** -23
+
+
+def _banded(distinct: DataFrame, size: int, bits: int, bands: int, vectors: bool = True) -> DataFrame:
+    """``band, code, id, short``: a row for each band of each vector (only ``band, code`` without ``vectors``)."""
     kind = distinct.schema["id"].dataType.simpleString()
+    names = ["band", "code", "id", "short"][:4 if vectors else 2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(SEED).standard_normal((size, bits * bands))
@@ -80,33 +102,43 @@ def _banded(distinct: DataFrame, size: int, bits: int, bands: int) -> DataFrame:
                 continue
             m = _matrix(batch.column(1))
             codes = ((m @ planes >= 0).reshape(len(m), bands, bits) * weights).sum(axis=2)
+            short = np.rint(m * SHORT).astype(np.int16)
+            columns = [batch.column(0), pa.array([row.tobytes() for row in short], pa.binary())] if vectors else []
             for band in range(bands):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(m), band, np.int32)), pa.array(codes[:, band]), *batch.columns],
-                    ["band", "code", "id", "unit"])
+                    [pa.array(np.full(len(m), band, np.int32)), pa.array(codes[:, band]), *columns], names)
 
-    return distinct.select("id", "unit").mapInArrow(run, f"band int, code long, id {kind}, unit array<double>")
+    return distinct.select("id", "unit").mapInArrow(
+        run, "band int, code long" + (f", id {kind}, short binary" if vectors else ""))
 
 
-def _with_first(members: DataFrame, threshold: float) -> DataFrame:
-    """``members`` (with ``first``, the bucket's first unit vector) with ``near``: whether it is that near."""
+def _with_first(members: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``members`` (with ``first``, the bucket's first vector) with ``near``: whether it is that near for sure."""
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema if f.name != "first")
+    least = threshold + rounding(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [c for c, n in zip(batch.columns, batch.schema.names) if n != "first"]
             near = pa.array([], pa.bool_())
             if len(columns[0]):
-                near = pa.array((_matrix(batch.column("unit")) * _matrix(batch.column("first"))).sum(axis=1) >= threshold)
+                near = pa.array((_shorts(batch.column("short"), size) * _shorts(batch.column("first"), size)).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([*columns, near], [n for n in batch.schema.names if n != "first"] + ["near"])
 
     return members.mapInArrow(run, fields + ", near boolean")
 
 
-def block_forest(left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """Pairs (row of left, row of right) that join what is linked across the two blocks, and no more."""
-    near = np.argwhere(left @ right.T >= threshold)
-    root = list(range(len(left) + len(right)))
+def block_forest(left: np.ndarray, right: np.ndarray, threshold: float, slack: float = 0.0,
+                 same: bool = False) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Pairs (row of left, row of right) that join what is linked across the two blocks, and no more; and
+    those within ``slack`` of the threshold that would join more. ``same``: both are one block."""
+    cosines = left @ right.T
+    pairs = np.argwhere(cosines >= threshold - slack)
+    shift = 0 if same else len(left)
+    if same:
+        pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    sure = cosines[pairs[:, 0], pairs[:, 1]] >= threshold + slack
+    root = list(range(len(left) + (0 if same else len(right))))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -115,46 +147,114 @@ def block_forest(left: np.ndarray, right: np.ndarray, threshold: float) -> list[
         return x
 
     out = []
-    for a, b in near.tolist():
-        x, y = find(a), find(len(left) + b)
+    for a, b in pairs[sure].tolist():
+        x, y = find(a), find(shift + b)
         if x != y:
             root[x] = y
             out.append((a, b))
-    return out
+    return out, [(a, b) for a, b in pairs[~sure].tolist() if find(a) != find(shift + b)]
+
+
+def _links(ids: tuple, found: tuple) -> pa.RecordBatch:
+    """``a, b, sure`` of the pairs found between the rows of ``ids``."""
+    pairs = np.array([*found[0], *found[1]], dtype=np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays(
+        [ids[0].take(pa.array(pairs[:, 0])), ids[1].take(pa.array(pairs[:, 1])),
+         pa.array(np.arange(len(pairs)) < len(found[0]))], ["a", "b", "sure"])
+
+
+def _small_buckets(rows: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``a, b, sure`` within buckets; rows of a bucket stand together in one task."""
+    slack = rounding(size)
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def compare(run_of: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        band, code = run_of.column("band").to_numpy(), run_of.column("code").to_numpy()
+        cuts = np.flatnonzero((np.diff(band) != 0) | (np.diff(code) != 0)) + 1
+        starts, ends = np.append(0, cuts), np.append(cuts, len(band))
+        m, first, second = _shorts(run_of.column("short"), size), [], []
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            if end - start > 1:
+                for out, pairs in zip((first, second), block_forest(m[start:end], m[start:end], threshold, slack, same=True)):
+                    out.extend((start + a, start + b) for a, b in pairs)
+        if first or second:
+            yield _links((run_of.column("id"),) * 2, (first, second))
 
-
-def near_links(distinct: DataFrame, size: int, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """``a, b``: links whose components are the classes of ``id, unit`` rows (different vectors)."""
-    bits, bands = band_plan(distinct.count(), threshold, recall)
-    rows = _written(_banded(distinct, size, bits, bands), "semantic-bands")
-    bucket = ["band", "code"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last bucket of a batch may go on in the next
+        for batch in batches:
+            if not len(batch.column(0)):
+                continue
+            if held is not None:
+                batch = pa.concat_batches([held, batch])
+            band, code = batch.column("band").to_numpy(), batch.column("code").to_numpy()
+            last = len(band) - int(np.argmin(np.append(((band == band[-1]) & (code == code[-1]))[::-1], False)))
+            yield from compare(batch.slice(0, last)) if last else ()
+            held = batch.slice(last)
+        if held is not None:
+            yield from compare(held)
+
+    dealt = rows.repartition("band", "code").sortWithinPartitions("band", "code")
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}, sure boolean")
+
+
+def _large_buckets(rows: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``a, b, sure`` within buckets of ``n`` rows, dealt by blocks."""
+    bucket, slack = ["band", "code"], rounding(size)
+    kind = rows.schema["id"].dataType.simpleString()
+    rows = _written(rows, "semantic-large")
     # one row a bucket; checkpointed, so that the join can split a bucket of very many rows
-    firsts = cut(rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "unit")).alias("f"))
-                 .where("n > 1").select(*bucket, "n", F.col("f.id").alias("first_id"), F.col("f.unit").alias("first")))
-    members = _written(_with_first(rows.join(firsts, bucket), threshold), "semantic-members")
-    to_first = members.where("near and id <> first_id").select(F.col("id").alias("a"), F.col("first_id").alias("b"))
+    firsts = cut(rows.groupBy(bucket).agg(F.min(F.struct("id", "short")).alias("f"))
+                 .select(*bucket, F.col("f.id").alias("first_id"), F.col("f.short").alias("first")))
+    members = _written(_with_first(rows.join(firsts, bucket), size, threshold), "semantic-members")
+    to_first = members.where("near and id <> first_id").select(F.col("id").alias("a"), F.col("first_id").alias("b"),
+                                                               F.lit(True).alias("sure"))
 
     def blocks(some: DataFrame, name: str) -> DataFrame:
         block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")
-        return some.groupBy(*bucket, block).agg(F.collect_list(F.struct("id", "unit")).alias(name)).drop("block")
+        return some.groupBy(*bucket, block).agg(F.collect_list(F.struct("id", "short")).alias(name)).drop("block")
 
     pairs = cut(blocks(members.where("not near"), "rest")).join(cut(blocks(members, "all")), bucket).select("rest", "all")
-    kind = distinct.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
             for rest, every in zip(batch.column(0), batch.column(1)):
                 rest, every = rest.values, every.values
-                ids = rest.field("id").to_pylist(), every.field("id").to_pylist()
-                for i, j in block_forest(_matrix(rest.field("unit")), _matrix(every.field("unit")), threshold):
-                    if ids[0][i] != ids[1][j]:
-                        a.append(ids[0][i])
-                        b.append(ids[1][j])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return to_first.unionByName(pairs.mapInArrow(run, f"a {kind}, b {kind}")).distinct()
+                found = block_forest(_shorts(rest.field("short"), size), _shorts(every.field("short"), size), threshold, slack)
+                if found[0] or found[1]:
+                    yield _links((rest.field("id"), every.field("id")), found)
+
+    return to_first.unionByName(pairs.mapInArrow(run, f"a {kind}, b {kind}, sure boolean")).where("a <> b")
+
+
+def _exact(pairs: DataFrame, distinct: DataFrame, threshold: float) -> DataFrame:
+    """The ``a, b`` whose vectors are that near."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
+    for s in "ab":
+        pairs = pairs.join(distinct.select(F.col("id").alias(s), F.col("unit").alias(f"unit_{s}")), s)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch.column(0)):
+                near = (_matrix(batch.column(2)) * _matrix(batch.column(3))).sum(axis=1) >= threshold
+                yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return pairs.select("a", "b", "unit_a", "unit_b").mapInArrow(run, fields)
+
+
+def near_links(distinct: DataFrame, size: int, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """``a, b``: links whose components are the classes of ``id, unit`` rows (different vectors)."""
+    bits, bands = band_plan(distinct.count(), threshold, recall)
+    bucket = ["band", "code"]
+    large = _written(_banded(distinct, size, bits, bands, vectors=False).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") > BLOCK), "semantic-large-buckets")
+    rows = _banded(distinct, size, bits, bands)
+    found = _small_buckets(rows.join(large, bucket, "left_anti"), size, threshold).distinct()
+    if not large.isEmpty():
+        found = found.unionByName(_large_buckets(rows.join(large, bucket), size, threshold))
+    found = _written(found, "semantic-links")
+    unsure = found.where("not sure").select("a", "b").distinct()
+    return found.where("sure").select("a", "b").unionByName(_exact(unsure, distinct, threshold)).distinct()
 
 
 def semantic_classes(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
