@@ -102,7 +102,10 @@ PULL_SCHEMA = "page bigint, page_ok boolean, pos bigint, unique_id_cell string,
 def syncback_stream(spark: SparkSession, pull_dir: str, store_dir: str, checkpoint: str,
                     changed_at: str, files_per_batch: int = 1):
     """``changed_at`` is when the editors' changes count as made. A new checkpoint
-    is a new pull, whose changes stand beside those of earlier ones."""
+    is a new pull, whose changes stand beside those of earlier ones.
+    ``files_per_batch``: at least so many files a micro-batch (see ``batch_files``)."""
+    files_per_batch = batch_files(spark, pull_dir, files_per_batch)
+
     def sync(df: DataFrame, bid: int) -> None:
         pull = f"sync_{stream_id(spark, checkpoint)}"
         run_syncback(df.sparkSession, df, store_dir, changed_at, f"{pull}_b{bid:06d}", pull)
