@@ -14,7 +14,10 @@ padding.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
+import string
 import zlib
 from array import array
 from collections import deque
@@ -22,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +35,14 @@ EOS_ID = 1  #: closes each document
 MOST_CLASSES = 64  #: documents no longer than capacity / 64 are one class, of 64 in a bin
 LEAST_PIECE = 16  #: a gap under this stays as padding
 HELD_SEQUENCES = 16  #: ids that wait to fill gaps, and gaps that wait for ids, in sequences at most
-MEMO_WORDS = 500_000  #: words whose ids a task remembers at a time
-WORDS_AT_ONCE = 1000  #: new words tokenized as one text
-BYTES_AT_ONCE = 1 << 22  #: text whose words are learned at once, about
+MEMO_WORDS = 1_000_000  #: words whose ids a worker process remembers at a time
+WORDS_AT_ONCE = 1000  #: words tokenized in one call
+BYTES_AT_ONCE = 1 << 23  #: text whose words are learned at once, about
 ROWS_PER_BATCH = 20_000
 TASK_BITS = 40  #: a task numbers its sequences from partition << 40
+#: letters up to U+012F, which composition leaves as they are
+PLAIN_LETTERS = "".join(c for c in map(chr, range(0x130)) if c.isalpha())
+PLAIN_WORD = re.compile(f"([{PLAIN_LETTERS}]+)([{re.escape(string.punctuation)}]*)")
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -54,68 +61,86 @@ class WordIds:
     """Ids of a space-free word, as little-endian 32-bit bytes, kept per word.
 
     The tokenizer drops white space and treats each word by itself, so a text's
-    ids are its words' ids in order. New words of Latin letters are tokenized
-    many at a time: the ids that end a word tell them apart. A final stop or
-    comma is a token run of its own.
+    ids are its words' ids in order. A word of Latin letters, but for ASCII
+    marks at its end, goes to the model by itself: lower-cased it is one token
+    run, the marks are another. That holds where ``simple`` finds it of the
+    tokenizer; other words are tokenized in full.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.tokenize = tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
-        suffix = tokenizer.model.end_of_word_suffix or ""
-        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
-        self.ends[[i for t, i in tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        self.letters = {b: c for b, c in byte_letters().items() if b > 0x7F}
+        self.plain = PLAIN_WORD.fullmatch if self.simple() else lambda text: None
+
+    def simple(self) -> bool:
+        """Whether plain letters reach the model as one run of byte letters, and marks after them as another."""
+        pre, normal = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
+        if not pre or not normal:
+            return False
+        small = PLAIN_LETTERS.lower()
+        return (normal.normalize_str(PLAIN_LETTERS + string.punctuation) == small + string.punctuation
+                and [run for run, _ in pre.pre_tokenize_str(small + string.punctuation)]
+                == [self.lettered(small), string.punctuation])
+
+    def lettered(self, text: str) -> str:
+        return text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[bytes]) -> None:
-        """Ids of all new ones of ``words``."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > MEMO_WORDS:
-            self.known, new = {}, words
-        plain: set[bytes] = set()
-        stopped, other = [], []
-        for word in new:
-            if word.isalpha():  # bytes: A-Z and a-z only, and those are lower-cased
-                plain.add(word)
-                continue
-            text = word.decode()
-            if self.plain(text):
-                plain.add(word)
-            elif text[-1] in ".," and self.plain(text[:-1]):
-                plain.update((word[:-1],) if word[:-1] not in self.known else ())
-                stopped.append(word)
-            else:
+    def learn(self, words: list[bytes]) -> None:
+        """Ids of all new ones of ``words``, which differ."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > MEMO_WORDS:  # those at hand are likely to come again
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        runs: dict[str, bytes] = {}
+        marks: dict[str, bytes] = {"": b""}
+        other = []
+        for word, text in zip(new, b" ".join(new).decode().split(" ")):
+            found = self.plain(text)
+            if not found:
                 other.append(word)
-        latin = list(plain)
-        for at in range(0, len(latin), WORDS_AT_ONCE):
-            part = latin[at: at + WORDS_AT_ONCE]
-            ids = self.encode([b" ".join(part).decode()])[0]
-            last = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 4).tolist()
-            if len(last) == len(part) and last[-1] == len(ids):
-                self.known.update((w, ids[a:b]) for w, a, b in zip(part, [0, *last], last))
-            else:
-                self.known.update(zip(part, self.encode([w.decode() for w in part])))
+                continue
+            run, tail = found.groups()
+            ids = runs.get(run)
+            if ids is None:
+                small = self.lettered(run if run.isascii() else run.lower())
+                ids = runs[run] = self.known.get(run.encode()) or array("I", [t.id for t in self.tokenize(small)]).tobytes()
+            if tail not in marks:
+                marks[tail] = self.encode([tail])[0]
+            self.known[word] = ids + marks[tail]
         for at in range(0, len(other), WORDS_AT_ONCE):
             part = other[at: at + WORDS_AT_ONCE]
             self.known.update(zip(part, self.encode([w.decode() for w in part])))
-        marks = {m: self.encode([m.decode()])[0] for m in (b".", b",")} if stopped else {}
-        self.known.update((word, self.known[word[:-1]] + marks[word[-1:]]) for word in stopped)
 
-    @staticmethod
-    def plain(text: str) -> bool:
-        """Lower-case Latin letters, all in composed form."""
-        return text.isalpha() and text.islower() and text == text.lower() and max(text) < "İ"
+
+@functools.lru_cache(1)
+def words_of(tokenizer_file: str, changed: float) -> WordIds:
+    """One for all tasks that a worker process runs, as long as the file stays the same."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
+
+    return WordIds(Tokenizer.from_file(tokenizer_file))
 
 
 def document_ids(texts: list[bytes | None], words: WordIds) -> Iterator[bytes]:
     """Ids of each UTF-8 text (null: none) as bytes, without the closing one."""
     # a text with "<|" may hold special tokens, which are matched before anything else
-    split = [None if b"<|" in (t or b"") else (t or b"").lower().split() for t in texts]
-    words.learn(set().union(*(s for s in split if s)))
-    for text, parts in zip(texts, split):
-        yield words.encode([text.decode()])[0] if parts is None else b"".join(map(words.known.__getitem__, parts))
+    special = {at: text for at, text in enumerate(texts) if text and b"<|" in text}
+    others = pa.array([b"" if at in special else text or b"" for at, text in enumerate(texts)], pa.large_binary())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(others.view(pa.large_string())))
+    coded = split.values.dictionary_encode()
+    each = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+    different = pc.binary_join(each, pa.scalar(" ", pa.large_string()))[0].as_buffer().to_pybytes().split(b" ")
+    words.learn(different)
+    ids = pa.array(list(map(words.known.__getitem__, different)), pa.large_binary()).take(coded.indices)
+    _, ends, data = ids.buffers()
+    held = memoryview(data or b"")
+    at = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()].tolist()
+    for i, (start, end) in enumerate(zip(at, at[1:])):
+        yield words.encode([special[i].decode()])[0] if i in special else bytes(held[start:end])
 
 
 def harmonic_class(length: int, capacity: int) -> int:
@@ -255,10 +280,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, eos_id:
         raise ValueError("capacity must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        words = WordIds(Tokenizer.from_file(tokenizer_file))
+        words = words_of(tokenizer_file, os.path.getmtime(tokenizer_file))
         rows = ((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column(0), b.column(1)))
         first = TaskContext.get().partitionId() << TASK_BITS
         held: list[tuple] = []

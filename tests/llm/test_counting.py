@@ -209,6 +209,38 @@ def test_byte_letters():
     assert packing.byte_letters()[0x41] == "A" and sorted(packing.byte_letters()) == list(range(256))
 
 
+@pytest.fixture()
+def fresh_words():
+    from tokenizers import Tokenizer
+    return packing.WordIds(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_packing_sends_only_odd_words_through_the_whole_tokenizer(fresh_words):
+    tokenizer, sent, encode = fresh_words.tokenizer, [], fresh_words.encode
+    fresh_words.encode = lambda texts: sent.extend(texts) or encode(texts)
+    texts = ["Übung macht&&& den Meister&&&, ÉTÉ!! été. a", "", None, " Don't  K9 ªµº macht&&&\n"]
+    for text, ids in zip(texts, packing.document_ids([t and t.encode() for t in texts], fresh_words)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert sorted(sent) == ["", "!!", "&&&", "&&&,", ".", "don't", "k9"]
+
+
+def test_packing_letters_and_marks_like_the_tokenizer(fresh_words):
+    letters = [chr(c) for c in range(33, 0x2200)]
+    texts = [form.format(c) for c in letters for form in ("{}", "a{}.", "É{}b&", "x.{}'")]
+    expected = fresh_words.encode(texts)
+    assert list(packing.document_ids([t.encode() for t in texts], fresh_words)) == expected
+
+
+def test_packing_words_stay_known_between_tasks(monkeypatch, fresh_words):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.words_of(path, 1.0) is packing.words_of(path, 1.0)
+    assert packing.words_of(path, 1.0) is not packing.words_of(path, 2.0)  # another file by then
+    monkeypatch.setattr(packing, "MEMO_WORDS", 3)
+    list(packing.document_ids([b"one two three"], fresh_words))
+    list(packing.document_ids([b"two four five"], fresh_words))
+    assert set(fresh_words.known) == {b"two", b"four", b"five"}
+
+
 def test_packing_odd_texts(spark, odd_docs, make_docs, clashing):
     odd = {20: "<|startoftext|> Don't STOP. <|ENDOFTEXT|>, ok", 21: "ÀÉÎ Ünïcode, İstanbul ſtraße ΑΣ K", 22: "été. ǆ ﬁn",
            23: "word.. a.b, c,. 'S 'll", 24: "İ. ı, ß."}
