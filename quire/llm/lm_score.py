@@ -46,11 +46,25 @@ def micro_log(count: Column) -> Column:
     return F.floor(F.log(F.greatest(count, F.lit(1)).cast("double")) * MICRO + 0.5).cast("long")
 
 
+def _tokens(text_col: str) -> Column:
+    """The start mark and the words."""
+    return F.concat(F.array(F.lit(START)), lm_words(whole_text(text_col)))
+
+
 def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, fold, h``: the hashes of the start mark and the words of each row."""
-    tokens = F.concat(F.array(F.lit(START)), lm_words(whole_text(text_col)))
     return docs.select(F.col(id_col).alias("doc_id"), fold_of(F.col(id_col)).alias("fold"),
-                       F.transform(tokens, lambda w: F.xxhash64(w)).alias("h"))
+                       F.transform(_tokens(text_col), lambda w: F.xxhash64(w)).alias("h"))
+
+
+def word_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``fold, h`` of each start mark and word.
+
+    The tokens are exploded as an expression: of a column, the optimizer would
+    ask whether it is empty first, and split each text twice.
+    """
+    rows = docs.select(fold_of(F.col(id_col)).alias("fold"), F.col(text_col).alias("text"))
+    return rows.select("fold", F.explode(_tokens("text")).alias("w")).select("fold", F.xxhash64("w").alias("h"))
 
 
 def _fold_counts() -> list[Column]:
@@ -73,9 +87,9 @@ def _least_count(sizes: list, bits: int) -> int:
     return 1 << least
 
 
-def word_counts(hashed: DataFrame) -> DataFrame:
+def word_counts(rows: DataFrame) -> DataFrame:
     """``h, c0, c1``: each word's count in either half; START counts documents."""
-    return written(hashed.select("fold", F.explode("h").alias("h")).groupBy("h").agg(*_fold_counts()), "lm-words")
+    return written(rows.groupBy("h").agg(*_fold_counts()), "lm-words")
 
 
 def known_words(counts: DataFrame, known_bits: int, hot_bits: int) -> DataFrame:
@@ -135,7 +149,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     if order not in (2, 3):
         raise ValueError(f"order {order} is neither 2 nor 3")
     hashed = _hashed(docs, id_col, text_col)
-    counts = word_counts(hashed)
+    counts = word_counts(word_rows(docs, id_col, text_col))
     start = F.xxhash64(F.lit(START))
     totals = counts.where(F.col("h") != start).agg(
         F.coalesce(F.sum("c0"), F.lit(0)), F.coalesce(F.sum("c1"), F.lit(0))).first()

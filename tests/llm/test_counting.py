@@ -290,6 +290,18 @@ def test_lm_scores_match_brute_force(spark, make_docs, odd_docs, prose, known_bi
     assert got == lm_brute(rows)
 
 
+def test_lm_words_are_split_once_to_be_counted(make_docs, odd_docs, prose, capfd):
+    docs = make_docs([(i, prose(i, 30)) for i in range(9)])
+    lm_score.word_rows(docs, "doc_id", "text").groupBy("fold", "h").count().explain()
+    plan = capfd.readouterr().out
+    assert plan.count("split(lower(") == 1 and plan.count("md5(") == 1
+    assert plan.index("Generate") < plan.index("md5(")  # once a document
+    docs = docs.union(odd_docs)
+    rows = lm_score.word_rows(docs, "doc_id", "text")
+    listed = lm_score._hashed(docs, "doc_id", "text").select("fold", F.explode("h").alias("h"))
+    assert rows.exceptAll(listed).count() == listed.exceptAll(rows).count() == 0 < rows.count()
+
+
 def test_lm_scores_prefer_familiar_text(spark, make_docs, prose, clashing):
     docs = clashing(make_docs([(i, prose(i % 5, 100)) for i in range(30)] + [(99, "zyx wvu tsr qpo nml " * 20), (100, "")]))
     out = {r["doc_id"]: r["mean_logprob"] for r in lm_score.lm_scores(docs).collect()}
