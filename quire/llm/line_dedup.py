@@ -16,9 +16,10 @@ documents costs a row per occurrence, never a pair.
 A line is cut into units between two words whose hash says so, and after so many
 words, so a passage has the same units in every text but for those at its ends
 that are glued to other words. Windows of units are runs, and so are single lines
-of enough words, and windows of lines with a short one among them. Fingerprints
-are counted bare; only segments of texts that hold one met twice are extended to
-their windows.
+of enough words, and windows of lines with a short one among them. Of a window of
+units the fingerprint is the least hash of neighbours, as a unit may be a single
+frequent word. Fingerprints go through the shuffle with their segment's hash alone,
+and only segments of texts that hold one met twice are extended to their windows.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ LINE_WORDS = 8  #: words of a line that is a run by itself
 LINE_CHARS = 200  #: or its characters, beyond these
 LINE_WINDOW = 3  #: lines in a run if some of them are shorter
 UNIT_WINDOW = 5  #: units in a run that counts as a repeat
+UNIT_GRAM = 2  #: neighbouring units that are hashed together for a fingerprint: one alone may be a frequent word
 UNIT_WORDS = 6  #: words of a unit, at most
 CUT_ONE_IN = 5  #: between two words a line is cut with this chance, by their hash
 SEGMENT = 128  #: windows of a text looked at in one row
@@ -199,32 +201,49 @@ def _segments(docs: DataFrame) -> DataFrame:
         "doc_id", "text_hash", "s.*").where(F.size("hashes") > 0)
 
 
+def _grams(hashes: Column) -> Column:
+    """Hashes of ``UNIT_GRAM`` neighbouring units, in order."""
+    return F.transform(_starts(hashes, UNIT_GRAM), lambda s: F.xxhash64(*(F.get(hashes, s + k) for k in range(UNIT_GRAM))))
+
+
+def _least_gram(grams: Column, start: Column) -> Column:
+    return _least(grams, start, UNIT_WINDOW - UNIT_GRAM + 1)
+
+
 def _prints(kind: Column, hashes: Column) -> Column:
-    """Fingerprints of a segment: of each window of units or lines the least hash, and each long line's.
+    """array<struct<print, twice>>: fingerprints of a segment, each once, and whether it stands there twice.
 
-    One that stands in the segment twice is listed twice.
+    Of each window of units the least hash of neighbours, of each window of lines
+    the least hash, and each long line's.
     """
-    units = F.transform(_starts(hashes, UNIT_WINDOW), lambda s: _least(hashes, s, UNIT_WINDOW))
-    lines = F.concat(F.filter(hashes, _is_long), F.transform(
+
+    def of(prints: Column, among: Column) -> Column:
+        repeated = let(F.sort_array(among), lambda h: F.array_distinct(F.filter(h, lambda x, i: x == F.get(h, i - 1))))
+        return let(repeated, lambda again: F.transform(F.array_distinct(prints), lambda p: F.struct(
+            p.alias("print"), F.array_contains(again, p).alias("twice"))))
+
+    units = let(_grams(hashes), lambda g: of(
+        F.transform(_starts(hashes, UNIT_WINDOW), lambda s: _least_gram(g, s)), g))
+    lines = of(F.concat(F.filter(hashes, _is_long), F.transform(
         F.filter(_starts(hashes, LINE_WINDOW), lambda s: _some_short(hashes, s)),
-        lambda s: _least(hashes, s, LINE_WINDOW)))
-    repeated = let(F.sort_array(hashes), lambda h: F.filter(h, lambda x, i: x == F.get(h, i - 1)))
-    return let(F.array_distinct(F.when(kind == UNITS, units).otherwise(lines)),
-               lambda p: F.concat(p, F.array_intersect(p, repeated)))
+        lambda s: _least(hashes, s, LINE_WINDOW))), hashes)
+    return F.when(kind == UNITS, units).otherwise(lines)
 
 
 def _met_runs(kind: Column, hashes: Column, met: Column) -> Column:
     """array<struct<run, first, last>>: the windows, within the segment, whose fingerprint was met twice."""
 
-    def runs(starts: Column, window: int, salt: int) -> Column:
-        return F.transform(F.filter(starts, lambda s: F.array_contains(met, _least(hashes, s, window))), lambda s: F.struct(
+    def runs(starts: Column, least, window: int, salt: int) -> Column:
+        return F.transform(F.filter(starts, lambda s: F.array_contains(met, least(s))), lambda s: F.struct(
             _run(hashes, s, window, salt).alias("run"), s.alias("first"), (s + window - 1).alias("last")))
 
+    units = let(_grams(hashes), lambda g: runs(
+        _starts(hashes, UNIT_WINDOW), lambda s: _least_gram(g, s), UNIT_WINDOW, UNITS))
     single = F.filter(F.transform(hashes, lambda h, i: F.struct(h.alias("run"), i.alias("first"), i.alias("last"))),
                       lambda r: _is_long(r["run"]) & F.array_contains(met, r["run"]))
     lines = F.filter(_starts(hashes, LINE_WINDOW), lambda s: _some_short(hashes, s))
-    return F.when(kind == UNITS, runs(_starts(hashes, UNIT_WINDOW), UNIT_WINDOW, UNITS)).otherwise(
-        F.concat(single, runs(lines, LINE_WINDOW, LINES)))
+    return F.when(kind == UNITS, units).otherwise(
+        F.concat(single, runs(lines, lambda s: _least(hashes, s, LINE_WINDOW), LINE_WINDOW, LINES)))
 
 
 def _covered(kind: Column, hashes: Column) -> Column:
@@ -247,19 +266,21 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     segments = written(_segments(docs).withColumns({
         "h1": F.xxhash64("kind", "hashes"), "h2": F.xxhash64(F.lit(1), "kind", "hashes"),
         "covered": _covered(F.col("kind"), F.col("hashes"))}), "line-hashes")
-    # a segment that occurred before is a repeat as a whole; its runs are found where it stands first
-    first = written(segments.groupBy("h1", "h2").agg(
-        F.min(place).alias("place"), F.count(F.lit(1)).alias("n"), F.first("kind").alias("kind"),
-        F.first("hashes").alias("hashes")), "line-segments")
-    # the sums are checkpointed, so that the joins that follow can split a hot key
-    often = cut(first.where("n > 1").select("h1", "h2", "place"))
+    # a segment that occurred before is a repeat as a whole; its runs are found where it stands first.
+    # The sums are checkpointed, so that the joins that follow can split a hot key
+    often = cut(segments.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
+                .where("n > 1").select("h1", "h2", "place"))
     copies = (segments.select("doc_id", "text_hash", "kind", "offset", "covered", "h1", "h2").join(often, ["h1", "h2"])
               .where(~place.eqNullSafe(F.col("place"))).withColumn("r", F.explode("covered")))
-    prints = first.select("h1", F.explode(_prints(F.col("kind"), F.col("hashes"))).alias("print"))
-    met = cut(prints.groupBy("print").count().where("count > 1").select("print"))
-    hits = cut(prints.join(met, "print", "left_semi").groupBy("h1").agg(F.collect_set("print").alias("met")))
-    spot = F.struct("place.doc_id", "place.text_hash", (F.col("place.offset") + F.col("r.first")).alias("first"))
-    runs = (first.drop("n", "h2").join(hits, "h1")
+    prints = segments.select("h1", F.explode(_prints(F.col("kind"), F.col("hashes"))).alias("p")).select("h1", "p.*")
+    # met in two segments that differ, or twice in one
+    met = cut(prints.groupBy("print").agg(F.min("h1").alias("least"), F.max("h1").alias("most"), F.max("twice").alias("twice"))
+              .where("least <> most or twice").select("print"))
+    hits = (prints.select("h1", "print").join(met, "print", "left_semi").groupBy("h1").agg(F.collect_set("print").alias("met"))
+            .join(often.select("h1", F.col("h2").alias("often"), "place"), "h1", "left"))
+    spot = F.struct("doc_id", "text_hash", (F.col("offset") + F.col("r.first")).alias("first"))
+    runs = (segments.drop("covered").join(cut(hits), "h1")
+            .where(F.col("often").isNull() | (F.col("often") != F.col("h2")) | place.eqNullSafe(F.col("place")))
             .withColumn("r", F.explode(_met_runs(F.col("kind"), F.col("hashes"), F.col("met"))))
             .select("kind", F.col("r.run").alias("run"), spot.alias("spot"),
                     (F.col("r.last") - F.col("r.first")).alias("more")))

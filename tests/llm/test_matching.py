@@ -310,6 +310,29 @@ def test_passages_of_very_long_texts(spark, make_docs, prose):
     assert got[1] == text and got[3] == "" and len(got[2].split()) < 20
 
 
+def test_passages_store_hashes_once_and_few_windows(spark, make_docs, monkeypatch):
+    """Frequent words alone make no window a candidate; the stored hashes aren't stored again without their copies."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abdeiklmnorstu", k=6)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(12)]
+    repeat = " ".join(rng.choices(words, k=80))
+    rows = [*enumerate(texts), (20, f"{texts[3]} {repeat}"), (21, texts[4]), (22, f"{repeat} {texts[4]}"), (23, texts[4])]
+    stored, write = {}, line_dedup.written
+
+    def kept(df, name):
+        stored[name] = write(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(line_dedup, "written", kept)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_passages(make_docs(rows)).collect()}
+    want = passages_brute(rows, cut_pairs(spark, [t for _, t in rows]))
+    assert got == {i: text for i, (text, _) in want.items()} and got[21] == got[23] == ""
+    assert [name for name, df in stored.items() if "hashes" in df.columns] == ["line-hashes"]
+    runs = stored["line-runs"].where(F.col("kind") == line_dedup.UNITS)
+    lone = runs.where(F.col("spot.doc_id").isin(0, 1, 2, 5, 6, 7, 8, 9, 10, 11))
+    assert runs.count() > 100 and lone.count() < 60  # of about 1,600 windows
+
+
 def test_single_long_lines_are_repeats(spark, make_docs, prose):
     line, short = "This work is licensed under the GNU General Public License.", "Chapter one, page two"
     rows = [(i, f"{prose(960 + i, 40)}\n{line}\n{short}\n{prose(970 + i, 40)}") for i in range(4)]
